@@ -137,3 +137,25 @@ access_log AS (
 
 def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + body
+
+
+def customer_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer with each field null in about 5 % of rows (a rule on the key)."""
+    c = table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    nul = lambda i, col: F.when((k * 7 + i) % 20 == 0, F.lit(None)).otherwise(F.col(col))
+    return c.select(
+        "c_custkey", nul(1, "c_name").alias("name"), nul(2, "c_nationkey").alias("nation"),
+        nul(3, "c_acctbal").alias("bal"), nul(4, "c_mktsegment").alias("seg"),
+    )
+
+
+CUSTOMER_NULLS_SQL = """
+customer_nulls AS (
+  SELECT c_custkey,
+         CASE WHEN (c_custkey * 7 + 1) % 20 = 0 THEN NULL ELSE c_name END AS name,
+         CASE WHEN (c_custkey * 7 + 2) % 20 = 0 THEN NULL ELSE c_nationkey END AS nation,
+         CASE WHEN (c_custkey * 7 + 3) % 20 = 0 THEN NULL ELSE c_acctbal END AS bal,
+         CASE WHEN (c_custkey * 7 + 4) % 20 = 0 THEN NULL ELSE c_mktsegment END AS seg
+  FROM customer)
+"""

@@ -74,8 +74,9 @@ def compare(spark_df, sql: str, con) -> dict:
     out["hash_match"] = sh == dh
     out["ok"] = out["cols_match"] and out["hash_match"] and len(s_rows) == len(d_rows)
     if not out["ok"]:
-        diff_s = [r for r in sn if r not in set(dn)][:3]
-        diff_d = [r for r in dn if r not in set(sn)][:3]
+        ds, ss = set(dn), set(sn)
+        diff_s = [r for r in sn if r not in ds][:3]
+        diff_d = [r for r in dn if r not in ss][:3]
         out["spark_only"] = diff_s
         out["oracle_only"] = diff_d
     return out
