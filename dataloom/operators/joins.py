@@ -188,77 +188,96 @@ def range_join(
     return out.drop(p["__bk"]).drop(r["__bk"])
 
 
+def _num(c: Column, dtype) -> Column:
+    """Ordering value of the ``on`` column as a number (microseconds for times)."""
+    from pyspark.sql import types as T
+
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double") / 1e6
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("double") * 86400.0
+    return c.cast("double")
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
     on: str,
     by: Sequence[str] = (),
-    tolerance=None,
+    tolerance: float | None = None,
     allow_exact_matches: bool = True,
     direction: str = "backward",
     right_prefix: str = "",
 ) -> DataFrame:
-    """merge_asof: for each left row the nearest right row by ``on`` within ``by``.
-
-    Both sides are unioned, sorted by (by, on) inside one window partition per
-    ``by`` key and the last (or next) right row is carried with
-    ``last(..., ignorenulls)``: a single shuffle, no pair blow-up. Tolerance is
-    a post-filter on the distance. ``nearest`` takes the closer of the two
-    directions (ties: backward).
+    """merge_asof: each left row gets the nearest right row by ``on`` within ``by``.
+
+    Both sides are unioned and the last (backward) or next (forward) right row
+    is carried along the ``on`` order with ``last/first(..., ignorenulls)``: one
+    shuffle, no pair blow-up. ``tolerance`` (in seconds for time columns) is a
+    post-filter AND the partitioning unit: with it, window partitions are
+    (by, bucket of width tolerance) and each right row is copied into the
+    neighbouring bucket, so a hot ``by`` key is split over many tasks while the
+    answer stays exact. ``nearest`` takes the closer of the two directions.
     """
-    rcols = [c for c in right.columns if c not in set(by) | {on}]
-    lcols = left.columns
-    tagged_l = left.select(
-        *[F.col(c) for c in lcols],
-        *[F.lit(None).cast(right.schema[c].dataType).alias(f"__r_{c}") for c in rcols],
-        F.lit(None).cast(left.schema[on].dataType).alias("__r_on"),
-        F.lit(1).alias("__side"),
-    )
-    tagged_r = right.select(
-        *[(F.col(c) if c in by or c == on else F.lit(None).cast(left.schema[c].dataType)).alias(c) for c in lcols],
-        *[F.col(c).alias(f"__r_{c}") for c in rcols],
-        F.col(on).alias("__r_on"),
-        F.lit(0).alias("__side"),
-    )
-    u = tagged_l.unionByName(tagged_r)
-    part = [F.col(b) for b in by]
-
-    def carried(forward: bool):
-        # exact matches: right rows sort before left rows of the same key when allowed
-        side_order = F.col("__side") if allow_exact_matches == forward else -F.col("__side")
-        if forward:
-            w = Window.partitionBy(*part).orderBy(F.col(on).asc(), side_order.asc()).rowsBetween(Window.unboundedPreceding, 0)
-            pick = F.last
-        else:
-            w = Window.partitionBy(*part).orderBy(F.col(on).asc(), side_order.desc()).rowsBetween(0, Window.unboundedFollowing)
-            pick = F.first
-        # carry the whole right record as one struct so fields stay together
-        rec = F.when(F.col("__side") == 0, F.struct(*[F.col(f"__r_{c}") for c in rcols], F.col("__r_on")))
-        return pick(rec, ignorenulls=True).over(w)
-
-    if direction in ("backward", "forward"):
-        u = u.withColumn("__m", carried(direction == "backward"))
-        # exact-match exclusion: a right row at the same key is not eligible
-        if not allow_exact_matches:
-            pass
-    elif direction == "nearest":
-        u = u.withColumn("__b", carried(True)).withColumn("__f", carried(False))
-        db = F.abs(F.col(on).cast("double") - F.col("__b.__r_on").cast("double"))
-        df_ = F.abs(F.col("__f.__r_on").cast("double") - F.col(on).cast("double"))
-        u = u.withColumn(
-            "__m",
-            F.when(F.col("__b").isNull(), F.col("__f")).when(F.col("__f").isNull(), F.col("__b"))
-            .when(df_ < db, F.col("__f")).otherwise(F.col("__b")),
+    if direction == "nearest":
+        b = asof_join(left, right, on, by, tolerance, allow_exact_matches, "backward", "__b_")
+        f = asof_join(left, right, on, by, tolerance, allow_exact_matches, "forward", "__f_")
+        rcols = [c for c in right.columns if c not in set(by) | {on}]
+        # the left rows are matched 1:1 in both results: join on all left columns + a row id
+        lid = F.monotonically_increasing_id()
+        base = left.withColumn("__lid", lid)
+        b = asof_join(base, right, on, by, tolerance, allow_exact_matches, "backward", "__b_")
+        f = asof_join(base, right, on, by, tolerance, allow_exact_matches, "forward", "__f_")
+        j = b.join(f.select("__lid", *[f"__f_{c}" for c in rcols], "__f___on"), "__lid")
+        db = F.abs(_num(F.col(on), left.schema[on].dataType) - F.col("__b___on"))
+        dfw = F.abs(F.col("__f___on") - _num(F.col(on), left.schema[on].dataType))
+        take_f = F.col("__b___on").isNull() | (F.col("__f___on").isNotNull() & (dfw < db))
+        return j.select(
+            *left.columns,
+            *[F.when(take_f, F.col(f"__f_{c}")).otherwise(F.col(f"__b_{c}")).alias(f"{right_prefix}{c}") for c in rcols],
         )
-    else:
+    if direction not in ("backward", "forward"):
         raise ValueError(direction)
-    out = u.filter(F.col("__side") == 1)
+    backward = direction == "backward"
+    by = list(by)
+    rcols = [c for c in right.columns if c not in set(by) | {on}]
+    ltype = left.schema[on].dataType
+    lnum = _num(F.col(on), ltype)
+    rnum = _num(F.col(on), right.schema[on].dataType)
+    part = list(by)
+    L = left.select(*[F.col(c) for c in left.columns], lnum.alias("__t"), F.lit(1).alias("__side"),
+                    F.lit(None).cast("struct<x:int>").alias("__rec_placeholder"))
+    L = L.drop("__rec_placeholder")
+    rec = F.struct(*[F.col(c).alias(f"__r_{c}") for c in rcols], rnum.alias("__r_on"))
+    R = right.select(*[F.col(b_) for b_ in by], rnum.alias("__t"), rec.alias("__rec"), F.lit(0).alias("__side"))
+    if tolerance is not None:
+        width = float(tolerance)
+        L = L.withColumn("__bk", F.floor(F.col("__t") / width))
+        # a right row can serve left rows of its own bucket and of the next
+        # (backward) or previous (forward) bucket
+        shift = 1 if backward else -1
+        R = R.withColumn("__bk", F.explode(F.array(F.floor(F.col("__t") / width), F.floor(F.col("__t") / width) + shift)))
+        part = part + ["__bk"]
+    lcols_all = L.columns
+    u = L.withColumn("__rec", F.lit(None).cast(R.schema["__rec"].dataType)).unionByName(R, allowMissingColumns=True)
+    # exact matches: right rows sort before (backward) / after (forward) left rows
+    # of the same ``on`` value when allowed
+    side_first = allow_exact_matches == backward
+    side_order = F.col("__side").asc() if side_first else F.col("__side").desc()
+    if backward:
+        w = Window.partitionBy(*part).orderBy(F.col("__t").asc(), side_order).rowsBetween(Window.unboundedPreceding, 0)
+        m = F.last("__rec", ignorenulls=True).over(w)
+    else:
+        w = Window.partitionBy(*part).orderBy(F.col("__t").asc(), side_order).rowsBetween(0, Window.unboundedFollowing)
+        m = F.first("__rec", ignorenulls=True).over(w)
+    out = u.withColumn("__m", m).filter(F.col("__side") == 1)
     if not allow_exact_matches:
-        out = out.withColumn("__m", F.when(F.col("__m.__r_on") == F.col(on), F.lit(None)).otherwise(F.col("__m")))
+        out = out.withColumn("__m", F.when(F.col("__m.__r_on") == F.col("__t"), F.lit(None)).otherwise(F.col("__m")))
     if tolerance is not None:
-        dist = F.abs(F.col(on).cast("double") - F.col("__m.__r_on").cast("double"))
-        out = out.withColumn("__m", F.when(dist <= F.lit(float(tolerance)), F.col("__m")))
-    return out.select(*[F.col(c) for c in lcols], *[F.col(f"__m.__r_{c}").alias(f"{right_prefix}{c}") for c in rcols])
+        out = out.withColumn("__m", F.when(F.abs(F.col("__t") - F.col("__m.__r_on")) <= F.lit(float(tolerance)), F.col("__m")))
+    keep = [c for c in lcols_all if not c.startswith("__")]
+    extra = [F.col("__m.__r_on").alias(f"{right_prefix}__on")] if right_prefix.startswith("__") else []
+    return out.select(*keep, *[F.col(f"__m.__r_{c}").alias(f"{right_prefix}{c}") for c in rcols], *extra)
 
 
 def semi(left: DataFrame, right: DataFrame, lkeys, rkeys=None) -> DataFrame:

@@ -4,5 +4,6 @@ from dataloom.plans.registry import REGISTRY, Entry, query  # noqa: F401
 from dataloom.plans import (  # noqa: F401  (import order = section order)
     q_project,
     q_functions,
+    q_joins,
     q_jobs,
 )
