@@ -28,11 +28,11 @@ def group_bag(df: DataFrame, keys: Sequence[str], max_bag: int = 10_000, bag: st
     """
     keys = list(keys)
     cols = [c for c in df.columns]
-    counts = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+    counts = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.count("*").alias("__n"))
     counts = counts.withColumn("n_parts", F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_bag))).cast("int"))
     # null-safe join back so the null-key group keeps its rows
-    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(counts[k]) for k in keys])
-    j = df.join(counts, cond, "inner").select(*[df[c] for c in cols], counts["n_parts"])
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    j = df.join(counts, cond, "inner").select(*cols, "n_parts")
     part = F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.monotonically_increasing_id()), F.col("n_parts"))
     return (
         j.withColumn("part", part.cast("int"))

@@ -5,5 +5,6 @@ from dataloom.plans import (  # noqa: F401  (import order = section order)
     q_project,
     q_functions,
     q_joins,
+    q_groups,
     q_jobs,
 )
