@@ -63,12 +63,61 @@ def global_rank(
     local = ranged.withColumn("__before", F.coalesce(F.sum(weight).over(w_local), F.lit(0)))
     totals = ranged.groupBy("__pid").agg(F.sum(weight).alias("__n"))
     offs = F.broadcast(_offsets(totals, "__pid", "__n").select("__pid", "__off"))
-    ranked = local.join(offs, "__pid").select(*order, (F.col("__off") + F.col("__before") + 1).alias(out))
+    ranked = local.join(offs, "__pid").select(
+        *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)], (F.col("__off") + F.col("__before") + 1).alias(out))
     cond = None
-    for c in order:
-        e = df[c].eqNullSafe(ranked[c])
+    for i, c in enumerate(order):
+        e = F.col(c).eqNullSafe(F.col(f"__o{i}"))
         cond = e if cond is None else cond & e
-    return df.join(ranked, cond).select(*[df[c] for c in df.columns], ranked[out])
+    return df.join(ranked, cond).select(*df.columns, out)
+
+
+def group_rank(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    out_prefix: str = "rank_",
+    partitions: int | None = None,
+) -> DataFrame:
+    """pandas-style ranks inside each group, all methods in one distributed pass.
+
+    Adds ``<prefix>min`` (SQL rank), ``<prefix>max`` (last position of the tie),
+    ``<prefix>average`` and ``<prefix>dense``. Works on the distinct
+    (keys, order) table with its peer counts: global rank and dense rank by
+    range partitions + broadcast offsets, minus each group's first rank. No
+    group's rows ever meet in one task; one join brings the ranks back.
+    """
+    keys, order = list(keys), list(order)
+    allc = keys + order
+    kt = df.groupBy(*allc).agg(F.count("*").alias("__peers"))
+    nparts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort_cols = [F.col(c).asc_nulls_first() for c in allc]
+    ranged = kt.repartitionByRange(nparts, *sort_cols).withColumn("__pid", F.spark_partition_id())
+    w_local = Window.partitionBy("__pid").orderBy(*sort_cols).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("__b", F.coalesce(F.sum("__peers").over(w_local), F.lit(0))).withColumn(
+        "__db", F.coalesce(F.count(F.lit(1)).over(w_local), F.lit(0)))
+    totals = ranged.groupBy("__pid").agg(F.sum("__peers").alias("__n"), F.count(F.lit(1)).alias("__dn"))
+    wo = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = F.broadcast(totals.select("__pid", F.coalesce(F.sum("__n").over(wo), F.lit(0)).alias("__off"),
+                                     F.coalesce(F.sum("__dn").over(wo), F.lit(0)).alias("__doff")))
+    g = local.join(offs, "__pid").select(
+        *allc, "__peers", (F.col("__off") + F.col("__b") + 1).alias("__r"), (F.col("__doff") + F.col("__db") + 1).alias("__d"))
+    starts = g.groupBy(*[F.col(k).alias(f"__s{i}") for i, k in enumerate(keys)]).agg(
+        F.min("__r").alias("__r0"), F.min("__d").alias("__d0"))
+    cond = None
+    for i, k in enumerate(keys):
+        e = F.col(k).eqNullSafe(F.col(f"__s{i}"))
+        cond = e if cond is None else cond & e
+    mn = F.col("__r") - F.col("__r0") + 1
+    mx = mn + F.col("__peers") - 1
+    ranks = g.join(starts, cond).select(
+        *[F.col(c).alias(f"__k{i}") for i, c in enumerate(allc)], mn.alias(f"{out_prefix}min"), mx.alias(f"{out_prefix}max"),
+        ((mn + mx) / 2.0).alias(f"{out_prefix}average"), (F.col("__d") - F.col("__d0") + 1).alias(f"{out_prefix}dense"))
+    jc = None
+    for i, c in enumerate(allc):
+        e = F.col(c).eqNullSafe(F.col(f"__k{i}"))
+        jc = e if jc is None else jc & e
+    return df.join(ranks, jc).drop(*[f"__k{i}" for i in range(len(allc))])
 
 
 def sort_total(df: DataFrame, *cols: Column) -> DataFrame:

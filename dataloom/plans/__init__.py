@@ -6,5 +6,7 @@ from dataloom.plans import (  # noqa: F401  (import order = section order)
     q_functions,
     q_joins,
     q_groups,
+    q_nested,
+    q_windows,
     q_jobs,
 )
