@@ -8,5 +8,6 @@ from dataloom.plans import (  # noqa: F401  (import order = section order)
     q_groups,
     q_nested,
     q_windows,
+    q_sources,
     q_jobs,
 )
