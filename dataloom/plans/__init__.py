@@ -9,5 +9,6 @@ from dataloom.plans import (  # noqa: F401  (import order = section order)
     q_nested,
     q_windows,
     q_sources,
+    q_udfs,
     q_jobs,
 )
