@@ -10,5 +10,6 @@ from dataloom.plans import (  # noqa: F401  (import order = section order)
     q_windows,
     q_sources,
     q_udfs,
+    q_streaming,
     q_jobs,
 )
