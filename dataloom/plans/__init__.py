@@ -11,5 +11,6 @@ from dataloom.plans import (  # noqa: F401  (import order = section order)
     q_sources,
     q_udfs,
     q_streaming,
+    q_graphs,
     q_jobs,
 )
