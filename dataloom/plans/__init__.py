@@ -12,5 +12,6 @@ from dataloom.plans import (  # noqa: F401  (import order = section order)
     q_udfs,
     q_streaming,
     q_graphs,
+    q_learn,
     q_jobs,
 )
