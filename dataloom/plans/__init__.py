@@ -13,5 +13,6 @@ from dataloom.plans import (  # noqa: F401  (import order = section order)
     q_streaming,
     q_graphs,
     q_learn,
+    q_crash,
     q_jobs,
 )

@@ -356,3 +356,19 @@ def st_streaming_regression(spark, sf):
     S.run_foreach_batch(S.file_stream(spark, src, li.schema, files_per_trigger=1), step, scratch_path(spark, "st-reg-ckpt"))
     return li.agg(F.count("*").alias("n")).select("n", F.lit(w["a"]).alias("slope"), F.lit(w["b"]).alias("intercept"),
                                                    F.lit(w["steps"]).alias("steps"))
+
+
+@query(
+    "join_stream_static",
+    """SELECT e.event_id, e.user_id, c.c_mktsegment, n.n_name FROM events e JOIN customer c ON e.user_id = c.c_custkey
+       JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+)
+def join_stream_static(spark, sf):
+    """A stream enriched from static tables (stream-static joins, append mode)."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    n = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    s = _events_stream(spark, sf).select("event_id", "user_id")
+    j = s.join(c, s.user_id == c.c_custkey).join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
+    sink, ck = _paths(spark, "st-static")
+    S.run_append(j.select("event_id", "user_id", "c_mktsegment", "n_name"), sink, ck)
+    return spark.read.parquet(sink)
