@@ -120,6 +120,50 @@ def group_rank(
     return df.join(ranks, jc).drop(*[f"__k{i}" for i in range(len(allc))])
 
 
+def running_agg(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    prefix: str = "run_",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Expanding sum / count / min / max / mean of ``value`` per key in order,
+    without a per-key task.
+
+    Rows are range-partitioned on (keys, order), so one key's rows may span
+    many partitions. Inside a partition a window runs over (partition, key);
+    each (partition, key) total is a small row, and a window over those totals
+    (at most one row per partition for any key) gives the carry-in from
+    earlier partitions. Ties in ``order`` get an arbitrary but consistent
+    sequence, as with a ROWS frame.
+    """
+    keys, order = list(keys), list(order)
+    nparts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort_cols = [F.col(c).asc_nulls_first() for c in keys + order]
+    v = F.col(value)
+    r = df.repartitionByRange(nparts, *sort_cols).withColumn("__pid", F.spark_partition_id())
+    w = Window.partitionBy("__pid", *keys).orderBy(*sort_cols).rowsBetween(Window.unboundedPreceding, 0)
+    local = r.withColumns({"__s": F.sum(v).over(w), "__c": F.count(v).over(w), "__mn": F.min(v).over(w), "__mx": F.max(v).over(w)})
+    tot = r.groupBy("__pid", *keys).agg(F.sum(v).alias("__ts"), F.count(v).alias("__tc"), F.min(v).alias("__tmn"), F.max(v).alias("__tmx"))
+    wp = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = tot.select(
+        F.col("__pid").alias("__cp"), *[F.col(k).alias(f"__ck{i}") for i, k in enumerate(keys)],
+        F.sum("__ts").over(wp).alias("__os"), F.sum("__tc").over(wp).alias("__oc"),
+        F.min("__tmn").over(wp).alias("__omn"), F.max("__tmx").over(wp).alias("__omx"))
+    cond = F.col("__pid") == F.col("__cp")
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__ck{i}"))
+    j = local.join(carry, cond)
+    s = F.coalesce(F.col("__os"), F.lit(0)) + F.col("__s")
+    c = F.coalesce(F.col("__oc"), F.lit(0)) + F.col("__c")
+    return j.select(
+        *df.columns, s.alias(f"{prefix}sum"), c.alias(f"{prefix}count"),
+        F.least(F.coalesce("__omn", "__mn"), F.col("__mn")).alias(f"{prefix}min"),
+        F.greatest(F.coalesce("__omx", "__mx"), F.col("__mx")).alias(f"{prefix}max"),
+        (s / c).alias(f"{prefix}mean"))
+
+
 def sort_total(df: DataFrame, *cols: Column) -> DataFrame:
     """ORDER BY: Spark samples the key range and range-partitions (total order)."""
     return df.orderBy(*cols)

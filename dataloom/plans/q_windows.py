@@ -184,11 +184,11 @@ def win_rolling(spark, sf):
         FROM lineitem WINDOW w AS ({_W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
 )
 def win_expanding(spark, sf):
+    """Expanding count / sum / min / max / mean per supplier, computed by
+    range partitions + carried partition totals (a hot supplier spans tasks)."""
     li = _lines(spark, sf)
-    w = _w((Window.unboundedPreceding, 0))
-    q = F.col("l_quantity")
-    return li.select("*", F.count(q).over(w).alias("exp_count"), F.sum(q).over(w).alias("exp_sum"), F.min(q).over(w).alias("exp_min"),
-                     F.max(q).over(w).alias("exp_max"), _r(F.avg(q).over(w)).alias("exp_mean"))
+    r = O.running_agg(li, ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_quantity"], "l_quantity", prefix="exp_")
+    return r.select(*li.columns, "exp_count", "exp_sum", "exp_min", "exp_max", _r(F.col("exp_mean")).alias("exp_mean"))
 
 
 @query(

@@ -187,3 +187,17 @@ def test_row_index_consecutive(spark):
 def test_fits_broadcast_bound(spark):
     assert J.fits_broadcast(spark.range(10), 10)
     assert not J.fits_broadcast(spark.range(11), 10)
+
+
+def test_running_agg_matches_window_with_hot_key(spark):
+    from pyspark.sql import Window
+
+    rows = [(0 if i % 3 else i % 7, i, float((i * 37) % 101)) for i in range(3000)]  # key 0 holds two thirds
+    df = spark.createDataFrame(rows, "k int, t int, v double")
+    got = O.running_agg(df, ["k"], ["t"], "v", partitions=6)
+    w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.select("k", "t", F.sum("v").over(w).alias("s"), F.count("v").over(w).alias("c"), F.min("v").over(w).alias("mn"),
+                    F.max("v").over(w).alias("mx"))
+    a = sorted(one(got.select("k", "t", "run_sum", "run_count", "run_min", "run_max")))
+    b = sorted(one(exp))
+    assert a == b
