@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Observation, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dataloom.operators import groups as G
@@ -494,10 +494,13 @@ def agg_describe(spark, sf):
 
 @query("agg_observe")
 def agg_observe(spark, sf):
-    """Named metrics gathered while the query runs (no second pass)."""
+    """Named metrics gathered while the query runs (no second pass); they are
+    reported to query listeners under the name ``lineitem_metrics``. (The
+    ``Observation`` wrapper is avoided: on 4.1 it leaves a non-serialisable
+    manager in the session that later breaks ML model closures.)"""
     li = table(spark, sf, "lineitem")
-    obs = Observation("lineitem_metrics")
-    out = li.observe(obs, F.count(F.lit(1)).alias("rows"), F.max("l_quantity").alias("max_qty")).filter(F.col("l_discount") > 0.05)
+    out = li.observe("lineitem_metrics", F.count(F.lit(1)).alias("rows"), F.max("l_quantity").alias("max_qty")).filter(
+        F.col("l_discount") > 0.05)
     return out.select("l_orderkey", "l_linenumber", "l_discount")
 
 
