@@ -28,10 +28,15 @@ def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85, chec
     Starting rank 1.0 for every vertex with out-links; a vertex without
     incoming contributions drops out, as in the classic example.
     """
+    spark = edges.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(spark)
     links = edges.select("src", "dst").distinct()
     outdeg = links.groupBy("src").agg(F.count("*").alias("deg"))
-    ranks = outdeg.select(F.col("src").alias("v"), F.lit(1.0).alias("rank"))
-    adj = links.join(outdeg, "src")
+    # links hash-partitioned by source and checkpointed once: every round
+    # joins the (equally partitioned) ranks without moving the links again
+    adj = links.join(outdeg, "src").repartition(n, "src").checkpoint(eager=True)
+    ranks = adj.select(F.col("src").alias("v")).distinct().withColumn("rank", F.lit(1.0))
     for i in range(1, iterations + 1):
         contrib = adj.join(ranks, adj.src == ranks.v).select(F.col("dst").alias("v"), (F.col("rank") / F.col("deg")).alias("c"))
         ranks = contrib.groupBy("v").agg((F.lit(1 - damping) + F.lit(damping) * F.sum("c")).alias("rank"))
