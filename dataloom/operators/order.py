@@ -14,6 +14,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dataloom.session import ensure_checkpoint_dir
+
+
+def _materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a range-partitioned frame that two branches read.
+
+    Range bounds are sampled from the input; when the input's row order is not
+    deterministic (it comes from a shuffle), two evaluations could place rows
+    in different ranges. One checkpoint into the shared folder fixes the
+    assignment for both branches and for task retries.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
 
 def _offsets(counts: DataFrame, pid: str, n: str) -> DataFrame:
     """Exclusive prefix sums of per-partition counts (a tiny table)."""
@@ -57,7 +71,7 @@ def global_rank(
     keys = df.groupBy(*order).agg(F.count("*").alias("__cnt"))
     sort_cols = [F.col(c).asc_nulls_first() if a else F.col(c).desc_nulls_last() for c, a in zip(order, asc)]
     nparts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = keys.repartitionByRange(nparts, *sort_cols).withColumn("__pid", F.spark_partition_id())
+    ranged = _materialize(keys.repartitionByRange(nparts, *sort_cols).withColumn("__pid", F.spark_partition_id()))
     weight = F.lit(1) if dense else F.col("__cnt")
     w_local = Window.partitionBy("__pid").orderBy(*sort_cols).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("__before", F.coalesce(F.sum(weight).over(w_local), F.lit(0)))
@@ -92,7 +106,7 @@ def group_rank(
     kt = df.groupBy(*allc).agg(F.count("*").alias("__peers"))
     nparts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(c).asc_nulls_first() for c in allc]
-    ranged = kt.repartitionByRange(nparts, *sort_cols).withColumn("__pid", F.spark_partition_id())
+    ranged = _materialize(kt.repartitionByRange(nparts, *sort_cols).withColumn("__pid", F.spark_partition_id()))
     w_local = Window.partitionBy("__pid").orderBy(*sort_cols).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("__b", F.coalesce(F.sum("__peers").over(w_local), F.lit(0))).withColumn(
         "__db", F.coalesce(F.count(F.lit(1)).over(w_local), F.lit(0)))
@@ -142,7 +156,7 @@ def running_agg(
     nparts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(c).asc_nulls_first() for c in keys + order]
     v = F.col(value)
-    r = df.repartitionByRange(nparts, *sort_cols).withColumn("__pid", F.spark_partition_id())
+    r = _materialize(df.repartitionByRange(nparts, *sort_cols).withColumn("__pid", F.spark_partition_id()))
     w = Window.partitionBy("__pid", *keys).orderBy(*sort_cols).rowsBetween(Window.unboundedPreceding, 0)
     local = r.withColumns({"__s": F.sum(v).over(w), "__c": F.count(v).over(w), "__mn": F.min(v).over(w), "__mx": F.max(v).over(w)})
     tot = r.groupBy("__pid", *keys).agg(F.sum(v).alias("__ts"), F.count(v).alias("__tc"), F.min(v).alias("__tmn"), F.max(v).alias("__tmx"))

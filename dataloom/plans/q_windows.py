@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dataloom.operators import order as O
+from dataloom.operators import seqwin as SW
 from dataloom.plans.registry import query
 from dataloom.session import scratch_path, table
 
@@ -37,11 +38,13 @@ def _w(frame=None):
         FROM lineitem""",
 )
 def win_row_number_rank(spark, sf):
+    """row_number / rank / dense_rank per supplier from positions and
+    distributed ranks (no per-supplier task)."""
     li = _lines(spark, sf)
-    by_q = Window.partitionBy("l_suppkey").orderBy("l_quantity")
-    return li.select(
-        "*", F.row_number().over(Window.partitionBy("l_suppkey").orderBy("l_quantity", "l_shipdate", "l_orderkey", "l_linenumber")).cast("long").alias("rn"),
-        F.rank().over(by_q).cast("long").alias("rnk"), F.dense_rank().over(by_q).cast("long").alias("drnk"))
+    pos = SW.with_position(li, ["l_suppkey"], ["l_quantity", "l_shipdate", "l_orderkey", "l_linenumber"])
+    rk = O.group_rank(pos, ["l_suppkey"], ["l_quantity"])
+    return rk.select(*li.columns, F.col("__i").cast("long").alias("rn"), F.col("rank_min").cast("long").alias("rnk"),
+                     F.col("rank_dense").cast("long").alias("drnk"))
 
 
 @query(
@@ -51,11 +54,15 @@ def win_row_number_rank(spark, sf):
         FROM (SELECT *, row_number() OVER ({_W_SQL}) AS rn, COUNT(*) OVER (PARTITION BY l_suppkey) AS cnt FROM lineitem)""",
 )
 def win_ntile(spark, sf):
-    """Standard ntile (larger buckets first) and the Over variant floor((rn-1)*n/cnt)+1."""
-    li = _lines(spark, sf)
-    rn, cnt = F.row_number().over(_w()), F.count("*").over(Window.partitionBy("l_suppkey"))
-    over = F.when(F.lit(4) >= cnt, rn).otherwise(F.floor((rn - 1) * 4 / cnt) + 1).cast("long")
-    return li.select("*", F.ntile(4).over(_w()).cast("long").alias("ntile_sql"), over.alias("ntile_over"))
+    """Standard ntile (larger buckets first) and the Over variant floor((rn-1)*n/cnt)+1,
+    both from the row's position and its supplier's size."""
+    pos = SW.with_position(_lines(spark, sf), ["l_suppkey"], _W_ORDER)
+    i, n = F.col("__i"), F.col("__n")
+    q, r = F.floor(n / 4), n % 4
+    big = r * (q + 1)
+    std = F.when(i <= big, F.ceil(i / (q + 1))).otherwise(r + F.ceil((i - big) / q)).cast("long")
+    over = F.when(F.lit(4) >= n, i).otherwise(F.floor((i - 1) * 4 / n) + 1).cast("long")
+    return pos.select("l_suppkey", *_W_ORDER, std.alias("ntile_sql"), over.alias("ntile_over"))
 
 
 @query(
@@ -66,11 +73,14 @@ def win_ntile(spark, sf):
         FROM lineitem""",
 )
 def win_percent_rank_cume_dist(spark, sf):
-    li = _lines(spark, sf)
-    by_q = Window.partitionBy("l_suppkey").orderBy("l_quantity")
-    return li.select(
-        "*", F.percent_rank().over(by_q).alias("pct_rank"), F.cume_dist().over(by_q).alias("cume_dist_"),
-        (F.row_number().over(_w()) / F.count("*").over(Window.partitionBy("l_suppkey"))).alias("cume_dist_over"))
+    """percent_rank / cume_dist (peers included) from distributed ranks; the
+    Over variant row_number / count from positions."""
+    pos = SW.with_position(_lines(spark, sf), ["l_suppkey"], _W_ORDER)
+    rk = O.group_rank(pos, ["l_suppkey"], ["l_quantity"])
+    n = F.col("__n")
+    pct = F.when(n == 1, F.lit(0.0)).otherwise((F.col("rank_min") - 1) / (n - 1))
+    return rk.select("l_suppkey", *_W_ORDER, pct.alias("pct_rank"), (F.col("rank_max") / n).alias("cume_dist_"),
+                     (F.col("__i") / n).alias("cume_dist_over"))
 
 
 @query(
@@ -79,8 +89,10 @@ def win_percent_rank_cume_dist(spark, sf):
         FROM lineitem""",
 )
 def win_lead_lag(spark, sf):
-    li = _lines(spark, sf)
-    return li.select("*", F.lead("l_quantity", 1, 0).over(_w()).alias("lead1"), F.lag("l_quantity", 2, -1).over(_w()).alias("lag2"))
+    """lead(1, default 0) and lag(2, default -1) as members of a bounded frame."""
+    pos = SW.with_position(_lines(spark, sf), ["l_suppkey"], _W_ORDER)
+    return SW.frame(pos, ["l_suppkey"], -2, 1, {"lead1": SW.shift_value(1, "l_quantity", 0.0),
+                                                 "lag2": SW.shift_value(-2, "l_quantity", -1.0)})
 
 
 @query(
@@ -90,10 +102,10 @@ def win_lead_lag(spark, sf):
         FROM lineitem WINDOW w AS ({_W_SQL} ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING)""",
 )
 def win_first_last_nth(spark, sf):
-    li = _lines(spark, sf)
-    w = _w((-2, 1))
-    return li.select("*", F.first("l_quantity").over(w).alias("first_"), F.last("l_quantity").over(w).alias("last_"),
-                     F.nth_value("l_quantity", 2).over(w).alias("second_"))
+    """first / last / 2nd value over ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING."""
+    pos = SW.with_position(_lines(spark, sf), ["l_suppkey"], _W_ORDER)
+    return SW.frame(pos, ["l_suppkey"], -2, 1, {"first_": SW.first_in_frame("l_quantity"), "last_": SW.last_in_frame("l_quantity"),
+                                                 "second_": SW.nth_in_frame(2, "l_quantity")})
 
 
 @query(
@@ -104,12 +116,16 @@ def win_first_last_nth(spark, sf):
         FROM lineitem WINDOW w AS ({_W_SQL} ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING)""",
 )
 def win_rows_frame(spark, sf):
-    """ROWS frames; the default Over frame is start-to-current ROW (set explicitly)."""
+    """ROWS frames (2 preceding .. 1 following) and the default Over frame
+    (start to current ROW): bounded frames by positions, the running sum by
+    range partitions with carried totals."""
     li = _lines(spark, sf)
-    w, run = _w((-2, 1)), _w((Window.unboundedPreceding, 0))
-    q = F.col("l_quantity")
-    return li.select("*", F.sum(q).over(w).alias("sum4"), _r(F.avg(q).over(w)).alias("avg4"), F.min(q).over(w).alias("min4"),
-                     F.max(q).over(w).alias("max4"), F.count("*").over(w).alias("cnt4"), F.sum(q).over(run).alias("running"))
+    run = O.running_agg(li, ["l_suppkey"], _W_ORDER, "l_quantity", prefix="r_").select(*li.columns, F.col("r_sum").alias("running"))
+    pos = SW.with_position(run, ["l_suppkey"], _W_ORDER)
+    return SW.frame(pos, ["l_suppkey"], -2, 1, {
+        "sum4": lambda x: F.sum(x("l_quantity")), "avg4": lambda x: _r(F.avg(x("l_quantity"))),
+        "min4": lambda x: F.min(x("l_quantity")), "max4": lambda x: F.max(x("l_quantity")),
+        "cnt4": lambda x: F.count(x("l_quantity"))})
 
 
 @query(
@@ -132,10 +148,12 @@ def win_range_frame(spark, sf):
         FROM lineitem""",
 )
 def win_stitch(spark, sf):
-    """Stitch: windowed results placed beside the original rows."""
+    """Stitch: windowed results beside the original rows (running sum by
+    carried totals; the group max is an aggregate joined back)."""
     li = _lines(spark, sf)
-    return li.select("*", F.sum("l_quantity").over(_w((Window.unboundedPreceding, 0))).alias("over_sum"),
-                     F.max("l_quantity").over(Window.partitionBy("l_suppkey")).alias("group_max"))
+    run = O.running_agg(li, ["l_suppkey"], _W_ORDER, "l_quantity", prefix="r_")
+    mx = li.groupBy(F.col("l_suppkey").alias("__k")).agg(F.max("l_quantity").alias("group_max"))
+    return run.join(mx, run.l_suppkey == mx.__k).select(*li.columns, F.col("r_sum").alias("over_sum"), "group_max")
 
 
 @query(
@@ -167,14 +185,15 @@ def win_running(spark, sf):
         FROM lineitem WINDOW w AS ({_W_SQL} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
 )
 def win_rolling(spark, sf):
-    """rolling(3, min_periods=2)."""
-    li = _lines(spark, sf)
-    w = _w((-2, 0))
-    q = F.col("l_quantity")
-    ok = F.count(q).over(w) >= 2
-    return li.select("*", F.when(ok, F.count(q).over(w)).alias("roll_count"), F.when(ok, F.sum(q).over(w)).alias("roll_sum"),
-                     F.when(ok, F.min(q).over(w)).alias("roll_min"), F.when(ok, F.max(q).over(w)).alias("roll_max"),
-                     F.when(ok, _r(F.avg(q).over(w))).alias("roll_mean"))
+    """rolling(3, min_periods=2) over bounded frames by positions."""
+    pos = SW.with_position(_lines(spark, sf), ["l_suppkey"], _W_ORDER)
+    out = SW.frame(pos, ["l_suppkey"], -2, 0, {
+        "c": lambda x: F.count(x("l_quantity")), "s": lambda x: F.sum(x("l_quantity")), "mn": lambda x: F.min(x("l_quantity")),
+        "mx": lambda x: F.max(x("l_quantity")), "av": lambda x: F.avg(x("l_quantity"))})
+    ok = F.col("c") >= 2
+    return out.select("l_suppkey", *_W_ORDER, F.when(ok, F.col("c")).alias("roll_count"), F.when(ok, F.col("s")).alias("roll_sum"),
+                      F.when(ok, F.col("mn")).alias("roll_min"), F.when(ok, F.col("mx")).alias("roll_max"),
+                      F.when(ok, _r(F.col("av"))).alias("roll_mean"))
 
 
 @query(
@@ -198,9 +217,11 @@ def win_expanding(spark, sf):
         FROM lineitem""",
 )
 def win_diff_pct(spark, sf):
-    li = _lines(spark, sf)
-    prev = F.lag("l_quantity", 1).over(_w())
-    return li.select("*", (F.col("l_quantity") - prev).alias("diff1"), _r(F.col("l_quantity") / prev - 1).alias("pct_change"))
+    """diff / pct_change against the previous row of the supplier."""
+    pos = SW.with_position(_lines(spark, sf), ["l_suppkey"], _W_ORDER)
+    out = SW.frame(pos, ["l_suppkey"], -1, 0, {"prev": SW.shift_value(-1, "l_quantity")})
+    return out.select("l_suppkey", *_W_ORDER, (F.col("l_quantity") - F.col("prev")).alias("diff1"),
+                      _r(F.col("l_quantity") / F.col("prev") - 1).alias("pct_change"))
 
 
 @query(
