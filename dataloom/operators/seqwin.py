@@ -104,3 +104,32 @@ def nth_in_frame(n: int, col: str):
     sorted member list is bounded."""
     return lambda x: F.try_element_at(
         F.array_sort(F.collect_list(F.when(x.j.isNotNull(), F.struct(x.j.alias("j"), x(col).alias("v"))))), F.lit(n))["v"]
+
+
+def fill_directional(df: DataFrame, cols: Sequence[str], order: Sequence[str], keys: Sequence[str] = (), forward: bool = True) -> DataFrame:
+    """ffill / bfill per key without a per-key task.
+
+    For each column, the position of the last (next) non-null value is a
+    running max (reverse running min) of "position if not null", computed by
+    :func:`running_agg`; the value is then fetched by an equi-join on
+    (key, position). Keys may be null (a group of their own).
+    """
+    keys = list(keys)
+    pos = with_position(df, keys, order)
+    if not keys:
+        pos = pos.withColumn("__all", F.lit(1))
+        keys = ["__all"]
+    out = pos.withColumn("__ri", F.col("__n") - F.col("__i"))
+    base_cols = out.columns
+    for c in cols:
+        p = out.withColumn("__p", F.when(F.col(c).isNotNull(), F.col("__i")))
+        run = running_agg(p, keys, ["__i"] if forward else ["__ri"], "__p", prefix="__f_")
+        src = F.col("__f_max") if forward else F.col("__f_min")
+        run = run.select(*base_cols, src.alias("__src"))
+        vals = pos.filter(F.col(c).isNotNull()).select(
+            *[F.col(k).alias(f"__vk{i}") for i, k in enumerate(keys)], F.col("__i").alias("__vi"), F.col(c).alias("__v"))
+        cond = F.col("__src") == F.col("__vi")
+        for i, k in enumerate(keys):
+            cond = cond & F.col(k).eqNullSafe(F.col(f"__vk{i}"))
+        out = run.join(vals, cond, "left").select(*[x for x in base_cols if x != c], F.col("__v").alias(c)).select(*base_cols)
+    return out.drop("__i", "__n", "__ri", *(["__all"] if "__all" in out.columns else []))

@@ -370,10 +370,14 @@ def null_fill(spark, sf):
     ),
 )
 def null_fill_directional(spark, sf):
-    c = customer_nulls(spark, sf).select("c_custkey", "seg", "bal")
-    ff = P.fill_directional(c.withColumnRenamed("bal", "bal_ffill"), ["bal_ffill"], ["c_custkey"], ["seg"], forward=True)
-    w = Window.partitionBy("seg").orderBy("c_custkey").rowsBetween(0, Window.unboundedFollowing)
-    return ff.join(c.select("c_custkey", F.first("bal", ignorenulls=True).over(w).alias("bal_bfill")), "c_custkey")
+    """ffill / bfill of the balance by segment in key order; each segment holds
+    a large share of the rows, so the fill is done by positions and joins
+    (no per-segment task)."""
+    from dataloom.operators import seqwin as SW
+
+    c = customer_nulls(spark, sf).select("c_custkey", "seg", F.col("bal").alias("bal_ffill"), F.col("bal").alias("bal_bfill"))
+    ff = SW.fill_directional(c, ["bal_ffill"], ["c_custkey"], ["seg"], forward=True)
+    return SW.fill_directional(ff, ["bal_bfill"], ["c_custkey"], ["seg"], forward=False)
 
 
 @query(
