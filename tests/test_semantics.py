@@ -201,3 +201,39 @@ def test_running_agg_matches_window_with_hot_key(spark):
     a = sorted(one(got.select("k", "t", "run_sum", "run_count", "run_min", "run_max")))
     b = sorted(one(exp))
     assert a == b
+
+
+def test_seqwin_frames_match_native_windows(spark):
+    from pyspark.sql import Window
+
+    from dataloom.operators import seqwin as SW
+
+    rows = [(0 if i % 4 else 1 + i % 5, i, float((i * 53) % 97)) for i in range(2000)]  # key 0 holds three quarters
+    df = spark.createDataFrame(rows, "k int, t int, v double")
+    pos = SW.with_position(df, ["k"], ["t"])
+    got = SW.frame(pos, ["k"], -2, 1, {
+        "s": lambda x: F.sum(x("v")), "c": lambda x: F.count(x("v")), "f": SW.first_in_frame("v"), "l": SW.last_in_frame("v"),
+        "n2": SW.nth_in_frame(2, "v"), "lag2": SW.shift_value(-2, "v", -1.0), "lead1": SW.shift_value(1, "v", 0.0)})
+    w = Window.partitionBy("k").orderBy("t")
+    f = w.rowsBetween(-2, 1)
+    exp = df.select("k", "t", "v", F.sum("v").over(f).alias("s"), F.count("v").over(f).alias("c"), F.first("v").over(f).alias("f"),
+                    F.last("v").over(f).alias("l"), F.nth_value("v", 2).over(f).alias("n2"), F.lag("v", 2, -1.0).over(w).alias("lag2"),
+                    F.lead("v", 1, 0.0).over(w).alias("lead1"))
+    cols = ["k", "t", "v", "s", "c", "f", "l", "n2", "lag2", "lead1"]
+    assert sorted(one(got.select(*cols))) == sorted(one(exp.select(*cols)))
+
+
+def test_distributed_fill_matches_window(spark):
+    from pyspark.sql import Window
+
+    from dataloom.operators import seqwin as SW
+
+    rows = [(i % 3 if i % 7 else None, i, None if i % 4 else float(i)) for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, t int, v double")
+    got = SW.fill_directional(df.withColumn("b", F.col("v")), ["v"], ["t"], ["k"], forward=True)
+    got = SW.fill_directional(got, ["b"], ["t"], ["k"], forward=False)
+    w = Window.partitionBy("k").orderBy("t")
+    exp = df.select("k", "t", F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("v"),
+                    F.first("v", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("b"))
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(one(got.select("k", "t", "v", "b")), key=key) == sorted(one(exp), key=key)
