@@ -141,8 +141,10 @@ def running_agg(
     value: str,
     prefix: str = "run_",
     partitions: int | None = None,
+    extra_sum: str | None = None,
 ) -> DataFrame:
-    """Expanding sum / count / min / max / mean of ``value`` per key in order,
+    """Expanding sum / count / min / max / mean of ``value`` per key in order
+    (plus ``<prefix>xsum``, the running sum of ``extra_sum``, in the same pass),
     without a per-key task.
 
     Rows are range-partitioned on (keys, order), so one key's rows may span
@@ -158,13 +160,16 @@ def running_agg(
     v = F.col(value)
     r = _materialize(df.repartitionByRange(nparts, *sort_cols).withColumn("__pid", F.spark_partition_id()))
     w = Window.partitionBy("__pid", *keys).orderBy(*sort_cols).rowsBetween(Window.unboundedPreceding, 0)
-    local = r.withColumns({"__s": F.sum(v).over(w), "__c": F.count(v).over(w), "__mn": F.min(v).over(w), "__mx": F.max(v).over(w)})
-    tot = r.groupBy("__pid", *keys).agg(F.sum(v).alias("__ts"), F.count(v).alias("__tc"), F.min(v).alias("__tmn"), F.max(v).alias("__tmx"))
+    xv = F.col(extra_sum) if extra_sum else F.lit(0.0)
+    local = r.withColumns({"__s": F.sum(v).over(w), "__c": F.count(v).over(w), "__mn": F.min(v).over(w), "__mx": F.max(v).over(w),
+                           "__xs": F.sum(xv).over(w)})
+    tot = r.groupBy("__pid", *keys).agg(F.sum(v).alias("__ts"), F.count(v).alias("__tc"), F.min(v).alias("__tmn"), F.max(v).alias("__tmx"),
+                                       F.sum(xv).alias("__txs"))
     wp = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     carry = tot.select(
         F.col("__pid").alias("__cp"), *[F.col(k).alias(f"__ck{i}") for i, k in enumerate(keys)],
         F.sum("__ts").over(wp).alias("__os"), F.sum("__tc").over(wp).alias("__oc"),
-        F.min("__tmn").over(wp).alias("__omn"), F.max("__tmx").over(wp).alias("__omx"))
+        F.min("__tmn").over(wp).alias("__omn"), F.max("__tmx").over(wp).alias("__omx"), F.sum("__txs").over(wp).alias("__oxs"))
     cond = F.col("__pid") == F.col("__cp")
     for i, k in enumerate(keys):
         cond = cond & F.col(k).eqNullSafe(F.col(f"__ck{i}"))
@@ -175,7 +180,7 @@ def running_agg(
         *df.columns, s.alias(f"{prefix}sum"), c.alias(f"{prefix}count"),
         F.least(F.coalesce("__omn", "__mn"), F.col("__mn")).alias(f"{prefix}min"),
         F.greatest(F.coalesce("__omx", "__mx"), F.col("__mx")).alias(f"{prefix}max"),
-        (s / c).alias(f"{prefix}mean"))
+        (s / c).alias(f"{prefix}mean"), (F.coalesce(F.col("__oxs"), F.lit(0)) + F.col("__xs")).alias(f"{prefix}xsum"))
 
 
 def sort_total(df: DataFrame, *cols: Column) -> DataFrame:

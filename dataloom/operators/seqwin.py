@@ -26,12 +26,15 @@ from pyspark.sql import functions as F
 from dataloom.operators.order import running_agg
 
 
-def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add ``__i`` (1-based position within the key in order) and ``__n`` (key size)."""
+def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], running_sum: str | None = None,
+                  running_name: str = "running") -> DataFrame:
+    """Add ``__i`` (1-based position within the key in order) and ``__n`` (key
+    size); optionally the running sum of ``running_sum`` from the same pass."""
     keys = list(keys)
     one = df.withColumn("__one", F.lit(1))
-    r = running_agg(one, keys, order, "__one", prefix="__p_")
-    r = r.select(*df.columns, F.col("__p_count").alias("__i"))
+    r = running_agg(one, keys, order, "__one", prefix="__p_", extra_sum=running_sum)
+    extra = [F.col("__p_xsum").alias(running_name)] if running_sum else []
+    r = r.select(*df.columns, *extra, F.col("__p_count").alias("__i"))
     sizes = r.groupBy(*[F.col(k).alias(f"__sk{i}") for i, k in enumerate(keys)]).agg(F.max("__i").alias("__n"))
     cond = None
     for i, k in enumerate(keys):
@@ -46,6 +49,7 @@ def frame(
     lo: int,
     hi: int,
     aggs: dict[str, callable],
+    values: Sequence[str] | None = None,
 ) -> DataFrame:
     """Aggregate each row's ROWS frame [i + lo, i + hi] (bounded) within its key.
 
@@ -53,7 +57,8 @@ def frame(
     function ``f(x) -> Column`` where ``x(col)`` is the column value of a frame
     member (null for non-members) and ``x.j`` the member's position; the
     function must be an aggregate over the frame members. The original row's
-    columns are kept.
+    columns are kept. ``values`` names the columns the aggregates read: only
+    those travel with the frame copies; the full row travels once.
     """
     if lo > hi:
         raise ValueError("empty frame")
@@ -61,10 +66,12 @@ def frame(
     cols = [c for c in pos.columns if c not in ("__i", "__n")]
     # targets of row j: positions i with i + lo <= j <= i + hi, i.e. i in [j - hi, j - lo]; plus itself
     offs = sorted(set(range(-hi, -lo + 1)) | {0})
+    vals = list(values) if values is not None else cols
     emitted = pos.select(
-        *keys, "__i", "__n", F.struct(*[F.col(c) for c in cols]).alias("__row"),
+        *keys, "__i", "__n", F.struct(*[F.col(c) for c in cols]).alias("__full"), F.struct(*[F.col(c) for c in vals]).alias("__v"),
         F.explode(F.array(*[F.lit(o) for o in offs])).alias("__o"))
-    emitted = emitted.select(*keys, "__n", "__row", F.col("__i").alias("__j"), (F.col("__i") + F.col("__o")).alias("__t"))
+    emitted = emitted.select(*keys, "__n", F.when(F.col("__o") == 0, F.col("__full")).alias("__row"), "__v",
+                             F.col("__i").alias("__j"), (F.col("__i") + F.col("__o")).alias("__t"))
     emitted = emitted.filter((F.col("__t") >= 1) & (F.col("__t") <= F.col("__n")))
     member = (F.col("__j") >= F.col("__t") + lo) & (F.col("__j") <= F.col("__t") + hi)
 
@@ -72,7 +79,7 @@ def frame(
         j = F.when(member, F.col("__j"))
 
         def __call__(self, c: str) -> Column:
-            return F.when(member, F.col(f"__row.{c}"))
+            return F.when(member, F.col(f"__v.{c}"))
 
     x = _X()
     self_row = F.first(F.when(F.col("__j") == F.col("__t"), F.col("__row")), ignorenulls=True).alias("__self")
@@ -133,3 +140,14 @@ def fill_directional(df: DataFrame, cols: Sequence[str], order: Sequence[str], k
             cond = cond & F.col(k).eqNullSafe(F.col(f"__vk{i}"))
         out = run.join(vals, cond, "left").select(*[x for x in base_cols if x != c], F.col("__v").alias(c)).select(*base_cols)
     return out.drop("__i", "__n", "__ri", *(["__all"] if "__all" in out.columns else []))
+
+
+def key_is_hot(df: DataFrame, keys: Sequence[str], factor: float = 1.0) -> bool:
+    """True when the largest key holds more rows than an average shuffle
+    partition (times ``factor``): a per-key window would then make one task
+    the bottleneck. One partial aggregate; only two numbers reach the driver."""
+    nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    st = df.groupBy(*keys).agg(F.count("*").alias("__c")).agg(F.max("__c").alias("mx"), F.sum("__c").alias("n")).first()
+    if st is None or st["n"] is None:
+        return False
+    return st["mx"] > factor * st["n"] / max(nparts, 1)
