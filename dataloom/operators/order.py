@@ -59,8 +59,10 @@ def global_rank(
     dense: bool = False,
     out: str = "rank",
     partitions: int | None = None,
+    dense_out: str | None = None,
 ) -> DataFrame:
-    """RANK rel BY cols [DENSE]: standard rank (gaps) or dense rank, no gaps.
+    """RANK rel BY cols [DENSE]: standard rank (gaps) or dense rank, no gaps;
+    with ``dense_out`` both in one pass.
 
     The distinct sort keys are counted first (partial aggregation absorbs a hot
     key), those key rows are range-partitioned, ranked inside each range and
@@ -72,18 +74,22 @@ def global_rank(
     sort_cols = [F.col(c).asc_nulls_first() if a else F.col(c).desc_nulls_last() for c, a in zip(order, asc)]
     nparts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = _materialize(keys.repartitionByRange(nparts, *sort_cols).withColumn("__pid", F.spark_partition_id()))
-    weight = F.lit(1) if dense else F.col("__cnt")
     w_local = Window.partitionBy("__pid").orderBy(*sort_cols).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("__before", F.coalesce(F.sum(weight).over(w_local), F.lit(0)))
-    totals = ranged.groupBy("__pid").agg(F.sum(weight).alias("__n"))
-    offs = F.broadcast(_offsets(totals, "__pid", "__n").select("__pid", "__off"))
-    ranked = local.join(offs, "__pid").select(
-        *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)], (F.col("__off") + F.col("__before") + 1).alias(out))
+    local = ranged.withColumns({"__b": F.coalesce(F.sum("__cnt").over(w_local), F.lit(0)),
+                                "__db": F.coalesce(F.count(F.lit(1)).over(w_local), F.lit(0))})
+    totals = ranged.groupBy("__pid").agg(F.sum("__cnt").alias("__n"), F.count(F.lit(1)).alias("__dn"))
+    wo = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = F.broadcast(totals.select("__pid", F.coalesce(F.sum("__n").over(wo), F.lit(0)).alias("__off"),
+                                     F.coalesce(F.sum("__dn").over(wo), F.lit(0)).alias("__doff")))
+    rank = F.col("__off") + F.col("__b") + 1
+    drank = F.col("__doff") + F.col("__db") + 1
+    outs = [(drank if dense else rank).alias(out)] + ([drank.alias(dense_out)] if dense_out else [])
+    ranked = local.join(offs, "__pid").select(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)], *outs)
     cond = None
     for i, c in enumerate(order):
         e = F.col(c).eqNullSafe(F.col(f"__o{i}"))
         cond = e if cond is None else cond & e
-    return df.join(ranked, cond).select(*df.columns, out)
+    return df.join(ranked, cond).select(*df.columns, out, *([dense_out] if dense_out else []))
 
 
 def group_rank(

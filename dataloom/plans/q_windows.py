@@ -293,8 +293,7 @@ def rank_global(spark, sf):
     """RANK rel BY price DESC [DENSE] over the whole table, without a
     single-partition window (range partitions + broadcast offsets)."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    r = O.global_rank(li, ["l_extendedprice"], [False], out="rank_price")
-    return O.global_rank(r, ["l_extendedprice"], [False], dense=True, out="dense_rank_price")
+    return O.global_rank(li, ["l_extendedprice"], [False], out="rank_price", dense_out="dense_rank_price")
 
 
 @query(
