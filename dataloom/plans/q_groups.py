@@ -492,7 +492,7 @@ def agg_describe(spark, sf):
         F.percentile_approx(q, 0.75, 100000).alias("p75"), F.max(q).alias("max_"))
 
 
-@query("agg_observe")
+@query("agg_observe", "SELECT l_orderkey, l_linenumber, l_discount FROM lineitem WHERE l_discount > 0.05")
 def agg_observe(spark, sf):
     """Named metrics gathered while the query runs (no second pass); they are
     reported to query listeners under the name ``lineitem_metrics``. (The

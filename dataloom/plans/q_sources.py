@@ -83,7 +83,7 @@ def src_orc(spark, sf):
     return spark.read.orc(path).filter(F.col("l_discount") >= 0.08).select("l_orderkey", "l_linenumber", "l_discount")
 
 
-@query("src_sequencefile")
+@query("src_sequencefile", """SELECT CAST(c_custkey AS VARCHAR) AS "key", c_name AS value FROM customer""")
 def src_sequencefile(spark, sf):
     """Hadoop sequence files of (key, value) text pairs, written and read back."""
     c = table(spark, sf, "customer").select("c_custkey", "c_name")
@@ -343,7 +343,11 @@ def sink_column_index(spark, sf):
     return spark.read.parquet(path).filter(F.col("l_orderkey").between(1000, 1100))
 
 
-@query("sink_lines_pickle_seq")
+@query(
+    "sink_lines_pickle_seq",
+    """SELECT CAST(n_nationkey AS BIGINT) AS k, n_name AS v, 'text' AS src FROM nation
+       UNION ALL SELECT CAST(n_nationkey AS BIGINT), n_name, 'pickle' FROM nation""",
+)
 def sink_lines_pickle_seq(spark, sf):
     """Rows saved as text lines and as pickled objects, both read back."""
     n = table(spark, sf, "nation").select("n_nationkey", "n_name")
@@ -355,7 +359,7 @@ def sink_lines_pickle_seq(spark, sf):
     return lines.withColumn("src", F.lit("text")).unionByName(pick.withColumn("src", F.lit("pickle")))
 
 
-@query("catalog_tables")
+@query("catalog_tables", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def catalog_tables(spark, sf):
     """Temp / global views, an external table in the shared folder, listing,
     caching, refresh and existence checks; the table's rows come back."""

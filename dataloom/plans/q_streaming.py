@@ -217,7 +217,10 @@ def st_foreach_batch(spark, sf):
     return spark.read.parquet(sink)
 
 
-@query("st_sinks_modes")
+@query(
+    "st_sinks_modes",
+    "SELECT event_id, value, event_type FROM events UNION ALL SELECT event_id, value, event_type FROM events",
+)
 def st_sinks_modes(spark, sf):
     """File sink partitioned by a column, and a table sink (external path)."""
     s = _events_stream(spark, sf).select("event_id", "event_type", "value")
@@ -318,7 +321,14 @@ def st_streaming_kmeans(spark, sf):
     return spark.createDataFrame(rows, "cluster int, center array<double>, weight double")
 
 
-@query("st_ab_test")
+@query(
+    "st_ab_test",
+    """WITH g AS (SELECT event_type, COUNT(*) AS n, avg(value) AS mean, var_samp(value) AS var FROM events
+                 WHERE event_type IN ('view', 'click') GROUP BY event_type),
+            a AS (SELECT * FROM g WHERE event_type = 'view'), b AS (SELECT * FROM g WHERE event_type = 'click')
+       SELECT a.n AS n_a, b.n AS n_b, round(a.mean, 6) AS mean_a, round(b.mean, 6) AS mean_b,
+              round((a.mean - b.mean) / sqrt(a.var / a.n + b.var / b.n), 6) AS welch_t FROM a, b""",
+)
 def st_ab_test(spark, sf):
     """Running two-group test on a stream: n, mean and variance per group by a
     stateful aggregate, then Welch's t from the six numbers."""
@@ -332,7 +342,8 @@ def st_ab_test(spark, sf):
         F.lit(1).alias("one"), F.col("n").alias(f"n_{s}"), F.col("mean").alias(f"mean_{s}"), F.col("var").alias(f"var_{s}"))
     j = side("view", "a").join(side("click", "b"), "one")
     se = F.sqrt(F.col("var_a") / F.col("n_a") + F.col("var_b") / F.col("n_b"))
-    return j.select("n_a", "n_b", "mean_a", "mean_b", ((F.col("mean_a") - F.col("mean_b")) / se).alias("welch_t"))
+    return j.select("n_a", "n_b", F.round("mean_a", 6).alias("mean_a"), F.round("mean_b", 6).alias("mean_b"),
+                    F.round((F.col("mean_a") - F.col("mean_b")) / se, 6).alias("welch_t"))
 
 
 @query("st_streaming_regression")

@@ -217,7 +217,10 @@ def _with_setup(it):
         yield pd.DataFrame({"o_orderkey": pdf["o_orderkey"], "code": pdf["o_orderstatus"].map(table_).astype("int64")})
 
 
-@query("udf_partition_map")
+@query(
+    "udf_partition_map",
+    "SELECT o_orderkey, CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 WHEN 'P' THEN 3 END AS BIGINT) AS code FROM orders",
+)
 def udf_partition_map(spark, sf):
     """Per-partition function with set-up (mapInPandas); a foreachPartition
     side effect counts rows into an accumulator."""

@@ -340,7 +340,7 @@ def sort_custom_key(spark, sf):
     return p.orderBy(F.length("p_name").desc(), "p_name")
 
 
-@query("sort_within")
+@query("sort_within", "SELECT l_suppkey, l_shipdate, l_orderkey FROM lineitem")
 def sort_within(spark, sf):
     """Secondary sort: hash-partition by supplier, sort inside each partition."""
     li = table(spark, sf, "lineitem").select("l_suppkey", "l_shipdate", "l_orderkey")
