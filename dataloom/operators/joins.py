@@ -220,12 +220,13 @@ def asof_join(
     answer stays exact. ``nearest`` takes the closer of the two directions.
     """
     if direction == "nearest":
-        b = asof_join(left, right, on, by, tolerance, allow_exact_matches, "backward", "__b_")
-        f = asof_join(left, right, on, by, tolerance, allow_exact_matches, "forward", "__f_")
         rcols = [c for c in right.columns if c not in set(by) | {on}]
-        # the left rows are matched 1:1 in both results: join on all left columns + a row id
-        lid = F.monotonically_increasing_id()
-        base = left.withColumn("__lid", lid)
+        # the left rows are matched 1:1 in both results: a row id, fixed once by
+        # a reliable checkpoint so both directions see the same ids
+        from dataloom.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(left.sparkSession)
+        base = left.withColumn("__lid", F.monotonically_increasing_id()).checkpoint(eager=True)
         b = asof_join(base, right, on, by, tolerance, allow_exact_matches, "backward", "__b_")
         f = asof_join(base, right, on, by, tolerance, allow_exact_matches, "forward", "__f_")
         j = b.join(f.select("__lid", *[f"__f_{c}" for c in rcols], "__f___on"), "__lid")
@@ -275,7 +276,7 @@ def asof_join(
         out = out.withColumn("__m", F.when(F.col("__m.__r_on") == F.col("__t"), F.lit(None)).otherwise(F.col("__m")))
     if tolerance is not None:
         out = out.withColumn("__m", F.when(F.abs(F.col("__t") - F.col("__m.__r_on")) <= F.lit(float(tolerance)), F.col("__m")))
-    keep = [c for c in lcols_all if not c.startswith("__")]
+    keep = [c for c in lcols_all if not c.startswith("__") or c == "__lid"]
     extra = [F.col("__m.__r_on").alias(f"{right_prefix}__on")] if right_prefix.startswith("__") else []
     return out.select(*keep, *[F.col(f"__m.__r_{c}").alias(f"{right_prefix}{c}") for c in rcols], *extra)
 

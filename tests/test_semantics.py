@@ -237,3 +237,16 @@ def test_distributed_fill_matches_window(spark):
                     F.first("v", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("b"))
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
     assert sorted(one(got.select("k", "t", "v", "b")), key=key) == sorted(one(exp), key=key)
+
+
+def test_asof_nearest_matches_pandas(spark):
+    random.seed(5)
+    left = [(i, random.choice("ab"), float(random.randint(0, 200))) for i in range(50)]
+    right = [(random.choice("ab"), float(random.randint(0, 200)), float(j)) for j in range(30)]
+    ldf = spark.createDataFrame(left, "id int, g string, t double")
+    rdf = spark.createDataFrame(right, "g string, t double, val double").dropDuplicates(["g", "t"])
+    got = {r["id"]: r["val"] for r in J.asof_join(ldf, rdf, "t", ["g"], direction="nearest").collect()}
+    lp = pd.DataFrame(left, columns=["id", "g", "t"]).sort_values("t")
+    exp = pd.merge_asof(lp, rdf.toPandas().sort_values("t"), on="t", by="g", direction="nearest")
+    for _, r in exp.iterrows():
+        assert got[r["id"]] == (None if pd.isna(r["val"]) else r["val"])
