@@ -17,7 +17,7 @@ def int_divide(a: Column, b: Column) -> Column:
     return F.when(b == 0, F.lit(None)).otherwise(F.try_divide(a, b).cast("long"))
 
 
-def pig_round(x: Column) -> Column:
+def round_half_up(x: Column) -> Column:
     """ROUND: floor(x + 0.5) as a long."""
     return F.floor(x + F.lit(0.5))
 

@@ -1,6 +1,6 @@
 """GROUP / COGROUP / CUBE / ROLLUP and aggregate helpers.
 
-A Pig bag is never materialised as one unbounded array: ``group_bag`` splits a
+A bag is never materialised as one unbounded array: ``group_bag`` splits a
 group's rows into chunks of at most ``max_bag`` rows (one output row per
 chunk), so a key holding a third of the data still spreads over many rows and
 tasks. Aggregates go through Spark's partial (map-side) + final aggregation.

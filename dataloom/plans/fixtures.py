@@ -17,7 +17,7 @@ def _k(col="props"):
 
 
 def page_views(spark: SparkSession, sf: str) -> DataFrame:
-    """PigMix ``page_views`` from ``events``.
+    """The query mix's ``page_views`` from ``events``.
 
     user (null when k = 0), action code from event_type, timespent = k,
     query_term (null when k divisible by 10), ip_addr, timestamp = second of
@@ -64,7 +64,7 @@ page_views AS (
 
 
 def users(spark: SparkSession, sf: str) -> DataFrame:
-    """PigMix ``users``: customers outside the AUTOMOBILE segment, keyed by custkey."""
+    """The query mix's ``users``: customers outside the AUTOMOBILE segment, keyed by custkey."""
     c = table(spark, sf, "customer")
     return c.filter(F.col("c_mktsegment") != "AUTOMOBILE").select(
         F.col("c_custkey").alias("name"), F.col("c_name").alias("phone"), F.col("c_nationkey").alias("state")
@@ -78,7 +78,7 @@ users AS (SELECT c_custkey AS name, c_name AS phone, c_nationkey AS state
 
 
 def power_users(spark: SparkSession, sf: str) -> DataFrame:
-    """PigMix ``power_users``: customers with a balance above 5000."""
+    """The query mix's ``power_users``: customers with a balance above 5000."""
     c = table(spark, sf, "customer")
     return c.filter(F.col("c_acctbal") > 5000).select(F.col("c_custkey").alias("name"), F.col("c_name").alias("phone"))
 

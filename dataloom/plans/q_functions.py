@@ -38,7 +38,7 @@ def fn_arith(spark, sf):
 @query(
     "fn_math_round",
     """SELECT l_orderkey, l_linenumber, round(abs(x - 5000), 6) AS abs_, CAST(ceil(x) AS BIGINT) AS ceil_,
-              CAST(floor(x) AS BIGINT) AS floor_, CAST(floor(x + 0.5) AS BIGINT) AS pig_round,
+              CAST(floor(x) AS BIGINT) AS floor_, CAST(floor(x + 0.5) AS BIGINT) AS round_half_up,
               CAST(round(CAST(x AS DECIMAL(38, 10)), 2) AS DOUBLE) AS round2,
               CAST(round_even(CAST(x AS DECIMAL(38, 10)), 2) AS DOUBLE) AS bround2,
               CAST(round_even(CAST(x AS DECIMAL(38, 10)), 0) AS DOUBLE) AS rint_,
@@ -50,7 +50,7 @@ def fn_math_round(spark, sf):
     x = F.col("l_extendedprice") / 7.0
     return li.select(
         "l_orderkey", "l_linenumber", _r(F.abs(x - 5000)).alias("abs_"), F.ceil(x).cast("long").alias("ceil_"),
-        F.floor(x).cast("long").alias("floor_"), M.pig_round(x).cast("long").alias("pig_round"),
+        F.floor(x).cast("long").alias("floor_"), M.round_half_up(x).cast("long").alias("round_half_up"),
         M.round_to(x, 2, "half_up").alias("round2"), M.round_to(x, 2).alias("bround2"), M.round_to(x, 0).alias("rint_"),
         M.round_to(x, 1).alias("round_to1"), F.signum(x - 5000).alias("signum_"),
     )

@@ -1,4 +1,4 @@
-"""§2.15 end-to-end jobs: word count, search-phrase scoring, log stats, PigMix L1-L17."""
+"""§2.15 end-to-end jobs: word count, search-phrase scoring, log stats, query mix L1-L17."""
 
 from __future__ import annotations
 
@@ -161,7 +161,7 @@ def job_log_query_stats(spark, sf):
     return log_query_stats(access_log(spark, sf))
 
 
-# ------------------------------------------------------------------ PigMix
+# ------------------------------------------------------------------ query mix L1-L17
 
 
 def _pv(spark, sf):

@@ -67,7 +67,7 @@ def test_fnv_matches_brute_force(spark):
 def test_divide_and_rounding(spark):
     df = spark.createDataFrame([(7, 2, 2.5), (7, 0, -2.5), (-7, 2, 0.125)], "a int, b int, x double")
     out = one(df.select(M.int_divide(F.col("a"), F.col("b")), M.divide(F.col("a"), F.col("b")), M.round_to(F.col("x"), 0),
-                        M.pig_round(F.col("x"))))
+                        M.round_half_up(F.col("x"))))
     assert out == [(3, 3.5, 2.0, 3), (None, None, -2.0, -2), (-3, -3.5, 0.0, 0)]
 
 
