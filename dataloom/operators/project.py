@@ -101,7 +101,11 @@ def sample(df: DataFrame, p: float, seed: int = 42) -> DataFrame:
 
 
 def fill_directional(df: DataFrame, cols: list[str], order_by: list[str], partition_by: list[str] = (), forward: bool = True):
-    """ffill / bfill by group: last (next) non-null value in order."""
+    """ffill / bfill by group: last (next) non-null value in order.
+
+    A plain window: each group is one task. For groups that can hold a large
+    share of the rows use :func:`dataloom.operators.seqwin.fill_directional`.
+    """
     w = Window.partitionBy(*partition_by).orderBy(*order_by)
     w = w.rowsBetween(Window.unboundedPreceding, 0) if forward else w.rowsBetween(0, Window.unboundedFollowing)
     pick = F.last if forward else F.first
