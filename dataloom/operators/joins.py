@@ -265,13 +265,23 @@ def asof_join(
     # of the same ``on`` value when allowed
     side_first = allow_exact_matches == backward
     side_order = F.col("__side").asc() if side_first else F.col("__side").desc()
-    if backward:
-        w = Window.partitionBy(*part).orderBy(F.col("__t").asc(), side_order).rowsBetween(Window.unboundedPreceding, 0)
-        m = F.last("__rec", ignorenulls=True).over(w)
+    from dataloom.operators import seqwin as SW
+
+    if tolerance is None and SW.key_is_hot(u, part or []):
+        # unbounded look-back and a dominant key: the match is a forward
+        # (backward) fill of the right record over the merged sequence, done by
+        # positions and joins instead of one window task for the key
+        u2 = u.withColumn("__sord", F.col("__side") if side_first else -F.col("__side"))
+        filled = SW.fill_directional(u2, ["__rec"], ["__t", "__sord"], part, forward=backward)
+        out = filled.withColumnRenamed("__rec", "__m").drop("__sord").filter(F.col("__side") == 1)
     else:
-        w = Window.partitionBy(*part).orderBy(F.col("__t").asc(), side_order).rowsBetween(0, Window.unboundedFollowing)
-        m = F.first("__rec", ignorenulls=True).over(w)
-    out = u.withColumn("__m", m).filter(F.col("__side") == 1)
+        if backward:
+            w = Window.partitionBy(*part).orderBy(F.col("__t").asc(), side_order).rowsBetween(Window.unboundedPreceding, 0)
+            m = F.last("__rec", ignorenulls=True).over(w)
+        else:
+            w = Window.partitionBy(*part).orderBy(F.col("__t").asc(), side_order).rowsBetween(0, Window.unboundedFollowing)
+            m = F.first("__rec", ignorenulls=True).over(w)
+        out = u.withColumn("__m", m).filter(F.col("__side") == 1)
     if not allow_exact_matches:
         out = out.withColumn("__m", F.when(F.col("__m.__r_on") == F.col("__t"), F.lit(None)).otherwise(F.col("__m")))
     if tolerance is not None:

@@ -250,3 +250,20 @@ def test_asof_nearest_matches_pandas(spark):
     exp = pd.merge_asof(lp, rdf.toPandas().sort_values("t"), on="t", by="g", direction="nearest")
     for _, r in exp.iterrows():
         assert got[r["id"]] == (None if pd.isna(r["val"]) else r["val"])
+
+
+@pytest.mark.parametrize("direction", ["backward", "forward"])
+def test_asof_hot_key_path_matches_pandas(spark, monkeypatch, direction):
+    from dataloom.operators import seqwin
+
+    monkeypatch.setattr(seqwin, "key_is_hot", lambda *a, **k: True)
+    random.seed(9)
+    left = [(i, "a" if i % 5 else "b", float(random.randint(0, 300))) for i in range(80)]
+    right = [("a" if j % 4 else "b", float(random.randint(0, 300)), float(j)) for j in range(60)]
+    ldf = spark.createDataFrame(left, "id int, g string, t double")
+    rdf = spark.createDataFrame(right, "g string, t double, val double").dropDuplicates(["g", "t"])
+    got = {r["id"]: r["val"] for r in J.asof_join(ldf, rdf, "t", ["g"], direction=direction).collect()}
+    lp = pd.DataFrame(left, columns=["id", "g", "t"]).sort_values("t")
+    exp = pd.merge_asof(lp, rdf.toPandas().sort_values("t"), on="t", by="g", direction=direction)
+    for _, r in exp.iterrows():
+        assert got[r["id"]] == (None if pd.isna(r["val"]) else r["val"])
