@@ -568,17 +568,20 @@ _COS_T = 0.1
 def stat_cosine_pairs(spark, sf):
     """All column pairs of the 64-dim embeddings with cosine above 0.1.
 
-    The d x d Gram matrix is one tree-aggregate over the rows (its size is set
-    by the dimension, not the data); cosines come from it. No (row, column,
-    column) triples are emitted."""
+    The rows are unioned with their negations: the column means become zero,
+    so the Pearson correlation matrix of that union equals the cosine
+    similarity of the original columns. ``Correlation.corr`` computes it as
+    one JVM tree-aggregate (a d x d result set by the dimension, not the data);
+    no Python runs per row and no (row, column, column) triples are emitted."""
     import numpy as np
-    from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.ml.stat import Correlation
 
     e = table(spark, sf, "embeddings").select("embedding")
-    g = RowMatrix(e.rdd.map(lambda r: [float(v) for v in r[0]])).computeGramianMatrix().toArray()
-    n = np.sqrt(np.diag(g))
+    both = e.select(array_to_vector(F.transform("embedding", lambda v: v.cast("double"))).alias("v")).unionByName(
+        e.select(array_to_vector(F.transform("embedding", lambda v: -v.cast("double"))).alias("v")))
+    g = np.array(Correlation.corr(both, "v", "pearson").first()[0].toArray())
     d = g.shape[0]
-    pairs = [(i, k, float(g[i, k] / (n[i] * n[k]))) for i in range(d) for k in range(i + 1, d) if g[i, k] / (n[i] * n[k]) > _COS_T]
+    pairs = [(i, k, float(g[i, k])) for i in range(d) for k in range(i + 1, d) if g[i, k] > _COS_T]
     out = spark.createDataFrame(pairs, "i int, k int, cosine double")
     return out.select("i", "k", F.round("cosine", 6).alias("cosine"))
 
