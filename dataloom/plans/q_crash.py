@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from dataloom.functions.strings import keyword_label, yes_no
 from dataloom.learn import crash as CR
-from dataloom.plans.q_functions import MIXED_TIME_SPARK, MIXED_TIME_SQL
+from dataloom.plans.q_functions import MIXED_TIME_SPARK
 from dataloom.plans.registry import query
 from dataloom.session import scratch_path, table
 

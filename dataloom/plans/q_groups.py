@@ -6,7 +6,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dataloom.operators import groups as G
-from dataloom.operators.joins import checked_broadcast
 from dataloom.plans.fixtures import CUSTOMER_NULLS_SQL, customer_nulls, with_ctes
 from dataloom.plans.registry import query
 from dataloom.session import scratch_path, table
