@@ -291,18 +291,25 @@ def st_clickstream_metrics(spark, sf):
 @query("st_streaming_kmeans")
 def st_streaming_kmeans(spark, sf):
     """Centres updated per micro-batch with decay: assign by the k current
-    centres (k small: broadcast), average per cluster, decayed merge."""
+    centres (k small: literals in the plan), average per cluster, decayed
+    merge. Each batch reads the centres saved by the previous batch and saves
+    its own under its batch id, so a restarted or retried query resumes
+    exactly (no model state lives only in the driver)."""
     import numpy as np
 
     e = table(spark, sf, "embeddings").select("vec_id", "embedding")
     src = scratch_path(spark, "st-km-src")
     S.stage_files(e, src, 6, "vec_id")
     k, decay = 4, 0.5
-    init = [np.array(r[0], dtype=float) for r in e.orderBy("vec_id").select("embedding").limit(k).collect()]
-    state = {"c": init, "w": [1.0] * k}
+    state_path = scratch_path(spark, "st-km-state")
+    schema = "cluster int, center array<double>, weight double"
+    init = [(i, [float(x) for x in r[0]], 1.0) for i, r in enumerate(e.orderBy("vec_id").select("embedding").limit(k).collect())]
 
     def update(df, batch_id):
-        cs = state["c"]
+        prev = S.load_state(spark, state_path, before=batch_id)
+        rows = sorted(((r["cluster"], list(r["center"]), r["weight"]) for r in prev), key=lambda t: t[0]) if prev else init
+        cs = [np.array(r[1]) for r in rows]
+        ws = [r[2] for r in rows]
         dist = [F.aggregate(F.zip_with("embedding", F.array(*[F.lit(float(x)) for x in c]), lambda a, b: (a - b) * (a - b)),
                             F.lit(0.0), lambda acc, x: acc + x) for c in cs]
         best = F.array_position(F.array(*dist), F.array_min(F.array(*dist))) - 1
@@ -312,13 +319,14 @@ def st_streaming_kmeans(spark, sf):
         for r in agg:
             j, n = int(r["cl"]), float(r["n"])
             mean = np.array([r[f"m{i}"] for i in range(dim)])
-            w_old = state["w"][j] * decay
-            state["c"][j] = (state["c"][j] * w_old + mean * n) / (w_old + n)
-            state["w"][j] = w_old + n
+            w_old = ws[j] * decay
+            cs[j] = (cs[j] * w_old + mean * n) / (w_old + n)
+            ws[j] = w_old + n
+        S.save_state(spark, state_path, batch_id, [(i, [float(x) for x in c], float(w)) for i, (c, w) in enumerate(zip(cs, ws))], schema)
 
     S.run_foreach_batch(S.file_stream(spark, src, e.schema), update, scratch_path(spark, "st-km-ckpt"))
-    rows = [(i, [float(x) for x in c], float(w)) for i, (c, w) in enumerate(zip(state["c"], state["w"]))]
-    return spark.createDataFrame(rows, "cluster int, center array<double>, weight double")
+    final = S.load_state(spark, state_path)
+    return spark.createDataFrame([(r["cluster"], list(r["center"]), r["weight"]) for r in final], schema)
 
 
 @query(
@@ -349,23 +357,27 @@ def st_ab_test(spark, sf):
 @query("st_streaming_regression")
 def st_streaming_regression(spark, sf):
     """Linear regression weights updated by one gradient step per micro-batch;
-    the gradient is a single aggregate over the batch."""
+    the gradient is a single aggregate over the batch. Weights are saved per
+    batch id and each batch starts from the previous batch's saved weights."""
     li = table(spark, sf, "lineitem").select("l_orderkey", (F.col("l_quantity") / 50.0).alias("x"),
                                              (F.col("l_extendedprice") / 100000.0).alias("y"))
     src = scratch_path(spark, "st-reg-src")
     S.stage_files(li, src, 6, "l_orderkey")
-    w = {"a": 0.0, "b": 0.0, "steps": 0}
+    state_path = scratch_path(spark, "st-reg-state")
+    schema = "slope double, intercept double, steps long"
 
     def step(df, batch_id):
-        g = df.agg(F.avg((F.lit(w["a"]) * F.col("x") + F.lit(w["b"]) - F.col("y")) * F.col("x")).alias("ga"),
-                   F.avg(F.lit(w["a"]) * F.col("x") + F.lit(w["b"]) - F.col("y")).alias("gb")).first()
+        prev = S.load_state(spark, state_path, before=batch_id)
+        a, b, n = (prev[0]["slope"], prev[0]["intercept"], prev[0]["steps"]) if prev else (0.0, 0.0, 0)
+        g = df.agg(F.avg((F.lit(a) * F.col("x") + F.lit(b) - F.col("y")) * F.col("x")).alias("ga"),
+                   F.avg(F.lit(a) * F.col("x") + F.lit(b) - F.col("y")).alias("gb")).first()
         if g["ga"] is not None:
-            w["a"] -= 0.5 * g["ga"]
-            w["b"] -= 0.5 * g["gb"]
-            w["steps"] += 1
+            a, b, n = a - 0.5 * g["ga"], b - 0.5 * g["gb"], n + 1
+        S.save_state(spark, state_path, batch_id, [(float(a), float(b), int(n))], schema)
 
     S.run_foreach_batch(S.file_stream(spark, src, li.schema, files_per_trigger=1), step, scratch_path(spark, "st-reg-ckpt"))
-    return li.agg(F.count("*").alias("n")).select("n", F.lit(w["a"]).alias("slope"), F.lit(w["b"]).alias("intercept"),
+    w = S.load_state(spark, state_path)[0]
+    return li.agg(F.count("*").alias("n")).select("n", F.lit(w["slope"]).alias("slope"), F.lit(w["intercept"]).alias("intercept"),
                                                    F.lit(w["steps"]).alias("steps"))
 
 

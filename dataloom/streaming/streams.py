@@ -90,3 +90,24 @@ def running_totals(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState)
 def stateful_running_totals(sdf: DataFrame) -> DataFrame:
     return sdf.groupBy("user_id").applyInPandasWithState(
         running_totals, "user_id long, n long, total double", "n long, s double", "update", GroupStateTimeout.NoTimeout)
+
+
+def save_state(spark: SparkSession, path: str, batch_id: int, rows: list, schema: str) -> None:
+    """Model state after a micro-batch, written under its batch id (a retried
+    batch overwrites the same folder: idempotent). The state is small (k
+    centres, a weight vector), never data-sized."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def load_state(spark: SparkSession, path: str, before: int | None = None):
+    """Rows of the latest saved state (optionally of a batch before ``before``), or None."""
+    try:
+        df = spark.read.parquet(path)
+    except Exception:  # nothing saved yet
+        return None
+    if before is not None:
+        df = df.filter(F.col("batch") < before)
+    last = df.agg(F.max("batch")).first()[0]
+    if last is None:
+        return None
+    return df.filter(F.col("batch") == last).drop("batch").collect()
