@@ -267,3 +267,12 @@ def test_asof_hot_key_path_matches_pandas(spark, monkeypatch, direction):
     exp = pd.merge_asof(lp, rdf.toPandas().sort_values("t"), on="t", by="g", direction=direction)
     for _, r in exp.iterrows():
         assert got[r["id"]] == (None if pd.isna(r["val"]) else r["val"])
+
+
+def test_key_is_hot(spark):
+    from dataloom.operators import seqwin as SW
+
+    even = spark.range(0, 8000).select((F.col("id") % 100).alias("k"))
+    hot = spark.range(0, 8000).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 100).alias("k"))
+    assert not SW.key_is_hot(even, ["k"])
+    assert SW.key_is_hot(hot, ["k"])
