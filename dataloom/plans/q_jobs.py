@@ -129,8 +129,11 @@ LOG_RE = r'^([\d.]+) (\S+) (\S+) \[([\w\d:/]+\s[+\-]\d{4})\] "(.+?)" (\d{3}) ([\
 
 def log_query_stats(lines):
     """Hits and bytes per (ip, user, request); unparsable lines go to a null key."""
-    ok = F.col("value").rlike(LOG_RE)
-    g = lambda i: F.when(ok, F.regexp_extract("value", LOG_RE, i))
+    # a match always has a non-empty first group (the address): reuse that
+    # extraction as the match test instead of a separate rlike pass
+    first = F.regexp_extract("value", LOG_RE, 1)
+    ok = first != ""
+    g = lambda i: F.when(ok, first if i == 1 else F.regexp_extract("value", LOG_RE, i))
     b = g(7)
     return (
         lines.select(
