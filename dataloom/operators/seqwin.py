@@ -151,3 +151,20 @@ def key_is_hot(df: DataFrame, keys: Sequence[str], factor: float = 1.0) -> bool:
     if st is None or st["n"] is None:
         return False
     return st["mx"] > factor * st["n"] / max(nparts, 1)
+
+
+def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int) -> DataFrame:
+    """Gap-closed sessions per key without a per-key task: a new session
+    starts when the gap to the previous event of the key reaches
+    ``gap_seconds``; the session id is the running count of starts (carried
+    running sums), and sessions are aggregated by (key, session id)."""
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    base = df.select(key, ts).withColumn("__tm", t)
+    pos = with_position(base, [key], ["__tm"])
+    prev = frame(pos, [key], -1, 0, {"__prev": shift_value(-1, "__tm")}, values=["__tm"])
+    flagged = prev.withColumn("__new", F.when(F.col("__prev").isNull() | (F.col("__tm") - F.col("__prev") >= gap_seconds * 1_000_000), 1)
+                              .otherwise(0))
+    ids = running_agg(flagged, [key], ["__tm"], "__new", prefix="__sid_")
+    return ids.groupBy(key, F.col("__sid_sum").alias("__sid")).agg(
+        F.min(ts).alias("session_start"), (F.max(ts) + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("session_end"),
+        F.count("*").alias("n")).drop("__sid")

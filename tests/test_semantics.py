@@ -276,3 +276,15 @@ def test_key_is_hot(spark):
     hot = spark.range(0, 8000).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 100).alias("k"))
     assert not SW.key_is_hot(even, ["k"])
     assert SW.key_is_hot(hot, ["k"])
+
+
+def test_distributed_sessions_match_window_form(spark):
+    from dataloom.operators import seqwin as SW
+    from dataloom.streaming.streams import sessions_batch
+
+    random.seed(11)
+    rows = [(0 if i % 3 else i % 4, 60 * random.randint(0, 3000)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k int, s long").select("k", F.timestamp_seconds("s").cast("timestamp_ntz").alias("ts"))
+    a = sorted(one(SW.sessions(df, "k", "ts", 1800).select("k", "session_start", "session_end", "n")))
+    b = sorted(one(sessions_batch(df, "k", "ts", 1800).select("k", "session_start", "session_end", "n")))
+    assert a == b
