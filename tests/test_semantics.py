@@ -288,3 +288,14 @@ def test_distributed_sessions_match_window_form(spark):
     a = sorted(one(SW.sessions(df, "k", "ts", 1800).select("k", "session_start", "session_end", "n")))
     b = sorted(one(sessions_batch(df, "k", "ts", 1800).select("k", "session_start", "session_end", "n")))
     assert a == b
+
+
+def test_log_query_stats_rejects_to_null_key(spark):
+    from dataloom.plans.q_jobs import log_query_stats
+
+    ok = '10.0.0.1 - bob [01/Jan/2024:00:00:07 +0000] "GET /a HTTP/1.1" 200 512 "http://r/" "UA"'
+    dash = '10.0.0.1 - bob [01/Jan/2024:00:00:08 +0000] "GET /a HTTP/1.1" 304 - "http://r/" "UA"'
+    junk = "not a log line"
+    df = spark.createDataFrame([(ok,), (dash,), (junk,)], "value string")
+    got = sorted(one(log_query_stats(df)), key=repr)
+    assert got == sorted([("10.0.0.1", "bob", "GET /a HTTP/1.1", 2, 512), (None, None, None, 1, 0)], key=repr)
