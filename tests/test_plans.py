@@ -60,3 +60,8 @@ def test_global_rank_no_single_partition_over_data(spark):
 def test_bloom_join_filters_before_shuffle(spark):
     s = plan(REGISTRY["join_bloom"].fn(spark, SF_SMALL))
     assert "bitmap" in s.lower()
+
+
+def test_asof_partitions_by_key_and_time_bucket(spark):
+    s = plan(REGISTRY["join_asof"].fn(spark, SF_SMALL))
+    assert "hashpartitioning(user_id" in s and "__bk" in s.split("hashpartitioning(user_id", 1)[1].split(")", 1)[0]
