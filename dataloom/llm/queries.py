@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dataloom.llm import simhash
+from dataloom.llm import simhash, suffix
 from dataloom.session import table
 
 
@@ -14,7 +14,13 @@ def op4_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash_trie,)}
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents left after removing every repeated run of 35 words."""
+    out = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(suffix.kept_words("text"), 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op4_simhash_trie, op6_suffix_dedup)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
