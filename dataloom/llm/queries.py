@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dataloom.llm import simhash, suffix
+from dataloom.llm import itq, simhash, suffix, topk
 from dataloom.session import table
 
 
+def op1_itq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of equal label among all embeddings, cosine 0.98 or more."""
+    return itq.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+def op2_uniform_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best inner products of every hundredth vector against all others."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicates of all documents: 3-word shingles, at most 3 bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -20,7 +30,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(suffix.kept_words("text"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash_trie, op6_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_itq_near_dedup, op2_uniform_threshold_topk, op4_simhash_trie, op6_suffix_dedup)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
