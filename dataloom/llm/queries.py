@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dataloom.llm import itq, simhash, suffix, topk
+import public_tokenizers
+
+from dataloom.llm import itq, lexicon, packing, simhash, suffix, topk
 from dataloom.session import table
 
 
@@ -19,18 +21,31 @@ def op2_uniform_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op3_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+
+
 def op4_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicates of all documents: 3-word shingles, at most 3 bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded through the word transducer and decoded again."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    out = lexicon.decode(lexicon.encode(table(spark, sf_dir, "documents"), path), path)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents left after removing every repeated run of 35 words."""
     out = suffix.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(suffix.kept_words("text"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_itq_near_dedup, op2_uniform_threshold_topk, op4_simhash_trie, op6_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_itq_near_dedup, op2_uniform_threshold_topk, op3_sum_of_squares_packing, op4_simhash_trie, op5_transducer_bpe,
+                                   op6_suffix_dedup)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}

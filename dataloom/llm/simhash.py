@@ -206,4 +206,5 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     grouped = linked.join(lowest, "root").select("fp", "component_id")
     named = classes.join(grouped, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    named = materialize(named, "simhash-components")  # so that both sides are dealt anew and a hot fingerprint can be split
     return rows.join(named, "fp").select("doc_id", "fingerprint", "component_id")
