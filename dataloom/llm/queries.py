@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from dataloom.llm import itq, lexicon, packing, simhash, suffix, topk
+from dataloom.llm import itq, langid, lexicon, packing, simhash, suffix, topk, toxic
+from dataloom.llm.common import held_out
 from dataloom.session import table
 
 
@@ -44,8 +45,23 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(suffix.kept_words("text"), 256).alias("kept_sha256"))
 
 
+def op9_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    out = toxic.score(docs, toxic.learn(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op10_rank_order_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from the ones that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    out = langid.identify(docs.select("doc_id", "text"), langid.learn_from_training_rows(docs))
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {f.__name__: f for f in (op1_itq_near_dedup, op2_uniform_threshold_topk, op3_sum_of_squares_packing, op4_simhash_trie, op5_transducer_bpe,
-                                   op6_suffix_dedup)}
+                                   op6_suffix_dedup,
+                                   op9_crf_toxicity, op10_rank_order_langid)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
