@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from dataloom.llm import itq, langid, lexicon, packing, simhash, suffix, topk, toxic
+from dataloom.llm import itq, langid, lexicon, packing, sanitise, simhash, suffix, topk, toxic
 from dataloom.llm.common import held_out
 from dataloom.session import table
 
@@ -45,6 +45,14 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(suffix.kept_words("text"), 256).alias("kept_sha256"))
 
 
+def op8_information_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that reveal it, in all documents."""
+    found = sanitise.find(table(spark, sf_dir, "documents"))
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in sanitise.KINDS]
+    return found.select("doc_id", *counts, F.sha2(sanitise.joined(sanitise.KINDS), 256).alias("base_sha256"),
+                        sanitise.joined((*sanitise.KINDS, "term")).alias("spans"))
+
+
 def op9_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learned from the labelled ones that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -61,7 +69,7 @@ def op10_rank_order_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_itq_near_dedup, op2_uniform_threshold_topk, op3_sum_of_squares_packing, op4_simhash_trie, op5_transducer_bpe,
                                    op6_suffix_dedup,
-                                   op9_crf_toxicity, op10_rank_order_langid)}
+                                   op8_information_pii, op9_crf_toxicity, op10_rank_order_langid)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
