@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from dataloom.llm import itq, langid, lexicon, packing, sanitise, simhash, suffix, topk, toxic
+from dataloom.llm import itq, langid, lexicon, packing, sanitise, simhash, suffix, topk, toxic, warczip
 from dataloom.llm.common import held_out
 from dataloom.session import table
 
@@ -45,6 +45,12 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(suffix.kept_words("text"), 256).alias("kept_sha256"))
 
 
+def op7_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A WARC record per page, written into ZIP packages and read back by range."""
+    out = warczip.round_trip(table(spark, sf_dir, "pages"), least=100)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_information_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data and the terms that reveal it, in all documents."""
     found = sanitise.find(table(spark, sf_dir, "documents"))
@@ -69,7 +75,16 @@ def op10_rank_order_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_itq_near_dedup, op2_uniform_threshold_topk, op3_sum_of_squares_packing, op4_simhash_trie, op5_transducer_bpe,
                                    op6_suffix_dedup,
-                                   op8_information_pii, op9_crf_toxicity, op10_rank_order_langid)}
+                                   op7_zip_warc, op8_information_pii, op9_crf_toxicity, op10_rank_order_langid)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_zip_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+             d AS (SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+             f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes < 100 OR page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+        FROM f""",
+}
