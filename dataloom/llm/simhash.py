@@ -47,17 +47,24 @@ def fingerprint(data: bytes, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(df: DataFrame, id_col: str, text_col: str, shingle: int = 3) -> DataFrame:
-    """(doc_id long, fp long, fingerprint string) for every row; null text counts as empty."""
+    """(doc_id long, row_key long, fp long, fingerprint string) for every row; null text counts as empty.
+
+    ``row_key`` is a hash of the id and the text, which tells rows apart.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t.encode(), shingle) for t in texts(b.column(1))], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(fp.view(np.int64)), pa.array([f"{int(x):016x}" for x in fp], pa.string())],
-                ["doc_id", "fp", "fingerprint"])
+                [b.column(0), b.column(2), pa.array(fp.view(np.int64)), pa.array([f"{int(x):016x}" for x in fp], pa.string())],
+                ["doc_id", "row_key", "fp", "fingerprint"])
+
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), row_key(id_col, text_col).alias("row_key"))
+    return rows.mapInArrow(run, "doc_id long, row_key long, fp long, fingerprint string")
+
 
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long, fingerprint string")
+def row_key(id_col: str, text_col: str) -> F.Column:
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
 
 
 def _swap(x: np.ndarray) -> np.ndarray:
@@ -190,7 +197,8 @@ def trie_links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """One row per input row: doc_id, fingerprint, component_id (smallest id reachable, itself included).
+    """One row per input row: doc_id, fingerprint, component_id (smallest id reachable, itself included),
+    row_key (a hash of id and text) and component_fp (one fingerprint of the component).
 
     Null text is empty text; texts without words have fingerprint zero and are
     linked like any other. Repeated rows stay repeated rows of one component.
@@ -204,7 +212,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     linked = components(trie_links(classes.select("fp"), max_bits), "u", "v")
     linked = linked.join(classes, linked.node == classes.fp).select("fp", "root", "first")
     lowest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    grouped = linked.join(lowest, "root").select("fp", "component_id")
-    named = classes.join(grouped, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    grouped = linked.join(lowest, "root").select("fp", "component_id", "root")
+    named = classes.join(grouped, "fp", "left").select(
+        "fp", F.coalesce("component_id", "first").alias("component_id"), F.coalesce("root", "fp").alias("component_fp"))
     named = materialize(named, "simhash-components")  # so that both sides are dealt anew and a hot fingerprint can be split
-    return rows.join(named, "fp").select("doc_id", "fingerprint", "component_id")
+    return rows.join(named, "fp").select("doc_id", "fingerprint", "component_id", "row_key", "component_fp")
