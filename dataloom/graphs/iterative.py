@@ -1,10 +1,9 @@
 """Graph and iterative jobs as rounds of joins and aggregates.
 
-Graphs are ``edges(src, dst[, w])`` DataFrames. Every round is one join plus
-one aggregate; the lineage is cut with ``checkpoint()`` (reliable, into the
-shared ``spark.checkpoint.dir``) every few rounds so a lost executor only
-recomputes from the last checkpoint. Convergence is tested with a bounded
-action (``limit(1).count()``) per round; no data is collected.
+Graphs are ``edges(src, dst[, w])`` DataFrames. Inputs are written once to the
+shared scratch folder, and so is the state after every round: a lost executor
+recomputes nothing older than its round, and several readers see the same rows.
+Loops run until nothing changes; only row counts reach the driver.
 """
 
 from __future__ import annotations
@@ -12,83 +11,95 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dataloom.session import ensure_checkpoint_dir
+from dataloom.session import fixed, scratch_path
 
 
-def _cut(df: DataFrame, i: int, every: int) -> DataFrame:
-    if every and i % every == 0:
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df
-
-
-def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85, checkpoint_every: int = 3) -> DataFrame:
+def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85) -> DataFrame:
     """Iterated rank: rank(v) = (1 - d) + d * sum(rank(u) / outdeg(u)) over u -> v.
 
     Starting rank 1.0 for every vertex with out-links; a vertex without
     incoming contributions drops out, as in the classic example.
+
+    The links are a table bucketed by source, one file a bucket, so a round
+    shuffles the ranks and the contributions but not the links.
     """
     spark = edges.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
     links = edges.select("src", "dst").distinct()
-    outdeg = links.groupBy("src").agg(F.count("*").alias("deg"))
-    # links hash-partitioned by source and checkpointed once: every round
-    # joins the (equally partitioned) ranks without moving the links again
-    adj = links.join(outdeg, "src").repartition(n, "src").checkpoint(eager=True)
+    adj = links.join(links.groupBy("src").agg(F.count("*").alias("deg")), "src")
+    path = scratch_path(spark, "links")
+    name = "links_" + path.rsplit("-", 1)[-1]
+    adj.repartition(n, "src").write.bucketBy(n, "src").option("path", path).saveAsTable(name)
+    adj = spark.table(name)
     ranks = adj.select(F.col("src").alias("v")).distinct().withColumn("rank", F.lit(1.0))
-    for i in range(1, iterations + 1):
+    for _ in range(iterations):
         contrib = adj.join(ranks, adj.src == ranks.v).select(F.col("dst").alias("v"), (F.col("rank") / F.col("deg")).alias("c"))
-        ranks = contrib.groupBy("v").agg((F.lit(1 - damping) + F.lit(damping) * F.sum("c")).alias("rank"))
-        ranks = _cut(ranks, i, checkpoint_every)
+        ranks = fixed(contrib.groupBy("v").agg((F.lit(1 - damping) + F.lit(damping) * F.sum("c")).alias("rank")), "ranks")
+    spark.sql(f"DROP TABLE {name}")
     return ranks
 
 
-def connected_components(edges: DataFrame, max_iter: int = 100, checkpoint_every: int = 3) -> DataFrame:
-    """Component id = least vertex id reachable (undirected), by min-label propagation."""
-    und = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    labels = und.select(F.col("src").alias("v")).distinct().withColumn("label", F.col("v"))
-    for i in range(1, max_iter + 1):
-        msgs = und.join(labels, und.src == labels.v).select(F.col("dst").alias("v"), F.col("label").alias("m"))
-        best = msgs.groupBy("v").agg(F.min("m").alias("m"))
-        new = labels.join(best, "v", "left").select("v", F.least("label", F.coalesce("m", "label")).alias("label"))
-        new = _cut(new, i, checkpoint_every)
-        changed = new.join(labels.withColumnRenamed("label", "old"), "v").filter(F.col("label") != F.col("old"))
-        labels = new
-        if changed.limit(1).count() == 0:
-            break
-    return labels
-
-
-def sssp(edges: DataFrame, source, max_iter: int = 200, checkpoint_every: int = 3) -> DataFrame:
-    """Single-source shortest paths (non-negative ``w``): relax by join + min until no change."""
-    dist = edges.select(F.col("src").alias("v")).union(edges.select(F.col("dst").alias("v"))).distinct().select(
-        "v", F.when(F.col("v") == F.lit(source), F.lit(0.0)).otherwise(F.lit(None).cast("double")).alias("d"))
-    for i in range(1, max_iter + 1):
-        relax = edges.join(dist.filter(F.col("d").isNotNull()), edges.src == dist.v).groupBy(F.col("dst").alias("v")).agg(
-            F.min(F.col("d") + F.col("w")).alias("nd"))
-        new = dist.join(relax, "v", "left").select("v", F.least(F.coalesce("d", "nd"), F.coalesce("nd", "d")).alias("d"))
-        new = _cut(new, i, checkpoint_every)
-        changed = new.join(dist.withColumnRenamed("d", "od"), "v").filter(~F.col("d").eqNullSafe(F.col("od")))
-        dist = new
-        if changed.limit(1).count() == 0:
-            break
-    return dist
-
-
-def transitive_closure(edges: DataFrame, max_iter: int = 100, checkpoint_every: int = 2) -> DataFrame:
-    """All reachable (src, dst) pairs: extend known paths by one edge until no new pair."""
-    e = edges.select("src", "dst").distinct()
-    tc = e
-    for i in range(1, max_iter + 1):
-        step = tc.join(e.select(F.col("src").alias("mid"), F.col("dst").alias("nxt")), tc.dst == F.col("mid")).select(
-            F.col("src"), F.col("nxt").alias("dst"))
-        new_pairs = step.distinct().join(tc, ["src", "dst"], "left_anti")
-        new_pairs = _cut(new_pairs, 1, 1)
-        if new_pairs.limit(1).count() == 0:
+def _large_star(stars: DataFrame) -> DataFrame:
+    """Every larger neighbour of a vertex moves to the least vertex of its neighbourhood."""
+    both = stars.select(F.col("hi").alias("v"), F.col("lo").alias("w")).unionByName(stars.select(F.col("lo").alias("v"), F.col("hi").alias("w")))
+    least = both.groupBy("v").agg(F.min("w").alias("m")).select("v", F.least("v", "m").alias("m"))
+    return both.join(least, "v").where(F.col("w") > F.col("v")).select(F.col("w").alias("hi"), F.col("m").alias("lo")).distinct()
+
+
+def _small_star(stars: DataFrame) -> DataFrame:
+    """Every smaller neighbour of a vertex, and the vertex, moves to the least of them."""
+    least = stars.groupBy("hi").agg(F.min("lo").alias("m"))
+    moved = stars.join(least, "hi").where(F.col("lo") != F.col("m")).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+    return moved.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct()
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """Component id = least vertex id reachable (undirected): alternating large and small stars.
+
+    The number of rounds grows with the logarithm of the longest path, and the
+    loop ends when a round leaves every star as it was.
+    """
+    edges = fixed(edges.select("src", "dst").distinct(), "edges")
+    vertices = edges.select(F.col("src").alias("v")).union(edges.select("dst")).distinct()
+    stars = fixed(edges.where("src <> dst").select(F.greatest("src", "dst").alias("hi"), F.least("src", "dst").alias("lo")).distinct(), "stars")
+    while True:
+        new = fixed(_small_star(_large_star(stars)), "stars")
+        same = new.count() == stars.count() and new.join(stars, ["hi", "lo"], "left_anti").isEmpty()
+        stars = new
+        if same:
             break
-        tc = _cut(tc.union(new_pairs), i, checkpoint_every)
-    return tc
+    found = stars.select(F.col("hi").alias("v"), F.col("lo").alias("l"))
+    return vertices.join(found, "v", "left").select("v", F.coalesce("l", "v").alias("label"))
+
+
+def sssp(edges: DataFrame, source) -> DataFrame:
+    """Single-source shortest paths (non-negative ``w``): only vertices whose distance fell relax their edges."""
+    edges = fixed(edges.select("src", "dst", "w"), "weighted-edges")
+    vertices = edges.select(F.col("src").alias("v")).union(edges.select("dst")).distinct()
+    dist = fixed(vertices.select("v", F.when(F.col("v") == F.lit(source), F.lit(0.0)).alias("d"), (F.col("v") == F.lit(source)).alias("fell")), "distances")
+    while not dist.where("fell").isEmpty():
+        relax = edges.join(dist.where("fell"), edges.src == dist.v).groupBy(F.col("dst").alias("v")).agg(F.min(F.col("d") + F.col("w")).alias("nd"))
+        closer = F.coalesce(F.col("nd") < F.col("d"), F.col("nd").isNotNull())
+        dist = fixed(dist.join(relax, "v", "left").select("v", F.when(closer, F.col("nd")).otherwise(F.col("d")).alias("d"), closer.alias("fell")), "distances")
+    return dist.select("v", "d")
+
+
+def transitive_closure(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """All reachable (src, dst) pairs, of the vertices in ``sources(src)`` if given.
+
+    Each round extends only the pairs found in the round before, until none is
+    new. The output has a row per reachable pair: state the sources where
+    the graph is not shallow.
+    """
+    step = fixed(edges.select("src", "dst").distinct(), "edges")
+    onward = step.select(F.col("src").alias("mid"), F.col("dst").alias("next"))
+    new = fixed(step if sources is None else step.join(sources.select("src").distinct(), "src", "left_semi"), "pairs")
+    known = new
+    while not new.isEmpty():
+        longer = new.join(onward, new.dst == onward.mid).select("src", F.col("next").alias("dst")).distinct()
+        new = fixed(longer.join(known, ["src", "dst"], "left_anti"), "pairs")
+        known = known.unionByName(new)
+    return known
 
 
 def degrees(edges: DataFrame) -> DataFrame:

@@ -8,11 +8,13 @@ bench) do we pick a folder ourselves.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -58,9 +60,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
+    elif sc.master.split("[")[0] == "local":
+        # Unset: tests and local runs only; the folder goes when the process ends.
+        own = tempfile.mkdtemp(prefix="dataloom-ckpt-", dir="/tmp")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
     else:
-        # Unset: tests and local runs only. A cluster always names a shared folder.
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="dataloom-ckpt-", dir="/tmp"))
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return sc.getCheckpointDir()
 
 
@@ -70,13 +76,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/dataloom-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def fixed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new table in the shared scratch folder and read back: fixed rows, no lineage."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the given test tables."""
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -86,7 +99,7 @@ def ship_package(spark: SparkSession) -> None:
     and added with ``addPyFile``; Spark distributes it to every executor.
     """
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     import zipfile
