@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dataloom.operators.joins import checked_broadcast
+from dataloom.session import fixed
 
 UNKNOWN = "unknown"
 
@@ -23,17 +24,19 @@ def group_bag(df: DataFrame, keys: Sequence[str], max_bag: int = 10_000, bag: st
     """GROUP df BY keys: rows (keys..., part, n_parts, bag) with |bag| <= ~max_bag.
 
     The number of chunks of a key comes from its exact count (a partial
-    aggregate); rows are spread over chunks by a hash of the row and its id.
+    aggregate); rows are spread over chunks by a hash of a row id, which is
+    written with the rows first, so a retried task sees the same ids.
     Null keys form one group, as in a single-input GROUP.
     """
     keys = list(keys)
     cols = [c for c in df.columns]
+    df = fixed(df.withColumn("__id", F.monotonically_increasing_id()), "rows")
     counts = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.count("*").alias("__n"))
     counts = counts.withColumn("n_parts", F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_bag))).cast("int"))
     # null-safe join back so the null-key group keeps its rows
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
-    j = df.join(counts, cond, "inner").select(*cols, "n_parts")
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.monotonically_increasing_id()), F.col("n_parts"))
+    j = df.join(counts, cond, "inner").select(*cols, "__id", "n_parts")
+    part = F.pmod(F.xxhash64("__id"), F.col("n_parts"))
     return (
         j.withColumn("part", part.cast("int"))
         .groupBy(*keys, "part", "n_parts")
@@ -95,7 +98,7 @@ def salted_sum_count_max(df: DataFrame, keys: Sequence[str], value: str, salts:
     Built-in algebraic aggregates already combine map-side; the explicit salt
     additionally spreads the final merge of one hot key over ``salts`` tasks.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns], F.monotonically_increasing_id()), F.lit(salts))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts))
     part = df.withColumn("__salt", salt).groupBy(*keys, "__salt").agg(
         F.sum(value).alias("__s"), F.count(value).alias("__c"), F.max(value).alias("__m")
     )

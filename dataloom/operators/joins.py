@@ -14,24 +14,26 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Row bound under which a side may be shipped to every executor. At ~100 bytes
-# a row this is a few hundred MB at most; AQE can still pick broadcast on its
-# own from runtime sizes when a side turns out small.
-BROADCAST_MAX_ROWS = 2_000_000
+from dataloom.session import fixed
 
+# Size below which a side may be shipped to every executor, by the optimizer's
+# estimate of its bytes. AQE can still broadcast on its own from runtime sizes.
+BROADCAST_MAX_BYTES = 64 << 20
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` stops reading once the bound is passed, so
-    the check costs at most one bounded scan of the candidate side.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the bytes of ``df``: an upper bound from file sizes and column widths; runs no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
 
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when the plan's own statistics put ``df`` at no more than ``max_bytes``."""
+    return plan_bytes(df) <= max_bytes
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` when it fits, else ``df`` unchanged (the join shuffles, or AQE finds it small)."""
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
 def _cond(left: DataFrame, right: DataFrame, lkeys: Sequence[str], rkeys: Sequence[str]) -> Column:
@@ -45,7 +47,7 @@ def join(
     rkeys: Sequence[str] | None = None,
     how: str = "inner",
     strategy: str = "hash",
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    max_broadcast_bytes: int = BROADCAST_MAX_BYTES,
 ) -> DataFrame:
     """JOIN a BY lkeys, b BY rkeys [LEFT|RIGHT|FULL] USING strategy.
 
@@ -58,7 +60,7 @@ def join(
     if strategy == "replicated":
         if how not in ("inner", "left", "left_outer"):
             raise ValueError("replicated join supports inner and left outer")
-        right = checked_broadcast(right, max_broadcast_rows)
+        right = checked_broadcast(right, max_broadcast_bytes)
     elif strategy == "merge":
         right = right.hint("merge")
     elif strategy == "skewed":
@@ -89,24 +91,33 @@ def salted_join(
 ) -> DataFrame:
     """Skewed join: hot keys of ``big`` are spread over ``salts`` tasks.
 
-    Hot keys are found by exact counting (an aggregate, partial on the map
-    side), not by sampling. Only rows of hot keys are salted; the other side's
-    matching rows are replicated ``salts`` times for hot keys only, so the
-    extra volume is bounded by ``salts`` times the hot part of ``other``.
+    Hot keys are found by exact counting (one aggregate, partial on the map
+    side), not by sampling; at most ``1 / hot_fraction`` keys can be hot, so
+    their list is small. Rows of hot keys are salted by a hash of the row, which
+    a retried task reproduces; the other side's matching rows are replicated
+    ``salts`` times for hot keys only. Null keys match nothing and are spread
+    over the salts too. In right and full joins the rows of ``other`` without a
+    match are found by an anti join on the plain key, so a replicated row is
+    never counted as unmatched.
     """
-    total = big.count()
-    threshold = max(1, int(total * hot_fraction))
-    hot = (
-        big.groupBy(*lkeys).count().filter(F.col("count") >= threshold).drop("count")
-        .withColumn("__hot", F.lit(True))
-    )
-    hot = checked_broadcast(hot)
+    how = {"leftouter": "left", "rightouter": "right", "outer": "full", "fullouter": "full", "semi": "left_semi", "leftsemi": "left_semi",
+           "anti": "left_anti", "leftanti": "left_anti"}.get(how.replace("_", ""), how)
+    if how in ("right", "full"):
+        kept = salted_join(big, other, lkeys, rkeys, "left" if how == "full" else "inner", salts, hot_fraction)
+        alone = other.join(big.select(*[F.col(k).alias(f"__b{i}") for i, k in enumerate(lkeys)]),
+                           reduce(lambda a, b: a & b, [other[r] == F.col(f"__b{i}") for i, r in enumerate(rkeys)]), "left_anti")
+        names = [F.lit(None).cast(f.dataType).alias(f.name) for f in big.schema.fields] + [alone[c] for c in alone.columns]
+        return kept.union(alone.select(*names))
+    counts = fixed(big.groupBy(*lkeys).count(), "key-counts")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    hot = counts.where(F.col("count") >= max(1, int(total * hot_fraction))).select(*lkeys, F.lit(True).alias("__hot"))
+    hot = F.broadcast(hot)  # at most 1 / hot_fraction rows
     rhot = hot.select(*[F.col(lk).alias(rk) for lk, rk in zip(lkeys, rkeys)], "__hot")
-    b = (
-        big.join(hot, lkeys, "left")
-        .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(F.rand(7)), F.lit(salts))).otherwise(F.lit(0)))
-        .drop("__hot")
-    )
+    hashable = [f.name for f in big.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    salt = F.pmod(F.xxhash64(*hashable), F.lit(salts))
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in lkeys])
+    b = big.join(hot, lkeys, "left").withColumn("__salt", F.when(F.col("__hot") | no_key, salt).otherwise(F.lit(0))).drop("__hot")
+    b = b.select(*big.columns, "__salt")
     o = (
         other.join(rhot, rkeys, "left")
         .withColumn(
@@ -114,9 +125,10 @@ def salted_join(
             F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
         )
         .drop("__hot")
-    )
+    ).select(*other.columns, "__salt")
     cond = _cond(b, o, lkeys, rkeys) & (b["__salt"] == o["__salt"])
-    return b.join(o, cond, how).drop(b["__salt"]).drop(o["__salt"])
+    out = b.join(o, cond, how)
+    return out.drop("__salt") if how in ("left_semi", "left_anti") else out.drop(b["__salt"]).drop(o["__salt"])
 
 
 def bloom_join(
@@ -125,17 +137,23 @@ def bloom_join(
     lkeys: list[str],
     rkeys: list[str],
     how: str = "inner",
-    bits: int = 1 << 20,
+    bits: int | None = None,
 ) -> DataFrame:
     """Bloom-style join: a bitmap of hashed right keys filters ``left`` before
     the shuffle; the exact join follows, so no false positive survives.
 
-    The bitmap is built with ``bitmap_construct_agg`` over hash buckets, a
-    fixed-size aggregate (``bits`` / 8 bytes) that merges partially on the map
-    side; its size does not grow with the data.
+    The bitmap is built with ``bitmap_construct_agg`` over hash buckets, an
+    aggregate of ``bits`` / 8 bytes that merges partially on the map side. By
+    default it has about 16 bits per right row, from 2^20 up to 2^27 bits
+    (16 MB); more right rows than it can tell apart (2^26) are joined unfiltered.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError("bloom join filters the probe side: inner or left_semi")
+    if bits is None:
+        n = right.select(*rkeys).count()
+        if n > 1 << 26:
+            return left.join(right, _cond(left, right, lkeys, rkeys), how)
+        bits = min(1 << 27, max(1 << 20, 1 << (16 * max(1, n) - 1).bit_length()))
     lh = F.pmod(F.xxhash64(*[F.col(k) for k in lkeys]), F.lit(bits))
     rh = F.pmod(F.xxhash64(*[F.col(k) for k in rkeys]), F.lit(bits))
     # bitmap functions work on 32768-bit chunks: bucket id + bit position
@@ -260,6 +278,10 @@ def asof_join(
         R = R.withColumn("__bk", F.explode(F.array(F.floor(F.col("__t") / width), F.floor(F.col("__t") / width) + shift)))
         part = part + ["__bk"]
     lcols_all = L.columns
+    # null keys match nothing: such left rows stay out of the windows
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*by, on]])
+    unmatched = L.filter(~known)
+    L, R = L.filter(known), R.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*by, "__t"]]))
     u = L.withColumn("__rec", F.lit(None).cast(R.schema["__rec"].dataType)).unionByName(R, allowMissingColumns=True)
     # exact matches: right rows sort before (backward) / after (forward) left rows
     # of the same ``on`` value when allowed
@@ -287,6 +309,7 @@ def asof_join(
     if tolerance is not None:
         out = out.withColumn("__m", F.when(F.abs(F.col("__t") - F.col("__m.__r_on")) <= F.lit(float(tolerance)), F.col("__m")))
     keep = [c for c in lcols_all if not c.startswith("__") or c == "__lid"]
+    out = out.select(*keep, "__t", "__m").unionByName(unmatched.select(*keep, "__t", F.lit(None).cast(out.schema["__m"].dataType).alias("__m")))
     extra = [F.col("__m.__r_on").alias(f"{right_prefix}__on")] if right_prefix.startswith("__") else []
     return out.select(*keep, *[F.col(f"__m.__r_{c}").alias(f"{right_prefix}{c}") for c in rcols], *extra)
 

@@ -39,10 +39,10 @@ def row_index(df: DataFrame, out: str = "row_index", start: int = 0) -> DataFram
     """Consecutive index in the current partition order (``zipWithIndex``).
 
     Uses ``monotonically_increasing_id`` (partition id in the upper bits) and
-    per-partition offsets; the partition-count table is broadcast.
+    per-partition offsets; the partition-count table is broadcast. The ids are
+    checkpointed once, so both branches and a retried task see the same order.
     """
-    mid = F.monotonically_increasing_id()
-    tagged = df.withColumn("__mid", mid).withColumn("__pid", F.shiftright(F.col("__mid"), 33))
+    tagged = _materialize(df.withColumn("__mid", F.monotonically_increasing_id())).withColumn("__pid", F.shiftright(F.col("__mid"), 33))
     counts = tagged.groupBy("__pid").agg(F.count("*").alias("__n"), F.min("__mid").alias("__first"))
     offs = F.broadcast(_offsets(counts, "__pid", "__n"))
     return (

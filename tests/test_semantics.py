@@ -185,8 +185,8 @@ def test_row_index_consecutive(spark):
 
 
 def test_fits_broadcast_bound(spark):
-    assert J.fits_broadcast(spark.range(10), 10)
-    assert not J.fits_broadcast(spark.range(11), 10)
+    assert J.fits_broadcast(spark.range(10), 80)
+    assert not J.fits_broadcast(spark.range(11), 80)
 
 
 def test_running_agg_matches_window_with_hot_key(spark):
@@ -299,3 +299,68 @@ def test_log_query_stats_rejects_to_null_key(spark):
     df = spark.createDataFrame([(ok,), (dash,), (junk,)], "value string")
     got = sorted(one(log_query_stats(df)), key=repr)
     assert got == sorted([("10.0.0.1", "bob", "GET /a HTTP/1.1", 2, 512), (None, None, None, 1, 0)], key=repr)
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_salted_join_modes_match_the_plain_join(spark):
+    left = spark.createDataFrame([("hot", i) for i in range(300)] + [("a", 1), ("b", 2), (None, 3), (None, 4), ("lone", 5)], "k string, v long")
+    right = spark.createDataFrame([("hot", 10), ("hot", 11), ("a", 12), ("none", 13), (None, 14)], "rk string, w long")
+    for how in ("inner", "left", "right", "full", "left_semi", "left_anti"):
+        plain = left.join(right, left.k == right.rk, how)
+        salted = J.join(left, right, ["k"], ["rk"], how=how, strategy="skewed")
+        assert salted.columns == plain.columns and _rows(salted) == _rows(plain), how
+
+
+def test_broadcast_check_runs_no_job_and_falls_back(spark):
+    df = spark.range(1 << 24)
+    assert J.checked_broadcast(df, 1 << 20) is df
+    assert "BroadcastExchange" in spark.range(5).join(J.checked_broadcast(spark.range(10)), "id")._jdf.queryExecution().toString()
+
+
+def test_bloom_join_sizes_its_bitmap(spark):
+    left, right = spark.range(5000).withColumnRenamed("id", "k"), spark.range(0, 5000, 7).withColumnRenamed("id", "rk")
+    for bits in (None, 1 << 20):
+        assert J.bloom_join(left, right, ["k"], ["rk"], bits=bits).count() == right.count()
+
+
+def test_asof_null_keys_match_nothing(spark):
+    left = spark.createDataFrame([("a", 5.0), (None, 5.0), ("a", None)], "k string, t double")
+    right = spark.createDataFrame([("a", 1.0, "x"), (None, 1.0, "nullrow")], "k string, t double, w string")
+    got = {(r.k, r.t): r.w for r in J.asof_join(left, right, "t", ["k"]).collect()}
+    assert got == {("a", 5.0): "x", (None, 5.0): None, ("a", None): None}
+
+
+def test_graph_loops_run_to_the_end(spark):
+    from dataloom.graphs import iterative as GI
+
+    path = spark.createDataFrame([(i, i + 1, 1.0) for i in range(500)] + [(900, 900, 1.0)], "src long, dst long, w double")
+    labels = {r.v: r.label for r in GI.connected_components(path).collect()}
+    assert labels == {**{i: 0 for i in range(501)}, 900: 900}
+    short = path.where("src < 60")
+    assert {r.v: r.d for r in GI.sssp(short, 0).collect()} == {i: float(i) for i in range(61)}
+    assert GI.transitive_closure(short.where("src < 20")).count() == 21 * 20 // 2
+    from_two = GI.transitive_closure(short.where("src < 20"), spark.createDataFrame([(2,)], "src long"))
+    assert sorted(r.dst for r in from_two.collect()) == list(range(3, 21))
+
+
+def test_pagerank_rounds_do_not_shuffle_the_links(spark):
+    from dataloom.graphs import iterative as GI
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plans = []
+    real = GI.fixed
+    GI.fixed = lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df, name)
+    try:
+        GI.pagerank(spark.createDataFrame([(i % 50, i % 49) for i in range(500)], "src long, dst long"), 2)
+    finally:
+        GI.fixed = real
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    for p in plans[1:]:
+        lines = p.splitlines()
+        at = next(i for i, x in enumerate(lines) if "Bucketed: true" in x)
+        join = max(i for i, x in enumerate(lines[:at]) if "SortMergeJoin" in x)
+        assert not any("Exchange" in x for x in lines[join:at]), p
