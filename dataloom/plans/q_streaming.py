@@ -10,11 +10,12 @@ from dataloom.session import scratch_path, table
 from dataloom.streaming import streams as S
 
 
-def _events_stream(spark, sf, files=8, per_trigger=2):
+def _events_stream(spark, sf, slices=4):
+    """The events as a stream of ``slices`` arrivals in time order, one arrival a trigger."""
     e = table(spark, sf, "events")
     src = scratch_path(spark, "st-src")
-    S.stage_files(e, src, files, "ts")
-    return S.file_stream(spark, src, e.schema, files_per_trigger=per_trigger)
+    files = S.stage_files(e, src, slices, "ts")
+    return S.file_stream(spark, src, e.schema, files_per_trigger=files)
 
 
 def _paths(spark, name):
@@ -136,22 +137,42 @@ def st_session(spark, sf):
     return spark.read.parquet(sink)
 
 
-@query("st_watermark_late")
+@query(
+    "st_watermark_late",
+    """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, COUNT(*) AS n
+       FROM events GROUP BY 1, 2
+       HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE""",
+)
 def st_watermark_late(spark, sf):
-    """Watermark 10 minutes; append mode emits only windows the watermark closed."""
-    s = _events_stream(spark, sf, files=10, per_trigger=1).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "10 minutes")
+    """Watermark 10 minutes, append mode: only closed windows come out, and late rows count in none.
+
+    The events arrive in four slices in time order, then those of the first two
+    slices once more. A batch drops what is behind the watermark of the batch
+    before it, which has passed the third slice: all of these are late.
+    """
+    e = table(spark, sf, "events")
+    src = scratch_path(spark, "st-src")
+    files = S.stage_files(e, src, 4, "ts")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    middle = e.agg(F.percentile_approx(at, 0.5)).first()[0]
+    S.stage_files(e.where(at <= F.lit(middle)), src, 1)
+    s = S.file_stream(spark, src, e.schema, files_per_trigger=files).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "10 minutes")
     agg = S.window_counts(s, "ts", "1 hour", None, [], [F.count("*").alias("n")])
     sink, ck = _paths(spark, "st-wm")
     S.run_append(agg, sink, ck)
     return spark.read.parquet(sink)
 
 
-@query("st_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+@query("st_dedup", "SELECT event_id, user_id, event_type FROM events")
 def st_dedup(spark, sf):
-    """Drop duplicates (user, event type) within the watermark (longer than the data span)."""
-    s = _events_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "365 days").dropDuplicatesWithinWatermark(["user_id", "event_type"])
+    """Every event arrives twice within its slice; within a watermark of two hours one of each passes."""
+    e = table(spark, sf, "events")
+    src = scratch_path(spark, "st-src")
+    files = S.stage_files(e.unionByName(e), src, 4, "ts")
+    s = S.file_stream(spark, src, e.schema, files_per_trigger=files).withColumn("ts", F.col("ts").cast("timestamp"))
+    s = s.withWatermark("ts", "2 hours").dropDuplicatesWithinWatermark(["event_id"])
     sink, ck = _paths(spark, "st-dedup")
-    S.run_append(s.select("user_id", "event_type"), sink, ck)
+    S.run_append(s.select("event_id", "user_id", "event_type"), sink, ck)
     return spark.read.parquet(sink)
 
 
@@ -192,11 +213,15 @@ def st_reduce_window(spark, sf):
 )
 def st_stream_stream_join(spark, sf):
     """Views joined to clicks of the same user within the next hour; both
-    sides watermarked so join state is bounded."""
-    views = _events_stream(spark, sf).filter(F.col("event_type") == "view").select(
-        F.col("event_id").alias("view_id"), F.col("user_id").alias("vu"), F.col("ts").cast("timestamp").alias("vts")).withWatermark("vts", "40 days")
-    clicks = _events_stream(spark, sf).filter(F.col("event_type") == "click").select(
-        F.col("event_id").alias("click_id"), F.col("user_id").alias("cu"), F.col("ts").cast("timestamp").alias("cts")).withWatermark("cts", "40 days")
+    sides watermarked by two hours, so join state is bounded."""
+    e = table(spark, sf, "events")
+    src = scratch_path(spark, "st-src")
+    files = S.stage_files(e, src, 4, "ts")
+    stream = lambda kind: S.file_stream(spark, src, e.schema, files_per_trigger=files).filter(F.col("event_type") == kind)
+    views = stream("view").select(
+        F.col("event_id").alias("view_id"), F.col("user_id").alias("vu"), F.col("ts").cast("timestamp").alias("vts")).withWatermark("vts", "2 hours")
+    clicks = stream("click").select(
+        F.col("event_id").alias("click_id"), F.col("user_id").alias("cu"), F.col("ts").cast("timestamp").alias("cts")).withWatermark("cts", "2 hours")
     j = views.join(clicks, F.expr("vu = cu AND cts >= vts AND cts <= vts + INTERVAL 1 HOUR"))
     sink, ck = _paths(spark, "st-join")
     S.run_append(j.select("view_id", "click_id"), sink, ck)
@@ -251,41 +276,50 @@ def st_recovery(spark, sf):
     return spark.read.parquet(sink)
 
 
-def clickstream_metrics(ev, known_users):
-    """Five page-view metrics (event type = page, user_id % 10 = zip code):
-    views per page per hour, sliding 2 h views, error rate per zip per 30 min,
-    active users per 15 min, known users seen per hour."""
+def clickstream_metrics(ev, known_users) -> dict:
+    """Five page-view metrics (event type = page, user_id % 10 = zip code), each (window_start, key, value):
+    views per page in 30 s, views per page in the last 30 s every 15 s, error rate per zip in 30 s,
+    active users in 15 s, known users in 30 s. ``ev`` is a table or a watermarked stream."""
     pv = ev.withColumn("zip", (F.col("user_id") % 10).cast("string"))
-    m1 = S.window_counts(pv, "ts", "1 hour", None, ["event_type"], [F.count("*").cast("double").alias("value")]).select(
-        F.lit("views_per_page").alias("metric"), "window_start", F.col("event_type").alias("key"), "value")
-    m2 = S.window_counts(pv, "ts", "2 hours", "1 hour", ["event_type"], [F.count("*").cast("double").alias("value")]).select(
-        F.lit("sliding_views").alias("metric"), "window_start", F.col("event_type").alias("key"), "value")
-    m3 = S.window_counts(pv, "ts", "30 minutes", None, ["zip"], [F.round(F.avg((F.col("event_type") == "error").cast("double")), 6).alias("value")]).select(
-        F.lit("error_rate").alias("metric"), "window_start", F.col("zip").alias("key"), "value")
-    m4 = S.window_counts(pv, "ts", "15 minutes", None, [], [F.count_distinct("user_id").cast("double").alias("value")]).select(
-        F.lit("active_users").alias("metric"), "window_start", F.lit("all").alias("key"), "value")
+    count = F.count("*").cast("double").alias("value")
+    error = F.avg((F.col("event_type") == "error").cast("double"))
+    keyed = lambda df, key: df.select("window_start", F.col(key).alias("key"), "value")
+    whole = lambda df: df.select("window_start", F.lit("all").alias("key"), "value")
     known = pv.join(known_users, pv.user_id == known_users.c_custkey, "left_semi")
-    m5 = S.window_counts(known, "ts", "1 hour", None, [], [F.count_distinct("user_id").cast("double").alias("value")]).select(
-        F.lit("known_users").alias("metric"), "window_start", F.lit("all").alias("key"), "value")
-    return m1.unionByName(m2).unionByName(m3).unionByName(m4).unionByName(m5)
+    return {
+        "views_per_page": keyed(S.window_counts(pv, "ts", "30 seconds", None, ["event_type"], [count]), "event_type"),
+        "sliding_views": keyed(S.window_counts(pv, "ts", "30 seconds", "15 seconds", ["event_type"], [count]), "event_type"),
+        "error_rate": keyed(S.window_counts(pv, "ts", "30 seconds", None, ["zip"], [F.round(error, 6).alias("value")]), "zip"),
+        "active_users": whole(S.distinct_users(pv, "ts", "15 seconds")),
+        "known_users": whole(S.distinct_users(known, "ts", "30 seconds")),
+    }
 
 
 @query(
     "st_clickstream_metrics",
-    """SELECT 'views_per_page' AS metric, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type AS "key", CAST(COUNT(*) AS DOUBLE) AS value FROM events GROUP BY 2, 3
-       UNION ALL SELECT 'sliding_views', ws, event_type, CAST(COUNT(*) AS DOUBLE) FROM (
-           SELECT time_bucket(INTERVAL 1 HOUR, ts) AS ws, event_type FROM events
-           UNION ALL SELECT time_bucket(INTERVAL 1 HOUR, ts) - INTERVAL 1 HOUR, event_type FROM events) GROUP BY 2, 3
-       UNION ALL SELECT 'error_rate', time_bucket(INTERVAL 30 MINUTE, ts), CAST(user_id % 10 AS VARCHAR),
-                 round(AVG(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6) FROM events GROUP BY 2, 3
-       UNION ALL SELECT 'active_users', time_bucket(INTERVAL 15 MINUTE, ts), 'all', CAST(COUNT(DISTINCT user_id) AS DOUBLE) FROM events GROUP BY 2
-       UNION ALL SELECT 'known_users', time_bucket(INTERVAL 1 HOUR, ts), 'all', CAST(COUNT(DISTINCT user_id) AS DOUBLE)
-                 FROM events WHERE user_id IN (SELECT c_custkey FROM customer) GROUP BY 2""",
+    """WITH last AS (SELECT max(ts) - INTERVAL 1 MINUTE AS w FROM events),
+       m AS (
+       SELECT 'views_per_page' AS metric, time_bucket(INTERVAL 30 SECOND, ts) AS window_start, 30 AS span, event_type AS "key", CAST(COUNT(*) AS DOUBLE) AS value FROM events GROUP BY 2, 4
+       UNION ALL SELECT 'sliding_views', ws, 30, event_type, CAST(COUNT(*) AS DOUBLE) FROM (
+           SELECT time_bucket(INTERVAL 15 SECOND, ts) AS ws, event_type FROM events
+           UNION ALL SELECT time_bucket(INTERVAL 15 SECOND, ts) - INTERVAL 15 SECOND, event_type FROM events) GROUP BY 2, 4
+       UNION ALL SELECT 'error_rate', time_bucket(INTERVAL 30 SECOND, ts), 30, CAST(user_id % 10 AS VARCHAR),
+                 round(AVG(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6) FROM events GROUP BY 2, 4
+       UNION ALL SELECT 'active_users', time_bucket(INTERVAL 15 SECOND, ts), 15, 'all', CAST(COUNT(DISTINCT user_id) AS DOUBLE) FROM events GROUP BY 2
+       UNION ALL SELECT 'known_users', time_bucket(INTERVAL 30 SECOND, ts), 30, 'all', CAST(COUNT(DISTINCT user_id) AS DOUBLE)
+                 FROM events WHERE user_id IN (SELECT c_custkey FROM customer) GROUP BY 2)
+       SELECT metric, window_start, "key", value FROM m, last WHERE window_start + to_seconds(span) <= w""",
 )
 def st_clickstream_metrics(spark, sf):
-    """The five click-stream metrics; the same function runs on a stream
-    (with ``approx_count_distinct``) or, as here, on the table."""
-    return clickstream_metrics(table(spark, sf, "events"), table(spark, sf, "customer").select("c_custkey"))
+    """The five click-stream metrics on a stream with a watermark of one minute; closed windows only."""
+    stream = _events_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 minute")
+    out = None
+    for name, metric in clickstream_metrics(stream, table(spark, sf, "customer").select("c_custkey")).items():
+        sink, ck = _paths(spark, name.replace("_", "-"))
+        S.run_append(metric, sink, ck)
+        got = spark.read.parquet(sink).select(F.lit(name).alias("metric"), "window_start", "key", "value")
+        out = got if out is None else out.unionByName(got)
+    return out
 
 
 @query("st_streaming_kmeans")

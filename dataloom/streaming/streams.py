@@ -9,19 +9,43 @@ restarted query resumes without loss or duplicates.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-
-def stage_files(df: DataFrame, path: str, n_files: int, order_col: str | None = None, fmt: str = "parquet", mode: str = "append") -> None:
-    """Write ``df`` as about ``n_files`` files into one folder (time-ranged when
-    ``order_col`` is given), the shape in which a file stream receives data."""
-    out = df.repartitionByRange(n_files, order_col) if order_col else df.repartition(n_files)
-    out.write.mode(mode).format(fmt).save(path)
+from dataloom.operators.joins import plan_bytes
+
+
+def stage_files(df: DataFrame, path: str, slices: int, order_col: str | None = None, fmt: str = "parquet", file_bytes: int = 128 << 20) -> int:
+    """Write ``df`` as ``slices`` arrivals into one folder and return the number of files of an arrival.
+
+    With ``order_col`` the slices are ranges of it, committed one after the
+    other, so the file source (which goes by modification time) sees them in
+    that order and a watermark never passes rows that are still to come. A
+    slice has as many files as its estimated size asks for.
+    """
+    files = max(1, math.ceil(plan_bytes(df) / slices / file_bytes))
+    if order_col is None:
+        df.repartition(slices * files).write.mode("append").format(fmt).save(path)
+        return files
+    at = F.col(order_col)
+    if "timestamp" in dict(df.dtypes)[order_col]:
+        at = F.unix_micros(at.cast("timestamp"))
+    inner = [i / slices for i in range(1, slices)]
+    cuts = sorted(set(df.select(at.alias("at")).agg(F.percentile_approx("at", inner, 100_000)).first()[0] or [])) if inner else []
+    for i in range(len(cuts) + 1):
+        part = df
+        if i > 0:
+            part = part.where(at > F.lit(cuts[i - 1]))
+        if i < len(cuts):
+            part = part.where((at <= F.lit(cuts[i])) | at.isNull() if i == 0 else at <= F.lit(cuts[i]))
+        part.repartition(files).write.mode("append").format(fmt).save(path)
+    return files
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int = 2) -> DataFrame:
@@ -62,19 +86,15 @@ def window_counts(df: DataFrame, ts: str, size: str, slide: str | None, keys: Se
         *keys, *measures)
 
 
-def sessions_batch(df: DataFrame, key: str, ts: str, gap_seconds: int) -> DataFrame:
-    """Batch sessionization: a new session when the gap to the previous event
-    of the key reaches ``gap_seconds``; session id by cumulative sum."""
-    from pyspark.sql import Window
+def distinct_users(df: DataFrame, ts: str, size: str, user: str = "user_id") -> DataFrame:
+    """(window_start, value): different users per window, exact, on a stream or a table.
 
-    w = Window.partitionBy(key).orderBy(ts)
-    t = F.unix_micros(F.col(ts).cast("timestamp"))
-    prev = F.lag(t).over(w)
-    new = F.when(prev.isNull() | (t - prev >= gap_seconds * 1_000_000), 1).otherwise(0)
-    s = df.withColumn("__new", new).withColumn("__sid", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return s.groupBy(key, "__sid").agg(
-        F.min(ts).alias("session_start"), (F.max(ts) + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("session_end"),
-        F.count("*").alias("n")).drop("__sid")
+    Counted in two chained aggregates, (window, user) and then window, since a
+    stream allows no distinct count; both states close with the watermark.
+    """
+    per_user = df.groupBy(F.window(ts, size).alias("w"), user).agg(F.count("*").alias("n"))
+    out = per_user.groupBy(F.window(F.window_time("w"), size).alias("w")).agg(F.count("*").alias("value"))
+    return out.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), F.col("value").cast("double").alias("value"))
 
 
 def running_totals(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -103,8 +123,10 @@ def load_state(spark: SparkSession, path: str, before: int | None = None):
     """Rows of the latest saved state (optionally of a batch before ``before``), or None."""
     try:
         df = spark.read.parquet(path)
-    except Exception:  # nothing saved yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":  # nothing saved yet
+            return None
+        raise
     if before is not None:
         df = df.filter(F.col("batch") < before)
     last = df.agg(F.max("batch")).first()[0]
