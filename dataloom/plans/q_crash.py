@@ -11,14 +11,13 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml import classification as C
 from pyspark.ml import feature as MF
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from dataloom.functions.strings import keyword_label, yes_no
+from dataloom.functions.strings import keyword_label
 from dataloom.learn import crash as CR
 from dataloom.plans.q_functions import MIXED_TIME_SPARK
 from dataloom.plans.registry import query
-from dataloom.session import scratch_path, table
+from dataloom.session import fixed, scratch_path, table
 
 _FLAGS = ["COLLISION ON PRIVATE PROPERTY", "PEDESTRIAN INVOLVED", "ALCOHOL INVOLVED", "DRUG INVOLVED", "SEATBELT USED",
           "MOTORCYCLE INVOLVED", "WORK ZONE"]
@@ -120,17 +119,7 @@ def job_accident_clean(spark, sf):
 )
 def fn_weighted_risk_score(spark, sf):
     """Score = 10 x label + weighted flags (+ missing-belt penalty); any null flag gives a null score."""
-    raw = CR.normalize_columns(crash_raw(spark, sf))
-    from dataloom.functions.dates import parse_first
-    from dataloom.operators.project import coordinates, valid_coordinates
-
-    lat, lon = coordinates(F.col("latitude"), F.col("longitude"), F.col("the_geom"))
-    df = raw.withColumn("crash_ts", parse_first(F.col("crash_datetime"), CR.TIME_FORMATS)).withColumn("latitude", lat).withColumn("longitude", lon)
-    df = df.filter(valid_coordinates(F.col("latitude"), F.col("longitude")))
-    for b in _FLAG_COLS:
-        df = df.withColumn(f"{b}_bin", yes_no(F.col(b)))
-    df = df.withColumn("severity_label", keyword_label(F.col("crash_classification_description"), CR.SEVERITY_RULES, 0))
-    return CR.risk_score(df).select("crash_ts", "latitude", "longitude", "severity_label", "risk_score")
+    return CR.scored(crash_raw(spark, sf)).select(F.col("timestamp").alias("crash_ts"), "latitude", "longitude", "severity_label", "risk_score")
 
 
 @query(
@@ -161,17 +150,15 @@ def mod_train_compare_job(spark, sf):
     """Clean -> split 80/20 (seed 42) -> random forest and logistic regression
     -> F1 / accuracy -> models and metrics saved to the shared folder.
     (The season string is indexed, not fed to the assembler as a number.)"""
-    data = CR.clean(crash_raw(spark, sf)).withColumn("label", F.col("severity_label"))
+    data = fixed(CR.clean(crash_raw(spark, sf)).withColumn("label", F.col("severity_label")), "crash-cleaned")
     train, test = data.randomSplit([0.8, 0.2], seed=42)
     rows = []
-    for name, est in (("random_forest", C.RandomForestClassifier(numTrees=20, maxDepth=6, seed=42, labelCol="label")),
-                      ("logistic_regression", C.LogisticRegression(maxIter=20, labelCol="label"))):
+    for name, est in (("random_forest", C.RandomForestClassifier(numTrees=CR.FOREST_TREES, maxDepth=CR.FOREST_DEPTH, seed=42, labelCol="label")),
+                      ("logistic_regression", C.LogisticRegression(maxIter=CR.LOGISTIC_ROUNDS, labelCol="label"))):
         m = Pipeline(stages=_crash_pipeline_stages(est)).fit(train)
         m.write().overwrite().save(scratch_path(spark, f"crash-model-{name}"))
-        pred = m.transform(test)
-        f1 = MulticlassClassificationEvaluator(labelCol="label", metricName="f1").evaluate(pred)
-        acc = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy").evaluate(pred)
-        rows.append((name, float(f1), float(acc)))
+        got = CR.label_metrics(m.transform(test))
+        rows.append((name, got["f1"], got["accuracy"]))
     metrics = spark.createDataFrame(rows, "model string, f1 double, accuracy double")
     metrics.coalesce(1).write.mode("overwrite").json(scratch_path(spark, "crash-metrics"))
     return metrics
@@ -181,7 +168,8 @@ def mod_train_compare_job(spark, sf):
 def mod_batch_score(spark, sf):
     """Score a table with a saved pipeline (the reference's one-row web service
     re-aimed as a batch job): fit once, save, load, transform every row."""
-    data = CR.clean(crash_raw(spark, sf)).withColumn("label", F.col("severity_label"))
+    data = fixed(CR.clean(crash_raw(spark, sf)).withColumn("label", F.col("severity_label")), "crash-cleaned")
     path = scratch_path(spark, "crash-scorer")
-    Pipeline(stages=_crash_pipeline_stages(C.LogisticRegression(maxIter=10, labelCol="label"))).fit(data).write().overwrite().save(path)
+    forest = C.RandomForestClassifier(numTrees=CR.FOREST_TREES, maxDepth=CR.SCORER_DEPTH, seed=42, labelCol="label")
+    Pipeline(stages=_crash_pipeline_stages(forest)).fit(data).write().overwrite().save(path)
     return PipelineModel.load(path).transform(data).select("timestamp", "latitude", "longitude", "prediction")

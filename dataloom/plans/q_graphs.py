@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dataloom.graphs import iterative as GI
 from dataloom.plans.registry import query
-from dataloom.session import table
+from dataloom.session import fixed, table
 
 _SP_SQL = """sp AS (SELECT DISTINCT 's' || CAST(l_suppkey AS VARCHAR) AS src, 'p' || CAST(l_partkey AS VARCHAR) AS dst FROM lineitem),
 und AS (SELECT src, dst FROM sp UNION SELECT dst, src FROM sp)"""
@@ -129,13 +129,17 @@ def it_kmeans_manual(spark, sf):
     e = table(spark, sf, "embeddings").select("vec_id", "embedding")
     k, dim = 4, 64
     centres = [np.array(r[0], dtype=float) for r in e.orderBy("vec_id").limit(k).select("embedding").collect()]
-    for _ in range(5):
+    moved = 1.0
+    while moved > 1e-6:  # until the centres stand still: every step lowers the sum of squares, so it ends
         dist = [F.aggregate(F.zip_with("embedding", F.array(*[F.lit(float(x)) for x in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
                 for c in centres]
         assigned = e.withColumn("cl", F.array_position(F.array(*dist), F.array_min(F.array(*dist))) - 1)
         rows = assigned.groupBy("cl").agg(*[F.avg(F.col("embedding")[i]).alias(f"m{i}") for i in range(dim)]).collect()
+        moved = 0.0
         for r in rows:
-            centres[int(r["cl"])] = np.array([r[f"m{i}"] for i in range(dim)])
+            new = np.array([r[f"m{i}"] for i in range(dim)])
+            moved += float(((new - centres[int(r["cl"])]) ** 2).sum())
+            centres[int(r["cl"])] = new
     return assigned.select("vec_id", "cl")
 
 
@@ -176,11 +180,12 @@ def it_als_manual(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     ratings = li.join(o, li.l_orderkey == o.o_orderkey).groupBy(F.col("o_custkey").alias("u"), F.col("l_partkey").alias("i")).agg(
         F.avg("l_quantity").alias("r"))
+    ratings = fixed(ratings, "ratings")
     rank, lam = 4, 0.1
     init = lambda c: F.array(*[(F.abs(F.hash(F.col(c), F.lit(j))) % 1000) / 1000.0 for j in range(rank)])
     items = ratings.select(F.col("i").alias("id")).distinct().withColumn("f", init("id"))
     users = None
-    for _ in range(3):
+    for _ in range(5):
         for side, other_key, own_key in (("users", "i", "u"), ("items", "u", "i")):
             fac = items if side == "users" else users
             j = ratings.join(fac.withColumnRenamed("id", other_key), other_key)
@@ -189,7 +194,7 @@ def it_als_manual(spark, sf):
                 F.array(*[F.sum(outer[k]) for k in range(rank * rank)]).alias("ata"),
                 F.array(*[F.sum(F.col("r") * F.col("f")[k]) for k in range(rank)]).alias("atb"))
             solved = ne.mapInPandas(_solve(rank, lam), "id long, f array<double>")
-            solved = solved.checkpoint(eager=True)
+            solved = fixed(solved, side)
             if side == "users":
                 users = solved
             else:

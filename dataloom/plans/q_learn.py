@@ -2,7 +2,8 @@
 
 Statistics that a query can state exactly are computed as distributed
 aggregates (and checked against SQL); fitted models are checked by rows and
-by tests. Model fitting uses small iteration counts: the point is the plan.
+by tests. Iteration counts, tree counts and depths are those of the reference's
+examples.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
+from dataloom.operators import groups as G
 from dataloom.operators import order as O
 from dataloom.plans.fixtures import CUSTOMER_NULLS_SQL, customer_nulls, with_ctes
 from dataloom.plans.registry import query
@@ -256,7 +258,12 @@ def ml_word2vec(spark, sf):
     d = table(spark, sf, "documents").select("text")
     x = MF.RegexTokenizer(inputCol="text", outputCol="words", pattern="[^a-z]+", gaps=True).transform(d)
     m = MF.Word2Vec(vectorSize=8, minCount=5, maxIter=1, seed=42, inputCol="words", outputCol="vec").fit(x)
-    return m.getVectors().select("word", vector_to_array("vector").alias("vector"))
+    vectors = m.getVectors().select("word", vector_to_array("vector").alias("vector"), F.lit(None).cast("double").alias("similarity"))
+    word = vectors.agg(F.min("word")).first()[0]
+    if word is None:
+        return vectors
+    near = m.findSynonyms(word, 10)  # ten words: the feature
+    return vectors.unionByName(near.select(F.concat(F.lit(f"like {word}: "), "word").alias("word"), F.lit(None).cast("array<float>").alias("vector"), "similarity"))
 
 
 @query("ml_pca")
@@ -337,7 +344,7 @@ def mod_classify_tree(spark, sf):
     dt = C.DecisionTreeClassifier(maxDepth=5, labelCol="label", predictionCol="p_dt", probabilityCol="pr_dt", rawPredictionCol="r_dt").fit(tr)
     rf = C.RandomForestClassifier(numTrees=10, maxDepth=5, seed=42, labelCol="label", predictionCol="p_rf", probabilityCol="pr_rf",
                                   rawPredictionCol="r_rf").fit(tr)
-    gbt = C.GBTClassifier(maxIter=5, maxDepth=3, seed=42, labelCol="label", predictionCol="p_gbt").fit(tr)
+    gbt = C.GBTClassifier(maxIter=10, seed=42, labelCol="label", predictionCol="p_gbt").fit(tr)
     return gbt.transform(rf.transform(dt.transform(te))).select("l_orderkey", "l_linenumber", "p_dt", "p_rf", "p_gbt")
 
 
@@ -346,7 +353,7 @@ def mod_classify_other(spark, sf):
     """Naive Bayes, multilayer perceptron, factorisation machine, one-vs-rest."""
     tr, te = _split(spark, sf)
     nb = C.NaiveBayes(labelCol="label", predictionCol="p_nb", probabilityCol="pr_nb", rawPredictionCol="r_nb").fit(tr)
-    mlp = C.MultilayerPerceptronClassifier(layers=[4, 5, 2], maxIter=20, seed=42, labelCol="label", predictionCol="p_mlp",
+    mlp = C.MultilayerPerceptronClassifier(layers=[4, 5, 2], maxIter=100, seed=42, labelCol="label", predictionCol="p_mlp",
                                            probabilityCol="pr_mlp", rawPredictionCol="r_mlp").fit(tr)
     fm = C.FMClassifier(maxIter=10, seed=42, labelCol="label", predictionCol="p_fm", probabilityCol="pr_fm", rawPredictionCol="r_fm").fit(tr)
     idx = MF.StringIndexer(inputCol="l_returnflag", outputCol="flag_idx").fit(tr)
@@ -372,7 +379,7 @@ def mod_regress_tree(spark, sf):
     x = MF.VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(_lines(spark, sf))
     dt = R.DecisionTreeRegressor(maxDepth=5, labelCol="price_k", predictionCol="p_dt").fit(x)
     rf = R.RandomForestRegressor(numTrees=10, maxDepth=5, seed=42, labelCol="price_k", predictionCol="p_rf").fit(x)
-    gbt = R.GBTRegressor(maxIter=5, maxDepth=3, seed=42, labelCol="price_k", predictionCol="p_gbt").fit(x)
+    gbt = R.GBTRegressor(maxIter=10, seed=42, labelCol="price_k", predictionCol="p_gbt").fit(x)
     fm = R.FMRegressor(maxIter=10, seed=42, labelCol="price_k", predictionCol="p_fm").fit(x)
     return fm.transform(gbt.transform(rf.transform(dt.transform(x)))).select("l_orderkey", "l_linenumber", "p_dt", "p_rf", "p_gbt", "p_fm")
 
@@ -389,27 +396,30 @@ def mod_cluster(spark, sf):
                                                            F.array("c_km", "c_bk", "c_gm").alias("clusters"))
     d = table(spark, sf, "documents").select("doc_id", "text")
     x = MF.RegexTokenizer(inputCol="text", outputCol="w", pattern="[^a-z]+", gaps=True).transform(d)
-    x = MF.CountVectorizer(inputCol="w", outputCol="features", vocabSize=2000, minDF=2).fit(x).transform(x)
-    lda = K.LDA(k=3, maxIter=5, seed=42).fit(x)
+    # every word counts: hashed into a fixed number of places, no vocabulary on the driver
+    x = MF.HashingTF(inputCol="w", outputCol="features", numFeatures=1 << 16).transform(x)
+    lda = K.LDA(k=10, maxIter=10, seed=42).fit(x)
     b = lda.transform(x).select(F.col("doc_id").alias("id"), F.lit("doc").alias("kind"),
                                 F.transform(vector_to_array("topicDistribution"), lambda t: F.round(t * 100).cast("int")).alias("clusters"))
     li = table(spark, sf, "lineitem")
     g = li.select(F.col("l_suppkey").alias("src"), (F.col("l_partkey") + 1_000_000).alias("dst")).distinct().withColumn("weight", F.lit(1.0))
-    pic = K.PowerIterationClustering(k=2, maxIter=10, weightCol="weight").assignClusters(g)
+    pic = K.PowerIterationClustering(k=2, maxIter=20, weightCol="weight").assignClusters(g)
     c = pic.select(F.col("id"), F.lit("graph").alias("kind"), F.array("cluster").alias("clusters"))
     return a.unionByName(b).unionByName(c)
 
 
 @query("mod_recommend_als")
 def mod_recommend_als(spark, sf):
-    """ALS on customer x part quantities; top-3 parts per customer; unseen ids dropped (cold start)."""
+    """ALS on customer x part quantities; of the parts a customer has bought, the
+    three of highest predicted rating (candidates grow with the purchases, not
+    with customers x parts); unseen ids dropped (cold start)."""
     li = table(spark, sf, "lineitem")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     r = li.join(o, li.l_orderkey == o.o_orderkey).groupBy(F.col("o_custkey").alias("u"), F.col("l_partkey").alias("i")).agg(
         F.sum("l_quantity").cast("float").alias("r"))
-    m = ALS(rank=4, maxIter=3, regParam=0.1, userCol="u", itemCol="i", ratingCol="r", coldStartStrategy="drop", seed=42).fit(r)
-    recs = m.recommendForAllUsers(3)
-    return recs.select("u", F.explode("recommendations").alias("rec")).select("u", F.col("rec.i").alias("i"), F.col("rec.rating").alias("score"))
+    m = ALS(rank=4, maxIter=5, regParam=0.1, userCol="u", itemCol="i", ratingCol="r", coldStartStrategy="drop", seed=42).fit(r)
+    top = G.top_n(m.transform(r), ["u"], [F.desc("prediction"), F.col("i")], 3)
+    return top.select("u", "i", F.col("prediction").alias("score"))
 
 
 @query("mod_frequent_patterns")
@@ -419,26 +429,30 @@ def mod_frequent_patterns(spark, sf):
     li = table(spark, sf, "lineitem").withColumn("item", F.concat("l_returnflag", "l_linestatus", (F.col("l_quantity") / 10).cast("int").cast("string")))
     baskets = li.groupBy("l_orderkey").agg(F.collect_set("item").alias("items"))
     fp = FPGrowth(itemsCol="items", minSupport=0.05, minConfidence=0.2).fit(baskets)
-    sets = fp.freqItemsets.select(F.array_join(F.array_sort("items"), ",").alias("pattern"), F.col("freq"), F.lit("itemset").alias("kind"))
+    sets = fp.freqItemsets.select(F.array_join(F.array_sort("items"), ",").alias("pattern"), F.col("freq"), F.lit("itemset").alias("kind"), F.lit(None).cast("double").alias("confidence"))
+    side = lambda c: F.array_join(F.array_sort(c), ",")
+    rules = fp.associationRules.select(F.concat_ws(" => ", side("antecedent"), side("consequent")).alias("pattern"), F.lit(None).cast("long").alias("freq"),
+                                       F.lit("rule").alias("kind"), F.round("confidence", 8).alias("confidence"))
     seqs = li.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_returnflag"))),
                                                     lambda s: F.array(s["l_returnflag"])).alias("seq"))
-    ps = PrefixSpan(minSupport=0.1, maxPatternLength=3, sequenceCol="seq").findFrequentSequentialPatterns(seqs)
-    pats = ps.select(F.array_join(F.transform("sequence", lambda s: F.array_join(s, "")), ">").alias("pattern"), "freq", F.lit("sequence").alias("kind"))
-    return sets.unionByName(pats)
+    # an order has at most seven lines, fewer than the default pattern length
+    ps = PrefixSpan(minSupport=0.1, sequenceCol="seq").findFrequentSequentialPatterns(seqs)
+    pats = ps.select(F.array_join(F.transform("sequence", lambda s: F.array_join(s, "")), ">").alias("pattern"), "freq", F.lit("sequence").alias("kind"), F.lit(None).cast("double").alias("confidence"))
+    return sets.unionByName(rules).unionByName(pats)
 
 
 @query("mod_tune")
 def mod_tune(spark, sf):
     """Cross validation and train / validation split over a parameter grid."""
     tr, _ = _split(spark, sf)
-    lr = C.LogisticRegression(maxIter=5, labelCol="label")
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1]).build()
+    lr = C.LogisticRegression(maxIter=10, labelCol="label")
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1]).addGrid(lr.elasticNetParam, [0.0, 0.5, 1.0]).build()
     ev = BinaryClassificationEvaluator(labelCol="label")
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=ev, numFolds=2, seed=42).fit(tr)
     tvs = TrainValidationSplit(estimator=lr, estimatorParamMaps=grid, evaluator=ev, trainRatio=0.8, seed=42).fit(tr)
-    rows = [("cv", float(p[lr.regParam]), float(m)) for p, m in zip(grid, cv.avgMetrics)]
-    rows += [("tvs", float(p[lr.regParam]), float(m)) for p, m in zip(grid, tvs.validationMetrics)]
-    return spark.createDataFrame(rows, "method string, reg double, auc double")
+    rows = [(how, float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(m))
+            for how, got in (("cv", cv.avgMetrics), ("tvs", tvs.validationMetrics)) for p, m in zip(grid, got)]
+    return spark.createDataFrame(rows, "method string, reg double, elastic double, auc double")
 
 
 @query(
@@ -536,13 +550,13 @@ def stat_tests(spark, sf):
     li = table(spark, sf, "lineitem")
     ct = li.groupBy(F.col("l_returnflag").alias("a"), F.col("l_linestatus").alias("b")).agg(F.count("*").alias("o"))
     ra, rb = ct.groupBy("a").agg(F.sum("o").alias("na")), ct.groupBy("b").agg(F.sum("o").alias("nb"))
-    n = ct.agg(F.sum("o").alias("n"))
-    # all (a, b) cells: the two margins are small (distinct values of each column)
-    cells = ra.withColumn("__one", F.lit(1)).join(rb.withColumn("__one", F.lit(1)), "__one").join(n.withColumn("__one", F.lit(1)), "__one")
-    full = cells.join(ct, ["a", "b"], "left").select((F.coalesce("o", F.lit(0))).alias("o"), (F.col("na") * F.col("nb") / F.col("n")).alias("e"))
-    chi = full.agg(F.round(F.sum((F.col("o") - F.col("e")) ** 2 / F.col("e")), 6).alias("value")).select(F.lit("chi2_flag_status").alias("stat"), "value")
-    dof = ra.agg(F.count("*").alias("ka")).withColumn("__one", F.lit(1)).join(rb.agg(F.count("*").alias("kb")).withColumn("__one", F.lit(1)), "__one").select(
-        F.lit("chi2_dof").alias("stat"), ((F.col("ka") - 1) * (F.col("kb") - 1)).cast("double").alias("value"))
+    # chi2 = n * (sum over observed cells of o^2 / (na * nb) - 1): empty cells need no row
+    share = F.sum(F.col("o") * F.col("o") / (F.col("na") * F.col("nb")))
+    both = ct.join(ra, "a").join(rb, "b").agg(
+        (F.sum("o") * (share - 1)).alias("chi2"), ((F.count_distinct("a") - 1) * (F.count_distinct("b") - 1)).cast("double").alias("dof"))
+    chi = both.select(F.explode(F.array(
+        F.struct(F.lit("chi2_flag_status").alias("stat"), F.round("chi2", 6).alias("value")),
+        F.struct(F.lit("chi2_dof").alias("stat"), F.col("dof").alias("value")))).alias("x")).select("x.*")
     v = MF.VectorAssembler(inputCols=["l_quantity", "l_discount"], outputCol="f").transform(li)
     sm = v.select(Summarizer.metrics("mean", "variance", "normL2", "numNonZeros").summary(F.col("f")).alias("s")).select(
         vector_to_array("s.mean").alias("mean"), vector_to_array("s.variance").alias("var"), vector_to_array("s.normL2").alias("l2"),
@@ -551,7 +565,7 @@ def stat_tests(spark, sf):
         F.struct(F.lit("mean_quantity").alias("stat"), F.round(F.col("mean")[0], 6).alias("value")),
         F.struct(F.lit("var_quantity").alias("stat"), F.round(F.col("var")[0], 6).alias("value")), F.struct(F.lit("l2_discount").alias("stat"), F.round(F.col("l2")[1], 6).alias("value")),
         F.struct(F.lit("nnz_discount").alias("stat"), F.col("nnz")[1].alias("value")))).alias("x")).select("x.*")
-    return chi.unionByName(dof).unionByName(summ)
+    return chi.unionByName(summ)
 
 
 _COS_T = 0.1

@@ -278,7 +278,7 @@ def test_key_is_hot(spark):
     assert SW.key_is_hot(hot, ["k"])
 
 
-def _window_sessions(df: DataFrame, key: str, ts: str, gap_seconds: int) -> DataFrame:
+def _window_sessions(df, key, ts, gap_seconds):
     """Batch sessionization: a new session when the gap to the previous event
     of the key reaches ``gap_seconds``; session id by cumulative sum."""
     from pyspark.sql import Window
