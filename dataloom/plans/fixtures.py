@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dataloom.operators.order import row_index
 from dataloom.session import table
 
 
@@ -89,17 +90,20 @@ power_users AS (SELECT c_custkey AS name, c_name AS phone FROM customer WHERE c_
 
 
 def search_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Search log (user, time yyMMddHHmmss, query) = events joined to documents."""
+    """Search log (user, time yyMMddHHmmss, query): every event once, with a conversation turn by turns of its id."""
     e = table(spark, sf, "events").select("event_id", "user_id", "ts")
-    d = table(spark, sf, "documents").select("doc_id", "text")
-    return e.join(d, e.event_id == d.doc_id).select(
+    t = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    t = row_index(t.orderBy("conv_id", "turn", "role", "text"), "i").select("i", "text")
+    n = t.count()
+    return e.withColumn("i", F.pmod(F.col("event_id"), F.lit(max(1, n)))).join(t, "i").select(
         F.col("user_id").alias("user"), F.date_format("ts", "yyMMddHHmmss").alias("time"), F.col("text").alias("query")
     )
 
 
 SEARCH_LOG_SQL = """
-search_log AS (SELECT e.user_id AS "user", strftime(e.ts, '%y%m%d%H%M%S') AS time, d.text AS query
-               FROM events e JOIN documents d ON e.event_id = d.doc_id)
+turns AS (SELECT row_number() OVER (ORDER BY conv_id, turn, role, text) - 1 AS i, text FROM conversations),
+search_log AS (SELECT e.user_id AS "user", strftime(e.ts, '%y%m%d%H%M%S') AS time, t.text AS query
+               FROM events e JOIN turns t ON e.event_id % (SELECT COUNT(*) FROM turns) = t.i)
 """
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dataloom.functions.strings import ngrams_up_to_2, non_url, words
@@ -50,28 +49,21 @@ def hour_ngram_counts(log):
 def ngram_hour_scores(log, min_score: float = 2.0):
     """Hours in which an n-gram is unusually popular: z-score of its hourly count.
 
-    Mean and population deviation are over the hours the n-gram occurs in (at
-    most 24 rows per n-gram, so the window partitions stay small).
+    Mean and population deviation are over the hours the n-gram occurs in: one
+    aggregate per n-gram, whose list holds at most 24 hours.
     """
     hf = hour_ngram_counts(log)
-    w = Window.partitionBy("ngram")
-    n, s, q, c = F.col("n"), F.col("s"), F.col("q"), F.col("count")
-    # count > mean and (count - mean) / sd > z, tested exactly in integers:
+    c = F.col("count")
+    per = hf.groupBy("ngram").agg(
+        F.count("*").alias("n"), F.sum(c).alias("s"), F.sum(c * c).alias("q"), F.collect_list(F.struct("hour", "count")).alias("hours"))
+    n, s, q = F.col("n"), F.col("s"), F.col("q")
+    # count > mean and (count - mean) / sd > z, tested without rounding:
     # n*count > s and (n*count - s)^2 > z^2 * (n*q - s^2)
-    z2 = int(min_score * min_score) if float(min_score * min_score).is_integer() else None
-    scored = (
-        hf.withColumn("n", F.count("*").over(w))
-        .withColumn("s", F.sum("count").over(w))
-        .withColumn("q", F.sum(c * c).over(w))
-        .withColumn("mean", s / n)
-        .withColumn("sd", F.sqrt(q / n - (s / n) * (s / n)))
-        .filter(n * c > s)
-    )
-    if z2 is not None:
-        scored = scored.filter((n * c - s) * (n * c - s) > F.lit(z2) * (n * q - s * s))
-    else:
-        scored = scored.filter((c - F.col("mean")) / F.col("sd") > min_score)
-    scored = scored.withColumn("score", (c - F.col("mean")) / F.col("sd"))
+    above = lambda k: (n * k > s) & ((n * k - s) * (n * k - s) > F.lit(float(min_score) ** 2) * (n * q - s * s))
+    per = per.withColumn("hours", F.filter("hours", lambda h: above(h["count"]))).withColumns({
+        "mean": s / n, "sd": F.sqrt(q / n - (s / n) * (s / n))})
+    scored = per.select("ngram", "mean", "sd", F.explode("hours").alias("h")).select(
+        "ngram", "mean", F.col("h.hour").alias("hour"), F.col("h.count").alias("count"), ((F.col("h.count") - F.col("mean")) / F.col("sd")).alias("score"))
     return scored.select(
         "hour", "ngram", F.round("score", 6).alias("score"), "count", F.round("mean", 6).alias("mean")
     ).orderBy("hour", "score")
@@ -298,7 +290,10 @@ _PV_COLS_SQL = '"user", action, timespent, query_term, ip_addr, "timestamp", est
 
 @query("job_mix_l9", with_ctes(PAGE_VIEWS_SQL, body=f"SELECT {_PV_COLS_SQL} FROM page_views ORDER BY query_term"))
 def job_mix_l9(spark, sf):
-    return _pv(spark, sf).select(*_PV_COLS).orderBy("query_term")
+    pv = _pv(spark, sf).select(*_PV_COLS)
+    # a few terms and null: the other columns break ties, so a term spreads over many ranges
+    ties = [f.name for f in pv.schema.fields if f.name != "query_term" and not f.dataType.simpleString().startswith(("map", "array<map"))]
+    return pv.orderBy("query_term", *ties)
 
 
 @query(

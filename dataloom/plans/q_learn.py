@@ -88,17 +88,17 @@ def ml_index_onehot(spark, sf):
 
 
 @query("ml_encode_by_cardinality")
-def ml_encode_by_cardinality(spark, sf):
-    """Encoding tier per categorical column from one distinct-count scan:
-    <= 60 values one-hot, <= 2000 indexed, else hashed."""
+def ml_encode_by_cardinality(spark, sf, one_hot_up_to=60, indexed_up_to=2000):
+    """Encoding tier per categorical column by its exact number of values (the
+    tiers are the feature): up to 60 one-hot, up to 2000 indexed, else hashed."""
     o = table(spark, sf, "orders").withColumn("cust", F.col("o_custkey").cast("string"))
     cats = ["o_orderstatus", "o_orderpriority", "cust"]
-    card = o.agg(*[F.approx_count_distinct(c).alias(c) for c in cats]).first().asDict()
+    card = o.agg(*[F.count_distinct(c).alias(c) for c in cats]).first().asDict()
     stages, out = [], []
     for c in cats:
-        if card[c] <= 60:
+        if card[c] <= one_hot_up_to:
             stages += [MF.StringIndexer(inputCol=c, outputCol=f"{c}_i", handleInvalid="keep"), MF.OneHotEncoder(inputCol=f"{c}_i", outputCol=f"{c}_enc")]
-        elif card[c] <= 2000:
+        elif card[c] <= indexed_up_to:
             stages += [MF.StringIndexer(inputCol=c, outputCol=f"{c}_enc", handleInvalid="keep")]
         else:
             stages += [MF.FeatureHasher(inputCols=[c], outputCol=f"{c}_enc", numFeatures=1024)]
