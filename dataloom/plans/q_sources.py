@@ -4,10 +4,12 @@ compare with the same rows computed straight from the tables."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dataloom.plans.fixtures import ACCESS_LOG_SQL, CUSTOMER_NULLS_SQL, access_log, customer_nulls, with_ctes
+from dataloom.operators.joins import plan_bytes
 from dataloom.plans.registry import query
 from dataloom.session import scratch_path, table
 from dataloom.sources import io as IO
@@ -168,12 +170,20 @@ def src_partitioned_read(spark, sf):
     return spark.read.parquet(path).filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_totalprice", "o_orderstatus")
 
 
-@query("src_binary_image")
+@query(
+    "src_binary_image",
+    """SELECT CAST(SUM(octet_length(encode(p_name)) + 1) AS BIGINT) AS length, CAST(SUM(octet_length(encode(p_name)) + 1) AS BIGINT) AS content_bytes,
+              COUNT(*) AS lines, true AS dated FROM part""",
+)
 def src_binary_image(spark, sf):
-    """Whole files as rows (path, modification time, length, content)."""
+    """Whole files as rows (path, modification time, length, content); the contents hold every line."""
     path = scratch_path(spark, "bin")
-    table(spark, sf, "part").select("p_name").repartition(4).write.text(path)
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path).select("path", "modificationTime", "length")
+    table(spark, sf, "part").select("p_name").write.text(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
+    text = F.col("content").cast("string")
+    return files.agg(
+        F.sum("length").alias("length"), F.sum(F.octet_length("content")).alias("content_bytes"),
+        F.sum(F.size(F.split(text, "\n")) - 1).alias("lines"), F.every(F.col("modificationTime").isNotNull()).alias("dated"))
 
 
 @query("src_whole_text", "SELECT CAST(SUM(length(text) + 1) AS BIGINT) AS n_chars, COUNT(*) AS n_docs FROM documents")
@@ -181,23 +191,23 @@ def src_whole_text(spark, sf):
     """One row per file (wholetext): the files together hold every document."""
     d = table(spark, sf, "documents").select("text")
     path = scratch_path(spark, "whole")
-    d.repartition(4).write.text(path)
+    d.repartition(max(4, plan_bytes(d) >> 26)).write.text(path)  # files of about 64 MB
     files = spark.read.text(path, wholetext=True)
     docs = d.count()
     return files.agg(F.sum(F.length("value")).cast("long").alias("n_chars")).withColumn("n_docs", F.lit(docs).cast("long"))
 
 
-@query("src_hadoop_formats")
+@query("src_hadoop_formats", "SELECT n_name AS line, true AS placed FROM nation")
 def src_hadoop_formats(spark, sf):
     """A Hadoop input format by class name: (byte offset, line) pairs."""
     path = scratch_path(spark, "hadoop")
     table(spark, sf, "nation").select("n_name").write.text(path)
     rdd = spark.sparkContext.newAPIHadoopFile(
         path, "org.apache.hadoop.mapreduce.lib.input.TextInputFormat", "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text")
-    return rdd.toDF(["offset", "line"])
+    return rdd.toDF(["offset", "line"]).select("line", (F.col("offset") >= 0).alias("placed"))
 
 
-@query("src_libsvm")
+@query("src_libsvm", "SELECT CAST(label AS DOUBLE) AS label, len(list_filter(embedding, lambda x: x <> 0)) AS n_features FROM embeddings")
 def src_libsvm(spark, sf):
     """Sparse label + index:value text read by the libsvm source (64 features)."""
     e = table(spark, sf, "embeddings")
@@ -205,7 +215,8 @@ def src_libsvm(spark, sf):
                                  F.array_join(F.transform("embedding", lambda x, i: F.concat((i + 1).cast("string"), F.lit(":"), x.cast("string"))), " ")).alias("value"))
     path = scratch_path(spark, "libsvm")
     lines.write.text(path)
-    return spark.read.format("libsvm").option("numFeatures", "64").load(path)
+    back = spark.read.format("libsvm").option("numFeatures", "64").load(path)
+    return back.select("label", F.size(F.filter(vector_to_array("features"), lambda x: x != 0)).cast("long").alias("n_features"))
 
 
 @query(

@@ -78,9 +78,9 @@ def st_filter_project(spark, sf):
     return spark.read.parquet(sink)
 
 
-@query("st_batch_count_reduce")
+@query("st_batch_count_reduce", "SELECT event_type, COUNT(*) AS n, round(SUM(value), 6) AS total FROM events GROUP BY event_type")
 def st_batch_count_reduce(spark, sf):
-    """Per micro-batch count, sum and count-by-value, keyed by batch id (idempotent)."""
+    """Per micro-batch count, sum and count-by-value, keyed by batch id (idempotent); then summed over the batches."""
     s = _events_stream(spark, sf)
     sink = scratch_path(spark, "st-batches")
 
@@ -89,7 +89,7 @@ def st_batch_count_reduce(spark, sf):
          .withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}"))
 
     S.run_foreach_batch(s, per_batch, scratch_path(spark, "st-batches-ckpt"))
-    return spark.read.parquet(sink)
+    return spark.read.parquet(sink).groupBy("event_type").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 6).alias("total"))
 
 
 @query(
@@ -176,10 +176,10 @@ def st_dedup(spark, sf):
     return spark.read.parquet(sink)
 
 
-@query("st_stateful_update")
+@query("st_stateful_update", "SELECT user_id, COUNT(*) AS n, round(SUM(value), 6) AS total FROM events GROUP BY user_id")
 def st_stateful_update(spark, sf):
     """Per-user state (count, sum) updated by each micro-batch; every update is
-    appended, the last one per user is the current state."""
+    appended, and the last one per user, returned here, is the current state."""
     s = _events_stream(spark, sf).select("user_id", "value")
     out = S.stateful_running_totals(s)
     sink = scratch_path(spark, "st-state")
@@ -188,7 +188,7 @@ def st_stateful_update(spark, sf):
         df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{sink}/b={batch_id}")
 
     S.run_foreach_batch(out, keep, scratch_path(spark, "st-state-ckpt"), mode="update")
-    return spark.read.parquet(sink)
+    return spark.read.parquet(sink).groupBy("user_id").agg(F.max("n").alias("n"), F.round(F.max_by("total", "n"), 6).alias("total"))
 
 
 @query(
@@ -228,7 +228,7 @@ def st_stream_stream_join(spark, sf):
     return spark.read.parquet(sink)
 
 
-@query("st_foreach_batch")
+@query("st_foreach_batch", "SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'")
 def st_foreach_batch(spark, sf):
     """Arbitrary batch code per trigger, written idempotently under the batch id."""
     s = _events_stream(spark, sf)
@@ -239,7 +239,7 @@ def st_foreach_batch(spark, sf):
             f"{sink}/b={batch_id}")
 
     S.run_foreach_batch(s, write_batch, scratch_path(spark, "st-fb-ckpt"))
-    return spark.read.parquet(sink)
+    return spark.read.parquet(sink).select("event_id", "user_id", "value")
 
 
 @query(

@@ -183,23 +183,42 @@ def udf_filter(spark, sf):
     return p.filter(_is_round_price("p_retailprice"))
 
 
+def typed_aggregate(df, key, buffer, zero, reduce, merge):
+    """One buffer per key: rows are folded into buffers batch by batch where
+    they lie (``reduce`` from ``zero``), and only buffers are shuffled and
+    merged; a key has at most one buffer per input batch."""
+    names = [f.split()[0] for f in buffer.split(", ")]
+
+    def fold(batches):
+        for pdf in batches:
+            held = {}
+            for row in pdf.itertuples(index=False):
+                k = getattr(row, key)
+                held[k] = reduce(held.get(k, zero), row)
+            yield pd.DataFrame([(k, *b) for k, b in held.items()], columns=[key, *names])
+
+    def combine(pdf):
+        b = zero
+        for part in pdf[names].itertuples(index=False, name=None):
+            b = merge(b, part)
+        return pd.DataFrame([(pdf[key].iloc[0], *b)], columns=[key, *names])
+
+    schema = f"{key} {dict(df.dtypes)[key]}, {buffer}"
+    return df.mapInPandas(fold, schema).groupBy(key).applyInPandas(combine, schema)
+
+
 @query(
     "udf_typed_aggregate",
     """SELECT l_orderkey, round(avg(l_extendedprice), 6) AS avg_price, max(l_quantity) AS max_qty FROM lineitem GROUP BY l_orderkey""",
 )
 def udf_typed_aggregate(spark, sf):
-    """zero / reduce / merge / finish: an average as (sum, count) folded with
-    ``aggregate`` over each order's (bounded) values, then finished."""
-    li = table(spark, sf, "lineitem")
-    g = li.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_extendedprice", "l_quantity")).alias("v"))
-    zero = F.struct(F.lit(0.0).alias("s"), F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("m"))
-    acc = F.aggregate(
-        "v", zero,
-        lambda a, x: F.struct((a["s"] + x["l_extendedprice"]).alias("s"), (a["n"] + 1).alias("n"),
-                              F.greatest(a["m"], x["l_quantity"]).alias("m")),
-        lambda a: F.struct(F.round(a["s"] / a["n"], 6).alias("avg_price"), a["m"].alias("max_qty")),
-    )
-    return g.select("l_orderkey", acc.alias("r")).select("l_orderkey", "r.avg_price", "r.max_qty")
+    """A user aggregate with zero, reduce, merge and finish: average price and largest quantity of an order."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice", "l_quantity")
+    out = typed_aggregate(
+        li, "l_orderkey", "s double, n long, m double", zero=(0.0, 0, float("-inf")),
+        reduce=lambda a, x: (a[0] + x.l_extendedprice, a[1] + 1, max(a[2], x.l_quantity)),
+        merge=lambda a, b: (a[0] + b[0], a[1] + b[1], max(a[2], b[2])))
+    return out.select("l_orderkey", F.round(F.col("s") / F.col("n"), 6).alias("avg_price"), F.col("m").alias("max_qty"))
 
 
 @query("udf_stream_through", "SELECT upper(p_name) AS name_upper FROM part")

@@ -399,11 +399,17 @@ def part_transforms(spark, sf):
         F.count("*").alias("n"), F.count_distinct("dy").alias("n_days"), F.count_distinct("bkt").alias("n_buckets"))
 
 
-@query("row_ids")
+@query(
+    "row_ids",
+    """SELECT COUNT(*) AS n, COUNT(*) AS n_uid, COUNT(*) AS n_idx, 0 AS first_idx, COUNT(*) - 1 AS last_idx FROM orders""",
+)
 def row_ids(spark, sf):
-    """Unique ids (monotonically_increasing_id) and consecutive indexes (zipWithIndex form)."""
+    """Unique ids (monotonically_increasing_id) and consecutive indexes (zipWithIndex form), summed up:
+    every id is unique and the indexes run from 0 without a gap."""
     o = table(spark, sf, "orders").select("o_orderkey")
-    return O.row_index(o.withColumn("uid", F.monotonically_increasing_id()), out="idx")
+    ids = O.row_index(o.withColumn("uid", F.monotonically_increasing_id()), out="idx")
+    return ids.agg(F.count("*").alias("n"), F.count_distinct("uid").alias("n_uid"), F.count_distinct("idx").alias("n_idx"),
+                   F.min("idx").alias("first_idx"), F.max("idx").alias("last_idx"))
 
 
 @query(
