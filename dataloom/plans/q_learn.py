@@ -428,7 +428,7 @@ def mod_frequent_patterns(spark, sf):
     over each order's flag sequence (by line number)."""
     li = table(spark, sf, "lineitem").withColumn("item", F.concat("l_returnflag", "l_linestatus", (F.col("l_quantity") / 10).cast("int").cast("string")))
     baskets = li.groupBy("l_orderkey").agg(F.collect_set("item").alias("items"))
-    fp = FPGrowth(itemsCol="items", minSupport=0.05, minConfidence=0.2).fit(baskets)
+    fp = FPGrowth(itemsCol="items", minSupport=0.01, minConfidence=0.05).fit(baskets)
     sets = fp.freqItemsets.select(F.array_join(F.array_sort("items"), ",").alias("pattern"), F.col("freq"), F.lit("itemset").alias("kind"), F.lit(None).cast("double").alias("confidence"))
     side = lambda c: F.array_join(F.array_sort(c), ",")
     rules = fp.associationRules.select(F.concat_ws(" => ", side("antecedent"), side("consequent")).alias("pattern"), F.lit(None).cast("long").alias("freq"),

@@ -1,5 +1,5 @@
 """Every query with an oracle matches DuckDB on the smallest test tables, and
-every rows-only query runs and returns a schema."""
+every rows-only query runs in full (values of those: test_models, test_semantics)."""
 
 import pytest
 
@@ -22,7 +22,7 @@ def test_query_matches_oracle(spark, duck_small, name):
 def test_rows_only_query_runs(spark, name):
     df = REGISTRY[name].fn(spark, SF_SMALL)
     assert len(df.columns) > 0
-    df.limit(5).collect()
+    df.write.format("noop").mode("overwrite").save()
 
 
 WINDOW_ROWS = ["win_row_number_rank", "win_ntile", "win_percent_rank_cume_dist", "win_lead_lag", "win_first_last_nth",
