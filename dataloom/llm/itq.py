@@ -79,7 +79,9 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
              .groupBy("dim").agg(F.sum("n").alias("n"), F.max("n").alias("most")).collect()}
     plans = {}
     for dim, (n, most) in sizes.items():
-        sample = classes.where(F.size("x") == dim).orderBy(F.xxhash64("node")).limit(sample_rows).select("x").toPandas()["x"]
+        # about twice the sample by hash, then its first rows: no task or driver sees more
+        drawn = classes.where((F.size("x") == dim) & (F.pmod(F.xxhash64("node"), F.lit(n)) < 2 * sample_rows))
+        sample = drawn.orderBy(F.xxhash64("node")).limit(sample_rows).select("x").toPandas()["x"]
         bits = min(dim, 64)
         length = min(bits, max(8, math.ceil(math.log2(max(1, most / 64)))))
         tables = max(1, bits // length)

@@ -185,7 +185,10 @@ def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
         return None
-    some = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in ((1, toxic_docs), (0, clean_docs))]
+    order = F.xxhash64("doc_id")
+    # about twice each sample by hash, then its first rows: no task sees more
+    some = [known.where((F.col("toxic") == y) & (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(sizes[y])) < 2 * n)).orderBy(order, "doc_id").limit(n)
+            for y, n in ((1, toxic_docs), (0, clean_docs))]
     chosen = F.broadcast(some[0].unionByName(some[1]))  # bounded by the two limits
     sample = materialize(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(chosen, "doc_id")
                          .select("text", "toxic"), "toxic-sample")
