@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from dataloom.functions import dates as D
 from dataloom.functions import mathx as M
 from dataloom.functions import strings as S
+from dataloom.plans.fixtures import CUSTOMER_NULLS_SQL, customer_nulls, with_ctes
 from dataloom.plans.registry import query
 from dataloom.session import table
 
@@ -859,3 +860,34 @@ def fn_log_fields(spark, sf):
         F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1).alias("domain"),
     )
     return out.join(F.broadcast(engines), "domain", "left").select("page_id", "host", "ref_term", "page_param", "domain", "engine")
+
+
+@query(
+    "fn_rare_builtins",
+    with_ctes(
+        CUSTOMER_NULLS_SQL,
+        body="""SELECT c_custkey, CASE WHEN nation % 5 = 0 THEN 0.0 ELSE bal END AS bal_or_zero, 'k' || CAST(c_custkey % 3 AS VARCHAR) AS first_key,
+                       c_custkey % 3 + 10 AS zipped, CAST(c_custkey % 3 + 2 * (c_custkey % 4) AS BIGINT) AS summed,
+                       (c_custkey % 30) AS months, true AS from_file, NULL::VARCHAR AS checked,
+                       row_number() OVER (PARTITION BY nation ORDER BY bal DESC NULLS FIRST, c_custkey) AS place
+                FROM customer_nulls""",
+    ),
+)
+def fn_rare_builtins(spark, sf):
+    """nanvl, map_from_entries, arrays_zip, map_zip_with, months_between, input_file_name, raise_error, desc_nulls_first."""
+    from pyspark.sql import Window
+
+    c = customer_nulls(spark, sf)
+    k3, k4 = F.col("c_custkey") % 3, F.col("c_custkey") % 4
+    key = F.concat(F.lit("k"), k3.cast("string"))
+    entries = F.map_from_entries(F.array(F.struct(key, k3), F.struct(F.lit("z"), k4)))
+    zipped = F.arrays_zip(F.array(k3, k4).alias("a"), F.array(k3 + 10, k4 + 10).alias("b"))
+    both = F.map_zip_with(F.create_map(F.lit("x"), k3), F.create_map(F.lit("x"), 2 * k4), lambda k, a, b: a + b)
+    start = F.lit("2000-01-01").cast("date")
+    files = table(spark, sf, "customer").select(F.col("c_custkey").alias("fk"), F.input_file_name().contains("customer").alias("from_file"))
+    place = Window.partitionBy("nation").orderBy(F.desc_nulls_first("bal"), "c_custkey")
+    return c.withColumn("place", F.row_number().over(place)).join(files, F.col("c_custkey") == F.col("fk")).select(
+        "c_custkey", F.nanvl(F.when(F.col("nation") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("bal")), F.lit(0.0)).alias("bal_or_zero"),
+        F.map_keys(entries)[0].alias("first_key"), zipped[0]["b"].alias("zipped"), F.element_at(both, "x").cast("long").alias("summed"),
+        F.months_between(F.add_months(start, (F.col("c_custkey") % 30).cast("int")), start).cast("long").alias("months"),
+        "from_file", F.when(F.col("c_custkey") < 0, F.raise_error(F.lit("negative key"))).cast("string").alias("checked"), "place")
