@@ -124,6 +124,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     found = materialize(docs.select("did", "th", "text").mapInArrow(anchors, spec + ", key long, at int"), "anchors")
     twice = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    twice = materialize(twice, "repeated-anchors")  # so that the join deals both sides anew and a common prefix can be split
     marked = found.join(twice, "key").groupBy("did", "th").agg(
         F.collect_list(F.struct("at", (F.col("n") > group_rows).alias("crowded"))).alias("marks"))
     marked = materialize(marked, "anchors-of-documents")
@@ -132,38 +133,53 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return docs["did"].eqNullSafe(other["did"]) & (docs["th"] == other["th"])
 
     def paths(crowded: bool):
-        """Per repeated anchor its windows' hashes in one value, or one row per window where the prefix is crowded."""
+        """Per repeated anchor whose prefix is crowded (or is not) the first window that has it and all its windows' hashes."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                who, keys, starts, values = [], [], [], []
+                who, keys, starts, values, sizes = [], [], [], [], []
                 for i, (x, marks) in enumerate(zip(b.column("text"), b.column("marks"))):
                     chosen = np.array(sorted({m["at"] for m in marks.as_py() if m["crowded"] == crowded}), np.int64)
                     if not len(chosen):
                         continue
-                    at, first, sizes, key, path = _anchored(_words(x), window, gram)
+                    at, first, size, key, path = _anchored(_words(x), window, gram)
                     pick = np.searchsorted(at, chosen)
-                    first, sizes, key = first[pick], sizes[pick], key[pick]
-                    if crowded:
-                        s = ranges(first, sizes)
-                        who.append(np.full(len(s), i))
-                        keys.append(np.repeat(key, sizes).view(np.int64))
-                        starts.append(s.astype(np.int32))
-                        values.append(path[s].view(np.int64))
-                    else:
-                        who.append(np.full(len(first), i))
-                        keys.append(key.view(np.int64))
-                        starts.append(first.astype(np.int32))
-                        values += [path[s:s + n].tobytes() for s, n in zip(first, sizes)]
+                    who.append(np.full(len(pick), i))
+                    keys.append(key[pick].view(np.int64))
+                    starts.append(first[pick].astype(np.int32))
+                    sizes.append(size[pick])
+                    values.append(path[ranges(first[pick], size[pick])].view(np.int64))
                 if keys:
                     w = pa.array(np.concatenate(who))
-                    value = pa.array(np.concatenate(values)) if crowded else pa.array(values, pa.binary())
+                    ends = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
-                        [b.column("did").take(w), b.column("th").take(w), pa.array(np.concatenate(keys)), pa.array(np.concatenate(starts)), value],
-                        ["did", "th", "key", "start", "path"])
+                        [b.column("did").take(w), b.column("th").take(w), pa.array(np.concatenate(keys)), pa.array(np.concatenate(starts)),
+                         pa.ListArray.from_arrays(ends, pa.array(np.concatenate(values)))], ["did", "th", "key", "start", "path"])
 
         return run
 
+    def intervals(t: pa.Table, row: np.ndarray, hit: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Runs of neighbouring repeated windows of a row, each as one range of words."""
+        at = np.flatnonzero(hit)
+        if not len(at):
+            return
+        new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (row[at[1:]] != row[at[:-1]])])
+        head = at[new]
+        tail = at[np.concatenate([new[1:], [True]])]
+        offset = np.concatenate([[0], np.cumsum(sizes)])[row[head]]
+        start = t["start"].to_numpy()[row[head]]
+        out = t.select(["did", "th"]).take(pa.array(row[head])).combine_chunks()
+        lo, hi = start + (head - offset), start + (tail - offset) + window
+        out = out.append_column("lo", pa.array(lo.astype(np.int32))).append_column("hi", pa.array(hi.astype(np.int32)))
+        yield from out.to_batches()
+
+    def unpack(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All values of a list column, the row of each, and the rows' sizes."""
+        flat = column.combine_chunks()
+        flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) else flat
+        sizes = flat.value_lengths().to_numpy()
+        return flat.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes), sizes
+
     def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Nodes with two leaves in each prefix's tree; rows arrive sorted by prefix."""
 
@@ -171,28 +187,14 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             if not t.num_rows:
                 return
             key = t["key"].to_numpy()
-            raw = t["path"].to_pylist()
-            sizes = np.array([len(r) // 8 for r in raw])
-            path = np.frombuffer(b"".join(raw), np.uint64)
-            row = np.repeat(np.arange(len(key)), sizes)
+            path, row, sizes = unpack(t["path"])
             group = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))[row]
             order = np.lexsort((path, group))
             equal = (path[order][1:] == path[order][:-1]) & (group[order][1:] == group[order][:-1])
             hit = np.zeros(len(path), bool)
             hit[order[1:]] |= equal
             hit[order[:-1]] |= equal
-            at = np.flatnonzero(hit)
-            if len(at):  # runs of neighbouring windows of a row become one interval
-                new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (row[at[1:]] != row[at[:-1]])])
-                head = at[new]
-                tail = at[np.concatenate([new[1:], [True]])]
-                offset = np.concatenate([[0], np.cumsum(sizes)])[row[head]]
-                start = t["start"].to_numpy()[row[head]]
-                who = pa.array(row[head])
-                out = t.select(["did", "th"]).take(who).combine_chunks()
-                lo, hi = start + (head - offset), start + (tail - offset) + window
-                out = out.append_column("lo", pa.array(lo.astype(np.int32))).append_column("hi", pa.array(hi.astype(np.int32)))
-                yield from out.to_batches()
+            yield from intervals(t, row, hit, sizes)
 
         held = None
         for b in batches:
@@ -205,13 +207,34 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if held is not None:
             yield from nodes(held)
 
-    joined = docs.join(marked, same(marked)).select(docs["did"], docs["th"], "text", "rest", "marks")
-    packed = joined.select("did", "th", "text", "marks").mapInArrow(paths(False), spec + ", key long, start int, path binary")
-    few = packed.repartition("key").sortWithinPartitions("key").mapInArrow(subtrees, spec + ", lo int, hi int")
-    single = joined.select("did", "th", "text", "marks").where(F.exists("marks", lambda m: m["crowded"])).mapInArrow(
-        paths(True), spec + ", key long, start int, path long")
-    node = single.groupBy("key", "path").agg(F.count("*").alias("n")).where("n > 1").select("key", "path")
-    many = single.join(node, ["key", "path"]).select("did", "th", F.col("start").alias("lo"), (F.col("start") + window).alias("hi"))
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The windows of each row that are among the listed nodes."""
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            path, row, sizes = unpack(t["path"])
+            node, owner, _ = unpack(t["nodes"])
+            values, rows = np.concatenate([path, node]), np.concatenate([row, owner])
+            order = np.lexsort((values, rows))
+            new = (values[order][1:] != values[order][:-1]) | (rows[order][1:] != rows[order][:-1])
+            place = np.empty(len(order), np.int64)
+            place[order] = np.cumsum(np.concatenate([[0], new]))
+            listed = np.zeros(len(order), bool)
+            listed[place[len(path):]] = True
+            hit = listed[place[: len(path)]]
+            yield from intervals(t, row, hit, sizes)
+
+    joined = docs.join(marked, same(marked)).select(docs["did"], docs["th"], "text", "marks")
+    kind = spec + ", key long, start int, path array<long>"
+    few = joined.mapInArrow(paths(False), kind).repartition("key").sortWithinPartitions("key").mapInArrow(subtrees, spec + ", lo int, hi int")
+    # not written out: as parts of one query all branches share one shuffle of the texts
+    crowd = joined.where(F.exists("marks", lambda m: m["crowded"])).mapInArrow(paths(True), kind)
+    nodes = crowd.select("key", F.explode("path").alias("node")).groupBy("key", "node").agg(F.count("*").alias("n")).where("n > 1")
+    nodes = nodes.select("key", "node")
+    parts = nodes.groupBy("key").agg(F.ceil(F.count("*") / 1024).alias("parts"))  # lists of about 1,024 nodes
+    nodes = nodes.join(parts, "key").groupBy("key", F.pmod(F.xxhash64("node"), "parts")).agg(F.collect_list("node").alias("nodes"))
+    # dealt by the list first, so that the join deals both sides by the prefix itself and can split a common one
+    nodes = nodes.select("key", "nodes").repartition(F.xxhash64("nodes"))
+    many = crowd.join(nodes, "key").select("did", "th", "start", "path", "nodes").mapInArrow(known, spec + ", lo int, hi int")
     repeats = few.unionByName(many).groupBy("did", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("cuts"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
