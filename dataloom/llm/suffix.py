@@ -207,6 +207,30 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if held is not None:
             yield from nodes(held)
 
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How often each prefix has each node, added up over up to a million windows: a shared passage leaves a task a few times."""
+
+        def added(keys: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
+            key, node = np.concatenate(keys), np.concatenate(nodes)
+            order = np.lexsort((node, key))
+            key, node = key[order], node[order]
+            first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])]))
+            n = np.diff(np.concatenate([first, [len(key)]]))
+            return pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(node[first]), pa.array(n)], ["key", "node", "n"])
+
+        keys, nodes, held = [], [], 0
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            node, row, _ = unpack(t["path"])
+            keys.append(t["key"].to_numpy()[row])
+            nodes.append(node)
+            held += len(node)
+            if held >= 1_000_000:
+                yield added(keys, nodes)
+                keys, nodes, held = [], [], 0
+        if held:
+            yield added(keys, nodes)
+
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The windows of each row that are among the listed nodes."""
         for b in batches:
@@ -228,7 +252,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     few = joined.mapInArrow(paths(False), kind).repartition("key").sortWithinPartitions("key").mapInArrow(subtrees, spec + ", lo int, hi int")
     # not written out: as parts of one query all branches share one shuffle of the texts
     crowd = joined.where(F.exists("marks", lambda m: m["crowded"])).mapInArrow(paths(True), kind)
-    nodes = crowd.select("key", F.explode("path").alias("node")).groupBy("key", "node").agg(F.count("*").alias("n")).where("n > 1")
+    counted = crowd.select("key", "path").mapInArrow(combine, "key long, node long, n long")
+    nodes = counted.groupBy("key", "node").agg(F.sum("n").alias("n")).where("n > 1")
     nodes = nodes.select("key", "node")
     parts = nodes.groupBy("key").agg(F.ceil(F.count("*") / 1024).alias("parts"))  # lists of about 1,024 nodes
     nodes = nodes.join(parts, "key").groupBy("key", F.pmod(F.xxhash64("node"), "parts")).agg(F.collect_list("node").alias("nodes"))
