@@ -27,7 +27,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dataloom.llm.common import prepare, texts
+from dataloom.llm.common import materialize, prepare, texts
 from dataloom.llm.packing import read_vocabulary
 
 _CACHE_WORDS = 300_000
@@ -202,8 +202,9 @@ class WordEncoder:
 def frequent_words(df: DataFrame, text_col: str, words: int, times: int = 8) -> list[str]:
     """The most frequent of the words that some batch of texts holds at least ``times``; at most ``words`` of them.
 
-    All texts are counted. The choice decides only which words are looked up
-    instead of merged, never an id.
+    All texts are counted, and no more than ``words`` words reach the driver:
+    those of at least the least power of two that leaves so few. The choice
+    decides only which words are looked up instead of merged, never an id.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,8 +216,14 @@ def frequent_words(df: DataFrame, text_col: str, words: int, times: int = 8) ->
             yield pa.RecordBatch.from_pydict({"word": pa.array(often.keys(), pa.string()), "n": pa.array(often.values(), pa.int64())})
 
     counted = df.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "word string, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words)
-    return [r["word"] for r in top.collect()]
+    counted = materialize(counted.groupBy("word").agg(F.sum("n").alias("n")).withColumn("size", F.floor(F.log2("n"))), "frequent-words")
+    left, least = words, None
+    for r in sorted(counted.groupBy("size").count().collect(), reverse=True):  # one row per power of two
+        left -= r["count"]
+        if left < 0:
+            break
+        least = r["size"]
+    return [] if least is None else [r["word"] for r in counted.where(F.col("size") >= least).select("word").collect()]
 
 
 def encode(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", lexicon_words: int = 20_000) -> DataFrame:
