@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,9 +51,8 @@ def _codes(x: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.ndarra
     return np.packbits(padded, axis=1, bitorder="little").view(np.uint64)[:, 0]
 
 
-def _unit(vectors: pd.Series) -> np.ndarray:
-    x = np.stack(vectors.to_numpy()).astype(np.float64)
-    x /= np.abs(x).max(axis=1, keepdims=True)  # no overflow in the norm
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow in the norm
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -90,13 +90,13 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
         # a table is searched within the radius that code_errors over all tables leave to one of them
         radius = code_errors // tables
         probes = [[np.uint64(m << int(a)) for m in flips(int(b - a), radius)] for a, b in zip(cuts[:-1], cuts[1:])]
-        plans[dim] = (*learn_rotation(_unit(sample), bits), masks, probes, radius)
+        plans[dim] = (*learn_rotation(_unit(np.stack(sample.to_numpy())), bits), masks, probes, radius)
 
     def buckets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for dim, g in f.groupby(f["x"].map(len)):
                 mean, projection, masks, probes, _ = plans[int(dim)]
-                code = _codes(_unit(g["x"]), mean, projection)
+                code = _codes(_unit(np.stack(g["x"].to_numpy())), mean, projection)
                 base = pd.DataFrame({"label": g["label"].to_numpy(), "dim": int(dim), "node": g["node"].to_numpy(), "code": code.view(np.int64)})
                 for t, mask in enumerate(masks):
                     home = code & mask
@@ -113,30 +113,31 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
     parts = F.ceil(F.col("n") / block).cast("int")
     met = coded.join(counts, place).withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    p, q = F.least("own", "other"), F.greatest("own", "other")
     met = met.withColumn("other", other).select(
-        *place, "node", "code", "home", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
-    vectors = classes.select("node", "x", "copies")
-    met = met.join(vectors, "node")
-
-    def compare(f: pd.DataFrame) -> pd.DataFrame:
-        t, p, q, dim = (int(f[c].iloc[0]) for c in ("t", "p", "q", "dim"))
-        _, _, masks, _, radius = plans[dim]
-        f = f.sort_values(["home", "node"], ascending=[False, True])
-        own, home, node = f["own"].to_numpy(), f["home"].to_numpy(), f["node"].to_numpy()
-        code = f["code"].to_numpy().view(np.uint64)
-        copies = f["copies"].to_numpy()
-        x = _unit(f["x"])
-        links = np.zeros(len(f), np.int64)
+        F.xxhash64(*place, p, q).alias("group"), F.xxhash64("label").alias("label"), "t", "dim", "node", "code", "home", "own", (p == q).alias("inner"))
+    met = met.join(classes.select("node", "x", "copies"), "node")
+    columns = ["group", "label", "t", "dim", "node", "code", "home", "own", "inner", "copies", "x"]
+
+    def links_of(f: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Per row of a group its links, and the linked pairs."""
+        first = np.lexsort((f["node"], ~f["home"]))  # rows at home in the bucket, then those within the radius
+        f = {k: v[first] for k, v in f.items()}
+        x = x[first]
+        own, home, node, label = f["own"], f["home"], f["node"], f["label"]
+        code, copies = f["code"].view(np.uint64), f["copies"]
+        _, _, masks, _, radius = plans[int(f["dim"][0])]
+        links = np.zeros(len(node), np.int64)
         us, vs = [], []
         step = 512
-        for a in range(0, len(f), step):
-            for b in range(a, len(f), step):
+        for a in range(0, len(node), step):
+            for b in range(a, len(node), step):
                 i, j = np.nonzero(x[a:a + step] @ x[b:b + step].T >= threshold - 1e-9)
                 i, j = i + a, j + b
-                keep = (i < j) & home[i] & ((own[i] != own[j]) | (p == q))
+                keep = (i < j) & home[i] & (label[i] == label[j]) & (f["inner"][0] | (own[i] != own[j]))
                 i, j = i[keep], j[keep]
                 diff = code[i] ^ code[j]
-                for m in masks[:t]:  # an earlier table has it
+                for m in masks[: int(f["t"][0])]:  # an earlier table has it
                     fresh = np.bitwise_count(diff & m) > radius
                     i, j, diff = i[fresh], j[fresh], diff[fresh]
                 exact = (x[i] * x[j]).sum(axis=1) >= threshold
@@ -145,12 +146,50 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embed
                 np.add.at(links, j, copies[i])
                 us.append(node[i])
                 vs.append(node[j])
-        u, v = local_forest(np.concatenate(us), np.concatenate(vs))
-        some = np.flatnonzero(links)
-        return pd.concat([pd.DataFrame({"node": node[some], "peer": pd.array([None] * len(some), "Int64"), "links": links[some]}),
-                          pd.DataFrame({"node": u, "peer": pd.array(v, "Int64"), "links": 0})])
-
-    found = met.groupBy(*place, "p", "q").applyInPandas(compare, "node long, peer long, links long")
+        return node, links, np.concatenate(us), np.concatenate(vs)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows arrive sorted by group; a group holds two blocks at most."""
+
+        def groups(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            f = {c: t[c].to_numpy() for c in columns[:-1]}
+            flat = t["x"].combine_chunks()
+            flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) else flat
+            values, at = flat.flatten().to_numpy(), np.concatenate([[0], np.cumsum(flat.value_lengths().to_numpy())])
+            cuts = np.concatenate([[0], np.flatnonzero(f["group"][1:] != f["group"][:-1]) + 1, [t.num_rows]])
+            nodes, links, us, vs = [], [], [], []
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if hi - lo < 2:
+                    continue
+                x = values[at[lo]:at[hi]].reshape(hi - lo, -1)
+                node, n, u, v = links_of({c: a[lo:hi] for c, a in f.items()}, _unit(x))
+                if len(u):
+                    some = np.flatnonzero(n)
+                    nodes.append(node[some])
+                    links.append(n[some])
+                    u, v = local_forest(u, v)
+                    us.append(u)
+                    vs.append(v)
+            if nodes:
+                n, u = np.concatenate(nodes), np.concatenate(us)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([n, u])), pa.concat_arrays([pa.nulls(len(n), pa.int64()), pa.array(np.concatenate(vs))]),
+                     pa.array(np.concatenate([*links, np.zeros(len(u), np.int64)]))], ["node", "peer", "links"])
+
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t])
+            group = t["group"].to_numpy()
+            other_groups = np.flatnonzero(group != group[-1]) if len(group) else []
+            cut = int(other_groups[-1]) + 1 if len(other_groups) else 0
+            yield from groups(t.slice(0, cut))
+            held = t.slice(cut)
+        if held is not None:
+            yield from groups(held)
+
+    met = met.select(*columns).repartition("group").sortWithinPartitions("group")
+    found = met.mapInArrow(compare, "node long, peer long, links long")
     found = materialize(found, "vector-links")
     links = found.where("peer is null").groupBy("node").agg(F.sum("links").alias("links"))
     grouped = components(found.where("peer is not null"), "node", "peer")
