@@ -12,6 +12,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
+import math
 import re
 import struct
 import zlib
@@ -229,7 +230,10 @@ def read(spark: SparkSession, path: str, block_bytes: int = 4 << 20) -> DataFram
             return files.select("content").mapInArrow(_whole, _RECORD)
     places = files.select("path", "length").mapInArrow(_places, "path string, at long, length long")
     block = F.floor(F.col("at") / block_bytes)
-    dealt = places.repartition("path", block).sortWithinPartitions("path", "at")
+    total = files.agg(F.sum("length")).first()[0] or 0
+    # a given number: a range is a few bytes here but stands for a whole record, so partitions must not be merged by size
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(total / (128 << 20)))
+    dealt = places.repartition(parts, "path", block).sortWithinPartitions("path", "at")
     return dealt.mapInArrow(_fetch, _RECORD)
 
 
