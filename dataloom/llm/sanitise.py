@@ -5,14 +5,18 @@ Only DataFrame and SQL functions are used.
 Base spans are four patterns (email, ip, card, phone), each matched from the
 left without overlap. Every match value is a protected entity. How much a term
 tells about an entity is estimated from the corpus: a term and an entity co-occur
-in a document when the term stands within ``reach`` characters of the entity, and
+in a document when both stand anywhere in it, and
 
     disclosure(t, e) = PMI(t, e) / IC(e) = log(p(t, e) / (p(t) p(e))) / -log p(e)
 
 with document frequencies over all documents. 1 means that the term stands only
 where the entity does. Terms of at least ``threshold`` that are seen with the
 entity in at least ``support`` documents are spans of kind ``term`` wherever they
-stand near it.
+stand in a document that holds the entity.
+
+As n_both <= n(e), a term can only reach the threshold when n(t) is at most
+n(e)^threshold * N^(1 - threshold). Terms meet the entities of their document
+only below this bound.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dataloom.llm.common import prepare
+from dataloom.llm.common import materialize, prepare
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -79,18 +83,26 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(text.contains(hint), found).otherwise(empty) if hint else found
 
 
-def _near(text: Column, start: Column, end: Column, reach: int) -> Column:
-    """Whole words within ``reach`` code points before and after a span: array<struct<s, e, m>>."""
-    lo = F.greatest(start - reach - 1, F.lit(0))
-    before, after = F.substring(text, lo + 1, start - lo), F.substring(text, end + 1, F.lit(reach + 1))
-    left = F.filter(_spans(before, _WORD), lambda w: (lo == 0) | (w["s"] > 0))  # the first character only shows where a word is cut
-    right = F.filter(_spans(after, _WORD), lambda w: (F.length(after) <= reach) | (w["e"] < F.length(after)))
-    return F.concat(
-        F.transform(left, lambda w: F.struct((w["s"] + lo).alias("s"), (w["e"] + lo).alias("e"), F.lower(w["m"]).alias("m"))),
-        F.transform(right, lambda w: F.struct((w["s"] + end).alias("s"), (w["e"] + end).alias("e"), F.lower(w["m"]).alias("m"))))
+def _words(text: Column) -> Column:
+    """The different words of a text in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)), F.lower))
+
+
+def _told_spans(text: Column, told: Column) -> Column:
+    """array<struct<s, e, m>> of every word of the text that is in ``told``; other words only move the position."""
+    pairs = F.arrays_zip(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)).alias("m"), F.transform(F.split(text, _WORD, -1), F.length).alias("gap"))
+    span = lambda acc, p: F.struct(
+        (acc["at"] + p["gap"]).alias("s"), (acc["at"] + p["gap"] + F.length(p["m"])).alias("e"), F.lower(p["m"]).alias("m"))
+    return F.aggregate(
+        F.filter(pairs, lambda p: p["m"].isNotNull()),
+        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,m:string>>").alias("out")),
+        lambda acc, p: F.struct(
+            (acc["at"] + p["gap"] + F.length(p["m"])).alias("at"),
+            F.when(F.array_contains(told, F.lower(p["m"])), F.concat(acc["out"], F.array(span(acc, p)))).otherwise(acc["out"]).alias("out")),
+        lambda acc: acc["out"])
 
 
-def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 60, threshold: float = 0.8,
+def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
          support: int = 3, carry: list[str] | None = None) -> DataFrame:
     """One row per input row: doc_id, text, email, ip, card, phone, term (arrays of s, e, m), rest.
 
@@ -106,28 +118,30 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: i
     total = max(2, docs.count())
     marked = docs.select("did", "text", "rest", *[base_spans(F.col("text"), k).alias(k) for k in KINDS])
 
-    # occurrences of terms near entities; a document is told by its id and text
-    every = F.concat(*[_each(k, lambda x, kind: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.concat(F.lit(f"{kind}:"), F.lower(x["m"])).alias("entity"))) for k in KINDS])
-    seen = marked.select(F.xxhash64("did", "text").alias("doc"), "text", F.explode(every).alias("x"))
-    entities = seen.select("doc", F.col("x.entity").alias("entity"))
-    around = seen.select("doc", F.col("x.entity").alias("entity"), F.explode(_near(F.col("text"), F.col("x.s"), F.col("x.e"), reach)).alias("w"))
-    around = around.select("doc", "entity", F.col("w.s").alias("s"), F.col("w.e").alias("e"), F.col("w.m").alias("term"))
-
-    df_entity = entities.distinct().groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
-    pairs = around.select("doc", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(_WORD), F.lit(0)))
-    candidates = pairs.select("term").distinct()
-    df_term = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term")).join(candidates, "term", "left_semi")
-    told = pairs.join(df_entity, "entity").join(df_term, "term")
+    # a document is told by its id and text; rows with an entity are written once, with their words
+    every = F.concat(*[_each(k, lambda x, kind: F.concat(F.lit(f"{kind}:"), F.lower(x["m"]))) for k in KINDS])
+    rows = marked.select(F.xxhash64("did", "text").alias("doc"), F.array_distinct(every).alias("entities"), "text").where(F.size("entities") > 0)
+    rows = materialize(rows.select("doc", "entities", _words(F.col("text")).alias("words")), "private-documents")
+    entities = rows.select("doc", F.explode("entities").alias("entity"))
+    df_entity = entities.groupBy("entity").agg(F.count("*").alias("n_entity")).where((F.col("n_entity") >= support) & (F.col("n_entity") < total))
+    # frequent entities, once per document however often its row stands; the words keep the rows
+    held = materialize(entities.distinct().join(df_entity, "entity"), "private-entities")
+    top = held.agg(F.max("n_entity")).first()[0] or 0
+    most = lambda n: F.pow(n, F.lit(threshold)) * F.lit(float(total) ** (1 - threshold) * (1 + 1e-9))
+    df_term = docs.select(F.explode(_words(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    df_term = df_term.where((F.col("n_term") >= support) & (F.col("n_term") <= most(F.lit(top))))
+    around = rows.join(held.select("doc").distinct(), "doc", "left_semi").select("doc", F.explode("words").alias("term")).join(df_term, "term")
+    pairs = materialize(around.join(held, "doc").where(F.col("n_term") <= most(F.col("n_entity"))), "private-pairs")
+    told = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.max("n_term").alias("n_term"), F.max("n_entity").alias("n_entity"))
     ratio = F.log(F.col("n_both") * F.lit(float(total)) / (F.col("n_term") * F.col("n_entity"))) / F.log(F.lit(float(total)) / F.col("n_entity"))
-    told = told.where((F.col("n_entity") < total) & (ratio >= threshold)).select("entity", "term")
-    terms = around.join(told, ["entity", "term"], "left_semi").groupBy("doc").agg(F.collect_set(F.struct("s", "e", F.col("term").alias("m"))).alias("near"))
+    told = told.where((F.col("n_both") >= support) & (ratio >= threshold)).select("entity", "term")
+    terms = pairs.join(told, ["entity", "term"], "left_semi").groupBy("doc").agg(F.collect_set("term").alias("told"))
 
     keyed = marked.withColumn("key", F.xxhash64("did", "text"))
     inside = lambda w: ~F.exists(F.concat(*KINDS), lambda x: (x["s"] < w["e"]) & (w["s"] < x["e"]))
     none = F.array().cast("array<struct<s:int,e:int,m:string>>")
     out = keyed.join(terms, keyed.key == terms.doc, "left")
-    term = F.array_sort(F.filter(F.coalesce("near", none), inside))
+    term = F.when(F.col("told").isNull(), none).otherwise(F.array_sort(F.filter(_told_spans(F.col("text"), F.col("told")), inside)))
     return out.select(F.col("did").alias("doc_id"), "text", *KINDS, term.alias("term"), "rest")
 
 

@@ -413,6 +413,32 @@ def test_revealing_terms_are_generalised(spark):
     assert all(not rows[i].term for i in range(67, 87))
 
 
+def test_revealing_terms_far_from_the_entity(spark):
+    """Every occurrence in a document that holds the entity, at any distance; rare and frequent terms by brute force."""
+    rng = random.Random(11)
+    texts = [f"Farnsworthy {words(rng, 60)} mail zed@example.com or 10.1.2.3 {words(rng, 60 if i % 2 else 0)} FARNSWORTHY İlkay's {words(rng, 40)} Farnsworthy" for i in range(6)]
+    texts += [f"{words(rng, 30)} one{k}@example.org" for k in range(30)] + [words(rng, 30) for _ in range(60)] + ["Farnsworthy alone", None]
+    df = docs_frame(spark, texts)
+    df = df.unionByName(df.where("doc_id = 1"))  # a row that stands twice counts twice
+    texts = [t or "" for t in [*texts, texts[1]]]
+    total, pattern = len(texts), re.compile(r"[^\W\d_](?:[^\W_]|['_-])*")
+    seen = [({w.lower() for w in pattern.findall(t)}, {(k, t[a:b].lower()) for k, a, b in brute_pii(t)}) for t in texts]
+    n_term, n_entity = Counter(w for ws, _ in seen for w in ws), Counter(e for _, es in seen for e in es)
+    both = Counter((w, e) for ws, es in seen for w in ws for e in es)
+    told = {(w, e) for (w, e), n in both.items() if n >= 3 and n_entity[e] < total
+            and np.log(n * total / (n_term[w] * n_entity[e])) / np.log(total / n_entity[e]) >= 0.8}
+    assert {"farnsworthy", "İlkay's".lower()} <= {w for w, _ in told}
+    got = sanitise.find(df).collect()
+    assert len(got) == total
+    for r in got:
+        t, (_, es) = r.text, seen[r.doc_id]
+        base = [(a, b) for _, a, b in brute_pii(t)]
+        expected = [(m.start(), m.end()) for m in pattern.finditer(t) if any((m.group().lower(), e) in told for e in es)
+                    and not any(a < m.end() and m.start() < b for a, b in base)]
+        assert [(x.s, x.e) for x in r.term] == expected, t
+        assert r.doc_id >= 6 or sum(x.m == "farnsworthy" for x in r.term) == 3
+
+
 # op 9
 
 def test_marginals_match_enumeration():
