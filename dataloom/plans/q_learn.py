@@ -24,6 +24,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from dataloom.operators import groups as G
+from dataloom.operators import joins as J
 from dataloom.operators import order as O
 from dataloom.plans.fixtures import CUSTOMER_NULLS_SQL, customer_nulls, with_ctes
 from dataloom.plans.registry import query
@@ -422,6 +423,33 @@ def mod_recommend_als(spark, sf):
     return top.select("u", "i", F.col("prediction").alias("score"))
 
 
+def new_part_candidates(lines):
+    """(u, i) of every part bought in one order with a part of the customer and not yet bought by that customer.
+
+    ``lines`` has order, u, i. Pairs of parts are made within an order and kept
+    once before they meet the purchases; rows of hot parts are salted.
+    """
+    bought = lines.select("u", "i").distinct()
+    basket = lines.select("order", "i").distinct()
+    pairs = basket.join(basket.withColumnRenamed("i", "other"), "order").where("i <> other").select("i", "other").distinct()
+    met = J.salted_join(bought, pairs.withColumnRenamed("i", "__i"), ["i"], ["__i"]).select("u", F.col("other").alias("i")).distinct()
+    return met.join(bought, ["u", "i"], "left_anti")
+
+
+@query("mod_recommend_new_parts")
+def mod_recommend_new_parts(spark, sf):
+    """ALS on customer x part quantities; of the parts bought together with a
+    customer's parts, the three of highest predicted rating that the customer
+    has not bought; candidates without factors dropped (cold start)."""
+    li = table(spark, sf, "lineitem")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    lines = li.join(o, li.l_orderkey == o.o_orderkey).select(F.col("l_orderkey").alias("order"), F.col("o_custkey").alias("u"), F.col("l_partkey").alias("i"), "l_quantity")
+    r = lines.groupBy("u", "i").agg(F.sum("l_quantity").cast("float").alias("r"))
+    m = ALS(rank=4, maxIter=5, regParam=0.1, userCol="u", itemCol="i", ratingCol="r", coldStartStrategy="drop", seed=42).fit(r)
+    top = G.top_n(m.transform(new_part_candidates(lines)), ["u"], [F.desc("prediction"), F.col("i")], 3)
+    return top.select("u", "i", F.col("prediction").alias("score"))
+
+
 @query("mod_frequent_patterns")
 def mod_frequent_patterns(spark, sf):
     """FP-growth item sets and rules over each order's line flags; PrefixSpan
