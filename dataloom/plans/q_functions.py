@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from dataloom.functions import dates as D
 from dataloom.functions import mathx as M
 from dataloom.functions import strings as S
+from dataloom.functions import weblog as W
 from dataloom.plans.fixtures import CUSTOMER_NULLS_SQL, customer_nulls, with_ctes
 from dataloom.plans.registry import query
 from dataloom.session import table
@@ -833,10 +834,6 @@ def fn_xpath_extract(spark, sf):
     )
 
 
-# fixed values: a few referrer hosts and their search engine names
-SEARCH_ENGINES = {"google.com": "Google", "search.yahoo.com": "Yahoo", "bing.com": "Bing", "ask.com": "Ask dot com"}
-
-
 @query(
     "fn_log_fields",
     """SELECT page_id, regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1) AS host,
@@ -847,11 +844,11 @@ SEARCH_ENGINES = {"google.com": "Google", "search.yahoo.com": "Yahoo", "bing.com
                    WHEN 'google.com' THEN 'Google' WHEN 'bing.com' THEN 'Bing' WHEN 'ask.com' THEN 'Ask dot com' END AS engine
        FROM pages""",
 )
-def fn_log_fields(spark, sf):
-    """Host, query term, domain and search engine of a URL; the engine name comes
-    from a broadcast join with a fixed (bounded) host table."""
+def fn_log_fields(spark, sf, hosts=None):
+    """Host, query term, domain and search engine of a URL; the engine comes from
+    the host table in file ``hosts`` (the reference's if none is named), joined on
+    the whole host and its suffixes."""
     p = table(spark, sf, "pages").select("page_id", "url")
-    engines = spark.createDataFrame(list(SEARCH_ENGINES.items()), "domain string, engine string")
     host = F.regexp_extract("url", r"^[a-zA-Z]+://([^/:?#]+)", 1)
     out = p.select(
         "page_id", host.alias("host"),
@@ -859,7 +856,7 @@ def fn_log_fields(spark, sf):
         F.when(F.col("url").contains("?"), F.regexp_extract("url", r"[?&]page=([^&#]*)", 1)).alias("page_param"),
         F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1).alias("domain"),
     )
-    return out.join(F.broadcast(engines), "domain", "left").select("page_id", "host", "ref_term", "page_param", "domain", "engine")
+    return W.search_host(out, "host", W.host_table(spark, hosts)).select("page_id", "host", "ref_term", "page_param", "domain", "engine")
 
 
 @query(

@@ -28,3 +28,28 @@ def test_recommended_parts_are_new(spark):
         found.setdefault(r.u, set()).add(r.i)
     assert all(found.get(u, set()) <= c and len(found.get(u, set())) == min(3, len(c)) for u, c in new.items()) and found.keys() <= new.keys()
     assert recs
+
+
+def test_search_engines_by_whole_host_and_suffix(spark, tmp_path):
+    from dataloom.functions import weblog as W
+
+    rows = [("http://www.google.de/search?q=a+b", "Google Germany", None), ("http://uk.search.yahoo.com/s?x=1&p=two%20words", "Yahoo! UK", "two words"),
+            ("http://search.yahoo.com/search?p=z&ei=1", "Yahoo!", "z"), ("http://WWW.Google.co.uk/search?hl=en&q=purpose+of+life#x", "Google UK", "purpose of life"),
+            ("http://technorati.com/search/some+thing?x=1", "Technorati", "some thing"), ("http://notgoogle.com/?q=1", None, None),
+            ("http://com/?q=1", None, None), ("http://www.google.com/search?hl=q", "Google", None), ("nothing", None, None), (None, None, None)]
+    df = spark.createDataFrame([r[:1] for r in rows], "url string").withColumn("host", F.regexp_extract("url", r"^[a-zA-Z]+://([^/:?#]+)", 1))
+    got = {r.url: (r.engine, r.term) for r in W.search_host(df, "host", W.host_table(spark)).withColumn("term", W.search_term(F.col("url"), F.col("keys"))).collect()}
+    assert got == {u: (e, t) for u, e, t in rows}
+    assert W.host_table(spark).where("engine IS NOT NULL").count() == 305
+    (tmp_path / "hosts.tsv").write_text("host\tengine\tkeys\nexample.com\tExample\tzz\nblog.example.com\tBlog\t\nexample.com\tExample\tzz\n")
+    urls = spark.createDataFrame([("http://m.example.com/?zz=1",), ("http://a.blog.example.com/?zz=1",), ("http://google.de/?q=1",)], "url string")
+    named = W.search_host(urls.withColumn("host", F.regexp_extract("url", "//([^/]+)", 1)), "host", W.host_table(spark, str(tmp_path / "hosts.tsv")))
+    assert sorted((r.engine or "", r.term or "") for r in named.withColumn("term", W.search_term(F.col("url"), F.col("keys"))).collect()) == [("", ""), ("Blog", ""), ("Example", "1")]
+
+
+def test_date_part_of_a_log_stamp(spark):
+    from dataloom.functions import weblog as W
+
+    df = spark.createDataFrame([("25/Dec/2008:23:30:00 -0700",), ("no date",), (None,)], "s string")
+    assert [r[0] for r in df.select(W.date_part(F.col("s"))).collect()] == ["2008-12-26", None, None]
+    assert df.select(W.date_part(F.col("s"), out="yyyy")).first()[0] == "2008"
