@@ -502,8 +502,7 @@ def mod_tune(spark, sf):
 )
 def mod_evaluate(spark, sf):
     """Binary, ranking (AUC) and regression metrics as plain distributed
-    aggregates over (label, prediction, score); the evaluator classes give the
-    same values (see the tests)."""
+    aggregates over (label, prediction, score)."""
     li = table(spark, sf, "lineitem")
     d = li.select((F.col("l_returnflag") == "R").cast("long").alias("y"), (F.col("l_discount") > 0.05).cast("long").alias("p"),
                   F.col("l_discount").alias("s"), (F.col("l_extendedprice") / 1000).alias("yr"), (F.col("l_quantity") * 1.5).alias("pr"))
