@@ -16,10 +16,12 @@ import os
 import re
 import struct
 import tempfile
+import unicodedata
 import uuid
 from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -151,6 +153,19 @@ def _merger(vocab: dict[str, int], merges: list, suffix: str, whole) -> Callable
     return merge
 
 
+@lru_cache(maxsize=1)
+def unassigned() -> list[tuple[int, int]]:
+    """Ranges of code points that have no category here: libraries of another Unicode version may know them as letters."""
+    out: list[tuple[int, int]] = []
+    for c in range(0x110000):
+        if unicodedata.category(chr(c)) == "Cn":
+            if out and out[-1][1] == c - 1:
+                out[-1] = (out[-1][0], c)
+            else:
+                out.append((c, c))
+    return out
+
+
 class WordEncoder:
     """ids of a text under a ``tokenizers`` file of the kind that lower-cases, drops white space and marks word ends."""
 
@@ -169,7 +184,8 @@ class WordEncoder:
         self.merge = _merger(model["vocab"], model["merges"], model["end_of_word_suffix"], self.whole)
         self.transducer = transducer
         self.cache: dict[str, bytes] = {}
-        self.odd_space = re.compile(r"[\x1c-\x1f]")
+        # separators that Python takes for spaces, and code points whose kind depends on the version of Unicode
+        self.odd = re.compile("[\x1c-\x1f" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(z))}" for a, z in unassigned()) + "]")
         # beyond Latin (and for the dotted I) normalising may end a letter in a mark, which then joins the stop
         self.joined_stop = re.compile(r"[.,][^\w\s]|[^\w\s][.,]|_[.,]|[.,]_|[\u0130\u0250-\U0010ffff]")
 
@@ -184,7 +200,7 @@ class WordEncoder:
         return out
 
     def encode(self, text: str) -> bytes:
-        if self.odd_space.search(text) or any(s in text for s in self.special):
+        if self.odd.search(text) or any(s in text for s in self.special):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if not self.joined_stop.search(text):  # stops that stand by themselves are words by themselves
             text = text.replace(",", " , ").replace(".", " . ")
