@@ -174,8 +174,9 @@ def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """The model of the labelled rows that are not held out; None without both labels.
 
     Learned on a bounded sample: at most ``toxic_docs`` and ``clean_docs``
-    documents (least hash of the id first) and ``sentences`` sentences of at
-    most ``longest`` tokens. A document labelled twice is toxic if any label is.
+    documents (least hash of the id first) and ``sentences`` sentences; those
+    of more than ``longest`` tokens are cut into several, none of whose tokens
+    is left out. A document labelled twice is toxic if any label is.
     """
     spark = df.sparkSession
     prepare(spark)
@@ -223,11 +224,13 @@ def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             for text, toxic in zip(texts(b.column(0)), b.column(1).to_pylist()):
                 lowered = text.lower()
                 for s in _SENTENCE.findall(lowered):
-                    words = _WORD.findall(s)[:longest]
-                    c = [evidence.get(w, 0) for w in words]
-                    if any(c):
-                        cs.append(c)
-                        ys.append([int(bool(toxic) and w in terms) for w in words])
+                    whole = _WORD.findall(s)
+                    for at in range(0, len(whole), longest):  # a longer sentence is several sequences
+                        words = whole[at:at + longest]
+                        c = [evidence.get(w, 0) for w in words]
+                        if any(c):
+                            cs.append(c)
+                            ys.append([int(bool(toxic) and w in terms) for w in words])
             yield pa.RecordBatch.from_arrays([pa.array(cs, pa.list_(pa.int64())), pa.array(ys, pa.list_(pa.int64()))], ["c", "y"])
 
     seqs = sample.mapInArrow(cut, "c array<long>, y array<long>").distinct().orderBy(F.xxhash64("c", "y"), "c", "y").limit(sentences).collect()
