@@ -43,6 +43,19 @@ def texts(column: pa.Array | pa.ChunkedArray) -> Iterator[str]:
         yield x.as_py() or ""
 
 
+def named(column: str) -> F.Column:
+    """A column by its whole name, whatever stands in it."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def spare(columns: list[str], name: str) -> str:
+    """``name``, or the next name like it that is none of ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(id_col: str) -> F.Column:
     """crc32 of the id as text, modulo 3, is 1: rows no model may learn from."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dataloom.llm.common import materialize, prepare
+from dataloom.llm.common import materialize, named, prepare
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -43,19 +43,55 @@ _HINT = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _WORD = r"\p{L}[\p{L}\p{N}'_-]*+"
 
 
+_SPANS = "array<struct<s:int,e:int,m:string>>"
+
+
+def _let(value: Column, made: Callable[[Column], Column]) -> Column:
+    """``made(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), made)[0]
+
+
+def _blocks(values: Column, made: Callable[[Column], Column]) -> Column:
+    """``made`` of each block of about sqrt(n) of the n values, in order.
+
+    A list that grows by one value at a time is copied at every step, so long
+    lists are grown in blocks: n^1.5 copied values in place of n^2.
+    """
+    size = F.ceil(F.sqrt(F.size(values))).cast("int")
+    starts = F.sequence(F.lit(1), F.size(values), size)
+    return F.when(F.size(values) > 0, F.transform(starts, lambda k: made(F.slice(values, k, size)))).otherwise(
+        F.transform(F.array().cast("array<int>"), lambda k: made(values)))
+
+
+def _placed(pairs: Column, keep: Callable[[Column], Column], shown: Callable[[Column], Column]) -> Column:
+    """array<struct<s, e, m>> of the matches that ``keep``; ``pairs`` are matches m with the length ``gap`` of what stands before each."""
+
+    def block(part: Column) -> Column:
+        return F.aggregate(
+            part, F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out")),
+            lambda acc, p: F.struct(
+                (acc["at"] + p["gap"] + F.length(p["m"])).alias("at"),
+                F.when(keep(p["m"]), F.concat(acc["out"], F.array(F.struct(
+                    (acc["at"] + p["gap"]).alias("s"), (acc["at"] + p["gap"] + F.length(p["m"])).alias("e"), shown(p["m"]).alias("m")))))
+                .otherwise(acc["out"]).alias("out")))
+
+    def moved(blocks: Column) -> Column:
+        starts = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+                             lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+        return F.flatten(F.zip_with(blocks, starts, lambda x, by: F.transform(
+            x["out"], lambda w: F.struct((w["s"] + by).alias("s"), (w["e"] + by).alias("e"), w["m"].alias("m")))))
+
+    return _let(F.filter(pairs, lambda p: p["m"].isNotNull()), lambda rows: _let(_blocks(rows, block), moved))
+
+
+def _matches(text: Column, pattern: str) -> Column:
+    """Matches with the gaps before them: there is one gap more, behind the last match."""
+    return F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.transform(F.split(text, pattern, -1), F.length).alias("gap"))
+
+
 def _spans(text: Column, pattern: str) -> Column:
-    """array<struct<s, e, m>> of the matches, code points: gaps between matches have the same number as matches, and one more."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(found.alias("m"), F.transform(F.split(text, pattern, -1), F.length).alias("gap"))
-    step = F.aggregate(
-        F.filter(pairs, lambda p: p["m"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,m:string>>").alias("out")),
-        lambda acc, p: F.struct(
-            (acc["at"] + p["gap"] + F.length(p["m"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + p["gap"]).alias("s"), (acc["at"] + p["gap"] + F.length(p["m"])).alias("e"), p["m"].alias("m")))).alias("out")),
-        lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), step).otherwise(F.array().cast("array<struct<s:int,e:int,m:string>>"))
+    """array<struct<s, e, m>> of the matches, code points."""
+    return F.when(text.rlike(pattern), _placed(_matches(text, pattern), lambda m: F.lit(True), lambda m: m)).otherwise(F.array().cast(_SPANS))
 
 
 def _each(kind: str, made: Callable[[Column, str], Column]) -> Column:
@@ -79,7 +115,7 @@ def _valid(kind: str, m: Column) -> Column:
 def base_spans(text: Column, kind: str) -> Column:
     hint = _HINT[kind]
     found = F.filter(_spans(text, PATTERNS[kind]), lambda x: _valid(kind, x["m"]))
-    empty = F.array().cast("array<struct<s:int,e:int,m:string>>")
+    empty = F.array().cast(_SPANS)
     return F.when(text.contains(hint), found).otherwise(empty) if hint else found
 
 
@@ -90,16 +126,7 @@ def _words(text: Column) -> Column:
 
 def _told_spans(text: Column, told: Column) -> Column:
     """array<struct<s, e, m>> of every word of the text that is in ``told``; other words only move the position."""
-    pairs = F.arrays_zip(F.regexp_extract_all(text, F.lit(_WORD), F.lit(0)).alias("m"), F.transform(F.split(text, _WORD, -1), F.length).alias("gap"))
-    span = lambda acc, p: F.struct(
-        (acc["at"] + p["gap"]).alias("s"), (acc["at"] + p["gap"] + F.length(p["m"])).alias("e"), F.lower(p["m"]).alias("m"))
-    return F.aggregate(
-        F.filter(pairs, lambda p: p["m"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,m:string>>").alias("out")),
-        lambda acc, p: F.struct(
-            (acc["at"] + p["gap"] + F.length(p["m"])).alias("at"),
-            F.when(F.array_contains(told, F.lower(p["m"])), F.concat(acc["out"], F.array(span(acc, p)))).otherwise(acc["out"]).alias("out")),
-        lambda acc: acc["out"])
+    return _placed(_matches(text, _WORD), lambda m: F.array_contains(told, F.lower(m)), F.lower)
 
 
 def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8,
@@ -113,7 +140,7 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
     columns not named are not read.
     """
     prepare(df.sparkSession)
-    rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("string")
+    rest = F.struct(*[named(c) for c in carry]) if carry else F.lit(None).cast("string")
     docs = df.select(F.col(id_col).alias("did"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), rest.alias("rest"))
     total = max(2, docs.count())
     marked = docs.select("did", "text", "rest", *[base_spans(F.col("text"), k).alias(k) for k in KINDS])
@@ -139,7 +166,7 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshol
 
     keyed = marked.withColumn("key", F.xxhash64("did", "text"))
     inside = lambda w: ~F.exists(F.concat(*KINDS), lambda x: (x["s"] < w["e"]) & (w["s"] < x["e"]))
-    none = F.array().cast("array<struct<s:int,e:int,m:string>>")
+    none = F.array().cast(_SPANS)
     out = keyed.join(terms, keyed.key == terms.doc, "left")
     term = F.when(F.col("told").isNull(), none).otherwise(F.array_sort(F.filter(_told_spans(F.col("text"), F.col("told")), inside)))
     return out.select(F.col("did").alias("doc_id"), "text", *KINDS, term.alias("term"), "rest")
@@ -158,10 +185,24 @@ def clean(found: DataFrame) -> DataFrame:
     kinds = (*KINDS, "term")
     every = F.array_sort(F.concat(*[_each(k, lambda x, kind: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), F.lit(f"<{kind.upper()}>").alias("m"))) for k in kinds]))
     text = F.col("text")
-    done = F.aggregate(
-        every, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda acc, x: F.when(x["s"] >= acc["at"], F.struct(
-            (-x["e"]).alias("at"), F.concat(acc["out"], F.array(F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), x["m"])).alias("out")))
-        .otherwise(F.struct(F.greatest(acc["at"], -x["e"]).alias("at"), acc["out"].alias("out"))),
-        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+
+    def block(part: Column, begin: Column, piece: Column) -> Column:
+        """The spans' marks and what stands before each of them, from ``begin`` on."""
+        return F.aggregate(
+            part, F.struct(begin.alias("at"), F.array().cast("array<string>").alias("out")),
+            lambda acc, x: F.when(x["s"] >= acc["at"], F.struct(
+                (-x["e"]).alias("at"), F.concat(acc["out"], F.array(F.substring(piece, acc["at"] - begin + 1, x["s"] - acc["at"]), x["m"])).alias("out")))
+            .otherwise(F.struct(F.greatest(acc["at"], -x["e"]).alias("at"), acc["out"].alias("out"))),
+            lambda acc: F.array_join(acc["out"], ""))
+
+    def rebuilt(parts: Column) -> Column:
+        # where each block begins: behind all spans of those before it
+        ends = F.transform(parts, lambda p: F.array_max(F.transform(p, lambda x: -x["e"])))
+        begin = F.aggregate(ends, F.array(F.lit(0)), lambda acc, e: F.concat(acc, F.array(F.greatest(F.element_at(acc, -1), e))))
+        return _let(begin, lambda b: F.concat(
+            F.array_join(F.transform(parts, lambda p, i: _let(
+                F.substring(text, F.get(b, i) + 1, F.get(b, i + 1) - F.get(b, i)), lambda piece: block(p, F.get(b, i), piece))), ""),
+            F.substring(text, F.element_at(b, -1) + 1, F.length(text))))
+
+    done = _let(every, lambda spans: _let(_blocks(spans, lambda part: part), rebuilt))
     return found.withColumn("text", F.when(F.size(every) > 0, done).otherwise(text))
