@@ -5,19 +5,23 @@ words, that is, when the suffix tree has a node of that depth with two leaves.
 Only such nodes are looked for, so the trees are cut there, and a suffix is
 represented by the hash of its path to that depth.
 
-* Every window is reached through its *anchor*: the 8-word prefix of least hash
-  that starts inside it. Equal windows have equal anchors at equal places, so
-  suffixes whose anchor is unique are leaves and are never moved. About one
-  position in fourteen is an anchor.
-* The anchor is the variable-length prefix that splits the suffixes into
-  groups. Where a prefix holds few suffixes, one group is one subtree: its
-  paths are sorted in a partition and nodes with two leaves found there. Where
-  it holds more than ``group_rows`` of them, the prefix is lengthened to the
-  full depth: the node is the key of an aggregation that combines map-side, so
-  a passage that a third of all documents share never meets in one task.
+* Suffixes are split into groups by a prefix: the run of words of least hash
+  that starts inside the window (its *anchor*). Equal windows have equal
+  anchors at equal places, so a group holds whole subtrees. The first prefixes
+  are 8 words long; about one position in fourteen is an anchor, and suffixes
+  whose anchor stands nowhere else are leaves and are never moved.
+* A group of at most ``group_rows`` rows fits a task: its paths are sorted in a
+  partition, and neighbours that agree to the full depth are the leaves of one
+  deep node.
+* A larger group's prefix is lengthened: its suffixes are split anew by anchors
+  of 16 words, where these crowd again by those of 32, and what is crowded
+  still by the whole path, whose counts are added up in each task before they
+  are shuffled. A line that all texts share is thus told apart by what stands around
+  it, and a passage that all share never meets in one task. Every step has at
+  most one row per window, so the work stays linear in the words.
 
 Counts cover all documents; nothing is sampled or cut. Paths are 64-bit hashes
-of word sequences within groups of equal 64-bit prefix hashes.
+of word sequences, compared only where the 64-bit hashes of their prefixes agree.
 """
 
 from __future__ import annotations
@@ -29,8 +33,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from dataloom.llm.common import materialize, prepare, ranges
+from dataloom.llm.common import materialize, named, prepare
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -72,16 +77,25 @@ def _runs(sums: np.ndarray, down: np.ndarray, size: int) -> np.ndarray:
     return (sums[size:] - sums[:n]) * down[:n]
 
 
-def _anchored(words: list[bytes], window: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Anchor positions, first window start and number of windows of each, prefix hashes, window hashes."""
-    sums, down = _hashes(words)
+def _least(grams: np.ndarray, span: int) -> np.ndarray:
+    """For each window the place of the least of its ``span`` grams (the first, if equal)."""
+    return np.lib.stride_tricks.sliding_window_view(_mix(grams), span).argmin(axis=1) + np.arange(len(grams) - span + 1)
+
+
+def _anchors(sums: np.ndarray, down: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Anchor positions, first window start and number of windows of each, prefix hashes."""
     grams = _runs(sums, down, gram)
-    span = window - gram + 1
-    least = np.lib.stride_tricks.sliding_window_view(_mix(grams), span).argmin(axis=1) + np.arange(len(words) - window + 1)
+    least = _least(grams, window - gram + 1)
     first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    sizes = np.diff(np.concatenate([first, [len(least)]]))
     at = least[first]
-    return at, first, sizes, grams[at], _mix(_runs(sums, down, window))
+    return at, first, np.diff(np.concatenate([first, [len(least)]])), grams[at]
+
+
+def _longer(sums: np.ndarray, down: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window the place and the hash of its anchor of ``gram`` words."""
+    grams = _runs(sums, down, gram)
+    least = _least(grams, window - gram + 1)
+    return least, grams[least]
 
 
 def _words(x: pa.Scalar) -> list[bytes]:
@@ -101,10 +115,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     no rows. Columns not named are not read.
     """
     prepare(df.sparkSession)
-    rest = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("string")
-    docs = df.select(F.col(id_col).alias("did"), F.col(text_col).cast("string").alias("text"), rest.alias("rest"))
+    rest = F.struct(*[named(c) for c in carry]) if carry else F.lit(None).cast("string")
+    docs = df.select(named(id_col).alias("did"), named(text_col).cast("string").alias("text"), rest.alias("rest"))
     docs = docs.withColumn("th", F.xxhash64("text"))
     spec = "did {0}, th long".format(docs.schema["did"].dataType.simpleString())
+    second, third = min(2 * gram, window), min(4 * gram, window)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -112,7 +127,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             for i, x in enumerate(b.column("text")):
                 words = _words(x)
                 if len(words) >= window:
-                    at, _, _, key, _ = _anchored(words, window, gram)
+                    at, _, _, key = _anchors(*_hashes(words), window, gram)
                     keys.append(key.view(np.int64))
                     ats.append(at.astype(np.int32))
                     rows.append(np.full(len(at), i))
@@ -123,8 +138,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     ["did", "th", "key", "at"])
 
     found = materialize(docs.select("did", "th", "text").mapInArrow(anchors, spec + ", key long, at int"), "anchors")
-    twice = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    twice = materialize(twice, "repeated-anchors")  # so that the join deals both sides anew and a common prefix can be split
+    # counts are written, so that joins deal both sides anew and a common prefix can be split
+    twice = materialize(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "repeated-anchors")
     marked = found.join(twice, "key").groupBy("did", "th").agg(
         F.collect_list(F.struct("at", (F.col("n") > group_rows).alias("crowded"))).alias("marks"))
     marked = materialize(marked, "anchors-of-documents")
@@ -132,31 +147,47 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def same(other: DataFrame) -> F.Column:
         return docs["did"].eqNullSafe(other["did"]) & (docs["th"] == other["th"])
 
-    def paths(crowded: bool):
-        """Per repeated anchor whose prefix is crowded (or is not) the first window that has it and all its windows' hashes."""
+    def lists(values: list[np.ndarray]) -> pa.Array:
+        ends = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*values, np.empty(0, np.int64)]), pa.int64()))
+
+    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs of suffixes with one anchor that stands elsewhere too: its hash, the first start, and the paths of all.
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                who, keys, starts, values, sizes = [], [], [], [], []
-                for i, (x, marks) in enumerate(zip(b.column("text"), b.column("marks"))):
-                    chosen = np.array(sorted({m["at"] for m in marks.as_py() if m["crowded"] == crowded}), np.int64)
-                    if not len(chosen):
+        Where the anchor is crowded: the same by anchors of the second length, with the hashes of the third.
+        """
+        for b in batches:
+            who, crowded, keys, starts, paths, finer = [], [], [], [], [], []
+            for i, (x, marks) in enumerate(zip(b.column("text"), b.column("marks").to_pylist())):
+                sums, down = _hashes(_words(x))
+                at, first, size, key = _anchors(sums, down, window, gram)
+                path = _mix(_runs(sums, down, window)).view(np.int64)
+                full = {m["at"] for m in marks if m["crowded"]}
+                more = [_longer(sums, down, window, g) for g in (second, third)] if full else None
+                for k in np.searchsorted(at, sorted({m["at"] for m in marks})).tolist():
+                    lo, hi = int(first[k]), int(first[k] + size[k])
+                    if int(at[k]) not in full:
+                        who.append(i)
+                        crowded.append(False)
+                        keys.append(int(key[k].view(np.int64)))
+                        starts.append(lo)
+                        paths.append(path[lo:hi])
+                        finer.append(path[:0])
                         continue
-                    at, first, size, key, path = _anchored(_words(x), window, gram)
-                    pick = np.searchsorted(at, chosen)
-                    who.append(np.full(len(pick), i))
-                    keys.append(key[pick].view(np.int64))
-                    starts.append(first[pick].astype(np.int32))
-                    sizes.append(size[pick])
-                    values.append(path[ranges(first[pick], size[pick])].view(np.int64))
-                if keys:
-                    w = pa.array(np.concatenate(who))
-                    ends = pa.array(np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32))
-                    yield pa.RecordBatch.from_arrays(
-                        [b.column("did").take(w), b.column("th").take(w), pa.array(np.concatenate(keys)), pa.array(np.concatenate(starts)),
-                         pa.ListArray.from_arrays(ends, pa.array(np.concatenate(values)))], ["did", "th", "key", "start", "path"])
-
-        return run
+                    place = more[0][0][lo:hi]
+                    cuts = [lo, *(np.flatnonzero(place[1:] != place[:-1]) + lo + 1).tolist(), hi]
+                    for c, d in zip(cuts, cuts[1:]):
+                        who.append(i)
+                        crowded.append(True)
+                        keys.append(int(more[0][1][c].view(np.int64)))
+                        starts.append(c)
+                        paths.append(path[c:d])
+                        finer.append(more[1][1][c:d].view(np.int64))
+            if who:
+                w = pa.array(who)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("did").take(w), b.column("th").take(w), pa.array(crowded), pa.array(keys, pa.int64()), pa.array(starts, pa.int32()),
+                     lists(paths), lists(finer)], ["did", "th", "crowded", "key", "start", "path", "finer"])
 
     def intervals(t: pa.Table, row: np.ndarray, hit: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Runs of neighbouring repeated windows of a row, each as one range of words."""
@@ -181,7 +212,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return flat.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes), sizes
 
     def subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Nodes with two leaves in each prefix's tree; rows arrive sorted by prefix."""
+        """Deep nodes with two leaves in each prefix's tree; rows arrive sorted by prefix."""
 
         def nodes(t: pa.Table) -> Iterator[pa.RecordBatch]:
             if not t.num_rows:
@@ -207,60 +238,52 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if held is not None:
             yield from nodes(held)
 
-    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """How often each prefix has each node, added up over up to a million windows: a shared passage leaves a task a few times."""
-
-        def added(keys: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
-            key, node = np.concatenate(keys), np.concatenate(nodes)
-            order = np.lexsort((node, key))
-            key, node = key[order], node[order]
-            first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])]))
-            n = np.diff(np.concatenate([first, [len(key)]]))
-            return pa.RecordBatch.from_arrays([pa.array(key[first]), pa.array(node[first]), pa.array(n)], ["key", "node", "n"])
-
-        keys, nodes, held = [], [], 0
-        for b in batches:
-            t = pa.Table.from_batches([b])
-            node, row, _ = unpack(t["path"])
-            keys.append(t["key"].to_numpy()[row])
-            nodes.append(node)
-            held += len(node)
-            if held >= 1_000_000:
-                yield added(keys, nodes)
-                keys, nodes, held = [], [], 0
-        if held:
-            yield added(keys, nodes)
-
-    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The windows of each row that are among the listed nodes."""
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The suffixes of each row anew, by the hashes of the next length."""
         for b in batches:
             t = pa.Table.from_batches([b])
             path, row, sizes = unpack(t["path"])
-            node, owner, _ = unpack(t["nodes"])
-            values, rows = np.concatenate([path, node]), np.concatenate([row, owner])
-            order = np.lexsort((values, rows))
-            new = (values[order][1:] != values[order][:-1]) | (rows[order][1:] != rows[order][:-1])
-            place = np.empty(len(order), np.int64)
-            place[order] = np.cumsum(np.concatenate([[0], new]))
-            listed = np.zeros(len(order), bool)
-            listed[place[len(path):]] = True
-            hit = listed[place[: len(path)]]
-            yield from intervals(t, row, hit, sizes)
+            if not len(path):
+                continue
+            finer = unpack(t["finer"])[0]
+            head = np.flatnonzero(np.concatenate([[True], (finer[1:] != finer[:-1]) | (row[1:] != row[:-1])]))
+            offset = np.concatenate([[0], np.cumsum(sizes)])[row[head]]
+            out = t.select(["did", "th"]).take(pa.array(row[head])).combine_chunks()
+            out = out.append_column("key", pa.array(finer[head])).append_column(
+                "start", pa.array((t["start"].to_numpy()[row[head]] + head - offset).astype(np.int32)))
+            ends = np.concatenate([head, [len(path)]]).astype(np.int32)
+            yield from out.append_column("path", pa.ListArray.from_arrays(pa.array(ends), pa.array(path))).to_batches()
+
+    def whole_paths(rows: DataFrame) -> DataFrame:
+        """Windows whose prefix is crowded at every length, and whose path stands elsewhere too."""
+        one = materialize(rows.select("did", "th", "key", F.posexplode("path").alias("k", "node"), "start").select(
+            "did", "th", "key", "node", (F.col("start") + F.col("k")).alias("lo")), "paths")
+        again = materialize(one.groupBy("key", "node").agg(F.count("*").alias("n")).where("n > 1").select("key", "node"), "repeated-paths")
+        return one.join(again, ["key", "node"]).select("did", "th", "lo", (F.col("lo") + window).cast("int").alias("hi"))
 
     joined = docs.join(marked, same(marked)).select(docs["did"], docs["th"], "text", "marks")
-    kind = spec + ", key long, start int, path array<long>"
-    few = joined.mapInArrow(paths(False), kind).repartition("key").sortWithinPartitions("key").mapInArrow(subtrees, spec + ", lo int, hi int")
-    # not written out: as parts of one query all branches share one shuffle of the texts
-    crowd = joined.where(F.exists("marks", lambda m: m["crowded"])).mapInArrow(paths(True), kind)
-    counted = crowd.select("key", "path").mapInArrow(combine, "key long, node long, n long")
-    nodes = counted.groupBy("key", "node").agg(F.sum("n").alias("n")).where("n > 1")
-    nodes = nodes.select("key", "node")
-    parts = nodes.groupBy("key").agg(F.ceil(F.count("*") / 1024).alias("parts"))  # lists of about 1,024 nodes
-    nodes = nodes.join(parts, "key").groupBy("key", F.pmod(F.xxhash64("node"), "parts")).agg(F.collect_list("node").alias("nodes"))
-    # dealt by the list first, so that the join deals both sides by the prefix itself and can split a common one
-    nodes = nodes.select("key", "nodes").repartition(F.xxhash64("nodes"))
-    many = crowd.join(nodes, "key").select("did", "th", "start", "path", "nodes").mapInArrow(known, spec + ", lo int, hi int")
-    repeats = few.unionByName(many).groupBy("did", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("cuts"))
+    kind = ", key long, start int, path array<long>"
+    every = materialize(joined.mapInArrow(suffixes, spec + ", crowded boolean" + kind + ", finer array<long>"), "suffixes")
+
+    def trees(rows: DataFrame) -> DataFrame:
+        return rows.select("did", "th", "key", "start", "path").repartition("key").sortWithinPartitions("key").mapInArrow(
+            subtrees, spec + ", lo int, hi int")
+
+    repeats = trees(every.where("NOT crowded"))
+    crowd = every.where("crowded")
+    for length in (second, third):
+        many = materialize(crowd.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "repeated-anchors")
+        if many.isEmpty():
+            crowd = None
+            break
+        told = crowd.join(many, "key")
+        repeats = repeats.unionByName(trees(told.where(F.col("n") <= group_rows)))
+        crowd = told.where(F.col("n") > group_rows)
+        if length == second:
+            crowd = materialize(crowd.select("did", "th", "start", "path", "finer").mapInArrow(split, spec + kind), "suffixes")
+    if crowd is not None:
+        repeats = repeats.unionByName(whole_paths(crowd))
+    repeats = repeats.groupBy("did", "th").agg(F.collect_list(F.struct("lo", "hi")).alias("cuts"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -273,9 +296,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     kept.append(x.as_py())
                     continue
                 step = np.zeros(len(words) + 1, np.int64)
-                spans = cuts.as_py()
-                np.add.at(step, [c["lo"] for c in spans], 1)
-                np.add.at(step, [c["hi"] for c in spans], -1)
+                spans = cuts.values
+                np.add.at(step, spans.field("lo").to_numpy(), 1)
+                np.add.at(step, spans.field("hi").to_numpy(), -1)
                 keep = np.cumsum(step)[:-1] == 0
                 gone.append(int(len(words) - keep.sum()))
                 kept.append(b" ".join(words[i] for i in np.flatnonzero(keep)).decode())
@@ -284,8 +307,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 ["doc_id", "n_words", "n_removed", "text", "rest"])
 
     out = docs.join(repeats, same(repeats), "left").select(docs["did"], "text", "cuts", "rest")
-    kind = docs.schema["rest"].dataType.simpleString()
-    return out.mapInArrow(cut, f"doc_id {docs.schema['did'].dataType.simpleString()}, n_words long, n_removed long, text string, rest {kind}")
+    made = StructType([StructField("doc_id", docs.schema["did"].dataType)]).add("n_words", "long").add("n_removed", "long").add("text", "string")
+    return out.mapInArrow(cut, made.add("rest", docs.schema["rest"].dataType))
 
 
 def kept_words(text: str) -> F.Column:
