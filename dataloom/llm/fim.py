@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from dataloom.llm.common import prepare
+from dataloom.llm.common import named, prepare
 
 #: Marks before the prefix, the suffix and the middle (fixed values).
 MARKS = ("<P>", "<S>", "<M>")
@@ -84,16 +85,15 @@ def transform(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", see
     if unit not in ("char", "byte"):
         raise ValueError(f"unit must be char or byte, not {unit}")
     prepare(df.sparkSession)
-    name = lambda c: F.col("`" + c.replace("`", "``") + "`")
-    rest = F.struct(*[name(c) for c in carry]) if carry else F.lit(None).cast("string")
-    text = F.coalesce(name(text_col).cast("string"), F.lit(""))
-    draw = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(name(id_col).cast("string"), F.lit(""))).cast("binary"), 256)
+    rest = F.struct(*[named(c) for c in carry]) if carry else F.lit(None).cast("string")
+    text = F.coalesce(named(text_col).cast("string"), F.lit(""))
+    draw = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(named(id_col).cast("string"), F.lit(""))).cast("binary"), 256)
     part = [F.conv(F.substring(draw, 1 + 8 * i, 8), 16, 10).cast("long") for i in range(4)]
     plain = (text == "") | (part[2] % 100 >= rate)
     for m in marks:
         plain = plain | F.contains(text, F.lit(m))
     form = F.when(plain, "plain").when(part[3] % 100 < spm_rate, "spm").otherwise("psm")
-    rows = df.select(name(id_col).alias("doc_id"), text.alias("text"), part[0].alias("a"), part[1].alias("b"), form.alias("form"), rest.alias("rest"))
+    rows = df.select(named(id_col).alias("doc_id"), text.alias("text"), part[0].alias("a"), part[1].alias("b"), form.alias("form"), rest.alias("rest"))
     p, s, m = (x.encode() for x in marks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,9 +123,10 @@ def transform(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", see
                  _text(out), batch.column("rest")],
                 ["doc_id", "n", "form", "prefix_chars", "middle_chars", "prefix_bytes", "middle_bytes", "output", "rest"])
 
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return rows.mapInArrow(run, f"doc_id {kinds['doc_id']}, n long, form string, prefix_chars long, middle_chars long, prefix_bytes long, "
-                                f"middle_bytes long, output string, rest {kinds['rest']}")
+    made = StructType([StructField("doc_id", rows.schema["doc_id"].dataType)])
+    for c in ("n", "form", "prefix_chars", "middle_chars", "prefix_bytes", "middle_bytes", "output"):
+        made = made.add(c, "string" if c in ("form", "output") else "long")
+    return rows.mapInArrow(run, made.add("rest", rows.schema["rest"].dataType))
 
 
 def restore(df: DataFrame, marks: tuple[str, str, str] = MARKS) -> DataFrame:
@@ -165,5 +166,5 @@ def restore(df: DataFrame, marks: tuple[str, str, str] = MARKS) -> DataFrame:
             made = [_text(out), pa.array(points[:, 1] - points[:, 0], mask=mask), pa.array(points[:, 3] - points[:, 2], mask=mask)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "restored", "restored_prefix", "restored_middle"])
 
-    spec = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(run, spec + ", restored string, restored_prefix long, restored_middle long")
+    made = StructType(list(df.schema.fields)).add("restored", "string").add("restored_prefix", "long").add("restored_middle", "long")
+    return df.mapInArrow(run, made)

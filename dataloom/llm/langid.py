@@ -18,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from dataloom.llm.common import held_out, prepare, texts
+from dataloom.llm.common import held_out, named, prepare, texts
 
 _PAD = 32  # a blank: before every letter in code order
 
@@ -86,8 +87,9 @@ def learn_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang"
     return {lang: np.array(grams, np.int64) for lang, grams in profiles.items()}
 
 
-def identify(df: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "text", size: int = 400, max_n: int = 3) -> DataFrame:
-    """``df`` with lang_pred and score (1: every n-gram in place, 0: none known).
+def identify(df: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "text", size: int = 400, max_n: int = 3,
+             out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``df`` with lang_pred and score (1: every n-gram in place, 0: none known), or the names in ``out``.
 
     ``und`` with score 0 for null texts, texts without a letter, or without any
     profile to compare. Equal distances go to the first language in order.
@@ -113,17 +115,17 @@ def identify(df: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "te
         best = int(apart.argmin())
         return langs[best], float(1.0 - apart[best] / (size * len(own)))
 
-    keep = [c for c in df.columns if c not in ("lang_pred", "score")]
+    keep = [c for c in df.columns if c.lower() not in {x.lower() for x in out}]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lang, score = zip(*(judge(t) for t in texts(b.column("text of it")))) if b.num_rows else ((), ())
-            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(len(keep))] + [pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                                             keep + ["lang_pred", "score"])
+            lang, score = zip(*(judge(t) for t in texts(b.column(1)))) if b.num_rows else ((), ())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["rest", "lang", "score"])
 
-    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("text of it"))
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, fields + "lang_pred string, score double")
+    rows = df.select(F.struct(*[named(c) for c in keep]).alias("rest"), named(text_col).cast("string").alias("text"))
+    made = StructType([StructField("rest", rows.schema["rest"].dataType), StructField("lang", StringType()), StructField("score", DoubleType())])
+    judged = rows.mapInArrow(run, made)
+    return judged.select(*[F.col("rest").getField(c).alias(c) for c in keep], F.col("lang").alias(out[0]), F.col("score").alias(out[1]))
 
 
 def learn_from_training_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, np.ndarray]:

@@ -283,7 +283,7 @@ def test_word_bpe_round_trip(spark):
 
 # op 6
 
-@pytest.mark.parametrize("group_rows", [1000, 2])
+@pytest.mark.parametrize("group_rows", [1000, 2, 9])
 def test_repeated_windows_are_cut(spark, group_rows):
     rng = random.Random(11)
     passage, common_line = words(rng, 60), words(rng, 40)
@@ -312,6 +312,25 @@ def test_repeated_windows_are_cut(spark, group_rows):
     assert suffix.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_a_common_line_between_other_words(spark):
+    """An anchor that every text holds: prefixes are lengthened, and only what repeats to the full depth goes."""
+    rng = random.Random(4)
+    line = "one line of eight words for all texts"
+    passage, long_line = words(rng, 45), words(rng, 33)
+    many = [f"w{k}" for k in range(5000)]
+    body = lambda n: " ".join(rng.choice(many) for _ in range(n))
+    texts = [f"{body(30)} {line} {body(30)}" for _ in range(300)]
+    texts += [f"{body(9)} {line} {passage} {body(9)}" for _ in range(60)] + [f"{body(9)} {long_line} {body(9)}" for _ in range(60)]
+    texts += [f"{line} {body(30)}" for _ in range(40)] + [texts[0], f"{texts[1]} {body(3)}"]
+    df = docs_frame(spark, texts)
+    split = [t.split() for t in texts]
+    count = Counter(tuple(w[s:s + 35]) for w in split for s in range(len(w) - 34))
+    for group_rows in (20, 100):
+        got = {r.doc_id: r.n_removed for r in suffix.remove_repeats(df, group_rows=group_rows).collect()}
+        for i, w in enumerate(split):
+            assert got[i] == len({p for s in range(len(w) - 34) if count[tuple(w[s:s + 35])] > 1 for p in range(s, s + 35)}), i
+
+
 # op 7
 
 def test_zip_directories():
