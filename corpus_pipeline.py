@@ -14,15 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dataloom.llm import langid, packing, sanitise, simhash, suffix
-from dataloom.llm.common import materialize, prepare
+from dataloom.llm.common import materialize, named, prepare, spare
 from dataloom.session import table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language can be told; those without a letter (``und``) go."""
     prepare(spark)
-    judged = langid.identify(docs.withColumn("text to judge", F.col("text")), langid.learn_from_training_rows(docs), "text to judge")
-    return judged.where(F.col("lang_pred") != "und").select(*docs.columns)
+    lang, score = spare(docs.columns, "lang_pred"), spare(docs.columns, "score")
+    judged = langid.identify(docs, langid.learn_from_training_rows(docs), out=(lang, score))
+    return judged.where(named(lang) != "und").select(*map(named, docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,11 +31,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     prepare(spark)
     found = simhash.near_duplicates(docs, "doc_id", "text", shingle=3, max_bits=3)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_key"))
-    kept = found.groupBy("component_fp").agg(first.alias("first")).select(F.col("first.row_key").alias("kept row"))
+    key = spare(docs.columns, "kept row")
+    kept = found.groupBy("component_fp").agg(first.alias("first")).select(F.col("first.row_key").alias(key))
     kept = materialize(kept.distinct(), "kept-documents")
-    keyed = docs.withColumn("kept row", simhash.row_key("doc_id", "text"))
+    keyed = docs.withColumn(key, simhash.row_key("doc_id", "text"))
     # the join deals both sides by the key, so the rows of one key lie together already
-    return keyed.join(kept.hint("merge"), "kept row", "left_semi").dropDuplicates(["kept row"]).select(*docs.columns)
+    return keyed.join(kept.hint("merge"), key, "left_semi").dropDuplicates([key]).select(*map(named, docs.columns))
 
 
 def _with_text(result: DataFrame, docs: DataFrame) -> DataFrame:
@@ -43,7 +45,7 @@ def _with_text(result: DataFrame, docs: DataFrame) -> DataFrame:
     kind = dict(docs.dtypes).get("n_chars")
     if kind in ("int", "bigint"):
         own["n_chars"] = F.length("text").cast(kind)
-    return result.select(*[own.get(c, F.col(f"rest.`{c}`")).alias(c) for c in docs.columns])
+    return result.select(*[own[c].alias(c) if c in own else F.col("rest").getField(c).alias(c) for c in docs.columns])
 
 
 def _others(docs: DataFrame) -> list[str]:
