@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from dataloom.graphs import iterative as GI
+from dataloom.graphs.triangles import triangle_count
 from dataloom.plans.registry import query
 from dataloom.session import fixed, table
 
@@ -95,19 +96,46 @@ _DAG_SQL = """e AS (SELECT DISTINCT 'p' || CAST(l_partkey AS VARCHAR) AS src, 's
           UNION SELECT 'n' || CAST(n_nationkey AS VARCHAR), 'r' || CAST(n_regionkey AS VARCHAR) FROM nation)"""
 
 
+_TOGETHER_SQL = """pair AS (SELECT DISTINCT a.l_partkey AS x, b.l_partkey AS y FROM lineitem a JOIN lineitem b
+                             ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey WHERE a.l_returnflag = 'R' AND b.l_returnflag = 'R')"""
+
+
+def _together(spark, sf):
+    """Parts returned from one order (an order has a handful of lines)."""
+    lines = table(spark, sf, "lineitem").where("l_returnflag = 'R'").select("l_orderkey", "l_partkey").distinct()
+    baskets = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l_partkey")).alias("l"))
+    heads = baskets.select("l", F.posexplode("l").alias("p", "src"))
+    return heads.select("src", F.explode(F.expr("slice(l, p + 2, size(l))")).alias("dst")).distinct()
+
+
+@query(
+    "gr_triangle_count",
+    "WITH " + _TOGETHER_SQL + """,
+    tri AS (SELECT e.x AS a, e.y AS b, f.y AS c FROM pair e JOIN pair f ON e.y = f.x JOIN pair g ON g.x = e.x AND g.y = f.y),
+    per AS (SELECT v, COUNT(*) AS t FROM (SELECT a AS v FROM tri UNION ALL SELECT b FROM tri UNION ALL SELECT c FROM tri) GROUP BY v),
+    vs AS (SELECT x AS v FROM pair UNION SELECT y FROM pair)
+    SELECT vs.v, coalesce(per.t, 0) AS triangles FROM vs LEFT JOIN per ON vs.v = per.v""",
+)
+def gr_triangle_count(spark, sf):
+    """Triangles at every part of the graph of parts that were returned from one order."""
+    return triangle_count(_together(spark, sf))
+
+
 @query(
     "gr_transitive_closure",
     "WITH RECURSIVE " + _DAG_SQL + """,
-    tc(src, dst) AS (SELECT src, dst FROM e UNION SELECT tc.src, e.dst FROM tc JOIN e ON tc.dst = e.src)
+    tc(src, dst) AS (SELECT src, dst FROM e WHERE src IN (SELECT 'p' || CAST(p_partkey AS VARCHAR) FROM part WHERE p_size = 1)
+                     UNION SELECT tc.src, e.dst FROM tc JOIN e ON tc.dst = e.src)
     SELECT src, dst FROM tc""",
 )
 def gr_transitive_closure(spark, sf):
-    """All reachable pairs in the part -> supplier -> nation -> region graph."""
+    """What the parts of size 1 reach in the part -> supplier -> nation -> region graph."""
     li, s, n = table(spark, sf, "lineitem"), table(spark, sf, "supplier"), table(spark, sf, "nation")
     e = (li.select(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("src"), F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("dst"))
          .union(s.select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")), F.concat(F.lit("n"), F.col("s_nationkey").cast("string"))))
          .union(n.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")), F.concat(F.lit("r"), F.col("n_regionkey").cast("string")))))
-    return GI.transitive_closure(e.distinct())
+    sources = table(spark, sf, "part").where("p_size = 1").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("src"))
+    return GI.transitive_closure(e.distinct(), sources)
 
 
 @query(
