@@ -13,6 +13,7 @@ from dataloom.plans import (  # noqa: F401  (import order = section order)
     q_streaming,
     q_graphs,
     q_learn,
+    q_stats,
     q_crash,
     q_jobs,
 )
