@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dataloom.operators import groups as G
+from dataloom.operators import quantile as Q
 from dataloom.plans.fixtures import CUSTOMER_NULLS_SQL, customer_nulls, with_ctes
 from dataloom.plans.registry import query
 from dataloom.session import scratch_path, table
@@ -77,16 +78,20 @@ def group_cogroup(spark, sf):
     return out.select("nation_key", "n_customers", "n_suppliers", "customer_balance")
 
 
-def _bucketed(spark, df, name, key, n=8, sort=True):
+def _bucketed(spark, df, name, key, sort=True):
     """Write ``df`` as a table bucketed (and sorted) on ``key`` into the shared
-    scratch folder and return it; joins / groups on ``key`` then skip the shuffle."""
+    scratch folder and return it; joins / groups on ``key`` then skip the shuffle.
+    As many buckets as shuffle partitions; the table's name goes, its files stay."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, name)
     tname = f"{name}_{path.rsplit('-', 1)[-1]}"
     w = df.write.mode("overwrite").option("path", path).bucketBy(n, key)
     if sort:
         w = w.sortBy(key)
     w.saveAsTable(tname)
-    return spark.table(tname)
+    out = spark.table(tname)
+    spark.sql(f"DROP TABLE {tname}")
+    return out
 
 
 @query("group_collected", "SELECT o_custkey, COUNT(*) AS n_orders, round(SUM(o_totalprice), 2) AS total FROM orders GROUP BY o_custkey")
@@ -226,14 +231,16 @@ def agg_corr_cov(spark, sf):
        FROM lineitem GROUP BY l_returnflag""",
 )
 def agg_percentile(spark, sf):
-    """Exact (interpolated) median / p90 over a low-cardinality column, and
-    sketch-based approximate quartiles (mergeable, bounded memory)."""
-    li = table(spark, sf, "lineitem")
-    return li.groupBy("l_returnflag").agg(
-        F.median("l_quantity").alias("median_"), F.percentile("l_quantity", 0.9).alias("p90"),
+    """Exact (interpolated) median / p90 by selection over running value counts,
+    and sketch-based approximate quartiles (mergeable, bounded memory)."""
+    li = table(spark, sf, "lineitem").select("l_returnflag", "l_quantity")
+    exact = Q.percentiles(li, ["l_returnflag"], "l_quantity", {"median_": 0.5, "p90": 0.9})
+    rough = li.groupBy("l_returnflag").agg(
         F.percentile_approx("l_quantity", 0.25, 100000).alias("approx_p25"),
         F.percentile_approx("l_quantity", 0.75, 100000).alias("approx_p75"),
     )
+    return exact.join(rough, exact["l_returnflag"].eqNullSafe(rough["l_returnflag"])).select(
+        exact["l_returnflag"], "median_", "p90", "approx_p25", "approx_p75")
 
 
 @query(
@@ -250,7 +257,7 @@ def agg_mode_value_counts(spark, sf):
     li = table(spark, sf, "lineitem")
     vc = li.groupBy("l_returnflag", "l_quantity").agg(F.count("*").alias("cnt"))
     tot = vc.groupBy("l_returnflag").agg(F.sum("cnt").alias("total"), F.count("*").alias("nunique"))
-    mode = li.groupBy("l_returnflag").agg(F.mode("l_quantity", deterministic=True).alias("mode_"))
+    mode = Q.modes(vc.select("l_returnflag", F.col("l_quantity").alias("value"), F.col("cnt").alias("n")), ["l_returnflag"], "mode_")
     w = Window.partitionBy("l_returnflag").orderBy(F.desc("cnt"), "l_quantity")
     rk = vc.withColumn("rnk", F.row_number().over(w)).filter(F.col("rnk") <= 5)
     return rk.join(tot, "l_returnflag").join(mode, "l_returnflag").select(
