@@ -23,14 +23,22 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
+from dataloom.learn import lsh as L
+from dataloom.learn import matrix as M
+from dataloom.learn import partners as PA
 from dataloom.operators import groups as G
-from dataloom.operators import joins as J
 from dataloom.operators import order as O
 from dataloom.plans.fixtures import CUSTOMER_NULLS_SQL, customer_nulls, with_ctes
 from dataloom.plans.registry import query
 from dataloom.session import scratch_path, table
 
 
+#: rounds where the reference's examples leave the library's defaults, and where they name them
+DEFAULT_ROUNDS, CLUSTER_ROUNDS, ONE_VS_REST_ROUNDS = 100, 20, 10
+#: places that words are hashed into
+HASHED_PLACES = 1 << 20
+
+
 def _r(c, d=6):
     return F.round(c, d)
 
@@ -248,9 +256,25 @@ def ml_tfidf(spark, sf):
     w = d.select("doc_id", F.explode(F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda x: x != "")).alias("term"))
     tf = w.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    n = d.agg(F.count("*").alias("n")).withColumn("__one", F.lit(1))
-    j = tf.join(df, "term").withColumn("__one", F.lit(1)).join(F.broadcast(n), "__one")
-    return j.select("doc_id", "term", "tf", _r(F.col("tf") * F.log((F.col("n") + 1.0) / (F.col("df") + 1.0))).alias("tfidf"))
+    n = d.count()
+    return tf.join(df, "term").select("doc_id", "term", "tf", _r(F.col("tf") * F.log((F.lit(n) + 1.0) / (F.col("df") + 1.0))).alias("tfidf"))
+
+
+@query(
+    "ml_tfidf_hashed",
+    """SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')) AS DOUBLE) AS terms, true AS weighted FROM documents""",
+)
+def ml_tfidf_hashed(spark, sf):
+    """Hashed term counts and their IDF weights: words are hashed into 2^20 places,
+    where two words may share one; per document the sum of the counts, and whether
+    every place that is not zero has the weight of its document count."""
+    d = table(spark, sf, "documents").select("doc_id", F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda x: x != "").alias("w"))
+    x = MF.HashingTF(inputCol="w", outputCol="tf", numFeatures=HASHED_PLACES).transform(d)
+    x = MF.IDF(inputCol="tf", outputCol="tfidf").fit(x).transform(x)
+    counts, weights = F.unwrap_udt("tf")["values"], F.unwrap_udt("tfidf")["values"]  # of the places that are not zero
+    most = F.log(F.lit(d.count()) + 1.0)
+    return x.select("doc_id", F.aggregate(counts, F.lit(0.0), lambda s, v: s + v).alias("terms"),
+                    F.forall(F.zip_with(counts, weights, lambda a, b: (b >= 0) & (b < a * most)), lambda ok: ok).alias("weighted"))
 
 
 @query("ml_word2vec")
@@ -318,6 +342,19 @@ def ml_lsh_similarity(spark, sf):
     return nn.unionByName(nn2)
 
 
+@query("ml_lsh_similarity_join")
+def ml_lsh_similarity_join(spark, sf):
+    """Similarity joins by hashing: vectors at most 1.5 apart (random projections),
+    and orders whose sets of brands are at most 0.4 apart (least hashes). One row per
+    vector or order with the class of its equals and the number of its links."""
+    e = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    near = L.links(*L.similar(e, "vec_id", "v", L.euclid_hashes(4.0, 8, 4, 7), L.euclid, 1.5, 8))
+    li = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    sets = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_set(F.xxhash64("p_brand"))).alias("v"))  # as many items as there are brands
+    alike = L.links(*L.similar(sets, "l_orderkey", "v", L.jaccard_hashes(12, 2, 7), L.jaccard, 0.4, 12))
+    return near.withColumn("kind", F.lit("euclid")).unionByName(alike.withColumn("kind", F.lit("jaccard")))
+
+
 # ------------------------------------------------------------------ §2.13
 
 
@@ -349,6 +386,24 @@ def mod_classify_tree(spark, sf):
     return gbt.transform(rf.transform(dt.transform(te))).select("l_orderkey", "l_linenumber", "p_dt", "p_rf", "p_gbt")
 
 
+def other_classifiers():
+    """Factorisation machine and one-vs-rest, with the rounds of the reference's examples."""
+    return {"fm": C.FMClassifier(maxIter=DEFAULT_ROUNDS, seed=42, labelCol="label", predictionCol="p_fm", probabilityCol="pr_fm", rawPredictionCol="r_fm"),
+            "ovr": C.OneVsRest(classifier=C.LogisticRegression(maxIter=ONE_VS_REST_ROUNDS), labelCol="flag_idx", predictionCol="p_ovr")}
+
+
+def other_regressors():
+    return {"aft": R.AFTSurvivalRegression(maxIter=DEFAULT_ROUNDS, labelCol="price_k", censorCol="censor", predictionCol="p_aft"),
+            "fm": R.FMRegressor(maxIter=DEFAULT_ROUNDS, seed=42, labelCol="price_k", predictionCol="p_fm")}
+
+
+def clusterers():
+    return {"km": K.KMeans(k=4, seed=42, maxIter=CLUSTER_ROUNDS, predictionCol="c_km"),
+            "bk": K.BisectingKMeans(k=4, seed=42, maxIter=CLUSTER_ROUNDS, predictionCol="c_bk"),
+            "gm": K.GaussianMixture(k=2, seed=42, maxIter=DEFAULT_ROUNDS, predictionCol="c_gm", probabilityCol="pr_gm"),
+            "lda": K.LDA(k=10, maxIter=10, seed=42)}
+
+
 @query("mod_classify_other")
 def mod_classify_other(spark, sf):
     """Naive Bayes, multilayer perceptron, factorisation machine, one-vs-rest."""
@@ -356,9 +411,9 @@ def mod_classify_other(spark, sf):
     nb = C.NaiveBayes(labelCol="label", predictionCol="p_nb", probabilityCol="pr_nb", rawPredictionCol="r_nb").fit(tr)
     mlp = C.MultilayerPerceptronClassifier(layers=[4, 5, 2], maxIter=100, seed=42, labelCol="label", predictionCol="p_mlp",
                                            probabilityCol="pr_mlp", rawPredictionCol="r_mlp").fit(tr)
-    fm = C.FMClassifier(maxIter=10, seed=42, labelCol="label", predictionCol="p_fm", probabilityCol="pr_fm", rawPredictionCol="r_fm").fit(tr)
+    fm = other_classifiers()["fm"].fit(tr)
     idx = MF.StringIndexer(inputCol="l_returnflag", outputCol="flag_idx").fit(tr)
-    ovr = C.OneVsRest(classifier=C.LogisticRegression(maxIter=5), labelCol="flag_idx", predictionCol="p_ovr").fit(idx.transform(tr))
+    ovr = other_classifiers()["ovr"].fit(idx.transform(tr))
     return ovr.transform(fm.transform(mlp.transform(nb.transform(te)))).select("l_orderkey", "l_linenumber", "p_nb", "p_mlp", "p_fm", "p_ovr")
 
 
@@ -370,7 +425,7 @@ def mod_regress_linear(spark, sf):
     lin = R.LinearRegression(maxIter=10, elasticNetParam=0.5, regParam=0.01, labelCol="price_k", predictionCol="p_lin").fit(x)
     glr = R.GeneralizedLinearRegression(family="gaussian", link="identity", maxIter=10, labelCol="price_k", predictionCol="p_glr").fit(x)
     iso = R.IsotonicRegression(featuresCol="l_quantity", labelCol="price_k", predictionCol="p_iso").fit(x)
-    aft = R.AFTSurvivalRegression(maxIter=10, labelCol="price_k", censorCol="censor", predictionCol="p_aft").fit(x)
+    aft = other_regressors()["aft"].fit(x)
     return aft.transform(iso.transform(glr.transform(lin.transform(x)))).select("l_orderkey", "l_linenumber", "p_lin", "p_glr", "p_iso", "p_aft")
 
 
@@ -381,7 +436,7 @@ def mod_regress_tree(spark, sf):
     dt = R.DecisionTreeRegressor(maxDepth=5, labelCol="price_k", predictionCol="p_dt").fit(x)
     rf = R.RandomForestRegressor(numTrees=10, maxDepth=5, seed=42, labelCol="price_k", predictionCol="p_rf").fit(x)
     gbt = R.GBTRegressor(maxIter=10, seed=42, labelCol="price_k", predictionCol="p_gbt").fit(x)
-    fm = R.FMRegressor(maxIter=10, seed=42, labelCol="price_k", predictionCol="p_fm").fit(x)
+    fm = other_regressors()["fm"].fit(x)
     return fm.transform(gbt.transform(rf.transform(dt.transform(x)))).select("l_orderkey", "l_linenumber", "p_dt", "p_rf", "p_gbt", "p_fm")
 
 
@@ -390,16 +445,14 @@ def mod_cluster(spark, sf):
     """K-means, bisecting k-means, Gaussian mixture (embeddings); LDA topics
     (documents); power iteration clustering (supplier-part graph)."""
     e = table(spark, sf, "embeddings").select("vec_id", array_to_vector("embedding").alias("features"))
-    km = K.KMeans(k=4, seed=42, maxIter=10, predictionCol="c_km").fit(e)
-    bk = K.BisectingKMeans(k=4, seed=42, maxIter=10, predictionCol="c_bk").fit(e)
-    gm = K.GaussianMixture(k=2, seed=42, maxIter=5, predictionCol="c_gm", probabilityCol="pr_gm").fit(e)
+    km, bk, gm = (clusterers()[x].fit(e) for x in ("km", "bk", "gm"))
     a = gm.transform(bk.transform(km.transform(e))).select(F.col("vec_id").alias("id"), F.lit("vec").alias("kind"),
                                                            F.array("c_km", "c_bk", "c_gm").alias("clusters"))
     d = table(spark, sf, "documents").select("doc_id", "text")
     x = MF.RegexTokenizer(inputCol="text", outputCol="w", pattern="[^a-z]+", gaps=True).transform(d)
-    # every word counts: hashed into a fixed number of places, no vocabulary on the driver
+    # every word counts: hashed into a fixed number of places (two words may share one), no vocabulary on the driver
     x = MF.HashingTF(inputCol="w", outputCol="features", numFeatures=1 << 16).transform(x)
-    lda = K.LDA(k=10, maxIter=10, seed=42).fit(x)
+    lda = clusterers()["lda"].fit(x)
     b = lda.transform(x).select(F.col("doc_id").alias("id"), F.lit("doc").alias("kind"),
                                 F.transform(vector_to_array("topicDistribution"), lambda t: F.round(t * 100).cast("int")).alias("clusters"))
     li = table(spark, sf, "lineitem")
@@ -411,42 +464,61 @@ def mod_cluster(spark, sf):
 
 @query("mod_recommend_als")
 def mod_recommend_als(spark, sf):
-    """ALS on customer x part quantities; of the parts a customer has bought, the
-    three of highest predicted rating (candidates grow with the purchases, not
-    with customers x parts); unseen ids dropped (cold start)."""
-    li = table(spark, sf, "lineitem")
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    r = li.join(o, li.l_orderkey == o.o_orderkey).groupBy(F.col("o_custkey").alias("u"), F.col("l_partkey").alias("i")).agg(
-        F.sum("l_quantity").cast("float").alias("r"))
+    """ALS on customer x part quantities; of the parts a customer has bought and the
+    new ones that go with them (at most five per part, so candidates grow with the
+    purchases, not with customers x parts), the three of highest predicted
+    rating; unseen ids dropped (cold start)."""
+    lines = _orders_of_customers(spark, sf)
+    r = lines.groupBy("u", "i").agg(F.sum("l_quantity").cast("float").alias("r"))
     m = ALS(rank=4, maxIter=5, regParam=0.1, userCol="u", itemCol="i", ratingCol="r", coldStartStrategy="drop", seed=42).fit(r)
-    top = G.top_n(m.transform(r), ["u"], [F.desc("prediction"), F.col("i")], 3)
+    candidates = r.select("u", "i").unionByName(PA.new_items(lines, PA.partners(lines, top=5)))
+    top = G.top_n(m.transform(candidates), ["u"], [F.desc("prediction"), F.col("i")], 3)
     return top.select("u", "i", F.col("prediction").alias("score"))
 
 
-def new_part_candidates(lines):
-    """(u, i) of every part bought in one order with a part of the customer and not yet bought by that customer.
+def _orders_of_customers(spark, sf):
+    li = table(spark, sf, "lineitem")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(F.col("l_orderkey").alias("basket"), F.col("o_custkey").alias("u"), F.col("l_partkey").alias("i"), "l_quantity")
+
+
+_X = "CASE WHEN {0} > 0 THEN {0} * ln({0}) ELSE 0 END"
+
+
+def _h(*counts: str) -> str:
+    return "(" + _X.format("(" + " + ".join(counts) + ")") + "".join(" - " + _X.format(c) for c in counts) + ")"
 
-    ``lines`` has order, u, i. Pairs of parts are made within an order and kept
-    once before they meet the purchases; rows of hot parts are salted.
-    """
-    bought = lines.select("u", "i").distinct()
-    basket = lines.select("order", "i").distinct()
-    pairs = basket.join(basket.withColumnRenamed("i", "other"), "order").where("i <> other").select("i", "other").distinct()
-    met = J.salted_join(bought, pairs.withColumnRenamed("i", "__i"), ["i"], ["__i"]).select("u", F.col("other").alias("i")).distinct()
-    return met.join(bought, ["u", "i"], "left_anti")
+
+_PARTNERS_SQL = f"""ln AS (SELECT DISTINCT l_orderkey AS b, o_custkey AS u, l_partkey AS i FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+       bk AS (SELECT DISTINCT b, i FROM ln), t AS (SELECT COUNT(DISTINCT b) AS n FROM bk), c AS (SELECT i, COUNT(*) AS n FROM bk GROUP BY i),
+       co AS (SELECT x.i, y.i AS other, COUNT(*) AS k FROM bk x JOIN bk y ON x.b = y.b AND x.i <> y.i GROUP BY 1, 2),
+       q AS (SELECT co.i, co.other, CAST(co.k AS DOUBLE) AS p, CAST(a.n - co.k AS DOUBLE) AS q, CAST(z.n - co.k AS DOUBLE) AS r, CAST(t.n - a.n - z.n + co.k AS DOUBLE) AS s
+             FROM co JOIN c a ON a.i = co.i JOIN c z ON z.i = co.other, t WHERE co.k * t.n > a.n * z.n),
+       l AS (SELECT i, other, round(2 * ({_h("(p + q)", "(r + s)")} + {_h("(p + r)", "(q + s)")} - {_h("p", "q", "r", "s")}), 9) AS llr FROM q),
+       pt AS (SELECT i, other FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY llr DESC, other) AS place FROM l) WHERE place <= 5)"""
+
+
+@query(
+    "mod_recommend_candidates",
+    f"""WITH {_PARTNERS_SQL}
+       SELECT DISTINCT ln.u, pt.other AS i FROM ln JOIN pt ON ln.i = pt.i WHERE NOT EXISTS (SELECT 1 FROM ln x WHERE x.u = ln.u AND x.i = pt.other)""",
+)
+def mod_recommend_candidates(spark, sf):
+    """New parts for a customer: of every part bought, the five parts that share
+    orders with it most significantly, less those the customer has."""
+    lines = _orders_of_customers(spark, sf)
+    return PA.new_items(lines, PA.partners(lines, top=5))
 
 
 @query("mod_recommend_new_parts")
 def mod_recommend_new_parts(spark, sf):
-    """ALS on customer x part quantities; of the parts bought together with a
-    customer's parts, the three of highest predicted rating that the customer
-    has not bought; candidates without factors dropped (cold start)."""
-    li = table(spark, sf, "lineitem")
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    lines = li.join(o, li.l_orderkey == o.o_orderkey).select(F.col("l_orderkey").alias("order"), F.col("o_custkey").alias("u"), F.col("l_partkey").alias("i"), "l_quantity")
+    """ALS on customer x part quantities; of the new parts that go with a
+    customer's parts (at most five per part), the three of highest predicted
+    rating; candidates without factors dropped (cold start)."""
+    lines = _orders_of_customers(spark, sf)
     r = lines.groupBy("u", "i").agg(F.sum("l_quantity").cast("float").alias("r"))
     m = ALS(rank=4, maxIter=5, regParam=0.1, userCol="u", itemCol="i", ratingCol="r", coldStartStrategy="drop", seed=42).fit(r)
-    top = G.top_n(m.transform(new_part_candidates(lines)), ["u"], [F.desc("prediction"), F.col("i")], 3)
+    top = G.top_n(m.transform(PA.new_items(lines, PA.partners(lines, top=5))), ["u"], [F.desc("prediction"), F.col("i")], 3)
     return top.select("u", "i", F.col("prediction").alias("score"))
 
 
@@ -614,17 +686,13 @@ def stat_cosine_pairs(spark, sf):
     similarity of the original columns. ``Correlation.corr`` computes it as
     one JVM tree-aggregate (a d x d result set by the dimension, not the data);
     no Python runs per row and no (row, column, column) triples are emitted."""
-    import numpy as np
     from pyspark.ml.stat import Correlation
 
     e = table(spark, sf, "embeddings").select("embedding")
     both = e.select(array_to_vector(F.transform("embedding", lambda v: v.cast("double"))).alias("v")).unionByName(
         e.select(array_to_vector(F.transform("embedding", lambda v: -v.cast("double"))).alias("v")))
-    g = np.array(Correlation.corr(both, "v", "pearson").first()[0].toArray())
-    d = g.shape[0]
-    pairs = [(i, k, float(g[i, k])) for i in range(d) for k in range(i + 1, d) if g[i, k] > _COS_T]
-    out = spark.createDataFrame(pairs, "i int, k int, cosine double")
-    return out.select("i", "k", F.round("cosine", 6).alias("cosine"))
+    cells = M.entries(Correlation.corr(both, "v", "pearson").first()[0].toArray(), e)
+    return cells.where((F.col("i") < F.col("j")) & (F.col("v") > _COS_T)).select("i", F.col("j").alias("k"), F.round("v", 6).alias("cosine"))
 
 
 _KDE_POINTS = list(range(0, 55, 5))

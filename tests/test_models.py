@@ -17,9 +17,13 @@ def run(spark, name):
     return REGISTRY[name].fn(spark, SF_SMALL)
 
 
-def test_training_settings():
+def test_training_settings(spark):
     assert (CR.FOREST_TREES, CR.FOREST_DEPTH, CR.SCORER_DEPTH, CR.LOGISTIC_ROUNDS) == (80, 12, 10, 50)
-    for fn, words in ((q_learn.mod_classify_other, ["maxIter=100"]), (q_learn.mod_cluster, ["K.LDA(k=10, maxIter=10", "maxIter=20"]),
+    rounds = {k: m.getMaxIter() for k, m in {**q_learn.clusterers(), **q_learn.other_regressors()}.items()}
+    assert rounds == {"km": 20, "bk": 20, "gm": 100, "lda": 10, "aft": 100, "fm": 100}
+    other = q_learn.other_classifiers()
+    assert (other["fm"].getMaxIter(), other["ovr"].getClassifier().getMaxIter()) == (100, 10)
+    for fn, words in ((q_learn.mod_classify_other, ["maxIter=100"]), (q_learn.mod_cluster, ["maxIter=20"]),
                       (q_learn.mod_recommend_als, ["maxIter=5"]), (q_learn.mod_classify_tree, ["GBTClassifier(maxIter=10"])):
         assert all(w in inspect.getsource(fn) for w in words), fn
     assert "CR.FOREST_TREES" in inspect.getsource(q_crash.mod_batch_score)
@@ -61,11 +65,12 @@ def test_tuning_covers_the_grid(spark):
     assert len(rows) == 12 and len({(r.method, r.reg, r.elastic) for r in rows}) == 12 and all(0 <= r.auc <= 1 for r in rows)
 
 
-def test_recommendations_are_purchases(spark):
+def test_recommendations_are_purchases_or_go_with_them(spark):
     recs = run(spark, "mod_recommend_als")
     li, o = table(spark, SF_SMALL, "lineitem"), table(spark, SF_SMALL, "orders")
     bought = li.join(o, li.l_orderkey == o.o_orderkey).select(F.col("o_custkey").alias("u"), F.col("l_partkey").alias("i")).distinct()
-    assert recs.count() > 0 and recs.join(bought, ["u", "i"], "left_anti").count() == 0
+    new = recs.join(bought, ["u", "i"], "left_anti")
+    assert recs.count() > new.count() > 0 and new.join(run(spark, "mod_recommend_candidates"), ["u", "i"], "left_anti").count() == 0
     assert recs.groupBy("u").count().agg(F.max("count")).first()[0] <= 3
 
 
