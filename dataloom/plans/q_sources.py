@@ -191,10 +191,11 @@ def src_whole_text(spark, sf):
     """One row per file (wholetext): the files together hold every document."""
     d = table(spark, sf, "documents").select("text")
     path = scratch_path(spark, "whole")
-    d.repartition(max(4, plan_bytes(d) >> 26)).write.text(path)  # files of about 64 MB
+    # files of about 64 MB; a document ends with a mark that no text holds
+    d.repartition(max(4, plan_bytes(d) >> 26)).write.option("lineSep", "\u0001").text(path)
     files = spark.read.text(path, wholetext=True)
-    docs = d.count()
-    return files.agg(F.sum(F.length("value")).cast("long").alias("n_chars")).withColumn("n_docs", F.lit(docs).cast("long"))
+    return files.agg(F.sum(F.length("value")).cast("long").alias("n_chars"),
+                     F.sum(F.size(F.split("value", "\u0001")) - 1).cast("long").alias("n_docs"))
 
 
 @query("src_hadoop_formats", "SELECT n_name AS line, true AS placed FROM nation")
@@ -207,6 +208,27 @@ def src_hadoop_formats(spark, sf):
     return rdd.toDF(["offset", "line"]).select("line", (F.col("offset") >= 0).alias("placed"))
 
 
+@query(
+    "src_hadoop_records",
+    """SELECT 'fixed length' AS format, l_orderkey AS orderkey, l_linenumber AS linenumber, CAST(round(l_quantity * 100) AS BIGINT) AS hundredths FROM lineitem
+       UNION ALL SELECT 'key and value', l_orderkey, l_linenumber, CAST(round(l_quantity * 100) AS BIGINT) FROM lineitem""",
+)
+def src_hadoop_records(spark, sf):
+    """Lines saved through two Hadoop output formats and read back through input
+    formats by class name: records of a fixed length without separators, cut out
+    by that length and decoded by Spark; and a sequence file of texts."""
+    li = table(spark, sf, "lineitem")
+    hundredths = F.round(F.col("l_quantity") * 100).cast("long")
+    numbers = li.select(F.col("l_orderkey").alias("orderkey"), F.col("l_linenumber").cast("long").alias("linenumber"), hundredths.alias("hundredths"))
+    records = IO.write_fixed_records(numbers, scratch_path(spark, "hadoop-records"), {"orderkey": 20, "linenumber": 11, "hundredths": 20})
+    fixed = IO.read_fixed_records(spark, records, {"orderkey": 20, "linenumber": 11, "hundredths": 20})
+    pairs = IO.write_hadoop_pairs(numbers.select("orderkey", F.concat_ws(",", "linenumber", "hundredths").alias("value")), scratch_path(spark, "hadoop-pairs"))
+    back = IO.read_hadoop_pairs(spark, pairs).select(F.col("key").cast("long").alias("orderkey"), F.split("value", ",").alias("p"))
+    back = back.select("orderkey", F.col("p")[0].cast("long").alias("linenumber"), F.col("p")[1].cast("long").alias("hundredths"))
+    read = fixed.select(*[F.col(c).cast("long").alias(c) for c in ("orderkey", "linenumber", "hundredths")])
+    return read.withColumn("format", F.lit("fixed length")).unionByName(back.withColumn("format", F.lit("key and value")))
+
+
 @query("src_libsvm", "SELECT CAST(label AS DOUBLE) AS label, len(list_filter(embedding, lambda x: x <> 0)) AS n_features FROM embeddings")
 def src_libsvm(spark, sf):
     """Sparse label + index:value text read by the libsvm source (64 features)."""
@@ -245,10 +267,13 @@ def src_generic_options(spark, sf):
     ),
 )
 def sink_text_csv_out(spark, sf):
-    """CSV out with a header, a null marker and gzip; read back as raw lines."""
+    """CSV out with a null marker and gzip in as many files as tasks, and one header
+    in a file of its own; read back as raw lines."""
     c = customer_nulls(spark, sf).select("c_custkey", "name", "nation")
     path = scratch_path(spark, "csv-out")
-    c.coalesce(1).write.option("header", True).option("sep", "|").option("nullValue", "NA").option("compression", "gzip").csv(path)
+    out = lambda df: df.write.mode("append").option("sep", "|").option("nullValue", "NA").option("compression", "gzip")
+    out(c).csv(path)
+    out(spark.range(1).select(F.lit("|".join(c.columns)).alias("value"))).text(path)
     return spark.read.text(path)
 
 
@@ -350,7 +375,7 @@ def sink_column_index(spark, sf):
     skips row groups by their min / max statistics instead of a full scan."""
     path = scratch_path(spark, "indexed")
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    li.repartitionByRange(8, "l_orderkey").sortWithinPartitions("l_orderkey").write.option("parquet.block.size", 1 << 20).parquet(path)
+    li.repartitionByRange("l_orderkey").sortWithinPartitions("l_orderkey").write.option("parquet.block.size", 1 << 20).parquet(path)
     return spark.read.parquet(path).filter(F.col("l_orderkey").between(1000, 1100))
 
 

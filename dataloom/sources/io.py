@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from itertools import batched
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -132,3 +133,53 @@ def read_with_schema(spark: SparkSession, path: str, fmt: str = "csv", **options
 def file_name(col: str = "_metadata.file_name") -> Column:
     """Source file of each row (``-tagFile``); ``_metadata.file_path`` for ``-tagPath``."""
     return F.col(col)
+
+
+# ------------------------------------------------- Hadoop input and output formats
+
+_HADOOP = "org.apache.hadoop.mapreduce.lib"
+_TEXT = "org.apache.hadoop.io.Text"
+
+
+def write_fixed_records(df: DataFrame, path: str, widths: Mapping[str, int]) -> str:
+    """Save rows as records of one length through Hadoop's text output format; returns ``path``.
+
+    Fields are padded to their widths (a null is blank); the format ends each
+    record with a newline, which counts to its length. A longer field is an error.
+    """
+    fits = [F.coalesce(F.length(F.col(c).cast("string")) <= w, F.lit(True)) for c, w in widths.items()]
+    checked = df.select(*[F.when(ok, F.col(c).cast("string")).otherwise(F.raise_error(F.lit(f"{c} is longer than {w}"))).alias(c)
+                          for ok, (c, w) in zip(fits, widths.items())])
+    to_fixed_width(checked, widths).rdd.map(lambda r: (None, r[0])).saveAsNewAPIHadoopFile(
+        path, f"{_HADOOP}.output.TextOutputFormat", "org.apache.hadoop.io.NullWritable", _TEXT)
+    return path
+
+
+def read_fixed_records(spark: SparkSession, path: str, widths: Mapping[str, int], batch: int = 4096) -> DataFrame:
+    """Records cut out by their length alone (``FixedLengthInputFormat``) as text columns, blanks cut off, blank fields null.
+
+    Python hands over ``batch`` records at a time and Spark takes them apart.
+    """
+    size = sum(widths.values()) + 1
+    chunks = spark.sparkContext.binaryRecords(path, size).mapPartitions(lambda it: ((bytearray(b"".join(x)),) for x in batched(it, batch)))
+    many = spark.createDataFrame(chunks, "chunk binary")
+    count = F.floor(F.octet_length("chunk") / size).cast("int")
+    one = many.select("chunk", F.explode(F.sequence(F.lit(0), count - 1)).alias("k")).select(F.substring(F.col("chunk"), F.col("k") * size + 1, F.lit(size)).alias("r"))
+    cols, at = [], 1
+    for c, w in widths.items():
+        cols.append(F.nullif(F.trim(F.decode(F.substring("r", at, w), "UTF-8")), F.lit("")).alias(c))
+        at += w
+    return one.select(*cols)
+
+
+def write_hadoop_pairs(df: DataFrame, path: str) -> str:
+    """Save the first two columns as texts through Hadoop's sequence file output format; returns ``path``."""
+    texts = df.select(*[F.col(c).cast("string") for c in df.columns[:2]])
+    texts.rdd.map(tuple).saveAsNewAPIHadoopFile(path, f"{_HADOOP}.output.SequenceFileOutputFormat", _TEXT, _TEXT)
+    return path
+
+
+def read_hadoop_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """(key, value) texts of a sequence file, by input format class."""
+    pairs = spark.sparkContext.newAPIHadoopFile(path, f"{_HADOOP}.input.SequenceFileInputFormat", _TEXT, _TEXT)
+    return spark.createDataFrame(pairs, "key string, value string")
