@@ -18,6 +18,23 @@ def _events_stream(spark, sf, slices=4):
     return S.file_stream(spark, src, e.schema, files_per_trigger=files)
 
 
+def _closing_stream(spark, sf, after, slices=4):
+    """The same behind a watermark, with a last arrival that closes all windows of at most ``after``."""
+    e = table(spark, sf, "events")
+    src = scratch_path(spark, "st-src")
+    files = S.stage_files(e, src, slices, "ts")
+    S.stage_flush(e, src, "ts", after)
+    s = S.file_stream(spark, src, e.schema, files_per_trigger=files)
+    return s.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "0 seconds")
+
+
+def _closed(spark, sdf, name):
+    """What an append-mode stream of closed windows has put into its sink."""
+    sink, ck = _paths(spark, name)
+    S.run_append(sdf, sink, ck)
+    return spark.read.schema(sdf.schema).parquet(sink)
+
+
 def _paths(spark, name):
     return scratch_path(spark, f"{name}-sink"), scratch_path(spark, f"{name}-ckpt")
 
@@ -37,16 +54,17 @@ def st_file_source(spark, sf):
        WHERE word <> '' GROUP BY word""",
 )
 def st_wordcount(spark, sf):
-    """Running word counts over a text file stream, complete output mode."""
+    """Running word counts over a text file stream, one arrival a trigger; a batch
+    writes the counts it changed, under its batch id, and the last one of a word holds."""
     d = table(spark, sf, "documents").select(F.col("text").alias("value"))
     src = scratch_path(spark, "st-text")
-    S.stage_files(d, src, 6, fmt="text")
-    lines = spark.readStream.option("maxFilesPerTrigger", 2).text(src)
+    files = S.stage_files(d, src, 3, fmt="text")
+    lines = spark.readStream.option("maxFilesPerTrigger", files).text(src)
     counts = (lines.select(F.explode(F.split(F.lower("value"), "[^a-z]+")).alias("word")).filter(F.col("word") != "")
               .groupBy("word").agg(F.count("*").alias("cnt")))
     sink, ck = _paths(spark, "st-wc")
-    S.run_complete(counts, sink, ck)
-    return spark.read.parquet(sink)
+    S.run_foreach_batch(counts, lambda df, batch_id: df.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}"), ck, mode="update")
+    return spark.read.parquet(sink).groupBy("word").agg(F.max("cnt").alias("cnt"))  # a count only grows
 
 
 @query(
@@ -98,10 +116,9 @@ def st_batch_count_reduce(spark, sf):
               event_type, COUNT(*) AS n FROM events GROUP BY 1, 2, 3""",
 )
 def st_tumbling(spark, sf):
-    s = S.window_counts(_events_stream(spark, sf), "ts", "1 hour", None, ["event_type"], [F.count("*").alias("n")])
-    sink, ck = _paths(spark, "st-tumble")
-    S.run_complete(s, sink, ck)
-    return spark.read.parquet(sink)
+    """Hourly windows in append mode: a window comes out when the watermark has passed it, and its state goes."""
+    s = S.window_counts(_closing_stream(spark, sf, "2 HOURS"), "ts", "1 hour", None, ["event_type"], [F.count("*").alias("n")])
+    return _closed(spark, s, "st-tumble")
 
 
 @query(
@@ -111,11 +128,9 @@ def st_tumbling(spark, sf):
          UNION ALL SELECT time_bucket(INTERVAL 1 HOUR, ts) - INTERVAL 1 HOUR, event_type FROM events) GROUP BY 1, 2, 3""",
 )
 def st_sliding(spark, sf):
-    """Two-hour windows sliding by one hour: each event counts in two windows."""
-    s = S.window_counts(_events_stream(spark, sf), "ts", "2 hours", "1 hour", ["event_type"], [F.count("*").alias("n")])
-    sink, ck = _paths(spark, "st-slide")
-    S.run_complete(s, sink, ck)
-    return spark.read.parquet(sink)
+    """Two-hour windows sliding by one hour, in append mode: each event counts in two windows."""
+    s = S.window_counts(_closing_stream(spark, sf, "4 HOURS"), "ts", "2 hours", "1 hour", ["event_type"], [F.count("*").alias("n")])
+    return _closed(spark, s, "st-slide")
 
 
 @query(
@@ -127,14 +142,12 @@ def st_sliding(spark, sf):
        SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end, COUNT(*) AS n FROM y GROUP BY user_id, sid""",
 )
 def st_session(spark, sf):
-    """Gap-closed sessions per user (6 h gap) with ``session_window`` on the stream."""
-    s = _events_stream(spark, sf)
+    """Gap-closed sessions per user (6 h gap) with ``session_window`` on the stream, given out once they are closed."""
+    s = _closing_stream(spark, sf, "8 HOURS")
     agg = s.groupBy("user_id", F.session_window("ts", "6 hours").alias("sw")).agg(F.count("*").alias("n")).select(
         "user_id", F.col("sw.start").cast("timestamp_ntz").alias("session_start"),
         F.col("sw.end").cast("timestamp_ntz").alias("session_end"), "n")
-    sink, ck = _paths(spark, "st-session")
-    S.run_complete(agg, sink, ck)
-    return spark.read.parquet(sink)
+    return _closed(spark, agg, "st-session")
 
 
 @query(
@@ -197,12 +210,10 @@ def st_stateful_update(spark, sf):
               user_id, round(SUM(value), 2) AS total, COUNT(*) AS n FROM events GROUP BY 1, 2, 3""",
 )
 def st_reduce_window(spark, sf):
-    """Windowed reduce per key (daily sum of value per user), incremental state."""
-    s = S.window_counts(_events_stream(spark, sf), "ts", "1 day", None, ["user_id"],
+    """Windowed reduce per key (daily sum of value per user), incremental state that goes with its window."""
+    s = S.window_counts(_closing_stream(spark, sf, "2 DAYS"), "ts", "1 day", None, ["user_id"],
                         [F.round(F.sum("value"), 2).alias("total"), F.count("*").alias("n")])
-    sink, ck = _paths(spark, "st-rwin")
-    S.run_complete(s, sink, ck)
-    return spark.read.parquet(sink)
+    return _closed(spark, s, "st-rwin")
 
 
 @query(

@@ -48,16 +48,31 @@ def stage_files(df: DataFrame, path: str, slices: int, order_col: str | None = N
     return files
 
 
+def stage_flush(df: DataFrame, path: str, ts: str, after: str) -> None:
+    """A last arrival of one row, ``after`` (an interval) behind the latest ``ts``, all other columns null.
+
+    It moves the watermark past every window of the rows before it, so an
+    append-mode stream gives these out and drops their state. Its own window stays open.
+    """
+    last = df.agg(F.max(ts).alias(ts)).where(F.col(ts).isNotNull())
+    row = last.select(*[(F.col(ts) + F.expr(f"INTERVAL {after}")).cast(f.dataType).alias(ts) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name)
+                        for f in df.schema])
+    row.coalesce(1).write.mode("append").parquet(path)  # one row
+
+
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", files_per_trigger: int = 2) -> DataFrame:
     return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_trigger).load(path)
 
 
-def run_append(sdf: DataFrame, sink: str, checkpoint: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Append mode into a file sink (exactly-once through the sink's log)."""
+def run_append(sdf: DataFrame, sink: str, checkpoint: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> int:
+    """Append mode into a file sink (exactly-once through the sink's log); returns the rows of state left at the end."""
     w = sdf.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.start(sink).awaitTermination()
+    run = w.start(sink)
+    run.awaitTermination()
+    last = run.lastProgress
+    return sum(s["numRowsTotal"] for s in last["stateOperators"]) if last else 0
 
 
 def run_complete(sdf: DataFrame, sink: str, checkpoint: str) -> None:
