@@ -283,25 +283,27 @@ def asof_join(
     unmatched = L.filter(~known)
     L, R = L.filter(known), R.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*by, "__t"]]))
     u = L.withColumn("__rec", F.lit(None).cast(R.schema["__rec"].dataType)).unionByName(R, allowMissingColumns=True)
+    # right rows of one key and time go by their own columns, so the record taken does not depend on where rows lie
+    u = u.withColumn("__tie", F.to_json("__rec"))
     # exact matches: right rows sort before (backward) / after (forward) left rows
     # of the same ``on`` value when allowed
     side_first = allow_exact_matches == backward
     side_order = F.col("__side").asc() if side_first else F.col("__side").desc()
     from dataloom.operators import seqwin as SW
 
-    if tolerance is None and SW.key_is_hot(u, part or []):
-        # unbounded look-back and a dominant key: the match is a forward
-        # (backward) fill of the right record over the merged sequence, done by
-        # positions and joins instead of one window task for the key
+    if tolerance is None:
+        # unbounded look-back: the match is a forward (backward) fill of the
+        # right record over the merged sequence, done by positions and joins, so
+        # no key needs a window task of its own
         u2 = u.withColumn("__sord", F.col("__side") if side_first else -F.col("__side"))
-        filled = SW.fill_directional(u2, ["__rec"], ["__t", "__sord"], part, forward=backward)
+        filled = SW.fill_directional(u2, ["__rec"], ["__t", "__sord", "__tie"], part, forward=backward)
         out = filled.withColumnRenamed("__rec", "__m").drop("__sord").filter(F.col("__side") == 1)
     else:
         if backward:
-            w = Window.partitionBy(*part).orderBy(F.col("__t").asc(), side_order).rowsBetween(Window.unboundedPreceding, 0)
+            w = Window.partitionBy(*part).orderBy(F.col("__t").asc(), side_order, "__tie").rowsBetween(Window.unboundedPreceding, 0)
             m = F.last("__rec", ignorenulls=True).over(w)
         else:
-            w = Window.partitionBy(*part).orderBy(F.col("__t").asc(), side_order).rowsBetween(0, Window.unboundedFollowing)
+            w = Window.partitionBy(*part).orderBy(F.col("__t").asc(), side_order, "__tie").rowsBetween(0, Window.unboundedFollowing)
             m = F.first("__rec", ignorenulls=True).over(w)
         out = u.withColumn("__m", m).filter(F.col("__side") == 1)
     if not allow_exact_matches:

@@ -1,29 +1,113 @@
 """ROWS-frame window functions without a per-key task.
 
 ``Window.partitionBy(key)`` sends all rows of a key to one task; a key with a
-third of the data makes that task a third of the job. Here a window becomes:
-
-1. a position ``__i`` (1..n) of each row inside its key, from the running
-   count over range partitions with carried partition totals
-   (:func:`dataloom.operators.order.running_agg`), plus the key's size ``__n``;
-2. each row is copied to the positions whose frame contains it (frame width
-   copies) and the frame is aggregated by (key, position): every group holds at
-   most width + 1 rows, so a hot key spreads over as many tasks as it has rows.
-
-Supported: lag / lead, sum / count / min / max / avg, first / last / nth value
-over ``ROWS BETWEEN lo AND hi`` with bounded ``lo`` and ``hi``, row_number and
-ntile. Ties in the order columns get an arbitrary but consistent sequence, as
+third of the data makes that task a third of the job. :func:`over` cuts the rows into
+ranges of (key, order) instead, so a key's rows may span many tasks:
+
+1. each range is given the few rows that stand before and behind it (as many
+   as the frames reach), and Spark's own window functions run inside the ranges;
+2. running aggregates and positions start from what the earlier ranges hold of
+   the key: only the first and the last key of a range can go on in another,
+   so the totals carried are at most two small rows a range.
+
+:func:`with_position` and :func:`frame` give positions and frames as an aggregation by
+(key, position), for frames whose members are fetched by joins (fills, sessions).
+Ties in the order columns get an arbitrary but consistent sequence, as
 in a ROWS frame.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from dataloom.operators.order import running_agg
+from dataloom.operators.order import _materialize, running_agg
+from dataloom.session import fixed
+
+#: how the running value of a range goes on from that of the ranges before it
+_JOINED = {"sum": lambda a, b: F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b), "count": lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)),
+           "min": lambda a, b: F.least(a, b), "max": lambda a, b: F.greatest(a, b)}
+_AGGREGATE = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+
+
+def over(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    made: Callable[[WindowSpec], dict[str, Column]] | None = None,
+    before: int = 0,
+    behind: int = 0,
+    running: Mapping[str, tuple[str, str]] | None = None,
+    whole: Mapping[str, tuple[str, str]] | None = None,
+) -> DataFrame:
+    """The rows of ``df`` with window columns per ``keys`` in ``order`` (ascending, nulls first), no key in one task.
+
+    ``made(w)`` gives columns over the window ``w``; they may reach ``before``
+    rows back and ``behind`` rows on (``w.rowsBetween(-before, behind)``, lag, lead).
+    ``running`` maps a name to (sum | count | min | max, column): the aggregate
+    from the key's first row to this one; ``whole`` the same over all the key's rows.
+    A count of "*" gives positions and sizes. Null keys are a group. An empty table gives no rows.
+    """
+    keys, order = list(keys), list(order)
+    running, whole = dict(running or {}), dict(whole or {})
+    up = [F.col(c).asc_nulls_first() for c in keys + order]
+    down = [F.col(c).desc_nulls_last() for c in keys + order]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = _materialize(df.repartitionByRange(n, *up).withColumn("__pid", F.spark_partition_id()))
+    ranges = Window.partitionBy("__pid")
+
+    def ends(sort: list[Column], k: int) -> DataFrame:
+        """The first rows of every range in this order; a task sends no more than ``k``."""
+        return fixed(rows.withColumn("__k", F.row_number().over(ranges.orderBy(*sort))).where(F.col("__k") <= k), "range-ends")
+
+    def lent(side: DataFrame, k: int, backwards: bool) -> DataFrame:
+        """The ``k`` rows next to each range, from the ranges beside it (from further ones, where these are short)."""
+        held = {r["__pid"]: r["n"] for r in side.groupBy("__pid").agg(F.count("*").alias("n")).collect()}  # a number a range
+        pids = sorted(held, reverse=backwards)
+        wanted = []
+        for i, p in enumerate(pids):
+            need, j = k, i + 1
+            while need > 0 and j < len(pids):
+                take = min(need, held[pids[j]])
+                wanted += [(p, pids[j], x) for x in range(1, take + 1)]
+                need, j = need - take, j + 1
+        which = F.broadcast(df.sparkSession.createDataFrame(wanted, "__to int, __of int, __at int"))  # at most k rows a range
+        return side.join(which, (F.col("__pid") == F.col("__of")) & (F.col("__k") == F.col("__at"))).select(*df.columns, F.col("__to").alias("__pid"))
+
+    last, first = ends(down, max(before, 1)), ends(up, max(behind, 1))
+    out = rows.withColumn("__lent", F.lit(False))
+    for side, k, backwards in ((last, before, True), (first, behind, False)):
+        if k:
+            out = out.unionByName(lent(side, k, backwards).withColumn("__lent", F.lit(True)))
+    w = Window.partitionBy("__pid", *keys).orderBy(*up)
+    value = lambda c: F.when(~F.col("__lent"), F.lit(1) if c == "*" else F.col(c))
+    columns = {f"__run_{name}": _AGGREGATE[kind](value(c)).over(w.rowsBetween(Window.unboundedPreceding, 0)) for name, (kind, c) in running.items()}
+    columns |= {f"__all_{name}": _AGGREGATE[kind](value(c)).over(Window.partitionBy("__pid", *keys)) for name, (kind, c) in whole.items()}
+    made_columns = made(w) if made else {}
+    out = out.withColumns(made_columns | columns).where(~F.col("__lent"))
+    if running or whole:
+        named = [f"__key{i}" for i in range(len(keys))]
+        edge = first.where("__k = 1").unionByName(last.where("__k = 1")).select(F.col("__pid").alias("__p"), *[F.col(k).alias(c) for k, c in zip(keys, named)])
+        edge = F.broadcast(edge.distinct())  # at most two rows a range
+        same = F.col("__pid") == F.col("__p")
+        for k, c in zip(keys, named):
+            same = same & F.col(k).eqNullSafe(F.col(c))
+        both = {**{f"r{i}": x for i, x in enumerate(running.values())}, **{f"w{i}": x for i, x in enumerate(whole.values())}}
+        total = rows.join(edge, same).groupBy("__p", *named).agg(*[
+            _AGGREGATE[kind](F.lit(1) if c == "*" else F.col(c)).alias(x) for x, (kind, c) in both.items()])
+        earlier = Window.partitionBy(*named).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+        carried = fixed(total.select("__p", *named, *[
+            (_AGGREGATE["sum" if kind == "count" else kind](x).over(earlier if x[0] == "r" else Window.partitionBy(*named))).alias(f"__c{x}")
+            for x, (kind, _) in both.items()]), "carried")
+        out = out.join(F.broadcast(carried), same, "left")
+        for i, (name, (kind, _)) in enumerate(running.items()):
+            out = out.withColumn(f"__run_{name}", _JOINED[kind](F.col(f"__cr{i}"), F.col(f"__run_{name}")))
+        for i, name in enumerate(whole):
+            # of a key that goes on in other ranges the carried value is that of all of them
+            out = out.withColumn(f"__all_{name}", F.coalesce(f"__cw{i}", f"__all_{name}"))
+    return out.select(*df.columns, *made_columns, *[F.col(f"__run_{x}").alias(x) for x in running], *[F.col(f"__all_{x}").alias(x) for x in whole])
 
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], running_sum: str | None = None,
@@ -142,17 +226,6 @@ def fill_directional(df: DataFrame, cols: Sequence[str], order: Sequence[str], k
     return out.drop("__i", "__n", "__ri", *(["__all"] if "__all" in out.columns else []))
 
 
-def key_is_hot(df: DataFrame, keys: Sequence[str], factor: float = 1.0) -> bool:
-    """True when the largest key holds more rows than an average shuffle
-    partition (times ``factor``): a per-key window would then make one task
-    the bottleneck. One partial aggregate; only two numbers reach the driver."""
-    nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    st = df.groupBy(*keys).agg(F.count("*").alias("__c")).agg(F.max("__c").alias("mx"), F.sum("__c").alias("n")).first()
-    if st is None or st["n"] is None:
-        return False
-    return st["mx"] > factor * st["n"] / max(nparts, 1)
-
-
 def sessions(df: DataFrame, key: str, ts: str, gap_seconds: int) -> DataFrame:
     """Gap-closed sessions per key without a per-key task: a new session
     starts when the gap to the previous event of the key reaches

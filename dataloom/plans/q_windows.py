@@ -26,11 +26,6 @@ def _lines(spark, sf):
     return table(spark, sf, "lineitem").select("l_suppkey", *_W_ORDER)
 
 
-def _w(frame=None):
-    w = Window.partitionBy("l_suppkey").orderBy(*_W_ORDER)
-    return w if frame is None else w.rowsBetween(*frame)
-
-
 @query(
     "win_row_number_rank",
     f"""SELECT {_COLS_SQL}, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity, l_shipdate, l_orderkey, l_linenumber) AS rn,
@@ -40,16 +35,10 @@ def _w(frame=None):
 def win_row_number_rank(spark, sf):
     """row_number / rank / dense_rank per supplier from positions and
     distributed ranks (no per-supplier task)."""
-    li0 = _lines(spark, sf)
-    if not SW.key_is_hot(li0, ["l_suppkey"]):
-        by_q = Window.partitionBy("l_suppkey").orderBy("l_quantity")
-        rn = F.row_number().over(Window.partitionBy("l_suppkey").orderBy("l_quantity", "l_shipdate", "l_orderkey", "l_linenumber"))
-        return li0.select("*", rn.cast("long").alias("rn"), F.rank().over(by_q).cast("long").alias("rnk"),
-                          F.dense_rank().over(by_q).cast("long").alias("drnk"))
     li = _lines(spark, sf)
-    pos = SW.with_position(li, ["l_suppkey"], ["l_quantity", "l_shipdate", "l_orderkey", "l_linenumber"])
+    pos = SW.over(li, ["l_suppkey"], ["l_quantity", "l_shipdate", "l_orderkey", "l_linenumber"], running={"rn": ("count", "*")})
     rk = O.group_rank(pos, ["l_suppkey"], ["l_quantity"])
-    return rk.select(*li.columns, F.col("__i").cast("long").alias("rn"), F.col("rank_min").cast("long").alias("rnk"),
+    return rk.select(*li.columns, "rn", F.col("rank_min").cast("long").alias("rnk"),
                      F.col("rank_dense").cast("long").alias("drnk"))
 
 
@@ -62,13 +51,8 @@ def win_row_number_rank(spark, sf):
 def win_ntile(spark, sf):
     """Standard ntile (larger buckets first) and the Over variant floor((rn-1)*n/cnt)+1,
     both from the row's position and its supplier's size."""
-    li0 = _lines(spark, sf)
-    if not SW.key_is_hot(li0, ["l_suppkey"]):
-        rn, cnt = F.row_number().over(_w()), F.count("*").over(Window.partitionBy("l_suppkey"))
-        over = F.when(F.lit(4) >= cnt, rn).otherwise(F.floor((rn - 1) * 4 / cnt) + 1).cast("long")
-        return li0.select("*", F.ntile(4).over(_w()).cast("long").alias("ntile_sql"), over.alias("ntile_over"))
-    pos = SW.with_position(_lines(spark, sf), ["l_suppkey"], _W_ORDER)
-    i, n = F.col("__i"), F.col("__n")
+    pos = SW.over(_lines(spark, sf), ["l_suppkey"], _W_ORDER, running={"i": ("count", "*")}, whole={"n": ("count", "*")})
+    i, n = F.col("i"), F.col("n")
     q, r = F.floor(n / 4), n % 4
     big = r * (q + 1)
     std = F.when(i <= big, F.ceil(i / (q + 1))).otherwise(r + F.ceil((i - big) / q)).cast("long")
@@ -86,17 +70,12 @@ def win_ntile(spark, sf):
 def win_percent_rank_cume_dist(spark, sf):
     """percent_rank / cume_dist (peers included) from distributed ranks; the
     Over variant row_number / count from positions."""
-    li0 = _lines(spark, sf)
-    if not SW.key_is_hot(li0, ["l_suppkey"]):
-        by_q = Window.partitionBy("l_suppkey").orderBy("l_quantity")
-        return li0.select("*", F.percent_rank().over(by_q).alias("pct_rank"), F.cume_dist().over(by_q).alias("cume_dist_"),
-                          (F.row_number().over(_w()) / F.count("*").over(Window.partitionBy("l_suppkey"))).alias("cume_dist_over"))
-    pos = SW.with_position(_lines(spark, sf), ["l_suppkey"], _W_ORDER)
+    pos = SW.over(_lines(spark, sf), ["l_suppkey"], _W_ORDER, running={"i": ("count", "*")}, whole={"n": ("count", "*")})
     rk = O.group_rank(pos, ["l_suppkey"], ["l_quantity"])
-    n = F.col("__n")
+    n = F.col("n")
     pct = F.when(n == 1, F.lit(0.0)).otherwise((F.col("rank_min") - 1) / (n - 1))
     return rk.select("l_suppkey", *_W_ORDER, pct.alias("pct_rank"), (F.col("rank_max") / n).alias("cume_dist_"),
-                     (F.col("__i") / n).alias("cume_dist_over"))
+                     (F.col("i") / n).alias("cume_dist_over"))
 
 
 @query(
@@ -105,13 +84,9 @@ def win_percent_rank_cume_dist(spark, sf):
         FROM lineitem""",
 )
 def win_lead_lag(spark, sf):
-    """lead(1, default 0) and lag(2, default -1) as members of a bounded frame."""
-    li0 = _lines(spark, sf)
-    if not SW.key_is_hot(li0, ["l_suppkey"]):
-        return li0.select("*", F.lead("l_quantity", 1, 0).over(_w()).alias("lead1"), F.lag("l_quantity", 2, -1).over(_w()).alias("lag2"))
-    pos = SW.with_position(_lines(spark, sf), ["l_suppkey"], _W_ORDER)
-    return SW.frame(pos, ["l_suppkey"], -2, 1, {"lead1": SW.shift_value(1, "l_quantity", 0.0),
-                                                 "lag2": SW.shift_value(-2, "l_quantity", -1.0)}, values=["l_quantity"])
+    """lead(1, default 0) and lag(2, default -1)."""
+    return SW.over(_lines(spark, sf), ["l_suppkey"], _W_ORDER, lambda w: {
+        "lead1": F.lead("l_quantity", 1, 0).over(w), "lag2": F.lag("l_quantity", 2, -1).over(w)}, before=2, behind=1)
 
 
 @query(
@@ -122,14 +97,10 @@ def win_lead_lag(spark, sf):
 )
 def win_first_last_nth(spark, sf):
     """first / last / 2nd value over ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING."""
-    li0 = _lines(spark, sf)
-    if not SW.key_is_hot(li0, ["l_suppkey"]):
-        w = _w((-2, 1))
-        return li0.select("*", F.first("l_quantity").over(w).alias("first_"), F.last("l_quantity").over(w).alias("last_"),
-                          F.nth_value("l_quantity", 2).over(w).alias("second_"))
-    pos = SW.with_position(_lines(spark, sf), ["l_suppkey"], _W_ORDER)
-    return SW.frame(pos, ["l_suppkey"], -2, 1, {"first_": SW.first_in_frame("l_quantity"), "last_": SW.last_in_frame("l_quantity"),
-                                                 "second_": SW.nth_in_frame(2, "l_quantity")}, values=["l_quantity"])
+    q = F.col("l_quantity")
+    return SW.over(_lines(spark, sf), ["l_suppkey"], _W_ORDER, lambda w: {
+        "first_": F.first(q).over(w.rowsBetween(-2, 1)), "last_": F.last(q).over(w.rowsBetween(-2, 1)),
+        "second_": F.nth_value(q, 2).over(w.rowsBetween(-2, 1))}, before=2, behind=1)
 
 
 @query(
@@ -141,20 +112,14 @@ def win_first_last_nth(spark, sf):
 )
 def win_rows_frame(spark, sf):
     """ROWS frames (2 preceding .. 1 following) and the default Over frame
-    (start to current ROW): bounded frames by positions, the running sum by
-    range partitions with carried totals."""
-    li0 = _lines(spark, sf)
-    if not SW.key_is_hot(li0, ["l_suppkey"]):
-        w, run = _w((-2, 1)), _w((Window.unboundedPreceding, 0))
-        q = F.col("l_quantity")
-        return li0.select("*", F.sum(q).over(w).alias("sum4"), _r(F.avg(q).over(w)).alias("avg4"), F.min(q).over(w).alias("min4"),
-                          F.max(q).over(w).alias("max4"), F.count("*").over(w).alias("cnt4"), F.sum(q).over(run).alias("running"))
-    li = _lines(spark, sf)
-    pos = SW.with_position(li, ["l_suppkey"], _W_ORDER, running_sum="l_quantity", running_name="running")
-    return SW.frame(pos, ["l_suppkey"], -2, 1, {
-        "sum4": lambda x: F.sum(x("l_quantity")), "avg4": lambda x: _r(F.avg(x("l_quantity"))),
-        "min4": lambda x: F.min(x("l_quantity")), "max4": lambda x: F.max(x("l_quantity")),
-        "cnt4": lambda x: F.count(x("l_quantity"))}, values=["l_quantity"])
+    (start to current ROW), over ranges with lent rows and carried totals."""
+    q = F.col("l_quantity")
+
+    def frames(w):
+        w = w.rowsBetween(-2, 1)
+        return {"sum4": F.sum(q).over(w), "avg4": _r(F.avg(q).over(w)), "min4": F.min(q).over(w), "max4": F.max(q).over(w), "cnt4": F.count("*").over(w)}
+
+    return SW.over(_lines(spark, sf), ["l_suppkey"], _W_ORDER, frames, before=2, behind=1, running={"running": ("sum", "l_quantity")})
 
 
 @query(
@@ -185,16 +150,8 @@ def win_range_frame(spark, sf):
         FROM lineitem""",
 )
 def win_stitch(spark, sf):
-    """Stitch: windowed results beside the original rows (running sum by
-    carried totals; the group max is an aggregate joined back)."""
-    li0 = _lines(spark, sf)
-    if not SW.key_is_hot(li0, ["l_suppkey"]):
-        return li0.select("*", F.sum("l_quantity").over(_w((Window.unboundedPreceding, 0))).alias("over_sum"),
-                          F.max("l_quantity").over(Window.partitionBy("l_suppkey")).alias("group_max"))
-    li = _lines(spark, sf)
-    run = O.running_agg(li, ["l_suppkey"], _W_ORDER, "l_quantity", prefix="r_")
-    mx = li.groupBy(F.col("l_suppkey").alias("__k")).agg(F.max("l_quantity").alias("group_max"))
-    return run.join(mx, run.l_suppkey == mx.__k).select(*li.columns, F.col("r_sum").alias("over_sum"), "group_max")
+    """Stitch: windowed results beside the original rows (running sum and group max, by carried totals)."""
+    return SW.over(_lines(spark, sf), ["l_suppkey"], _W_ORDER, running={"over_sum": ("sum", "l_quantity")}, whole={"group_max": ("max", "l_quantity")})
 
 
 @query(
@@ -226,19 +183,14 @@ def win_running(spark, sf):
         FROM lineitem WINDOW w AS ({_W_SQL} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
 )
 def win_rolling(spark, sf):
-    """rolling(3, min_periods=2) over bounded frames by positions."""
-    li0 = _lines(spark, sf)
-    if not SW.key_is_hot(li0, ["l_suppkey"]):
-        w = _w((-2, 0))
-        q = F.col("l_quantity")
-        ok = F.count(q).over(w) >= 2
-        return li0.select("*", F.when(ok, F.count(q).over(w)).alias("roll_count"), F.when(ok, F.sum(q).over(w)).alias("roll_sum"),
-                          F.when(ok, F.min(q).over(w)).alias("roll_min"), F.when(ok, F.max(q).over(w)).alias("roll_max"),
-                          F.when(ok, _r(F.avg(q).over(w))).alias("roll_mean"))
-    pos = SW.with_position(_lines(spark, sf), ["l_suppkey"], _W_ORDER)
-    out = SW.frame(pos, ["l_suppkey"], -2, 0, {
-        "c": lambda x: F.count(x("l_quantity")), "s": lambda x: F.sum(x("l_quantity")), "mn": lambda x: F.min(x("l_quantity")),
-        "mx": lambda x: F.max(x("l_quantity")), "av": lambda x: F.avg(x("l_quantity"))}, values=["l_quantity"])
+    """rolling(3, min_periods=2)."""
+    q = F.col("l_quantity")
+
+    def frames(w):
+        w = w.rowsBetween(-2, 0)
+        return {"c": F.count(q).over(w), "s": F.sum(q).over(w), "mn": F.min(q).over(w), "mx": F.max(q).over(w), "av": F.avg(q).over(w)}
+
+    out = SW.over(_lines(spark, sf), ["l_suppkey"], _W_ORDER, frames, before=2)
     ok = F.col("c") >= 2
     return out.select("l_suppkey", *_W_ORDER, F.when(ok, F.col("c")).alias("roll_count"), F.when(ok, F.col("s")).alias("roll_sum"),
                       F.when(ok, F.col("mn")).alias("roll_min"), F.when(ok, F.col("mx")).alias("roll_max"),
@@ -254,15 +206,9 @@ def win_rolling(spark, sf):
 def win_expanding(spark, sf):
     """Expanding count / sum / min / max / mean per supplier, computed by
     range partitions + carried partition totals (a hot supplier spans tasks)."""
-    li0 = _lines(spark, sf)
-    if not SW.key_is_hot(li0, ["l_suppkey"]):
-        w = _w((Window.unboundedPreceding, 0))
-        q = F.col("l_quantity")
-        return li0.select("*", F.count(q).over(w).alias("exp_count"), F.sum(q).over(w).alias("exp_sum"), F.min(q).over(w).alias("exp_min"),
-                          F.max(q).over(w).alias("exp_max"), _r(F.avg(q).over(w)).alias("exp_mean"))
-    li = _lines(spark, sf)
-    r = O.running_agg(li, ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_quantity"], "l_quantity", prefix="exp_")
-    return r.select(*li.columns, "exp_count", "exp_sum", "exp_min", "exp_max", _r(F.col("exp_mean")).alias("exp_mean"))
+    running = {f"exp_{k}": (k, "l_quantity") for k in ("count", "sum", "min", "max")}
+    r = SW.over(_lines(spark, sf), ["l_suppkey"], _W_ORDER, running=running)
+    return r.withColumn("exp_mean", _r(F.col("exp_sum") / F.col("exp_count")))
 
 
 @query(
@@ -273,12 +219,7 @@ def win_expanding(spark, sf):
 )
 def win_diff_pct(spark, sf):
     """diff / pct_change against the previous row of the supplier."""
-    li0 = _lines(spark, sf)
-    if not SW.key_is_hot(li0, ["l_suppkey"]):
-        prev = F.lag("l_quantity", 1).over(_w())
-        return li0.select("*", (F.col("l_quantity") - prev).alias("diff1"), _r(F.col("l_quantity") / prev - 1).alias("pct_change"))
-    pos = SW.with_position(_lines(spark, sf), ["l_suppkey"], _W_ORDER)
-    out = SW.frame(pos, ["l_suppkey"], -1, 0, {"prev": SW.shift_value(-1, "l_quantity")}, values=["l_quantity"])
+    out = SW.over(_lines(spark, sf), ["l_suppkey"], _W_ORDER, lambda w: {"prev": F.lag("l_quantity").over(w)}, before=1)
     return out.select("l_suppkey", *_W_ORDER, (F.col("l_quantity") - F.col("prev")).alias("diff1"),
                       _r(F.col("l_quantity") / F.col("prev") - 1).alias("pct_change"))
 
@@ -344,7 +285,7 @@ def sort_custom_key(spark, sf):
 def sort_within(spark, sf):
     """Secondary sort: hash-partition by supplier, sort inside each partition."""
     li = table(spark, sf, "lineitem").select("l_suppkey", "l_shipdate", "l_orderkey")
-    return li.repartition(8, "l_suppkey").sortWithinPartitions("l_suppkey", "l_shipdate")
+    return li.repartition("l_suppkey").sortWithinPartitions("l_suppkey", "l_shipdate")
 
 
 @query(

@@ -253,10 +253,7 @@ def test_asof_nearest_matches_pandas(spark):
 
 
 @pytest.mark.parametrize("direction", ["backward", "forward"])
-def test_asof_hot_key_path_matches_pandas(spark, monkeypatch, direction):
-    from dataloom.operators import seqwin
-
-    monkeypatch.setattr(seqwin, "key_is_hot", lambda *a, **k: True)
+def test_asof_without_tolerance_matches_pandas(spark, direction):
     random.seed(9)
     left = [(i, "a" if i % 5 else "b", float(random.randint(0, 300))) for i in range(80)]
     right = [("a" if j % 4 else "b", float(random.randint(0, 300)), float(j)) for j in range(60)]
@@ -269,15 +266,6 @@ def test_asof_hot_key_path_matches_pandas(spark, monkeypatch, direction):
         assert got[r["id"]] == (None if pd.isna(r["val"]) else r["val"])
 
 
-def test_key_is_hot(spark):
-    from dataloom.operators import seqwin as SW
-
-    even = spark.range(0, 8000).select((F.col("id") % 100).alias("k"))
-    hot = spark.range(0, 8000).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 100).alias("k"))
-    assert not SW.key_is_hot(even, ["k"])
-    assert SW.key_is_hot(hot, ["k"])
-
-
 def _window_sessions(df, key, ts, gap_seconds):
     """Batch sessionization: a new session when the gap to the previous event
     of the key reaches ``gap_seconds``; session id by cumulative sum."""
