@@ -11,7 +11,7 @@ from dataloom.plans.fixtures import (
     access_log, page_views, power_users, search_log, users, with_ctes,
 )
 from dataloom.plans.registry import query
-from dataloom.session import table
+from dataloom.session import fixed, table
 
 # ---------------------------------------------------------------- word count
 
@@ -37,13 +37,23 @@ def job_wordcount(spark, sf):
 # ------------------------------------------------- search phrase popularity
 
 
-def hour_ngram_counts(log):
-    """Distinct (user, hour, n-gram) per cleaned query, counted per (n-gram, hour)."""
-    clean = log.filter(non_url(F.col("query"))).select(
-        "user", F.substring("time", 7, 2).alias("hour"), words(F.lower("query")).alias("w")
-    )
-    grams = clean.select("user", "hour", F.explode(ngrams_up_to_2(F.col("w"))).alias("ngram")).distinct()
-    return grams.groupBy("ngram", "hour").agg(F.count("*").alias("count"))
+def hour_ngram_counts(log, hours=None):
+    """Distinct (user, hour, n-gram) per cleaned query, counted per (n-gram, hour); ``hours``: of these only.
+
+    Queries repeat, so n-grams are made once for each different query (known by
+    its MD5). An n-gram of one query alone has that query's users; only those
+    that several queries share are paired with users to count these once.
+    """
+    hour = F.substring("time", 7, 2)
+    asked = log.filter(non_url(F.col("query"))) if hours is None else log.filter(hour.isin(hours) & non_url(F.col("query")))
+    asked = asked.select("user", hour.alias("hour"), F.lower("query").alias("text")).withColumn("q", F.unhex(F.md5(F.col("text").cast("binary"))))
+    texts = asked.groupBy("q").agg(F.first("text").alias("text"))
+    grams = fixed(texts.select("q", F.explode(F.array_distinct(ngrams_up_to_2(words(F.col("text"))))).alias("ngram")), "query-ngrams")
+    users = fixed(asked.select("q", "hour", "user").distinct(), "query-users")
+    seen = grams.groupBy("ngram").agg(F.count("*").alias("n"), F.min("q").alias("q"))
+    alone = seen.where("n = 1").join(users.groupBy("q", "hour").agg(F.count("*").alias("count")), "q").select("ngram", "hour", "count")
+    shared = grams.join(seen.where("n > 1").select("ngram"), "ngram", "left_semi").join(users, "q").select("ngram", "hour", "user").distinct()
+    return alone.unionByName(shared.groupBy("ngram", "hour").agg(F.count("*").alias("count")))
 
 
 def ngram_hour_scores(log, min_score: float = 2.0):
@@ -107,10 +117,9 @@ def job_ngram_hour_score(spark, sf):
     ),
 )
 def job_ngram_compare_hours(spark, sf):
-    hf = hour_ngram_counts(search_log(spark, sf))
-    h00 = hf.filter(F.col("hour") == "00").select("ngram", F.col("count").alias("count00"))
-    h12 = hf.filter(F.col("hour") == "12").select("ngram", F.col("count").alias("count12"))
-    return h00.join(h12, "ngram")
+    hf = hour_ngram_counts(search_log(spark, sf), ["00", "12"])
+    of = lambda h: F.sum(F.when(F.col("hour") == h, F.col("count")))
+    return hf.groupBy("ngram").agg(of("00").alias("count00"), of("12").alias("count12")).where("count00 IS NOT NULL AND count12 IS NOT NULL")
 
 
 # ------------------------------------------------------------ access logs
