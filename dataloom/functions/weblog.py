@@ -3,7 +3,8 @@
 The host table is a tab-separated file with a header: host, engine, keys. ``keys``
 names the query keys of the engine as alternatives (``q|query``), in order of
 preference behind ``>``; a leading ``/`` instead is the path before the term.
-Null or empty: no query term is taken.
+Null or empty: no query term is taken. The hosts, engines and keys of
+``search_hosts.tsv`` are fixed values.
 """
 
 from __future__ import annotations
@@ -30,12 +31,16 @@ def host_table(spark: SparkSession, path: str | None = None) -> DataFrame:
 
 def search_host(df: DataFrame, host: str, hosts: DataFrame) -> DataFrame:
     """``df`` with engine and keys of the longest suffix of whole labels of column ``host`` that the table has."""
-    depth = hosts.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 0
-    for k in range(1, depth + 1):
-        side = hosts.select(F.col("host").alias(f"__h{k}"), F.struct("engine", "keys").alias(f"__x{k}"))
-        df = df.join(checked_broadcast(side), F.substring_index(F.lower(F.col(host)), ".", -k) == F.col(f"__h{k}"), "left").drop(f"__h{k}")
-    found = F.coalesce(*[F.col(f"__x{k}") for k in range(depth, 0, -1)], F.lit(None).cast("struct<engine:string,keys:string>"))
-    return df.withColumns({"engine": found["engine"], "keys": found["keys"]}).drop(*[f"__x{k}" for k in range(1, depth + 1)])
+    # each different host is taken apart once and met with the table in one join
+    own = df.select(F.lower(F.col(host)).alias("__host")).where(F.col("__host").isNotNull()).distinct()
+    labels = F.size(F.split("__host", r"\."))
+    ends = own.select("__host", F.explode(F.transform(
+        F.sequence(F.lit(1), labels), lambda k: F.concat_ws(".", F.slice(F.split("__host", r"\."), -k, k)))).alias("__end"))
+    met = ends.join(checked_broadcast(hosts), ends["__end"] == hosts["host"])
+    best = met.groupBy("__host").agg(F.max_by(F.struct("engine", "keys"), F.length("__end")).alias("__x"))
+    best = best.select(F.col("__host").alias("__known"), "__x")
+    out = df.join(best, F.lower(F.col(host)) == F.col("__known"), "left")
+    return out.select(*[df[c] for c in df.columns], F.col("__x.engine").alias("engine"), F.col("__x.keys").alias("keys"))
 
 
 def search_term(url: Column, keys: Column) -> Column:

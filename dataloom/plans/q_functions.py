@@ -599,11 +599,9 @@ def fn_time_of_day_filter(spark, sf):
     hms = F.date_format("ts", "HH:mm:ss")
     b = e.filter(hms.between("09:00:00", "10:30:00")).withColumn("kind", F.lit("between"))
     a = e.filter(F.date_format("ts", "HH:mm") == "12:00").withColumn("kind", F.lit("at"))
-    # exactly one row: a proven broadcast bound
-    bounds = e.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).withColumn("__one", F.lit(1))
-    fl = e.withColumn("__one", F.lit(1)).join(F.broadcast(bounds), "__one")
-    first = fl.filter(F.col("ts") < F.col("lo") + F.expr("INTERVAL 2 DAYS")).select("event_id", "ts", F.lit("first_2d").alias("kind"))
-    last = fl.filter(F.col("ts") > F.col("hi") - F.expr("INTERVAL 1 DAY")).select("event_id", "ts", F.lit("last_1d").alias("kind"))
+    lo, hi = e.agg(F.min("ts"), F.max("ts")).first()
+    first = e.filter(F.col("ts") < F.lit(lo) + F.expr("INTERVAL 2 DAYS")).select("event_id", "ts", F.lit("first_2d").alias("kind"))
+    last = e.filter(F.col("ts") > F.lit(hi) - F.expr("INTERVAL 1 DAY")).select("event_id", "ts", F.lit("last_1d").alias("kind"))
     return b.unionByName(a).unionByName(first).unionByName(last)
 
 
