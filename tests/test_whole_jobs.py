@@ -2,32 +2,55 @@
 
 from __future__ import annotations
 
+import math
+import random
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from dataloom.plans import REGISTRY, q_learn
+from dataloom.learn import partners as P
+from dataloom.plans import REGISTRY
 from dataloom.session import table
 
 
+def brute_partners(baskets, top):
+    """The partners of each item by log-likelihood ratio, from sets of items."""
+    n, single, both = len(baskets), Counter(i for b in baskets for i in b), Counter((i, j) for b in baskets for i in b for j in b if i != j)
+
+    def h(*c):
+        return sum(c) * math.log(sum(c)) - sum(x * math.log(x) for x in c if x)
+
+    out = {}
+    for (i, j), k in both.items():
+        if k * n > single[i] * single[j]:
+            a, b, c, d = k, single[i] - k, single[j] - k, n - single[i] - single[j] + k
+            out.setdefault(i, []).append((-round(2 * (h(a + b, c + d) + h(a + c, b + d) - h(a, b, c, d)), 9), j))
+    return {i: [j for _, j in sorted(found)[:top]] for i, found in out.items()}
+
+
 def test_recommended_parts_are_new(spark):
-    lines = [(1, 1, 10), (1, 1, 11), (1, 1, 10), (2, 2, 10), (2, 2, 12), (3, 3, 11), (3, 3, 13), (4, 4, 14), (5, 1, 12)]
-    got = q_learn.new_part_candidates(spark.createDataFrame(lines, "order long, u long, i long")).collect()
-    assert sorted(map(tuple, got)) == [(1, 13), (2, 11), (3, 10)]
-    recs = REGISTRY["mod_recommend_new_parts"].fn(spark, SF_SMALL).collect()
-    li, o = table(spark, SF_SMALL, "lineitem"), table(spark, SF_SMALL, "orders")
-    baskets, bought, together = {}, {}, {}
-    for k, u, i in li.join(o, li.l_orderkey == o.o_orderkey).select("l_orderkey", "o_custkey", "l_partkey").collect():
-        baskets.setdefault(k, set()).add(i)
+    rng = random.Random(2)
+    lines = [(b, b % 25, rng.choice([rng.randint(0, 40), b % 7])) for b in range(200) for _ in range(rng.randint(1, 5))]
+    df = spark.createDataFrame([*lines, (None, 1, 2), (3, 3, None)], "basket long, u long, i long")
+    baskets, bought = {}, {}
+    for b, u, i in lines:
+        baskets.setdefault(b, set()).add(i)
         bought.setdefault(u, set()).add(i)
-    for b in baskets.values():
-        for i in b:
-            together.setdefault(i, set()).update(b)
-    new = {u: set().union(*[together[i] for i in b]) - b for u, b in bought.items()}
-    found = {}
-    for r in recs:
-        found.setdefault(r.u, set()).add(r.i)
-    assert all(found.get(u, set()) <= c and len(found.get(u, set())) == min(3, len(c)) for u, c in new.items()) and found.keys() <= new.keys()
-    assert recs
+    for top in (2, 5, None):
+        want = brute_partners(list(baskets.values()), top)
+        pairs = P.partners(df, top)
+        got = {}
+        for r in pairs.collect():
+            got.setdefault(r.i, set()).add(r.other)
+        assert got == {i: set(x) for i, x in want.items()}
+        new = {(r.u, r.i) for r in P.new_items(df.where("i IS NOT NULL AND basket IS NOT NULL"), pairs).collect()}
+        assert new == {(u, j) for u, has in bought.items() for i in has for j in want.get(i, []) if j not in has}
+    recs = REGISTRY["mod_recommend_new_parts"].fn(spark, SF_SMALL).collect()
+    candidates = {(r.u, r.i) for r in REGISTRY["mod_recommend_candidates"].fn(spark, SF_SMALL).collect()}
+    per = Counter(r.u for r in recs)
+    assert recs and {(r.u, r.i) for r in recs} <= candidates and all(per[u] == min(3, n) for u, n in Counter(u for u, _ in candidates).items())
+    assert len(candidates) < 10 * table(spark, SF_SMALL, "lineitem").count()
 
 
 def test_search_engines_by_whole_host_and_suffix(spark, tmp_path):
