@@ -154,7 +154,7 @@ def id_type(vocabulary: str, end_id: int) -> str:
 
 
 def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024,
-         end_id: int = 0, group_pieces: int = 4096) -> DataFrame:
+         end_id: int = 0, group_pieces: int = 16_384) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Null and empty texts are the one token ``end_id``. Rows with equal or null
