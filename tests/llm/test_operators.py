@@ -548,3 +548,30 @@ def test_languages_are_told_apart(spark):
     assert [(by[i].lang_pred, by[i].score) for i in (900, 901, 902)] == [("und", 0.0)] * 3 and by[903].lang_pred == rows[0][2]
     assert all(0 <= r.score <= 1 for r in out)
     assert {r.lang_pred for r in langid.identify(docs, {}).collect()} == {"und"}
+
+
+def test_languages_match_a_plain_rank_order(spark):
+    """Profiles, out-of-place distances, ties and scores by plain dictionaries."""
+    rng = random.Random(16)
+    sounds = {"aa": ["ka", "ku", "kam", "ta"], "bb": ["sch", "er", "ung", "ka"], "cc": ["eau", "que", "oi", "ê"], "dd": ["eau", "que", "oi", "ê"]}
+    rows = [(i, " ".join("".join(rng.choice(sounds[g]) for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 40))), g)
+            for i, g in enumerate(rng.choice([*sounds, None]) or "aa" for _ in range(250))]
+    rows = [(i, t, None if i % 11 == 0 else g) for i, t, g in rows] + [(800 + k, t, "aa") for k, t in enumerate(ODD)] + [(None, "ka ku", "bb")]
+    docs = frame(spark, rows, "doc_id long, text string, lang string")
+
+    def top(grams):
+        return [g for g, _ in sorted(grams.items(), key=lambda x: (-x[1], len(x[0]), x[0]))[:400]]
+
+    seen = {}
+    for i, t, g in rows:
+        if g and t is not None and (i is None or zlib.crc32(str(i).encode()) % 3 != 1):
+            seen.setdefault(g, Counter()).update(brute_grams(t))
+    profiles = {g: {x: k for k, x in enumerate(top(c))} for g, c in seen.items()}
+    for r in langid.identify(docs, langid.learn_from_training_rows(docs)).collect():
+        own = top(Counter(brute_grams(r.text or "")))
+        if not own:
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        apart = {g: sum(abs(p[x] - k) if x in p else 400 for k, x in enumerate(own)) for g, p in profiles.items()}
+        best = min(apart, key=lambda g: (apart[g], g))
+        assert r.lang_pred == best and abs(r.score - (1 - apart[best] / (400 * len(own)))) < 1e-12
