@@ -587,13 +587,11 @@ def mod_evaluate(spark, sf):
     all_rk = O.global_rank(d.select("s"), ["s"], out="rk").groupBy("s").agg(F.min("rk").alias("ark"))
     pos_rk = O.global_rank(d.filter(F.col("y") == 1).select("s"), ["s"], out="rk").groupBy("s").agg(F.min("rk").alias("prk"))
     cum = sc.filter(F.col("pos") > 0).join(all_rk, "s").join(pos_rk, "s").withColumn("below", F.col("ark") - F.col("prk"))
-    totals = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).withColumn("__one", F.lit(1))
-    auc = cum.withColumn("__one", F.lit(1)).join(F.broadcast(totals), "__one").agg(
-        (F.sum(F.col("pos") * (F.col("below") + 0.5 * F.col("neg"))) / F.first(F.col("P") * F.col("N"))).alias("v"))
-    mean_y = d.agg(F.avg("yr").alias("m")).withColumn("__one", F.lit(1))
-    reg = d.withColumn("__one", F.lit(1)).join(F.broadcast(mean_y), "__one").agg(
+    positive, negative, mean_y = d.agg(F.sum("y"), F.sum(1 - F.col("y")), F.avg("yr")).first()  # three numbers
+    auc = cum.agg((F.sum(F.col("pos") * (F.col("below") + 0.5 * F.col("neg"))) / F.lit((positive or 0) * (negative or 0))).alias("v"))
+    reg = d.agg(
         F.sqrt(F.avg((F.col("yr") - F.col("pr")) ** 2)).alias("rmse"), F.avg(F.abs(F.col("yr") - F.col("pr"))).alias("mae"),
-        (1 - F.sum((F.col("yr") - F.col("pr")) ** 2) / F.sum((F.col("yr") - F.col("m")) ** 2)).alias("r2"))
+        (1 - F.sum((F.col("yr") - F.col("pr")) ** 2) / F.sum((F.col("yr") - F.lit(mean_y)) ** 2)).alias("r2"))
     m8 = lambda e: F.round(e.cast("double"), 8)
     out = c.select(F.array(
         F.struct(F.lit("accuracy").alias("metric"), m8((F.col("tp") + F.col("tn")) / (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn"))).alias("value")),
