@@ -254,12 +254,44 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             ends = np.concatenate([head, [len(path)]]).astype(np.int32)
             yield from out.append_column("path", pa.ListArray.from_arrays(pa.array(ends), pa.array(path))).to_batches()
 
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How often each prefix has each path, and the place of one such window, over up to a million windows at a time."""
+
+        def added(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            path, row, sizes = unpack(t["path"])
+            key = t["key"].to_numpy()[row]
+            order = np.lexsort((path, key))
+            new = (key[order][1:] != key[order][:-1]) | (path[order][1:] != path[order][:-1])
+            first = np.flatnonzero(np.concatenate([[True], new]))
+            at = order[first]
+            lo = t["start"].to_numpy()[row[at]] + at - np.concatenate([[0], np.cumsum(sizes)])[row[at]]
+            out = t.select(["did", "th", "key"]).take(pa.array(row[at])).combine_chunks()
+            out = out.append_column("node", pa.array(path[at])).append_column("n", pa.array(np.diff(np.concatenate([first, [len(order)]]))))
+            yield from out.append_column("lo", pa.array(lo.astype(np.int32))).to_batches()
+
+        held: list[pa.RecordBatch] = []
+        windows = 0
+        for b in batches:
+            held.append(b)
+            windows += len(b.column("path").flatten())
+            if windows >= 1_000_000:
+                yield from added(pa.Table.from_batches(held))
+                held, windows = [], 0
+        if windows:
+            yield from added(pa.Table.from_batches(held))
+
     def whole_paths(rows: DataFrame) -> DataFrame:
-        """Windows whose prefix is crowded at every length, and whose path stands elsewhere too."""
-        one = materialize(rows.select("did", "th", "key", F.posexplode("path").alias("k", "node"), "start").select(
-            "did", "th", "key", "node", (F.col("start") + F.col("k")).alias("lo")), "paths")
-        again = materialize(one.groupBy("key", "node").agg(F.count("*").alias("n")).where("n > 1").select("key", "node"), "repeated-paths")
-        return one.join(again, ["key", "node"]).select("did", "th", "lo", (F.col("lo") + window).cast("int").alias("hi"))
+        """Runs of windows whose prefix is crowded at every length, and those of them (``hi`` null) whose path stands nowhere else.
+
+        Nearly all of such windows are repeated, so the others are told: a path
+        counted once brings the place of its only window along, and no row has to be looked up.
+        A task adds up its windows before they are shuffled.
+        """
+        runs = rows.select("did", "th", F.col("start").alias("lo"), (F.col("start") + F.size("path") - 1 + window).cast("int").alias("hi"))
+        counted = rows.select("did", "th", "key", "start", "path").mapInArrow(combine, spec + ", key long, node long, n long, lo int")
+        alone = counted.groupBy("key", "node").agg(F.sum("n").alias("n"), F.first("did").alias("did"), F.first("th").alias("th"),
+                                                   F.first("lo").alias("lo")).where("n = 1")
+        return runs.unionByName(alone.select("did", "th", "lo", F.lit(None).cast("int").alias("hi")))
 
     joined = docs.join(marked, same(marked)).select(docs["did"], docs["th"], "text", "marks")
     kind = ", key long, start int, path array<long>"
@@ -295,10 +327,18 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     gone.append(0)
                     kept.append(x.as_py())
                     continue
-                step = np.zeros(len(words) + 1, np.int64)
                 spans = cuts.values
-                np.add.at(step, spans.field("lo").to_numpy(), 1)
-                np.add.at(step, spans.field("hi").to_numpy(), -1)
+                lo, hi = spans.field("lo").to_numpy(), spans.field("hi").fill_null(-1).to_numpy()
+                runs = hi >= 0
+                step = np.zeros(len(words) + 1, np.int64)  # over windows, then over words
+                np.add.at(step, lo[runs], 1)
+                np.add.at(step, hi[runs] - window + 1, -1)
+                step = np.cumsum(step)
+                step[lo[~runs]] = 0
+                hit = np.flatnonzero(step)
+                step = np.zeros(len(words) + 1, np.int64)
+                step[hit] += 1
+                step[hit + window] -= 1
                 keep = np.cumsum(step)[:-1] == 0
                 gone.append(int(len(words) - keep.sum()))
                 kept.append(b" ".join(words[i] for i in np.flatnonzero(keep)).decode())
