@@ -155,9 +155,9 @@ def _merger(vocab: dict[str, int], merges: list, suffix: str, whole) -> Callable
 
 @lru_cache(maxsize=1)
 def unassigned() -> list[tuple[int, int]]:
-    """Ranges of code points that have no category here: libraries of another Unicode version may know them as letters."""
+    """Ranges of code points below U+10000 that have no category here: libraries of another Unicode version may know them as letters."""
     out: list[tuple[int, int]] = []
-    for c in range(0x110000):
+    for c in range(0x10000):
         if unicodedata.category(chr(c)) == "Cn":
             if out and out[-1][1] == c - 1:
                 out[-1] = (out[-1][0], c)
@@ -184,11 +184,20 @@ class WordEncoder:
         self.merge = _merger(model["vocab"], model["merges"], model["end_of_word_suffix"], self.whole)
         self.transducer = transducer
         self.cache: dict[str, bytes] = {}
-        # separators that Python takes for spaces, and code points whose kind depends on the version of Unicode
-        self.odd = re.compile("[\x1c-\x1f" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(z))}" for a, z in unassigned()) + "]")
+        self.odd_space = re.compile(r"[\x1c-\x1f]")  # separators that Python takes for spaces
+        self.unassigned = re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(z))}" for a, z in unassigned()) + "]")
+        self.high = re.compile("[\U00010000-\U0010ffff]")
         # beyond Latin (and for the dotted I) normalising may end a letter in a mark, which then joins the stop
         self.joined_stop = re.compile(r"[.,][^\w\s]|[^\w\s][.,]|_[.,]|[.,]_|[\u0130\u0250-\U0010ffff]")
 
+    def odd(self, text: str) -> bool:
+        """Whether a text goes through the tokenizer whole: it holds odd separators, or code points whose kind depends on the version of Unicode."""
+        if self.odd_space.search(text):
+            return True
+        if text.isascii():
+            return False
+        return bool(self.unassigned.search(text)) or any(unicodedata.category(c) == "Cn" for c in set(self.high.findall(text)))
+
     def chunk(self, chunk: str) -> bytes:
         """ids of a run without white space."""
         plain = chunk.lower() if chunk.isascii() else self.normal(chunk)
@@ -200,7 +209,7 @@ class WordEncoder:
         return out
 
     def encode(self, text: str) -> bytes:
-        if self.odd.search(text) or any(s in text for s in self.special):
+        if self.odd(text) or any(s in text for s in self.special):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if not self.joined_stop.search(text):  # stops that stand by themselves are words by themselves
             text = text.replace(",", " , ").replace(".", " . ")
