@@ -4,7 +4,7 @@ cogroup / batches), table functions, filters, typed aggregates, STREAM THROUGH.
 Python runs per Arrow batch, never per row, except where the API is per-row by
 definition (``udf``, here Arrow-optimised). Grouped pandas functions are used
 on groups bounded by the data model (the lines of one order), never on a key
-that can hold a large share of the rows.
+that can hold a large share of the rows; one call gets a bucket of many orders.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import udtf
 
+from dataloom.operators import groups as G
 from dataloom.plans.registry import query
 from dataloom.session import table
 
@@ -86,8 +87,8 @@ def udf_pandas_agg(spark, sf):
     return w.join(g, "l_orderkey")
 
 
-def _share(pdf: pd.DataFrame) -> pd.DataFrame:
-    tot = pdf["l_quantity"].sum()
+def _shares(pdf: pd.DataFrame) -> pd.DataFrame:
+    tot = pdf.groupby("l_orderkey", dropna=False, sort=False)["l_quantity"].transform("sum")
     return pd.DataFrame({"l_orderkey": pdf["l_orderkey"], "l_linenumber": pdf["l_linenumber"],
                          "share": pdf["l_quantity"] / tot})
 
@@ -97,9 +98,10 @@ def _share(pdf: pd.DataFrame) -> pd.DataFrame:
     """SELECT l_orderkey, l_linenumber, l_quantity / SUM(l_quantity) OVER (PARTITION BY l_orderkey) AS share FROM lineitem""",
 )
 def udf_group_map(spark, sf):
-    """applyInPandas: each order's lines in, their share of the order out."""
+    """applyInPandas: the lines of a bucket of whole orders in, each line's share of its order out."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return li.groupBy("l_orderkey").applyInPandas(_share, "l_orderkey long, l_linenumber int, share double")
+    bucket = G.key_bucket("l_orderkey", G.bucket_count(li))
+    return li.groupBy(bucket.alias("bucket")).applyInPandas(_shares, "l_orderkey long, l_linenumber int, share double")
 
 
 def _order_summary(o: pd.DataFrame, li: pd.DataFrame) -> pd.DataFrame:

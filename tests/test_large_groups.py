@@ -2,7 +2,61 @@
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from dataloom.operators import groups as G
 from dataloom.plans import REGISTRY
+from dataloom.plans import q_udfs as U
+
+
+@pytest.fixture
+def lines(spark, tmp_path):
+    """Orders of 1 to 4 lines with null keys and quantities, and orders without lines."""
+    rows = [(None if k % 50 == 7 else k, n, None if (k + n) % 9 == 0 else float(k % 13 + n), float(100 * k + n) / 100)
+            for k in range(600) for n in range(1, k % 4 + 2)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, float(k)) for k in range(500, 700)], "o_orderkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    return str(tmp_path), rows
+
+
+def calls(spark, monkeypatch, module, name):
+    """Counts how often a function of groups is called."""
+    seen, plain = spark.sparkContext.accumulator(0), getattr(module, name)
+
+    def one(df):
+        seen.add(1)
+        return plain(df)
+
+    def two(left, right):
+        seen.add(1)
+        return plain(left, right)
+
+    monkeypatch.setattr(module, name, one if plain.__code__.co_argcount == 1 else two)
+    return seen
+
+
+def test_key_buckets_are_whole_and_bounded(spark, monkeypatch):
+    df = spark.range(50_000).select(F.when(F.col("id") % 1000 > 0, F.col("id") % 7001).alias("k"))
+    n = G.bucket_count(df, df, rows=1000)
+    assert n == 100 and G.bucket_count(df.limit(0)) == 1
+    at = df.groupBy("k").agg(F.count_distinct(G.key_bucket("k", n)).alias("d"), F.min(G.key_bucket("k", n)).alias("b"))
+    assert at.where("d > 1 OR (b = -1) <> (k IS NULL)").isEmpty()
+    assert df.groupBy(G.key_bucket("k", n)).count().agg(F.max("count")).first()[0] < 2000
+
+
+def test_shares_of_many_orders_in_one_call(spark, lines, monkeypatch):
+    path, rows = lines
+    seen = calls(spark, monkeypatch, U, "_shares")
+    total = defaultdict(float)
+    for k, _, q, _ in rows:
+        total[k] += q or 0.0
+    got = Counter((r.l_orderkey, r.l_linenumber, None if r.share is None else round(r.share, 9)) for r in REGISTRY["udf_group_map"].fn(spark, path).collect())
+    assert got == Counter((k, n, None if q is None else round(q / total[k], 9)) for k, n, q, _ in rows)
+    assert 0 < seen.value < 5
+
 
 def test_closure_of_every_part(spark):
     from conftest import SF_SMALL
