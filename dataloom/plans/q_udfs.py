@@ -68,7 +68,17 @@ def udf_pandas_scalar(spark, sf):
 
 @F.pandas_udf(T.DoubleType())
 def _spread(v: pd.Series) -> float:
-    return float(v.max() - v.min())
+    x = v.to_numpy()
+    got = float(x.max() - x.min())
+    return got if got == got else float(v.max() - v.min())  # pandas leaves out nulls
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("spread", T.DoubleType())])))
+def _spreads(key: pd.Series, v: pd.Series) -> list:
+    """The spread of every order of a bucket."""
+    orders = v.groupby(key, dropna=False)
+    got = orders.max() - orders.min()
+    return [{"l_orderkey": k, "spread": x} for k, x in zip(got.index.tolist(), got.tolist())]
 
 
 @query(
@@ -78,12 +88,16 @@ def _spread(v: pd.Series) -> float:
        FROM lineitem JOIN (SELECT l_orderkey AS k, max(l_quantity) - min(l_quantity) AS spread FROM lineitem GROUP BY 1) s ON s.k = l_orderkey""",
 )
 def udf_pandas_agg(spark, sf):
-    """Grouped-aggregate pandas UDF in ``agg`` and over a window (per order)."""
+    """Grouped-aggregate pandas UDF in ``agg`` (a bucket of whole orders per call) and over a
+    window (the lines of an order: the peers of a line among those of its bucket)."""
     from pyspark.sql import Window
 
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    g = li.groupBy("l_orderkey").agg(_spread("l_quantity").alias("spread"))
-    w = li.select("l_orderkey", "l_linenumber", _spread("l_quantity").over(Window.partitionBy("l_orderkey")).alias("spread_over"))
+    li = li.where("l_orderkey IS NOT NULL")  # the join below has no row of a null order
+    bucket = G.key_bucket("l_orderkey", G.bucket_count(li))
+    g = li.groupBy(bucket.alias("bucket")).agg(_spreads("l_orderkey", "l_quantity").alias("s")).select(F.inline("s"))
+    peers = Window.partitionBy(bucket).orderBy("l_orderkey").rangeBetween(Window.currentRow, Window.currentRow)
+    w = li.select("l_orderkey", "l_linenumber", _spread("l_quantity").over(peers).alias("spread_over"))
     return w.join(g, "l_orderkey")
 
 

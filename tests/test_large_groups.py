@@ -58,6 +58,20 @@ def test_shares_of_many_orders_in_one_call(spark, lines, monkeypatch):
     assert 0 < seen.value < 5
 
 
+def test_spreads_of_many_orders_in_one_call(spark, lines):
+    path, rows = lines
+    by = defaultdict(list)
+    for k, _, q, _ in rows:
+        if q is not None:
+            by[k].append(q)
+    spread = {k: max(v) - min(v) for k, v in by.items()}
+    df = REGISTRY["udf_pandas_agg"].fn(spark, path)
+    got = Counter((r.l_orderkey, r.l_linenumber, r.spread_over, r.spread) for r in df.collect())
+    assert got == Counter((k, n, spread.get(k), spread.get(k)) for k, n, _, _ in rows if k is not None)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "_spreads(" in plan and "specifiedwindowframe(RangeFrame, currentrow$(), currentrow$())" in plan  # no Arrow batch per order
+
+
 def test_closure_of_every_part(spark):
     from conftest import SF_SMALL
     from dataloom.session import table
