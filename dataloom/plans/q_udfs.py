@@ -118,10 +118,13 @@ def udf_group_map(spark, sf):
     return li.groupBy(bucket.alias("bucket")).applyInPandas(_shares, "l_orderkey long, l_linenumber int, share double")
 
 
-def _order_summary(o: pd.DataFrame, li: pd.DataFrame) -> pd.DataFrame:
-    key = o["o_orderkey"].iloc[0] if len(o) else li["l_orderkey"].iloc[0]
-    return pd.DataFrame({"o_orderkey": [key], "n_lines": [len(li)],
-                         "gap": [round(float(o["o_totalprice"].sum()) - float(li["l_extendedprice"].sum()), 2)]})
+def _order_summaries(o: pd.DataFrame, li: pd.DataFrame) -> pd.DataFrame:
+    """One row per order of either side."""
+    price = o.groupby("o_orderkey", dropna=False)["o_totalprice"].sum()
+    lines = li.groupby("l_orderkey", dropna=False)["l_extendedprice"].agg(["size", "sum"])
+    both = pd.concat([price, lines], axis=1, join="outer").fillna(0)
+    return pd.DataFrame({"o_orderkey": both.index, "n_lines": both["size"].to_numpy().astype("int64"),
+                         "gap": [round(x, 2) for x in (both["o_totalprice"] - both["sum"]).tolist()]})
 
 
 @query(
@@ -130,11 +133,12 @@ def _order_summary(o: pd.DataFrame, li: pd.DataFrame) -> pd.DataFrame:
        FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY o.o_orderkey, o.o_totalprice""",
 )
 def udf_cogroup_map(spark, sf):
-    """cogroup(...).applyInPandas: one order and its lines per call."""
+    """cogroup(...).applyInPandas: a bucket of whole orders and their lines per call."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice")
-    return o.groupBy("o_orderkey").cogroup(li.groupBy("l_orderkey")).applyInPandas(
-        _order_summary, "o_orderkey long, n_lines long, gap double")
+    n = G.bucket_count(o, li)
+    return o.groupBy(G.key_bucket("o_orderkey", n).alias("bucket")).cogroup(li.groupBy(G.key_bucket("l_orderkey", n).alias("bucket"))).applyInPandas(
+        _order_summaries, "o_orderkey long, n_lines long, gap double")
 
 
 def _batches(it):

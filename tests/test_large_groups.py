@@ -72,6 +72,18 @@ def test_spreads_of_many_orders_in_one_call(spark, lines):
     assert "_spreads(" in plan and "specifiedwindowframe(RangeFrame, currentrow$(), currentrow$())" in plan  # no Arrow batch per order
 
 
+def test_summaries_of_many_orders_in_one_call(spark, lines, monkeypatch):
+    path, rows = lines
+    seen = calls(spark, monkeypatch, U, "_order_summaries")
+    n, price = Counter(k for k, *_ in rows), defaultdict(float)
+    for k, _, _, p in rows:
+        price[k] += p
+    want = {(k, n[k], round((k if k is not None and k >= 500 else 0) - price[k], 2)) for k in {*n, *range(500, 700)}}
+    got = [tuple(r) for r in REGISTRY["udf_cogroup_map"].fn(spark, path).collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert 0 < seen.value < 5
+
+
 def test_closure_of_every_part(spark):
     from conftest import SF_SMALL
     from dataloom.session import table
