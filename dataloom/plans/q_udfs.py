@@ -206,7 +206,8 @@ def udf_filter(spark, sf):
 def typed_aggregate(df, key, buffer, zero, reduce, merge):
     """One buffer per key: rows are folded into buffers batch by batch where
     they lie (``reduce`` from ``zero``), and only buffers are shuffled and
-    merged; a key has at most one buffer per input batch."""
+    merged, a bucket of many keys at a time; a key has at most one buffer per
+    input batch."""
     names = [f.split()[0] for f in buffer.split(", ")]
 
     def fold(batches):
@@ -218,13 +219,15 @@ def typed_aggregate(df, key, buffer, zero, reduce, merge):
             yield pd.DataFrame([(k, *b) for k, b in held.items()], columns=[key, *names])
 
     def combine(pdf):
-        b = zero
-        for part in pdf[names].itertuples(index=False, name=None):
-            b = merge(b, part)
-        return pd.DataFrame([(pdf[key].iloc[0], *b)], columns=[key, *names])
+        held = {}
+        for k, *part in pdf[[key, *names]].itertuples(index=False, name=None):
+            k = None if pd.isna(k) else k
+            held[k] = merge(held.get(k, zero), part)
+        return pd.DataFrame([(k, *b) for k, b in held.items()], columns=[key, *names])
 
     schema = f"{key} {dict(df.dtypes)[key]}, {buffer}"
-    return df.mapInPandas(fold, schema).groupBy(key).applyInPandas(combine, schema)
+    bucket = G.key_bucket(key, G.bucket_count(df))
+    return df.mapInPandas(fold, schema).groupBy(bucket.alias("bucket")).applyInPandas(combine, schema)
 
 
 @query(

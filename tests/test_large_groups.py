@@ -84,6 +84,22 @@ def test_summaries_of_many_orders_in_one_call(spark, lines, monkeypatch):
     assert 0 < seen.value < 5
 
 
+def test_buffers_of_many_keys_are_merged_in_one_call(spark, lines):
+    path, rows = lines
+    df = spark.read.parquet(f"{path}/lineitem.parquet").repartition(5)
+
+    def merge(a, b):
+        return a[0] + b[0], max(a[1], b[1])
+
+    out = U.typed_aggregate(df, "l_orderkey", "s double, m int", (0.0, 0), lambda a, x: (a[0] + x.l_extendedprice, max(a[1], x.l_linenumber)), merge)
+    got = [(r.l_orderkey, round(r.s, 6), r.m) for r in out.collect()]
+    by = defaultdict(list)
+    for k, n, _, p in rows:
+        by[k].append((p, n))
+    assert len(got) == len(by) and set(got) == {(k, round(sum(p for p, _ in v), 6), max(n for _, n in v)) for k, v in by.items()}
+    assert "FlatMapGroupsInPandas [bucket" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_closure_of_every_part(spark):
     from conftest import SF_SMALL
     from dataloom.session import table
