@@ -109,3 +109,16 @@ def test_closure_of_every_part(spark):
     assert {s for s, _ in got if s[0] == "p"} == {f"p{k}" for k in bought}  # not only those of one size
     supplied = {s for s, d in got if s[0] == "s" and d[0] == "r"}
     assert supplied == {f"s{r[0]}" for r in table(spark, SF_SMALL, "supplier").select("s_suppkey").collect()}
+
+
+def test_training_rows_are_joined_and_drawn_once(spark):
+    from conftest import SF_SMALL
+    from dataloom.plans import q_learn as Q
+
+    drawn = Q._split(spark, SF_SMALL)
+    names = [c for c in drawn[0].columns if c != "features"]
+    for got, want in zip(drawn, Q._assembled(spark, SF_SMALL).randomSplit([0.8, 0.2], seed=42)):
+        assert got.select(names).exceptAll(want.select(names)).isEmpty() and want.select(names).exceptAll(got.select(names)).isEmpty()
+    for df in (*drawn, Q._kept_lines(spark, SF_SMALL, *Q._NUM)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan and "Sort" not in plan
