@@ -119,6 +119,6 @@ def test_training_rows_are_joined_and_drawn_once(spark):
     names = [c for c in drawn[0].columns if c != "features"]
     for got, want in zip(drawn, Q._assembled(spark, SF_SMALL).randomSplit([0.8, 0.2], seed=42)):
         assert got.select(names).exceptAll(want.select(names)).isEmpty() and want.select(names).exceptAll(got.select(names)).isEmpty()
-    for df in (*drawn, Q._kept_lines(spark, SF_SMALL, *Q._NUM)):
+    for df in (*drawn, Q._kept_lines(spark, SF_SMALL, *Q._NUM), Q._orders_of_customers(spark, SF_SMALL)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Join" not in plan and "Exchange" not in plan and "Sort" not in plan
