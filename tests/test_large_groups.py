@@ -122,3 +122,19 @@ def test_training_rows_are_joined_and_drawn_once(spark):
     for df in (*drawn, Q._kept_lines(spark, SF_SMALL, *Q._NUM), Q._orders_of_customers(spark, SF_SMALL)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Join" not in plan and "Exchange" not in plan and "Sort" not in plan
+
+
+def test_pairs_meet_once_without_joins(spark):
+    from dataloom.learn import lsh as L
+    from dataloom.learn import partners as P
+
+    lines = spark.createDataFrame([(b, i) for b in range(40) for i in range(b % 5 + 1)], "basket long, i long")
+    assert "Join" not in P.partners(lines, None)._jdf.queryExecution().executedPlan().toString()
+    sets = spark.createDataFrame([(k, [k % 7, k % 3 + 10, k % 2 + 20]) for k in range(60)], "id long, v array<long>")
+    members, pairs = L.similar(sets, "id", "v", L.jaccard_hashes(12, 1, 7), L.jaccard, 0.5, 12)
+    sure = [tuple(r) for r in pairs.collect()]
+    assert len({x[:2] for x in sure}) == len(sure) > 0 and all(a < b for a, b, _ in sure)
+    seen = spark.sparkContext.accumulator(0)
+    counted = pairs.where(F.udf(lambda a: seen.add(1) or True, "boolean")("a"))
+    assert L.links(members, counted).count() == 60
+    assert seen.value == len(sure)  # no pair is made a second time for its other end
