@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,3 +139,17 @@ def test_pairs_meet_once_without_joins(spark):
     counted = pairs.where(F.udf(lambda a: seen.add(1) or True, "boolean")("a"))
     assert L.links(members, counted).count() == 60
     assert seen.value == len(sure)  # no pair is made a second time for its other end
+
+
+def test_word_vectors_in_parts(spark, tmp_path, monkeypatch):
+    from dataloom.plans import q_learn as Q
+
+    texts = ["alpha beta gamma delta " * 20, "beta gamma epsilon " * 30, "delta alpha epsilon zeta " * 25, None]
+    spark.createDataFrame([(k, t) for k, t in enumerate(texts * 10)], "doc_id long, text string").where("text IS NOT NULL").write.parquet(f"{tmp_path}/documents.parquet")
+    made = []
+    plain = Q.MF.Word2Vec
+
+    monkeypatch.setattr(Q, "MF", SimpleNamespace(**{**vars(Q.MF), "Word2Vec": lambda **given: made.append(given["numPartitions"]) or plain(**given)}))
+    monkeypatch.setattr(Q, "WORD_PART", 2000)
+    rows = REGISTRY["ml_word2vec"].fn(spark, str(tmp_path)).collect()
+    assert made[0] > 4 and {"alpha", "beta", "gamma", "delta", "epsilon", "zeta"} <= {r.word for r in rows}
