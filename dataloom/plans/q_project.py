@@ -225,6 +225,25 @@ def pred_bincond_case(spark, sf):
     )
 
 
+#: texts that may cast to a double: a number's first and last character, or the name of a special value
+MAY_BE_NUMBER = r"(?i)^[\x00-\x20]*[+-]?([0-9.].*[0-9.fd]|[0-9]|infinity|inf|nan)[\x00-\x20]*$"
+
+
+def _whole_number(text, at_most: int):
+    """An integer of so many digits after its leading zeros, between blanks and control characters."""
+    return text.rlike(rf"^[\x00-\x20\x7F]*[+-]?0*[0-9]{{1,{at_most}}}[\x00-\x20\x7F]*$")
+
+
+def numeric_checks(text):
+    """Whether a text casts to an int, a long, a double. A cast that fails throws inside
+    and costs as much as hundreds that succeed: only texts whose form leaves it open are cast."""
+    as_long = text.try_cast("long")
+    is_int = F.when(_whole_number(text, 9), True).when(_whole_number(text, 10), as_long.between(-(1 << 31), (1 << 31) - 1)).otherwise(False)
+    is_long = F.when(_whole_number(text, 18), True).when(_whole_number(text, 19), as_long.isNotNull()).otherwise(False)
+    is_double = F.when(text.rlike(MAY_BE_NUMBER), text.try_cast("double").isNotNull()).otherwise(False)
+    return is_int.alias("is_int"), is_long.alias("is_long"), is_double.alias("is_double")
+
+
 @query(
     "pred_numeric_check",
     """SELECT item, TRY_CAST(item AS INTEGER) IS NOT NULL AND regexp_full_match(trim(item), '[+-]?[0-9]+') AS is_int,
@@ -239,11 +258,7 @@ def pred_numeric_check(spark, sf):
         F.explode(F.split(F.concat_ws(" ", "props", F.col("value").cast("string"), "event_type",
                                       (F.col("event_id") * 1000000).cast("string")), " ")).alias("item")
     )
-    it = F.col("item")
-    return items.select(
-        "item", it.try_cast("int").isNotNull().alias("is_int"), it.try_cast("long").isNotNull().alias("is_long"),
-        it.try_cast("double").isNotNull().alias("is_double"),
-    )
+    return items.select("item", *numeric_checks(F.col("item")))
 
 
 @query(
