@@ -18,6 +18,8 @@ from pyspark.sql.types import ArrayType, DoubleType, StructType
 from dataloom.session import fixed, ship_package
 
 MOST_COLUMNS = 4096
+#: numbers of block products that a task holds before it gives them out (32 MB)
+HELD_NUMBERS = 1 << 22
 
 
 def stacked(column: pa.Array, n: int) -> np.ndarray:
@@ -148,6 +150,23 @@ def entries(matrix: np.ndarray, df: DataFrame) -> DataFrame:
     return whole.select(F.posexplode("m").alias("i", "row")).select("i", F.posexplode("row").alias("j", "v"))
 
 
+def _numbers(column: pa.Array):
+    """Row k of a list column as a view of its numbers: no Python object for each of them."""
+    ends, flat = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    return lambda k: flat[ends[k]: ends[k + 1]]
+
+
+def _lists(data: list[np.ndarray]) -> pa.Array:
+    """Arrays of numbers as a list column."""
+    ends = np.cumsum([0, *map(len, data)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(data) if data else np.zeros(0)))
+
+
+def _as_blocks(made: dict) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    return pa.RecordBatch.from_arrays([*(pa.array(k, t) for k, t in zip(zip(*made), kinds)), _lists(list(made.values()))], ["bi", "bj", "rows", "cols", "data"])
+
+
 def transpose(df: DataFrame) -> DataFrame:
     """Entries or blocks transposed: indices change places, and so do the numbers of a block."""
     if "data" not in df.columns:
@@ -156,9 +175,9 @@ def transpose(df: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            data = [np.array(x).reshape(r, c).T.ravel() for x, r, c in zip(b.column("data").to_pylist(), b.column("rows").to_pylist(), b.column("cols").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("bj"), b.column("bi"), b.column("cols"), b.column("rows"), pa.array(data, pa.list_(pa.float64()))],
-                                             ["bi", "bj", "rows", "cols", "data"])
+            x = _numbers(b.column("data"))
+            data = [x(k).reshape(r, c).T.ravel() for k, (r, c) in enumerate(zip(b.column("rows").to_pylist(), b.column("cols").to_pylist()))]
+            yield pa.RecordBatch.from_arrays([b.column("bj"), b.column("bi"), b.column("cols"), b.column("rows"), _lists(data)], ["bi", "bj", "rows", "cols", "data"])
 
     return df.select("bi", "bj", "rows", "cols", "data").mapInArrow(run, "bi long, bj long, rows int, cols int, data array<double>")
 
@@ -196,15 +215,21 @@ def multiply_blocks(a: DataFrame, b: DataFrame) -> DataFrame:
         b.select(F.col("bi").alias("k"), "bj", "cols", F.col("data").alias("y")), "k")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, held = {}, 0
         for t in batches:
-            made = {}
-            for bi, bj, r, m, c, x, y in zip(*(t.column(n).to_pylist() for n in ("bi", "bj", "rows", "inner", "cols", "x", "y"))):
-                done = (np.array(x).reshape(r, m) @ np.array(y).reshape(m, c)).ravel()
-                made[bi, bj, r, c] = made[bi, bj, r, c] + done if (bi, bj, r, c) in made else done
-            keys = list(zip(*made)) or [[], [], [], []]
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([*(pa.array(k, t_) for k, t_ in zip(keys, kinds)), pa.array(list(made.values()), pa.list_(pa.float64()))],
-                                             ["bi", "bj", "rows", "cols", "data"])
+            x, y = _numbers(t.column("x")), _numbers(t.column("y"))
+            for k, (bi, bj, r, m, c) in enumerate(zip(*(t.column(n).to_pylist() for n in ("bi", "bj", "rows", "inner", "cols")))):
+                done = (x(k).reshape(r, m) @ y(k).reshape(m, c)).ravel()
+                if (bi, bj, r, c) in made:
+                    made[bi, bj, r, c] += done
+                else:
+                    made[bi, bj, r, c] = done
+                    held += len(done)
+                if held >= HELD_NUMBERS:
+                    yield _as_blocks(made)
+                    made, held = {}, 0
+        if made:
+            yield _as_blocks(made)
 
     parts = pair.select("bi", "bj", "rows", "inner", "cols", "x", "y").mapInArrow(run, "bi long, bj long, rows int, cols int, data array<double>")
     cells = parts.select("bi", "bj", "rows", "cols", F.posexplode("data").alias("at", "v"))
