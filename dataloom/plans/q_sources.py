@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dataloom.plans.fixtures import ACCESS_LOG_SQL, CUSTOMER_NULLS_SQL, access_log, customer_nulls, with_ctes
-from dataloom.operators.joins import plan_bytes
 from dataloom.plans.registry import query
 from dataloom.session import scratch_path, table
 from dataloom.sources import io as IO
@@ -191,8 +190,9 @@ def src_whole_text(spark, sf):
     """One row per file (wholetext): the files together hold every document."""
     d = table(spark, sf, "documents").select("text")
     path = scratch_path(spark, "whole")
-    # files of about 64 MB; a document ends with a mark that no text holds
-    d.repartition(max(4, plan_bytes(d) >> 26)).write.option("lineSep", "\u0001").text(path)
+    # files of about 32 MB by the bytes of the texts (a file is read whole); a document ends with a mark that no text holds
+    size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    d.repartition(max(4, -(-size >> 25))).write.option("lineSep", "\u0001").text(path)
     files = spark.read.text(path, wholetext=True)
     return files.agg(F.sum(F.length("value")).cast("long").alias("n_chars"),
                      F.sum(F.size(F.split("value", "\u0001")) - 1).cast("long").alias("n_docs"))
