@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from dataloom.plans import q_project
+from dataloom.learn import matrix as M
+from dataloom.operators import joins as J
+from dataloom.plans import q_project, q_sources
+from dataloom.streaming import streams as ST
 
 
 def test_only_what_may_be_a_number_is_cast(spark):
@@ -18,3 +23,48 @@ def test_only_what_may_be_a_number_is_cast(spark):
     got = df.select("t", *q_project.numeric_checks(t), *[t.try_cast(k).isNotNull().alias(k) for k in ("int", "long", "double")], t.rlike(q_project.MAY_BE_NUMBER).alias("tried")).collect()
     assert [r for r in got if (r.is_int, r.is_long, r.is_double) != (r.int, r.long, r.double)] == []
     assert not any(r.tried for r in got if r.t in ("abc", "a1", "{\"k\":", "76}", "click", "d"))
+
+
+def test_range_join_has_tasks_for_its_pairs(spark):
+    """Small sides with many pairs: a bucket that holds nearly all is cut, equal points too, and no pair is lost or doubled."""
+    pts = spark.createDataFrame([(i, 5.0 if i % 10 else float(i)) for i in range(300)] + [(300, None)], "pid int, x double").coalesce(1)
+    rng = spark.createDataFrame([(i, i / 10, i / 10 + 6.0) for i in range(60)], "rid int, lo double, hi double").coalesce(1)
+    ranges = rng.collect()
+    want = sorted((p.pid, r.rid) for p in pts.collect() for r in ranges if p.x is not None and r.lo <= p.x < r.hi)
+    for how in ("inner", "left"):
+        out = J.range_join(pts, rng, "x", "lo", "hi", bucket=2.0, how=how, task_pairs=500)
+        assert out.columns == ["pid", "x", "rid", "lo", "hi"]
+        got = sorted((r.pid, r.rid) for r in out.collect() if r.rid is not None)
+        assert got == want
+    alone = {r.pid for r in J.range_join(pts, rng, "x", "lo", "hi", 2.0, "left", task_pairs=500).where("rid IS NULL").collect()}
+    assert alone == set(range(301)) - {p for p, _ in want} and 300 in alone
+    spread = J.range_join(pts, rng, "x", "lo", "hi", bucket=2.0, task_pairs=500).groupBy(F.spark_partition_id()).count().collect()
+    assert len(spread) > 8 and max(r["count"] for r in spread) < len(want) / 4
+
+
+def test_block_products_come_out_in_parts(spark):
+    """Products are right, and no block's numbers are Python objects."""
+    rng = np.random.default_rng(1)
+    a = rng.integers(-9, 9, (40, 23)).astype(float)
+    df = spark.createDataFrame([(i, j, float(a[i, j])) for i in range(40) for j in range(23)], "i long, j long, v double")
+    blocks = M.to_blocks(df, 4)
+    got = np.zeros((23, 23))
+    for r in M.from_blocks(M.multiply_blocks(M.transpose(blocks), blocks)).collect():
+        got[r.i, r.j] += r.v
+    assert np.allclose(got, a.T @ a)
+    column = pa.array([[1.0, 2.0], [], [3.0]], pa.list_(pa.float64())).slice(1)
+    assert [M._numbers(column)(k).tolist() for k in range(2)] == [[], [3.0]]
+    assert M._lists([np.array([1.0, 2.0]), np.zeros(0)]).to_pylist() == [[1.0, 2.0], []]
+
+
+def test_files_go_by_the_bytes_of_texts(spark, tmp_path):
+    """Texts that compress to almost nothing still make files of a bounded size."""
+    spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word and "), 500_000).alias("text")).limit(60).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    d = spark.read.parquet(f"{tmp_path}/documents.parquet").select("text")
+    assert ST.data_bytes(d) >= 60 * 4_500_000 > 10 * J.plan_bytes(d)
+    assert ST.stage_files(d, f"{tmp_path}/staged", 2, fmt="text", file_bytes=32 << 20) >= 4
+    wide = spark.createDataFrame([("ab", [1, 2], None)], "s string, l array<long>, n string")
+    assert ST.data_bytes(wide) == 8 * 4 + 2 + 16 and ST.data_bytes(wide.where("false")) == 0
+    got = q_sources.src_whole_text(spark, str(tmp_path))
+    assert got.first().asDict() == {"n_chars": 60 * 4_500_001, "n_docs": 60}
+    assert len(got.inputFiles()) >= 8
