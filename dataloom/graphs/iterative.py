@@ -14,37 +14,39 @@ from pyspark.sql import functions as F
 from dataloom.session import fixed, scratch_path
 
 
-def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85, bucket_links: int = 2_000_000, keep_every: int = 5) -> DataFrame:
+def pagerank(edges: DataFrame, iterations: int = 10, damping: float = 0.85, bucket_links: int = 2_000_000, keep_every: int = 5, list_links: int = 1 << 16) -> DataFrame:
     """Iterated rank: rank(v) = (1 - d) + d * sum(rank(u) / outdeg(u)) over u -> v.
 
     Starting rank 1.0 for every vertex with out-links; a vertex without
     incoming contributions drops out, as in the classic example.
 
-    The links are a table bucketed by source, one file a bucket, so a round
-    shuffles the ranks and the contributions but not the links. A source of
-    more links than an average bucket holds is cut into mirrors, each with a
-    part of its links in another bucket; its rank goes to all of them. There are fewer such
-    sources than buckets. What flows into a hub is added up before the shuffle.
+    The links are a table bucketed by source, one file a bucket and one row with
+    a list a source, so a round sorts and joins sources, not links, and shuffles
+    the ranks and the contributions. A source of more links than an average
+    bucket or a list holds is cut into mirrors, each with a part of its links in
+    another bucket; its rank goes to all of them. There are fewer such
+    sources than buckets and full lists. What flows into a hub is added up before the shuffle.
     """
     spark = edges.sparkSession
     links = fixed(edges.select("src", "dst").distinct(), "distinct-links")
     total = links.count()
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_links))
     degrees = fixed(links.groupBy("src").agg(F.count("*").alias("deg")), "out-degrees")
-    part = max(1, -(-total // n))
+    part = max(1, min(list_links, -(-total // n)))
     mirrors = F.ceil(F.col("deg") / part).cast("int")
-    hubs = F.broadcast(fixed(degrees.where(F.col("deg") > part).select(F.col("src").alias("hub"), mirrors.alias("k")), "hubs"))  # fewer than n rows
+    hubs = F.broadcast(fixed(degrees.where(F.col("deg") > part).select(F.col("src").alias("hub"), mirrors.alias("k")), "hubs"))  # fewer than total / part rows
     mirror = F.pmod(F.xxhash64("dst"), mirrors).cast("int")
     path = scratch_path(spark, "links")
     name = "links_" + path.rsplit("-", 1)[-1]
     (links.join(degrees, "src").withColumn("mirror", mirror).repartition(n, "src", "mirror")
+     .groupBy("src", "mirror", "deg").agg(F.collect_list(F.struct("dst")).alias("out"))
      .write.bucketBy(n, "src", "mirror").option("path", path).saveAsTable(name))
     adj = spark.table(name)
     ranks = degrees.select(F.col("src").alias("v"), F.lit(1.0).alias("rank"))
     for done in range(1, iterations + 1):
         to = ranks.join(hubs, F.col("v") == F.col("hub"), "left").select(
             "v", "rank", F.explode(F.sequence(F.lit(0), F.coalesce("k", F.lit(1)) - 1)).alias("m"))
-        contrib = adj.join(to, (adj.src == to.v) & (adj.mirror == to.m)).select(F.col("dst").alias("v"), (F.col("rank") / F.col("deg")).alias("c"))
+        contrib = adj.join(to, (adj.src == to.v) & (adj.mirror == to.m)).select(F.explode("out").alias("l"), (F.col("rank") / F.col("deg")).alias("c")).select(F.col("l.dst").alias("v"), "c")
         ranks = contrib.groupBy("v").agg((F.lit(1 - damping) + F.lit(damping) * F.sum("c")).alias("rank"))
         if done % keep_every == 0 or done == iterations:  # a lost executor costs at most so many rounds
             ranks = fixed(ranks, "ranks")

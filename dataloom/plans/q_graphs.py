@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dataloom.graphs import iterative as GI
 from dataloom.graphs.triangles import triangle_count
+from dataloom.operators.joins import salted_join
 from dataloom.plans.registry import query
 from dataloom.session import fixed, table
 
@@ -22,11 +23,6 @@ def _sp(spark, sf):
                      F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("dst")).distinct()
 
 
-def _und(spark, sf):
-    sp = _sp(spark, sf)
-    return sp.union(sp.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-
-
 def _pagerank_sql(iters: int = 10) -> str:
     parts = [_SP_SQL, "deg AS (SELECT src, COUNT(*) AS d FROM und GROUP BY src)", "r0 AS (SELECT src AS v, 1.0 AS rank FROM deg)"]
     for i in range(1, iters + 1):
@@ -38,8 +34,9 @@ def _pagerank_sql(iters: int = 10) -> str:
 @query("gr_pagerank", _pagerank_sql())
 def gr_pagerank(spark, sf):
     """10 rounds of PageRank over the supplier-part graph (both directions)."""
-    r = GI.pagerank(_und(spark, sf), iterations=10)
-    return r.select("v", F.round("rank", 6).alias("rank"))
+    sp = _numbered(spark, sf)
+    r = GI.pagerank(sp.union(sp.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), iterations=10)
+    return r.select(_vertex(F.col("v")).alias("v"), F.round("rank", 6).alias("rank"))
 
 
 @query(
@@ -49,7 +46,21 @@ def gr_pagerank(spark, sf):
     SELECT v, min(l) AS label FROM lab GROUP BY v""",
 )
 def gr_connected_components(spark, sf):
-    return GI.connected_components(_sp(spark, sf))
+    """Components over numbered vertices; a component's label is the least of its vertices' names."""
+    found = fixed(GI.connected_components(_numbered(spark, sf)).select(_vertex(F.col("v")).alias("v"), "label"), "components")
+    least = found.groupBy(F.col("label").alias("of")).agg(F.min("v").alias("least"))
+    return salted_join(found, least, ["label"], ["of"], how="left").select("v", F.col("least").alias("label"))
+
+
+def _numbered(spark, sf):
+    """The supplier -> part graph with whole numbers as vertices: even ones are suppliers, odd ones parts."""
+    li = table(spark, sf, "lineitem")
+    return li.select((F.col("l_suppkey").cast("long") * 2).alias("src"), (F.col("l_partkey").cast("long") * 2 + 1).alias("dst")).distinct()
+
+
+def _vertex(v):
+    """The name of a numbered vertex."""
+    return F.concat(F.when(v.bitwiseAND(F.lit(1)) == 0, F.lit("s")).otherwise(F.lit("p")), F.shiftright(v, 1).cast("string"))
 
 
 def _weighted(spark, sf):

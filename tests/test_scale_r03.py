@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from dataloom.graphs import iterative as GI
 from dataloom.learn import matrix as M
 from dataloom.operators import joins as J
-from dataloom.plans import q_project, q_sources
+from dataloom.plans import q_graphs, q_learn, q_project, q_sources
 from dataloom.streaming import streams as ST
 
 
@@ -68,3 +71,49 @@ def test_files_go_by_the_bytes_of_texts(spark, tmp_path):
     got = q_sources.src_whole_text(spark, str(tmp_path))
     assert got.first().asDict() == {"n_chars": 60 * 4_500_001, "n_docs": 60}
     assert len(got.inputFiles()) >= 8
+
+
+def _lines(spark, path, rows):
+    spark.createDataFrame(rows, "l_orderkey long, l_suppkey long, l_partkey long").write.parquet(f"{path}/lineitem.parquet")
+    return str(path)
+
+
+def test_numbered_vertices_keep_their_names(spark, tmp_path):
+    """Vertices are numbers in every round; names and least labels are those of the texts, null keys too."""
+    sf = _lines(spark, tmp_path, [(1, 9, 10), (1, 10, 10), (2, 2, 7), (2, 2, 7), (3, -3, -4), (4, None, 5), (4, 11, None), (5, None, None)])
+    got = {(r.v, r.label) for r in q_graphs.gr_connected_components(spark, sf).collect()}
+    assert got == {("s9", "p10"), ("s10", "p10"), ("p10", "p10"), ("s2", "p7"), ("p7", "p7"), ("s-3", "p-4"), ("p-4", "p-4"), ("p5", "p5"), ("s11", "s11"), (None, None)}
+    ranks = {r.v: r["rank"] for r in q_graphs.gr_pagerank(spark, sf).collect()}
+    assert ranks["s2"] == ranks["p7"] == ranks["s-3"] == 1.0 and ranks["p10"] > 1 > ranks["s9"] == ranks["s10"]
+    edges = spark.createDataFrame([(1, None), (1, 2), (None, 3)], "src long, dst long")
+    assert {r.v: r["rank"] for r in GI.pagerank(edges, iterations=1, list_links=1).collect()} == {None: 0.575, 2: 0.575}
+    assert dict(q_graphs._numbered(spark, sf).dtypes) == {"src": "bigint", "dst": "bigint"}
+
+
+def test_orders_are_gathered_once_for_both_miners(spark, tmp_path, monkeypatch):
+    rows = [(o, n, f, "O", q) for o in range(30) for n, (f, q) in enumerate([("A", 5.0), ("N", 15.0), ("A", 5.0)][: 1 + o % 3])]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    made = []
+    real = q_learn.fixed
+    monkeypatch.setattr(q_learn, "fixed", lambda df, name: made.append(name) or real(df, name))
+    got = {(r.kind, r.pattern): r.freq for r in q_learn.mod_frequent_patterns(spark, str(tmp_path)).where("kind <> 'rule'").collect()}
+    assert got == {("itemset", "AO0"): 30, ("itemset", "NO1"): 20, ("itemset", "AO0,NO1"): 20, ("sequence", "A"): 30, ("sequence", "N"): 20,
+                   ("sequence", "A>N"): 20, ("sequence", "A>A"): 10, ("sequence", "N>A"): 10, ("sequence", "A>N>A"): 10}
+    assert made == ["orders-of-lines"]
+    few = q_learn.LOCAL_ITEMS
+    monkeypatch.setattr(q_learn, "LOCAL_ITEMS", 3)
+    assert few > 3 and {(r.kind, r.pattern): r.freq for r in q_learn.mod_frequent_patterns(spark, str(tmp_path)).where("kind <> 'rule'").collect()} == got
+
+
+def test_terms_are_counted_where_their_document_is(spark, tmp_path):
+    """One shuffle of texts, none of (document, term) rows; documents of one id or none count as one."""
+    docs = [(1, "a b a"), (1, "b c"), (2, "A-c"), (3, None), (4, ""), (None, "a z"), (None, "z")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = q_learn.ml_tfidf(spark, str(tmp_path))
+    want = {(1, "a"): 2, (1, "b"): 2, (1, "c"): 1, (2, "a"): 1, (2, "c"): 1, (None, "a"): 1, (None, "z"): 2}
+    assert {(r.doc_id, r.term): r.tf for r in out.collect()} == want
+    n_of = {t: len([k for k in want if k[1] == t]) for t in "abcz"}
+    assert all(r.tfidf == round(r.tf * math.log(8 / (n_of[r.term] + 1)), 6) for r in out.collect())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("Initial Plan"):] if "Initial Plan" in plan else plan
+    assert "hashpartitioning(term" not in plan and plan.count("Exchange hashpartitioning") == 1
