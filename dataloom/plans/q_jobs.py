@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from dataloom.functions.strings import ngrams_up_to_2, non_url, words
 from dataloom.operators.joins import anti, join
+from dataloom.operators.order import row_index
 from dataloom.plans.fixtures import (
     ACCESS_LOG_SQL, PAGE_VIEWS_SQL, POWER_USERS_SQL, SEARCH_LOG_SQL, USERS_SQL,
     access_log, page_views, power_users, search_log, users, with_ctes,
@@ -37,34 +40,108 @@ def job_wordcount(spark, sf):
 # ------------------------------------------------- search phrase popularity
 
 
-def hour_ngram_counts(log, hours=None):
+def _users_of_ngrams(parts: int, cells: int):
+    """Per block (an hour, a share of its users, a part of the n-grams): different users of each n-gram.
+
+    A user with one query counts through that query's number of such users;
+    the queries of the others are written out as (n-gram, user) pairs, at most
+    ``cells`` or one user's at a time, and equal pairs dropped.
+    """
+
+    def run(key, asked, has):
+        h, _, part = (k.as_py() for k in key)
+        grams = has["l"].combine_chunks()
+        values, sizes = grams.flatten().to_numpy(zero_copy_only=False), grams.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        qs = has["q"].to_numpy()
+        by_q = np.argsort(qs)
+        q = asked["q"].to_numpy()
+        at = by_q[np.minimum(np.searchsorted(qs, q, sorter=by_q), max(len(qs) - 1, 0))] if len(qs) else np.zeros(0, np.int64)
+        hit = qs[at] == q if len(qs) else np.zeros(len(q), bool)
+        user = asked["user"].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)[hit]
+        by_user = np.argsort(user, kind="stable")
+        user, at = user[by_user], at[hit][by_user] if len(qs) else at
+        first = np.flatnonzero(np.diff(user, prepend=-1))
+        queries = np.diff(first, append=len(user))
+        counts = np.zeros(int(values.max()) + 1 if len(values) else 0, np.int64)
+        single = np.repeat(queries == 1, queries)
+        weight = np.bincount(at[single], minlength=len(qs))
+        if len(values):
+            counts += np.bincount(values, weights=np.repeat(weight, sizes), minlength=len(counts)).astype(np.int64)
+        at, rank = at[~single], np.repeat(np.arange(int((queries > 1).sum())), queries[queries > 1])
+        n = sizes[at]
+        ends = np.cumsum(n)
+        last = np.flatnonzero(np.diff(rank, append=-1)) + 1  # rows up to the end of each user
+        a = 0
+        while a < len(at):
+            b = int(last[max(np.searchsorted(ends[last - 1], (ends[a - 1] if a else 0) + cells, side="right") - 1, np.searchsorted(last, a, side="right"))])
+            m = n[a:b]
+            place = np.repeat(starts[at[a:b]] - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
+            users = int(rank[b - 1] - rank[a]) + 1
+            pairs = values[place].astype(np.int64) * users + np.repeat(rank[a:b] - rank[a], m)
+            pairs.sort()
+            gram = pairs[np.flatnonzero(np.diff(pairs, prepend=-1))] // users
+            new = np.flatnonzero(np.diff(gram, prepend=-1))
+            counts[gram[new]] += np.diff(new, append=len(gram))
+            a = b
+        found = np.flatnonzero(counts)
+        return pa.table({"unit": 2 * (found * parts + part) + 1, "h": np.full(len(found), h, np.int32), "count": counts[found]})
+
+    return run
+
+
+def hour_ngram_counts(log, hours=None, block_links: int = 12_000_000, block_users: int = 4_000_000, cells: int = 1 << 22):
     """Distinct (user, hour, n-gram) per cleaned query, counted per (n-gram, hour); ``hours``: of these only.
 
-    Queries repeat, so n-grams are made once for each different query (known by
-    its MD5). An n-gram of one query alone has that query's users; only those
-    that several queries share are paired with users to count these once.
+    Returns counts(unit, hour, count) and names(unit, ngram). A unit is an n-gram
+    that several queries share, or a query, with whose users all n-grams of this
+    query alone are counted. Queries repeat, so n-grams are made once for each
+    different query (known by its MD5). Which users have a shared n-gram is a
+    product of two sparse tables, (n-gram, query) and (query, user) of an hour:
+    both are dealt in blocks and pairs of n-gram and user exist inside a block
+    only, so neither table is multiplied by the other on its way.
     """
+    spark = log.sparkSession
     hour = F.substring("time", 7, 2)
     asked = log.filter(non_url(F.col("query"))) if hours is None else log.filter(hour.isin(hours) & non_url(F.col("query")))
-    asked = asked.select("user", hour.alias("hour"), F.lower("query").alias("text")).withColumn("q", F.unhex(F.md5(F.col("text").cast("binary"))))
-    texts = asked.groupBy("q").agg(F.first("text").alias("text"))
+    asked = asked.select("user", hour.alias("hour"), F.lower("query").alias("text")).withColumn("md5", F.unhex(F.md5(F.col("text").cast("binary"))))
+    texts = row_index(asked.select("md5", "text").distinct(), "q")
+    users = fixed(asked.select("md5", "hour", "user").distinct().join(texts.select("md5", "q"), "md5").select("q", "hour", "user"), "query-users")
     grams = fixed(texts.select("q", F.explode(F.array_distinct(ngrams_up_to_2(words(F.col("text"))))).alias("ngram")), "query-ngrams")
-    users = fixed(asked.select("q", "hour", "user").distinct(), "query-users")
-    seen = grams.groupBy("ngram").agg(F.count("*").alias("n"), F.min("q").alias("q"))
-    alone = seen.where("n = 1").join(users.groupBy("q", "hour").agg(F.count("*").alias("count")), "q").select("ngram", "hour", "count")
-    shared = grams.join(seen.where("n > 1").select("ngram"), "ngram", "left_semi").join(users, "q").select("ngram", "hour", "user").distinct()
-    return alone.unionByName(shared.groupBy("ngram", "hour").agg(F.count("*").alias("count")))
+    seen = fixed(grams.groupBy("ngram").agg(F.count("*").alias("n"), F.min("q").alias("q")), "ngrams")
+    shared = row_index(seen.where("n > 1").select("ngram"), "g")
+    names = seen.where("n = 1").select((F.col("q") * 2).alias("unit"), "ngram").unionByName(shared.select((F.col("g") * 2 + 1).alias("unit"), "ngram"))
+
+    links = fixed(grams.join(shared, "ngram").select("q", "g"), "shared-ngrams")
+    parts = max(1, -(-links.count() // block_links))
+    per_hour = users.groupBy("hour").agg(F.count("*").alias("n")).collect()  # at most as many as hours are written in two characters
+    shares = [(h, r["hour"], max(1, -(-r["n"] // block_users))) for h, r in enumerate(per_hour)]
+    numbered = F.broadcast(spark.createDataFrame(shares, "h int, hour string, shares int"))
+    dealt = spark.createDataFrame([(h, c) for h, _, k in shares for c in range(k)], "h int, c int")
+    blocks = max(1, parts * sum(k for *_, k in shares))
+    asked_in = (users.join(numbered, users.hour.eqNullSafe(numbered.hour)).select("h", F.pmod(F.xxhash64("user"), "shares").cast("int").alias("c"), "q", "user")
+                .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).repartition(blocks, "h", "c", "part"))
+    has_in = (links.groupBy((F.col("g") % parts).cast("int").alias("part"), "q").agg(F.collect_list(F.floor(F.col("g") / parts).cast("int")).alias("l"))
+              .crossJoin(F.broadcast(dealt)).repartition(blocks, "h", "c", "part"))
+    key = ("h", "c", "part")
+    counted = asked_in.groupBy(*key).cogroup(has_in.groupBy(*key)).applyInArrow(_users_of_ngrams(parts, cells), "unit long, h int, count long")
+    if blocks > parts * len(shares):
+        counted = counted.groupBy("unit", "h").agg(F.sum("count").alias("count"))
+    counted = fixed(counted.join(numbered, "h").select("unit", "hour", "count"), "shared-counts")
+    alone = users.groupBy((F.col("q") * 2).alias("unit"), "hour").agg(F.count("*").alias("count"))
+    return alone.unionByName(counted), names
 
 
 def ngram_hour_scores(log, min_score: float = 2.0):
     """Hours in which an n-gram is unusually popular: z-score of its hourly count.
 
     Mean and population deviation are over the hours the n-gram occurs in: one
-    aggregate per n-gram, whose list holds at most 24 hours.
+    aggregate per n-gram, whose list holds at most 24 hours. N-grams with the
+    same counts are scored as one unit, and named when their hours are known.
     """
-    hf = hour_ngram_counts(log)
+    hf, names = hour_ngram_counts(log)
     c = F.col("count")
-    per = hf.groupBy("ngram").agg(
+    per = hf.groupBy("unit").agg(
         F.count("*").alias("n"), F.sum(c).alias("s"), F.sum(c * c).alias("q"), F.collect_list(F.struct("hour", "count")).alias("hours"))
     n, s, q = F.col("n"), F.col("s"), F.col("q")
     # count > mean and (count - mean) / sd > z, tested without rounding:
@@ -72,7 +149,7 @@ def ngram_hour_scores(log, min_score: float = 2.0):
     above = lambda k: (n * k > s) & ((n * k - s) * (n * k - s) > F.lit(float(min_score) ** 2) * (n * q - s * s))
     per = per.withColumn("hours", F.filter("hours", lambda h: above(h["count"]))).withColumns({
         "mean": s / n, "sd": F.sqrt(q / n - (s / n) * (s / n))})
-    scored = per.select("ngram", "mean", "sd", F.explode("hours").alias("h")).select(
+    scored = per.where(F.size("hours") > 0).join(names, "unit").select("ngram", "mean", "sd", F.explode("hours").alias("h")).select(
         "ngram", "mean", F.col("h.hour").alias("hour"), F.col("h.count").alias("count"), ((F.col("h.count") - F.col("mean")) / F.col("sd")).alias("score"))
     return scored.select(
         "hour", "ngram", F.round("score", 6).alias("score"), "count", F.round("mean", 6).alias("mean")
@@ -117,9 +194,10 @@ def job_ngram_hour_score(spark, sf):
     ),
 )
 def job_ngram_compare_hours(spark, sf):
-    hf = hour_ngram_counts(search_log(spark, sf), ["00", "12"])
+    hf, names = hour_ngram_counts(search_log(spark, sf), ["00", "12"])
     of = lambda h: F.sum(F.when(F.col("hour") == h, F.col("count")))
-    return hf.groupBy("ngram").agg(of("00").alias("count00"), of("12").alias("count12")).where("count00 IS NOT NULL AND count12 IS NOT NULL")
+    both = hf.groupBy("unit").agg(of("00").alias("count00"), of("12").alias("count12")).where("count00 IS NOT NULL AND count12 IS NOT NULL")
+    return both.join(names, "unit").select("ngram", "count00", "count12")
 
 
 # ------------------------------------------------------------ access logs

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from dataloom.graphs import iterative as GI
 from dataloom.learn import matrix as M
 from dataloom.operators import joins as J
-from dataloom.plans import q_graphs, q_learn, q_project, q_sources
+from dataloom.plans import q_graphs, q_jobs, q_learn, q_project, q_sources
 from dataloom.streaming import streams as ST
 
 
@@ -117,3 +118,23 @@ def test_terms_are_counted_where_their_document_is(spark, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     plan = plan[plan.index("Initial Plan"):] if "Initial Plan" in plan else plan
     assert "hashpartitioning(term" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_users_of_shared_ngrams_are_counted_in_blocks(spark):
+    """Many small blocks give each n-gram's different users per hour; users and hours may be null, n-grams meet users inside a block only."""
+    queries = ["a b c", "A b", "b c d", "x", "x y", "d", "a b c d a b", " ", None, "http://a b", "?!", "y x y x"]
+    rows = [(None if (i * 7) % 11 == 0 else i % 5, None if i % 13 == 0 else f"240101{i % 3:02d}0000", queries[(i * i + i // 3) % len(queries)]) for i in range(400)]
+    log = spark.createDataFrame(rows, "user long, time string, query string")
+    want = {}
+    for user, time, query in rows:
+        if query and query.strip() and not query.startswith("http"):
+            w = [x for x in re.split("[^a-z0-9_]+", query.lower()) if x]
+            for g in {*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))}:
+                want.setdefault((g, time and time[6:8]), set()).add(user)
+    want = sorted(((g, h, len(u)) for (g, h), u in want.items()), key=str)
+    for sizes in ((3, 10, 4), (1 << 20, 1 << 20, 1 << 20)):
+        counts, names = q_jobs.hour_ngram_counts(log, None, *sizes)
+        got = counts.join(names, "unit").select("ngram", "hour", "count").collect()
+        assert sorted(map(tuple, got), key=str) == want
+    nothing, _ = q_jobs.hour_ngram_counts(log.where("user = 99"))
+    assert nothing.count() == 0
