@@ -4,11 +4,11 @@ suppliers and parts linked by the lines that ship them."""
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from dataloom.graphs import iterative as GI
 from dataloom.graphs.triangles import triangle_count
+from dataloom.learn.als import als_error
 from dataloom.operators.joins import salted_join
 from dataloom.plans.registry import query
 from dataloom.session import fixed, table
@@ -194,49 +194,12 @@ def it_logreg_manual(spark, sf):
     return li.agg(F.count("*").alias("n")).select("n", F.lit(float(w[0])).alias("w0"), F.lit(float(w[1])).alias("w1"), F.lit(float(w[2])).alias("w2"))
 
 
-def _solve(rank: int, lam: float):
-    """Per Arrow batch: solve each entity's (rank x rank) normal equations."""
-
-    def f(batches):
-        for pdf in batches:
-            out = []
-            for key, ata, atb in zip(pdf["id"], pdf["ata"], pdf["atb"]):
-                a = np.array(ata).reshape(rank, rank) + lam * np.eye(rank)
-                out.append((key, np.linalg.solve(a, np.array(atb)).tolist()))
-            yield pd.DataFrame(out, columns=["id", "f"])
-
-    return f
-
-
 @query("it_als_manual")
 def it_als_manual(spark, sf):
-    """Alternating least squares written as joins and grouped solves: the
-    normal equations (sum f f^T, sum r f) are aggregates (skew-safe, partial),
-    and each entity's small rank x rank system is solved in pandas."""
+    """Alternating least squares in half steps over blocks: the normal equations
+    (sum f f^T, sum r f) of an entity are summed in the block that has its
+    ratings, and its small rank x rank system is solved there in numpy."""
     li = table(spark, sf, "lineitem")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    ratings = li.join(o, li.l_orderkey == o.o_orderkey).groupBy(F.col("o_custkey").alias("u"), F.col("l_partkey").alias("i")).agg(
-        F.avg("l_quantity").alias("r"))
-    ratings = fixed(ratings, "ratings")
-    rank, lam = 4, 0.1
-    init = lambda c: F.array(*[(F.abs(F.hash(F.col(c), F.lit(j))) % 1000) / 1000.0 for j in range(rank)])
-    items = ratings.select(F.col("i").alias("id")).distinct().withColumn("f", init("id"))
-    users = None
-    for _ in range(5):
-        for side, other_key, own_key in (("users", "i", "u"), ("items", "u", "i")):
-            fac = items if side == "users" else users
-            j = ratings.join(fac.withColumnRenamed("id", other_key), other_key)
-            outer = F.flatten(F.transform("f", lambda a: F.transform("f", lambda b: a * b)))
-            ne = j.groupBy(F.col(own_key).alias("id")).agg(
-                F.array(*[F.sum(outer[k]) for k in range(rank * rank)]).alias("ata"),
-                F.array(*[F.sum(F.col("r") * F.col("f")[k]) for k in range(rank)]).alias("atb"))
-            solved = ne.mapInPandas(_solve(rank, lam), "id long, f array<double>")
-            solved = fixed(solved, side)
-            if side == "users":
-                users = solved
-            else:
-                items = solved
-    pred = ratings.join(users.withColumnRenamed("id", "u").withColumnRenamed("f", "fu"), "u").join(
-        items.withColumnRenamed("id", "i").withColumnRenamed("f", "fi"), "i")
-    dot = F.aggregate(F.zip_with("fu", "fi", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    return pred.agg(F.sqrt(F.avg((dot - F.col("r")) ** 2)).alias("rmse"), F.count("*").alias("n"))
+    lines = li.join(o, li.l_orderkey == o.o_orderkey).select(F.col("o_custkey").alias("u"), F.col("l_partkey").alias("i"), F.col("l_quantity").alias("r"))
+    return als_error(lines, rank=4, lam=0.1, iterations=5)

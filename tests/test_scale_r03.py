@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from dataloom.graphs import iterative as GI
+from dataloom.learn import als
 from dataloom.learn import matrix as M
 from dataloom.operators import joins as J
 from dataloom.plans import q_graphs, q_jobs, q_learn, q_project, q_sources
@@ -138,3 +139,40 @@ def test_users_of_shared_ngrams_are_counted_in_blocks(spark):
         assert sorted(map(tuple, got), key=str) == want
     nothing, _ = q_jobs.hour_ngram_counts(log.where("user = 99"))
     assert nothing.count() == 0
+
+
+def test_als_ships_factors_not_outer_products(spark):
+    """Blocks and chunks of any size give the error of plain half steps; keys and ratings may be null, lines repeat."""
+    rng = np.random.default_rng(3)
+    rows = [(int(u), int(i), float(r)) for u, i, r in zip(rng.integers(0, 40, 900), rng.integers(0, 25, 900) * 3 - 9, rng.integers(1, 50, 900))]
+    rows += [(None, 3, 1.0), (4, None, 2.0), (None, None, 3.0), (7, 900, None), (7, 901, 5.0), (99, 3, 4.0), (5, -9, None)]
+    lines = spark.createDataFrame(rows, "u long, i int, r double")
+    rated = {}
+    for u, i, r in rows:
+        if u is not None and i is not None:
+            rated.setdefault((u, i), []).extend([] if r is None else [r])
+    rated = {k: sum(v) / len(v) if v else None for k, v in rated.items()}
+    first = spark.createDataFrame([(i,) for i in {i for _, i in rated}], "id int").select("id", *[(F.abs(F.hash("id", F.lit(j))) % 1000 / 1000.0).alias(f"f{j}") for j in range(4)])
+    items = {r[0]: np.array(r[1:]) for r in first.collect()}
+    for _ in range(5):
+        users = _half_step(rated, items, 0)
+        items = _half_step(rated, users, 1)
+    off = [(float(users[u] @ items[i]) - r) ** 2 for (u, i), r in rated.items() if r is not None]
+    want = (math.sqrt(sum(off) / len(off)), len(rated))
+    for sizes in ((100, 7), (10**6, 10**6)):
+        got = als.als_error(lines, block_ratings=sizes[0], chunk=sizes[1]).first()
+        assert got.n == want[1] and math.isclose(got.rmse, want[0], rel_tol=1e-9)
+    none = als.als_error(lines.where("u IS NULL")).first()
+    assert (none.rmse, none.n) == (None, 0)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(("laid_", "routes_", "ratings_"))]
+
+
+def _half_step(rated, others, side):
+    """Factors of one side (0: users) from the other's."""
+    sums = {}
+    for key, r in rated.items():
+        f = others[key[1 - side]]
+        a, b = sums.setdefault(key[side], (0.1 * np.eye(len(f)), np.zeros(len(f))))
+        a += np.outer(f, f)
+        b += f * (r or 0.0)
+    return {k: np.linalg.solve(a, b) for k, (a, b) in sums.items()}
