@@ -28,10 +28,15 @@ def _closing_stream(spark, sf, after, slices=4):
     return s.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "0 seconds")
 
 
-def _closed(spark, sdf, name):
+def _arrival_rows(spark, sf, slices=4):
+    """Events of one arrival: state that goes with the watermark holds hardly more."""
+    return -(-table(spark, sf, "events").count() // slices)
+
+
+def _closed(spark, sf, sdf, name):
     """What an append-mode stream of closed windows has put into its sink."""
     sink, ck = _paths(spark, name)
-    S.run_append(sdf, sink, ck)
+    S.run_append(sdf, sink, ck, state_rows=_arrival_rows(spark, sf))
     return spark.read.schema(sdf.schema).parquet(sink)
 
 
@@ -76,7 +81,7 @@ def st_sql_on_stream(spark, sf):
     _events_stream(spark, sf).createOrReplaceTempView("events_stream")
     agg = spark.sql("SELECT event_type, COUNT(*) AS n, round(SUM(value), 2) AS total FROM events_stream GROUP BY event_type")
     sink, ck = _paths(spark, "st-sql")
-    S.run_complete(agg, sink, ck)
+    S.run_complete(agg, sink, ck, state_rows=table(spark, sf, "events").count())
     return spark.read.parquet(sink)
 
 
@@ -118,7 +123,7 @@ def st_batch_count_reduce(spark, sf):
 def st_tumbling(spark, sf):
     """Hourly windows in append mode: a window comes out when the watermark has passed it, and its state goes."""
     s = S.window_counts(_closing_stream(spark, sf, "2 HOURS"), "ts", "1 hour", None, ["event_type"], [F.count("*").alias("n")])
-    return _closed(spark, s, "st-tumble")
+    return _closed(spark, sf, s, "st-tumble")
 
 
 @query(
@@ -130,7 +135,7 @@ def st_tumbling(spark, sf):
 def st_sliding(spark, sf):
     """Two-hour windows sliding by one hour, in append mode: each event counts in two windows."""
     s = S.window_counts(_closing_stream(spark, sf, "4 HOURS"), "ts", "2 hours", "1 hour", ["event_type"], [F.count("*").alias("n")])
-    return _closed(spark, s, "st-slide")
+    return _closed(spark, sf, s, "st-slide")
 
 
 @query(
@@ -147,7 +152,7 @@ def st_session(spark, sf):
     agg = s.groupBy("user_id", F.session_window("ts", "6 hours").alias("sw")).agg(F.count("*").alias("n")).select(
         "user_id", F.col("sw.start").cast("timestamp_ntz").alias("session_start"),
         F.col("sw.end").cast("timestamp_ntz").alias("session_end"), "n")
-    return _closed(spark, agg, "st-session")
+    return _closed(spark, sf, agg, "st-session")
 
 
 @query(
@@ -172,7 +177,7 @@ def st_watermark_late(spark, sf):
     s = S.file_stream(spark, src, e.schema, files_per_trigger=files).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "10 minutes")
     agg = S.window_counts(s, "ts", "1 hour", None, [], [F.count("*").alias("n")])
     sink, ck = _paths(spark, "st-wm")
-    S.run_append(agg, sink, ck)
+    S.run_append(agg, sink, ck, state_rows=_arrival_rows(spark, sf))
     return spark.read.parquet(sink)
 
 
@@ -185,7 +190,7 @@ def st_dedup(spark, sf):
     s = S.file_stream(spark, src, e.schema, files_per_trigger=files).withColumn("ts", F.col("ts").cast("timestamp"))
     s = s.withWatermark("ts", "2 hours").dropDuplicatesWithinWatermark(["event_id"])
     sink, ck = _paths(spark, "st-dedup")
-    S.run_append(s.select("event_id", "user_id", "event_type"), sink, ck)
+    S.run_append(s.select("event_id", "user_id", "event_type"), sink, ck, state_rows=_arrival_rows(spark, sf))
     return spark.read.parquet(sink)
 
 
@@ -200,7 +205,7 @@ def st_stateful_update(spark, sf):
     def keep(df, batch_id):
         df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{sink}/b={batch_id}")
 
-    S.run_foreach_batch(out, keep, scratch_path(spark, "st-state-ckpt"), mode="update")
+    S.run_foreach_batch(out, keep, scratch_path(spark, "st-state-ckpt"), mode="update", state_rows=table(spark, sf, "events").count())
     return spark.read.parquet(sink).groupBy("user_id").agg(F.max("n").alias("n"), F.round(F.max_by("total", "n"), 6).alias("total"))
 
 
@@ -213,7 +218,7 @@ def st_reduce_window(spark, sf):
     """Windowed reduce per key (daily sum of value per user), incremental state that goes with its window."""
     s = S.window_counts(_closing_stream(spark, sf, "2 DAYS"), "ts", "1 day", None, ["user_id"],
                         [F.round(F.sum("value"), 2).alias("total"), F.count("*").alias("n")])
-    return _closed(spark, s, "st-rwin")
+    return _closed(spark, sf, s, "st-rwin")
 
 
 @query(
@@ -235,7 +240,7 @@ def st_stream_stream_join(spark, sf):
         F.col("event_id").alias("click_id"), F.col("user_id").alias("cu"), F.col("ts").cast("timestamp").alias("cts")).withWatermark("cts", "2 hours")
     j = views.join(clicks, F.expr("vu = cu AND cts >= vts AND cts <= vts + INTERVAL 1 HOUR"))
     sink, ck = _paths(spark, "st-join")
-    S.run_append(j.select("view_id", "click_id"), sink, ck)
+    S.run_append(j.select("view_id", "click_id"), sink, ck, state_rows=_arrival_rows(spark, sf))
     return spark.read.parquet(sink)
 
 
@@ -324,10 +329,11 @@ def clickstream_metrics(ev, known_users) -> dict:
 def st_clickstream_metrics(spark, sf):
     """The five click-stream metrics on a stream with a watermark of one minute; closed windows only."""
     stream = _events_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 minute")
+    rows = _arrival_rows(spark, sf)
     out = None
     for name, metric in clickstream_metrics(stream, table(spark, sf, "customer").select("c_custkey")).items():
         sink, ck = _paths(spark, name.replace("_", "-"))
-        S.run_append(metric, sink, ck)
+        S.run_append(metric, sink, ck, state_rows=rows)
         got = spark.read.parquet(sink).select(F.lit(name).alias("metric"), "window_start", "key", "value")
         out = got if out is None else out.unionByName(got)
     return out
@@ -388,7 +394,7 @@ def st_ab_test(spark, sf):
     s = _events_stream(spark, sf).filter(F.col("event_type").isin("view", "click"))
     agg = s.groupBy("event_type").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.var_samp("value").alias("var"))
     sink, ck = _paths(spark, "st-ab")
-    S.run_complete(agg, sink, ck)
+    S.run_complete(agg, sink, ck, state_rows=table(spark, sf, "events").count())
     r = spark.read.parquet(sink)
     # two result rows (one per group): joined on a constant key
     side = lambda g, s: r.filter(F.col("event_type") == g).select(

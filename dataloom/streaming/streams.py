@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -74,31 +75,55 @@ def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", fi
     return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_trigger).load(path)
 
 
-def run_append(sdf: DataFrame, sink: str, checkpoint: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> int:
+@contextmanager
+def state_stores(spark: SparkSession, rows: int | None, store_rows: int = 100_000) -> Iterator[None]:
+    """A stream started inside has a state store for every ``store_rows`` of ``rows``, the rows that its state may come from.
+
+    Each batch commits every store of every stateful step, a file even where
+    nothing changed, so the commits of a store for each shuffle partition may
+    take longer than the rows. The session's shuffle partitions are the most
+    (and the number for ``rows`` None); a stream keeps the number it began with.
+    """
+    key = "spark.sql.shuffle.partitions"
+    most = spark.conf.get(key)
+    if rows is not None:
+        spark.conf.set(key, str(min(int(most), max(1, math.ceil(rows / store_rows)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, most)
+
+
+def run_append(sdf: DataFrame, sink: str, checkpoint: str, partition_by: Sequence[str] = (), fmt: str = "parquet", state_rows: int | None = None) -> int:
     """Append mode into a file sink (exactly-once through the sink's log); returns the rows of state left at the end."""
     w = sdf.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    run = w.start(sink)
+    with state_stores(sdf.sparkSession, state_rows):
+        run = w.start(sink)
     run.awaitTermination()
     last = run.lastProgress
     return sum(s["numRowsTotal"] for s in last["stateOperators"]) if last else 0
 
 
-def run_complete(sdf: DataFrame, sink: str, checkpoint: str) -> None:
+def run_complete(sdf: DataFrame, sink: str, checkpoint: str, state_rows: int | None = None) -> None:
     """Complete mode: each micro-batch carries the whole result table and
     replaces the sink folder (idempotent, so a retried batch is harmless)."""
 
     def replace(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(sink)
 
-    (sdf.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True)
-     .foreachBatch(replace).start().awaitTermination())
+    w = sdf.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(replace)
+    with state_stores(sdf.sparkSession, state_rows):
+        run = w.start()
+    run.awaitTermination()
 
 
-def run_foreach_batch(sdf: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
-    (sdf.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
-     .foreachBatch(fn).start().awaitTermination())
+def run_foreach_batch(sdf: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", state_rows: int | None = None) -> None:
+    w = sdf.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(fn)
+    with state_stores(sdf.sparkSession, state_rows):
+        run = w.start()
+    run.awaitTermination()
 
 
 def window_counts(df: DataFrame, ts: str, size: str, slide: str | None, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import glob
 import math
 import re
 
@@ -13,7 +15,8 @@ from dataloom.graphs import iterative as GI
 from dataloom.learn import als
 from dataloom.learn import matrix as M
 from dataloom.operators import joins as J
-from dataloom.plans import q_graphs, q_jobs, q_learn, q_project, q_sources
+from dataloom.plans import q_graphs, q_jobs, q_learn, q_project, q_sources, q_streaming
+from dataloom.session import ensure_checkpoint_dir, scratch_path
 from dataloom.streaming import streams as ST
 
 
@@ -75,6 +78,54 @@ def test_files_go_by_the_bytes_of_texts(spark, tmp_path):
     assert len(got.inputFiles()) >= 8
 
 
+def _clicks(spark, path, n):
+    """Events every 7 seconds by 5 users, of which 3 are customers; one without a user."""
+    at = datetime.datetime(2024, 1, 1)
+    kinds = ("view", "click", "error")
+    spark.createDataFrame([(i, at + datetime.timedelta(seconds=7 * i), None if i == 5 else i * i % 5, kinds[i % 3], float(i), "{}") for i in range(n)],
+                          "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{path}/events.parquet")
+    spark.createDataFrame([(i,) for i in (0, 1, 2)], "c_custkey long").write.parquet(f"{path}/customer.parquet")
+    return str(path)
+
+
+def _stores(folder):
+    """State stores by stateful step of the checkpoints below ``folder``."""
+    return {step: len(glob.glob(f"{step}/[0-9]*")) for step in glob.glob(f"{folder}/state/[0-9]*")}
+
+
+def test_state_stores_follow_the_rows(spark, tmp_path):
+    """Few rows have few stores, whatever the session's shuffle partitions; more stores give the same rows and the session's number is left alone."""
+    sf = _clicks(spark, tmp_path, 200)
+    key = "spark.sql.shuffle.partitions"
+    was = spark.conf.get(key)
+    with ST.state_stores(spark, 10**9):
+        assert spark.conf.get(key) == was
+    with ST.state_stores(spark, 250_001):
+        assert spark.conf.get(key) == "3"
+    with ST.state_stores(spark, 0):
+        assert spark.conf.get(key) == "1"
+    with ST.state_stores(spark, None):
+        assert spark.conf.get(key) == was
+    base = re.sub("^file:", "", ensure_checkpoint_dir(spark)) + "/dataloom-scratch/*-ckpt-*"
+    before = set(glob.glob(base))
+    got = q_streaming.st_clickstream_metrics(spark, sf)
+    made = [_stores(c) for c in set(glob.glob(base)) - before]
+    assert len(made) == 5 and sorted(len(m) for m in made) == [1, 1, 1, 2, 2] and {n for m in made for n in m.values()} == {1}
+    assert spark.conf.get(key) == was
+    sink, ck = scratch_path(spark, "many-sink"), scratch_path(spark, "many-ckpt")
+    stream = q_streaming._events_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 minute")
+    ST.run_append(q_streaming.clickstream_metrics(stream, spark.read.parquet(f"{sf}/customer.parquet"))["active_users"], sink, ck, state_rows=250_000)
+    assert set(_stores(re.sub("^file:", "", ck)).values()) == {3}
+    rows = lambda df: sorted(map(tuple, df.select("window_start", "key", "value").collect()), key=str)
+    assert rows(spark.read.parquet(sink)) == rows(got.where("metric = 'active_users'"))
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    closed = ev.agg(F.max("ts")).first()[0] - datetime.timedelta(minutes=1)
+    spans = {"active_users": 15}
+    for name, metric in q_streaming.clickstream_metrics(ev, spark.read.parquet(f"{sf}/customer.parquet")).items():
+        want = [r for r in rows(metric) if r[0] + datetime.timedelta(seconds=spans.get(name, 30)) <= closed]
+        assert want and rows(got.where(F.col("metric") == name)) == want
+
+
 def _lines(spark, path, rows):
     spark.createDataFrame(rows, "l_orderkey long, l_suppkey long, l_partkey long").write.parquet(f"{path}/lineitem.parquet")
     return str(path)
