@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from dataloom.learn import lsh as L
+from dataloom.operators import joins as J
 
 
 def test_links_are_counted_where_pairs_are_found(spark):
@@ -26,3 +27,21 @@ def test_links_are_counted_where_pairs_are_found(spark):
         assert sorted(map(tuple, L.links(other, counts).collect())) == sorted(map(tuple, L.links(members, pairs).collect()))
     near = L.similar(ve, "id", "v", L.euclid_hashes(1e6, 8, 1, 7), L.euclid, 1e6, 8, counts=True)[1].collect()
     assert len(near) <= 400 and sum(r.m for r in near) == 200 * 199
+
+
+def test_range_join_cuts_both_sides(spark):
+    """A bucket of many pairs is a grid of pieces: both sides are copied a little, not one of them to every piece of the other."""
+    pts = spark.range(400).select(F.col("id").alias("pid"), (F.col("id") % 7 / 7).alias("x"))
+    rng = spark.range(400).select(F.col("id").alias("rid"), F.lit(0.0).alias("lo"), (F.col("id") % 5 / 5).alias("hi"))
+    out = J.range_join(pts, rng, "x", "lo", "hi", bucket=10.0, task_pairs=1600)
+    want = sorted((p.pid, r.rid) for p in pts.collect() for r in rng.collect() if r.lo <= p.x < r.hi)
+    assert sorted((r.pid, r.rid) for r in out.collect()) == want
+    shuffles = [n for n in _nodes(out._jdf.queryExecution().optimizedPlan()) if n.nodeName() == "RepartitionByExpression"]
+    copies = [spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, n).count() for n in shuffles]
+    assert len(copies) == 2 and max(copies) <= 400 * 10 and min(copies) >= 400 * 10  # one hundred pieces: ten by ten
+
+
+def _nodes(plan):
+    yield plan
+    for k in range(plan.children().size()):
+        yield from _nodes(plan.children().apply(k))
