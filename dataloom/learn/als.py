@@ -110,7 +110,7 @@ def _pack(key, rows):
     return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "ids": pa.array([rows["id"].to_numpy().tobytes()], pa.binary()), "f": pa.array([f.tobytes()], pa.binary())})
 
 
-def als_error(lines: DataFrame, rank: int = 4, lam: float = 0.1, iterations: int = 5, block_ratings: int = 12_000_000, chunk: int = 1 << 20) -> DataFrame:
+def als_error(lines: DataFrame, rank: int = 4, lam: float = 0.1, iterations: int = 5, block_ratings: int = 3_000_000, chunk: int = 1 << 20) -> DataFrame:
     """rmse and number n of the ratings avg(r) per (u, i) of ``lines``(u, i, r) after ``iterations`` of both half steps.
 
     Lines without u or i are no ratings. A rating without r (null) counts in n and in

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import inspect
 import random
+import subprocess
+import sys
 
 import numpy as np
+from conftest import ROOT, SF_SMALL
 from pyspark.sql import functions as F
 
+from dataloom.learn import als
 from dataloom.learn import lsh as L
 from dataloom.operators import joins as J
+from dataloom.plans import q_learn
 
 
 def test_links_are_counted_where_pairs_are_found(spark):
@@ -45,3 +51,34 @@ def _nodes(plan):
     yield plan
     for k in range(plan.children().size()):
         yield from _nodes(plan.children().apply(k))
+
+
+def test_blocks_of_a_factorisation_do_not_grow(spark, monkeypatch):
+    """Few ratings keep the library's ten blocks; of more there are more blocks, not larger ones."""
+    few, many = q_learn._als(1000), q_learn._als(216_000_000)
+    assert (few.getNumUserBlocks(), few.getNumItemBlocks()) == (10, 10)
+    assert many.getNumUserBlocks() == many.getNumItemBlocks() >= 216_000_000 // q_learn.BLOCK_RATINGS > 50
+    made = []
+    plain = q_learn._als
+    monkeypatch.setattr(q_learn, "BLOCK_RATINGS", 100)
+    monkeypatch.setattr(q_learn, "_als", lambda n: made.append(plain(n)) or made[-1])
+    for query in (q_learn.mod_recommend_als, q_learn.mod_recommend_new_parts):
+        assert query(spark, SF_SMALL).count() > 0
+    assert len(made) == 2 and all(m.getNumUserBlocks() > 40 for m in made)
+
+
+def test_ratings_of_a_block_fit_a_worker():
+    """A block of the size the job makes is laid out in less than 600 MB of Python's memory beyond the start."""
+    most = inspect.signature(als.als_error).parameters["block_ratings"].default
+    code = """
+import resource, sys
+import numpy as np, pyarrow as pa
+from dataloom.learn.als import _lay_out
+n = int(sys.argv[1])
+rng = np.random.default_rng(0)
+rows = pa.table({"block": pa.array(np.zeros(n, np.int32)), "own": rng.integers(0, n // 40, n), "other": rng.integers(0, n, n), "home": pa.array(rng.integers(0, 18, n), pa.int32()), "r": rng.random(n)})
+_lay_out(1 << 20)([pa.scalar(0)], rows)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1000)
+"""
+    peak = int(subprocess.run([sys.executable, "-c", code, str(most)], capture_output=True, text=True, check=True, cwd=ROOT).stdout.split()[-1])
+    assert peak < 700
