@@ -55,16 +55,15 @@ def _nodes(plan):
 
 def test_blocks_of_a_factorisation_do_not_grow(spark, monkeypatch):
     """Few ratings keep the library's ten blocks; of more there are more blocks, not larger ones."""
-    few, many = q_learn._als(1000), q_learn._als(216_000_000)
-    assert (few.getNumUserBlocks(), few.getNumItemBlocks()) == (10, 10)
-    assert many.getNumUserBlocks() == many.getNumItemBlocks() >= 216_000_000 // q_learn.BLOCK_RATINGS > 50
+    assert (q_learn._blocks(0), q_learn._blocks(1000)) == (10, 10)
+    assert q_learn._blocks(216_000_000) >= 216_000_000 // q_learn.BLOCK_RATINGS > 50
     made = []
-    plain = q_learn._als
+    plain = q_learn.ALS
     monkeypatch.setattr(q_learn, "BLOCK_RATINGS", 100)
-    monkeypatch.setattr(q_learn, "_als", lambda n: made.append(plain(n)) or made[-1])
+    monkeypatch.setattr(q_learn, "ALS", lambda **given: made.append(plain(**given)) or made[-1])
     for query in (q_learn.mod_recommend_als, q_learn.mod_recommend_new_parts):
         assert query(spark, SF_SMALL).count() > 0
-    assert len(made) == 2 and all(m.getNumUserBlocks() > 40 for m in made)
+    assert len(made) == 2 and all(m.getNumUserBlocks() == m.getNumItemBlocks() > 40 for m in made)
 
 
 def test_ratings_of_a_block_fit_a_worker():
